@@ -7,13 +7,55 @@ quantity, discount, tax and price give the metrics.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from spendlake.sources.registry import SOURCES, SourceSpec
 
 FLAG_OF = {"google_ads": "A", "meta_ads": "N", "tiktok_ads": "R"}
 
+PLATFORM = "CASE l_returnflag WHEN 'A' THEN 'google_ads' WHEN 'N' THEN 'meta_ads' ELSE 'tiktok_ads' END"
+CAMPAIGN = "concat('Campaign ', l_linestatus, l_linenumber)"
+AD_GROUP = "concat('Group ', l_suppkey)"
+IMPRESSIONS = "floor(l_quantity) * 100"
+CLICKS = "floor(l_quantity * l_discount * 100D)"
+CONVERSIONS = "l_quantity * l_discount * l_tax * 100D"  # fractional, as the first platform reports them
+
+_RAW = {
+    "google_ads": {
+        "date": "cast(cast(l_shipdate AS date) AS string)",
+        "campaign_name": CAMPAIGN,
+        "ad_group_name": AD_GROUP,
+        "impressions": IMPRESSIONS,
+        "clicks": CLICKS,
+        "cost_micros": "floor(l_extendedprice * 1e6D + 0.5D)",
+        "conversions": CONVERSIONS,
+        "currency": "'BRL'",
+    },
+    "meta_ads": {
+        "date_start": "date_format(l_shipdate, 'dd/MM/yyyy')",
+        "date_stop": "date_format(l_shipdate, 'dd/MM/yyyy')",
+        "campaign_name": CAMPAIGN,
+        "adset_name": AD_GROUP,
+        "reach": IMPRESSIONS,
+        "link_clicks": CLICKS,
+        "spend": "l_extendedprice",
+        "results": f"floor({CONVERSIONS})",
+        "objective": "'CONVERSIONS'",
+        "currency": "'BRL'",
+    },
+    "tiktok_ads": {
+        "stat_time": "cast(l_shipdate AS string)",
+        "campaign_title": CAMPAIGN,
+        "ad_group_title": AD_GROUP,
+        "views": IMPRESSIONS,
+        "engagements": CLICKS,
+        "total_cost": "cast(l_extendedprice AS string)",
+        "conversions_count": f"floor({CONVERSIONS})",
+        "campaign_objective": "'TRAFFIC'",
+        "country_code": "'BR'",
+    },
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,83 +65,14 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem")
 
 
-def platform() -> Column:
-    flag = F.col("l_returnflag")
-    return (
-        F.when(flag == FLAG_OF["google_ads"], "google_ads")
-        .when(flag == FLAG_OF["meta_ads"], "meta_ads")
-        .otherwise("tiktok_ads")
-    )
-
-
-def campaign() -> Column:
-    return F.concat(F.lit("Campaign "), F.col("l_linestatus"), F.col("l_linenumber").cast("string"))
-
-
-def ad_group() -> Column:
-    return F.concat(F.lit("Group "), F.col("l_suppkey").cast("string"))
-
-
-def impressions() -> Column:
-    return F.floor("l_quantity") * 100
-
-
-def clicks() -> Column:
-    return F.floor(F.col("l_quantity") * F.col("l_discount") * 100)
-
-
-def conversions() -> Column:
-    """Fractional, as the first platform reports them."""
-    return F.col("l_quantity") * F.col("l_discount") * F.col("l_tax") * 100
-
-
-def _raw_values(spec: SourceSpec) -> dict[str, Column]:
-    day, cost = F.col("l_shipdate"), F.col("l_extendedprice")
-    if spec.name == "google_ads":
-        return {
-            "date": F.date_format(day, "yyyy-MM-dd"),
-            "campaign_name": campaign(),
-            "ad_group_name": ad_group(),
-            "impressions": impressions(),
-            "clicks": clicks(),
-            "cost_micros": F.floor(cost * 1e6 + 0.5),
-            "conversions": conversions(),
-            "currency": F.lit("BRL"),
-        }
-    if spec.name == "meta_ads":
-        return {
-            "date_start": F.date_format(day, "dd/MM/yyyy"),
-            "date_stop": F.date_format(day, "dd/MM/yyyy"),
-            "campaign_name": campaign(),
-            "adset_name": ad_group(),
-            "reach": impressions(),
-            "link_clicks": clicks(),
-            "spend": cost,
-            "results": F.floor(conversions()),
-            "objective": F.lit("CONVERSIONS"),
-            "currency": F.lit("BRL"),
-        }
-    return {
-        "stat_time": F.date_format(day, "yyyy-MM-dd HH:mm:ss"),
-        "campaign_title": campaign(),
-        "ad_group_title": ad_group(),
-        "views": impressions(),
-        "engagements": clicks(),
-        "total_cost": cost.cast("string"),
-        "conversions_count": F.floor(conversions()),
-        "campaign_objective": F.lit("TRAFFIC"),
-        "country_code": F.lit("BR"),
-    }
-
-
 def raw_report(lines: DataFrame, spec: SourceSpec) -> DataFrame:
     """Every given line as a raw row of one platform."""
-    return lines.select(*[value.alias(c) for c, value in _raw_values(spec).items()])
+    return lines.selectExpr(*[f"{value} AS {name}" for name, value in _RAW[spec.name].items()])
 
 
 def own_lines(lines: DataFrame, name: str) -> DataFrame:
     """The lines that belong to one platform; the filter reaches the Parquet scan."""
-    return lines.where(F.col("l_returnflag") == FLAG_OF[name])
+    return lines.where(f"l_returnflag = '{FLAG_OF[name]}'")
 
 
 def raw_mixed(lines: DataFrame) -> DataFrame:
@@ -107,39 +80,39 @@ def raw_mixed(lines: DataFrame) -> DataFrame:
 
     A column two platforms share holds the value of the row's platform.
     """
-    columns: dict[str, Column] = {}
-    for spec in SOURCES.values():
-        mine = F.col("_source") == spec.name
-        for name, value in _raw_values(spec).items():
-            kind = spec.raw_schema[name].dataType
-            value = F.when(mine, value.cast(kind))
-            columns[name] = F.coalesce(columns[name], value) if name in columns else value
-    return lines.withColumn("_source", platform()).select(
-        "_source", *[value.alias(name) for name, value in columns.items()]
-    )
-
-
-def damaged(silver_lines: DataFrame) -> DataFrame:
+    users: dict[str, list[str]] = {}
+    for platform in SOURCES:
+        for name in _RAW[platform]:
+            users.setdefault(name, []).append(platform)
+    columns = [f"{PLATFORM} AS _source"]
+    for name, platforms in users.items():
+        flags = " ".join(f"WHEN '{FLAG_OF[p]}' THEN {_RAW[p][name]}" for p in platforms)
+        columns.append(f"CASE l_returnflag {flags} END AS {name}")
+    return lines.selectExpr(*columns)
+
+
+def damaged(lines: DataFrame) -> DataFrame:
     """Silver straight from lineitem, with one kind of damage per quality rule."""
-    quantity = F.col("l_quantity")
-    return silver_lines.select(
-        F.when(F.col("l_shipdate") >= F.lit("1995-02-01"), F.col("l_shipdate").cast("date")).alias("date"),
-        F.when((F.col("l_discount") == 0) & (F.col("l_tax") == 0), "unknown_platform")
-        .when(F.col("l_linestatus") == "O", F.concat(F.lit("  "), F.initcap(platform()), F.lit("\t")))
-        .otherwise(platform())
-        .alias("source"),
-        F.when(F.col("l_linenumber") != 7, campaign()).alias("campaign_name"),
-        F.when(quantity == 46, F.lit("")).otherwise(ad_group()).alias("ad_group_name"),
-        F.when(quantity == 45, F.lit(-1)).when(quantity != 44, impressions()).alias("impressions"),
-        F.when(quantity == 50, impressions() + 1).when(quantity != 44, clicks()).alias("clicks"),
-        F.when(F.col("l_extendedprice") < 2000, -F.col("l_extendedprice"))
-        .otherwise(F.col("l_extendedprice") / 7)
-        .alias("cost_brl"),
-        F.when(quantity == 49, clicks() + 1)
-        .when(quantity == 48, F.lit(-1))
-        .otherwise(F.floor(conversions()))
-        .alias("conversions"),
-        F.concat(platform(), F.lit("/lineitem.parquet")).alias("source_file"),
-        F.lit("2026-03-12T10:00:00").alias("transformed_at"),
-        platform().alias("source_dir"),
+    plain = lines.selectExpr(
+        "*",
+        f"{PLATFORM} AS platform",
+        f"{IMPRESSIONS} AS impressions",
+        f"{CLICKS} AS clicks",
+        f"floor({CONVERSIONS}) AS conversions",
+    )
+    return plain.selectExpr(
+        "CASE WHEN l_shipdate >= timestamp_ntz'1995-02-01' THEN cast(l_shipdate AS date) END AS date",
+        """CASE WHEN l_discount = 0 AND l_tax = 0 THEN 'unknown_platform'
+                WHEN l_linestatus = 'O' THEN concat('  ', initcap(platform), '\\t')
+                ELSE platform END AS source""",
+        f"CASE WHEN l_linenumber <> 7 THEN {CAMPAIGN} END AS campaign_name",
+        f"CASE WHEN l_quantity = 46 THEN '' ELSE {AD_GROUP} END AS ad_group_name",
+        "CASE l_quantity WHEN 44 THEN NULL WHEN 45 THEN -1L ELSE impressions END AS impressions",
+        "CASE l_quantity WHEN 44 THEN NULL WHEN 50 THEN impressions + 1 ELSE clicks END AS clicks",
+        """CASE WHEN l_extendedprice < 2000 THEN -l_extendedprice
+                ELSE l_extendedprice / 7D END AS cost_brl""",
+        "CASE l_quantity WHEN 48 THEN -1L WHEN 49 THEN clicks + 1 ELSE conversions END AS conversions",
+        "concat(platform, '/lineitem.parquet') AS source_file",
+        "'2026-03-12T10:00:00' AS transformed_at",
+        "platform AS source_dir",
     )

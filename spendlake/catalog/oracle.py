@@ -17,8 +17,10 @@ _SILVER = "date, source, campaign_name, ad_group_name, impressions, clicks, cost
 
 
 def _rounded(value: str, digits: int = 4) -> str:
-    scale = f"1e{digits}"
-    return f"sign({value}) * floor(abs({value}) * {scale} + 0.5) / {scale}"
+    """Ties to even, on the scaled double."""
+    y = f"({value} * 1e{digits})"
+    tie = f"{y} - floor({y}) = 0.5"
+    return f"CASE WHEN {tie} THEN 2 * floor((floor({y}) + 1) / 2) ELSE floor({y} + 0.5) END / 1e{digits}"
 
 
 def _ratio(numerator: str, denominator: str, factor: str = "") -> str:
@@ -180,7 +182,7 @@ def _freshness(order: str) -> str:
   FROM files),
 aged AS (
   SELECT layer, regexp_extract(path, '([^/]+)$', 1) AS latest_file,
-         floor((epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(modified_at)) / 3600e6 * 10 + 0.5) / 10
+         {_rounded("(epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(modified_at)) / 3600e6", 1)}
            AS age_hours
   FROM latest WHERE place = 1),
 status AS (
@@ -284,7 +286,7 @@ SELECT CASE WHEN bool_and(coalesce(ok, false)) THEN 'healthy' ELSE 'degraded' EN
        count(*) FILTER (WHERE ok) AS components_ok, count(*) AS components
 FROM (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('silver')) AS expected(layer)
 LEFT JOIN status USING (layer)""",
-    "file_sizes": "SELECT floor(sum(event_id) / 1024 * 100 + 0.5) / 100 AS size_kb FROM events",
+    "file_sizes": f"SELECT {_rounded('CAST(sum(event_id) AS DOUBLE) / 1024', 2)} AS size_kb FROM events",
     "refined_snapshots": f"WITH {_LINES}\nSELECT {_SILVER} FROM lines",
     "gold_snapshots": f"""WITH {_LINES},
 daily AS ({_totals('date, source')}),

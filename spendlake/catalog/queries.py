@@ -17,7 +17,7 @@ from spendlake.operators.union import union_strict
 from spendlake.plans.refine import refine
 from spendlake.plans.serve import serve_all, served
 from spendlake.plans.summarize import latest_silver, summarize_all
-from spendlake.schemas import KNOWN_SOURCES, ServedTypes
+from spendlake.schemas import KNOWN_SOURCES, METRICS, RATIOS, ServedTypes
 from spendlake.sources.landing import unnest_envelope, with_ingest_columns
 from spendlake.sources.registry import SOURCES
 from spendlake.sources.scratch import scratch_path
@@ -59,13 +59,13 @@ def silver_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = SOURCES["tiktok_ads"]
     raw = derive.raw_report(derive.lineitem(spark, sf_dir), spec).withColumns(
         {
-            "stat_time": F.when(F.col("views") == 5000, "yesterday").otherwise(F.col("stat_time")),
-            "total_cost": F.when(F.col("views") >= 4900, "n/a").otherwise(F.col("total_cost")),
+            "stat_time": F.expr("CASE WHEN views = 5000 THEN 'yesterday' ELSE stat_time END"),
+            "total_cost": F.expr("CASE WHEN views >= 4900 THEN 'n/a' ELSE total_cost END"),
         }
     )
     silver = normalize_lenient(raw, spec, "lineitem", AT)
-    return silver.select(
-        "date", "campaign_name", "impressions", "cost_brl", F.concat_ws(",", "unparsed").alias("unparsed")
+    return silver.selectExpr(
+        "date", "campaign_name", "impressions", "cost_brl", "concat_ws(',', unparsed) AS unparsed"
     )
 
 
@@ -73,8 +73,7 @@ def derived_metrics_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _silver(spark, sf_dir).select(
         "date", "source", "campaign_name", "ad_group_name", "impressions", "clicks", "cost_brl", "conversions"
     )
-    zero = (F.col("impressions") == 0) | (F.col("clicks") == 0) | (F.col("conversions") == 0)
-    return aggregate.with_ratios(rows.where(zero))
+    return aggregate.with_ratios(rows.where("impressions = 0 OR clicks = 0 OR conversions = 0"))
 
 
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,9 +143,9 @@ def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    month = F.date_format("o_orderdate", "yyyyMM").alias("snapshot")
     orders = derive.table(spark, sf_dir, "orders")
-    return latest_rows(orders.select("o_orderkey", "o_custkey", "o_totalprice", month), "snapshot")
+    month = "date_format(o_orderdate, 'yyyyMM') AS snapshot"
+    return latest_rows(orders.selectExpr("o_orderkey", "o_custkey", "o_totalprice", month), "snapshot")
 
 
 def date_window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,50 +158,42 @@ def date_spine_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lenient_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates in several spellings, by order status and priority."""
-    day, priority = F.col("o_orderdate"), F.col("o_orderpriority")
-    iso = F.date_format(day, "yyyy-MM-dd")
-    week = F.concat(
-        F.extract(F.lit("YEAROFWEEK"), day).cast("string"),
-        F.lit("-W"),
-        F.lpad(F.weekofyear(day).cast("string"), 2, "0"),
-        F.lit("-"),
-        (F.weekday(day) + 1).cast("string"),
+    texts = derive.table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        """CASE left(o_orderpriority, 1)
+             WHEN '1' THEN cast(cast(o_orderdate AS date) AS string)
+             WHEN '2' THEN date_format(o_orderdate, 'yyyyMMdd')
+             WHEN '3' THEN concat(extract(YEAROFWEEK FROM o_orderdate), '-W',
+                                  lpad(weekofyear(o_orderdate), 2, '0'), '-', weekday(o_orderdate) + 1)
+             WHEN '4' THEN date_format(o_orderdate, 'dd/MM/yyyy')
+             ELSE CASE o_orderstatus
+                    WHEN 'F' THEN ''
+                    WHEN 'O' THEN concat(date_format(o_orderdate, 'yyyy-MM-'), '32') END
+           END AS text""",
     )
-    text = (
-        F.when(priority.startswith("1"), iso)
-        .when(priority.startswith("2"), F.date_format(day, "yyyyMMdd"))
-        .when(priority.startswith("3"), week)
-        .when(priority.startswith("4"), F.date_format(day, "dd/MM/yyyy"))
-        .when(F.col("o_orderstatus") == "F", F.lit(""))
-        .when(F.col("o_orderstatus") == "O", F.concat(F.substring(iso, 1, 8), F.lit("32")))
-    )
-    orders = derive.table(spark, sf_dir, "orders")
-    return orders.select("o_orderkey", lenient_date(text, date(1990, 1, 1)).alias("day"))
+    return texts.selectExpr("o_orderkey", f"{lenient_date('text', date(1990, 1, 1))} AS day")
 
 
 def envelope_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as one JSON report: two records, none, or no array at all."""
     spec = SOURCES["google_ads"]
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    record = F.struct(
-        F.date_format("ts", "yyyy-MM-dd").alias("date"),
-        F.col("event_type").alias("campaign_name"),
-        F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("ad_group_name"),
-        (k * 100).alias("impressions"),
-        k.alias("clicks"),
-        F.floor(F.col("value") * 1e6 + 0.5).alias("cost_micros"),
-        F.col("value").alias("conversions"),
-        F.lit("BRL").alias("currency"),
+    record = """named_struct('date', date_format(ts, 'yyyy-MM-dd'), 'campaign_name', event_type,
+        'ad_group_name', concat('User ', user_id), 'impressions', k * {times}, 'clicks', k,
+        'cost_micros', floor(value * 1e6D + 0.5D), 'conversions', value, 'currency', 'BRL')"""
+    rows = f"array({record.format(times=100)}, {record.format(times=200)})"
+    reports = (
+        derive.table(spark, sf_dir, "events")
+        .withColumn("k", F.expr("cast(get_json_object(props, '$.k') AS bigint)"))
+        .selectExpr(
+            f"""CASE event_type
+                  WHEN 'error' THEN '{{"source": "google_ads", "total_rows": 0}}'
+                  WHEN 'signup' THEN '{{"source": "google_ads", "total_rows": 0, "rows": []}}'
+                  ELSE to_json(named_struct('source', 'google_ads', 'total_rows', 2, 'rows', {rows}))
+                END AS text"""
+        )
     )
-    again = record.withField("impressions", k * 200)
-    source = F.lit(spec.name).alias("source")
-    kind = F.col("event_type")
-    full = F.to_json(F.struct(source, F.lit(2).alias("total_rows"), F.array(record, again).alias("rows")))
-    empty = F.lit('{"source": "google_ads", "total_rows": 0, "rows": []}')
-    bare = F.lit('{"source": "google_ads", "total_rows": 0}')
-    text = F.when(kind == "error", bare).when(kind == "signup", empty).otherwise(full)
-    parsed = F.from_json(text, spec.envelope_schema(), {"mode": "FAILFAST"}).alias("report")
-    envelopes = derive.table(spark, sf_dir, "events").select(parsed).select("report.*")
+    parsed = F.from_json("text", spec.envelope_schema(), {"mode": "FAILFAST"}).alias("report")
+    envelopes = reports.select(parsed).select("report.*")
     return with_ingest_columns(unnest_envelope(envelopes, spec), spec, AT.date())
 
 
@@ -212,13 +203,11 @@ def distinct_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a file of its type's layer, named by its user and number."""
-    events = derive.table(spark, sf_dir, "events")
-    name = F.format_string("/u%06d/part-%010d.parquet", "user_id", "event_id")
-    return events.select(
-        F.col("event_type").alias("layer"),
-        F.concat(F.col("event_type"), name).alias("path"),
-        F.col("ts").cast("timestamp").alias("modified_at"),
-        F.col("event_id").alias("bytes"),
+    return derive.table(spark, sf_dir, "events").selectExpr(
+        "event_type AS layer",
+        "format_string('%s/u%06d/part-%010d.parquet', event_type, user_id, event_id) AS path",
+        "cast(ts AS timestamp) AS modified_at",
+        "event_id AS bytes",
     )
 
 
@@ -249,7 +238,7 @@ def _bronze(spark: SparkSession, sf_dir: str, root: str) -> str:
     lines = derive.lineitem(spark, sf_dir)
     for name, spec in SOURCES.items():
         mine = derive.own_lines(lines, name)
-        old = derive.raw_report(mine.where(F.col("l_linestatus") == "O"), spec)
+        old = derive.raw_report(mine.where("l_linestatus = 'O'"), spec)
         for raw, at in ((old, AT), (derive.raw_report(mine, spec), LATER)):
             write_snapshot(with_ingest_columns(raw, spec, at.date()), f"{root}/bronze", name, at)
     return f"{root}/bronze"
@@ -277,24 +266,10 @@ def gold_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = []
     for name in ("daily_summary", "campaign_summary", "source_comparison"):
         rows = spark.read.parquet(latest_snapshot(spark, gold, name))
-        date_text = F.col("date").cast("string") if "date" in rows.columns else F.lit(None).cast("string")
-        campaign = F.col("campaign_name") if "campaign_name" in rows.columns else F.lit(None).cast("string")
-        frames.append(
-            rows.select(
-                F.lit(name).alias("gold_table"),
-                date_text.alias("day"),
-                campaign.alias("campaign_name"),
-                "source",
-                "impressions",
-                "clicks",
-                "cost_brl",
-                "conversions",
-                "ctr_pct",
-                "cpc_brl",
-                "cpm_brl",
-                "cpa_brl",
-            )
-        )
+        day = "cast(date AS string)" if "date" in rows.columns else "cast(NULL AS string)"
+        campaign = "campaign_name" if "campaign_name" in rows.columns else "cast(NULL AS string)"
+        head = [f"'{name}' AS gold_table", f"{day} AS day", f"{campaign} AS campaign_name", "source"]
+        frames.append(rows.selectExpr(*head, *METRICS, *RATIOS))
     return union_strict(frames)
 
 

@@ -1,34 +1,24 @@
-"""Casts that fail loudly whatever ``spark.sql.ansi.enabled`` says."""
+"""Casts that fail loudly whatever ``spark.sql.ansi.enabled`` says, and rounding."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
-def or_fail(parsed: Column, raw: Column, what: str) -> Column:
-    """``parsed``, raising where it is NULL although ``raw`` holds a value."""
-    failure = F.raise_error(F.concat(F.lit(f"{what}: cannot read '"), raw.cast("string"), F.lit("'")))
-    return F.coalesce(parsed, F.when(raw.isNotNull(), failure))
-
-
-def to_long(raw: Column) -> Column:
-    """BIGINT, fractions truncated toward zero; NULL where it does not fit."""
-    return raw.try_cast("bigint")
 
-
-def to_double(raw: Column) -> Column:
-    return raw.try_cast("double")
+def or_fail(parsed: str, raw: str, what: str) -> str:
+    """``parsed``, raising where it is NULL although ``raw`` holds a value."""
+    message = f"concat({quoted(f'{what}: cannot read ')}, cast({raw} AS string))"
+    return f"coalesce({parsed}, CASE WHEN {raw} IS NOT NULL THEN raise_error({message}) END)"
 
 
-def round_to(value: Column, digits: int) -> Column:
-    """Round half away from zero, on plain double arithmetic.
+def rounded(value: str, digits: int) -> str:
+    """Round to ``digits`` decimals, ties to even, on double arithmetic.
 
-    ``round`` on a double goes through BigDecimal, which costs microseconds per
-    row and breaks ties on the printed digits. From 10^12 on, a double has no
-    digit left that four decimals could drop, so such values, NaN and the
-    infinities pass through.
+    ``round`` on a double goes through BigDecimal and the printed digits, which
+    is slow and decides ties by the spelling of the number.
     """
-    scale = float(10**digits)
-    rounded = F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / scale
-    return F.when(F.abs(value) < 1e12, rounded).otherwise(value)
+    scale = f"{10**digits}D"
+    return f"rint(({value}) * {scale}) / {scale}"

@@ -10,15 +10,23 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.functions.casts import round_to
+from spendlake.functions.casts import rounded
 from spendlake.functions.cost import COST_PARTS, cost_parts, joined_cost
-from spendlake.schemas import GOLD_TABLES, METRICS, gold_table
+from spendlake.schemas import GOLD_TABLES, METRICS, RATIOS, gold_table
 
 COUNTERS = ("impressions", "clicks", "conversions")
 
+# Ratio -> (numerator, denominator, factor).
+_RATIO_OF = {
+    "ctr_pct": ("clicks", "impressions", 100),
+    "cpc_brl": ("cost_brl", "clicks", 1),
+    "cpm_brl": ("cost_brl", "impressions", 1000),
+    "cpa_brl": ("cost_brl", "conversions", 1),
+}
+
 
 def require_silver(silver: DataFrame, columns: Iterable[str]) -> None:
     missing = sorted(set(columns) - set(silver.columns))
@@ -29,38 +37,30 @@ def require_silver(silver: DataFrame, columns: Iterable[str]) -> None:
 def metric_parts(silver: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row-level metrics in additive form; reads the keys and the four metrics only."""
     require_silver(silver, [*keys, *METRICS])
-    return silver.select(*keys, *COUNTERS, *cost_parts(F.col("cost_brl").cast("double")))
+    return silver.selectExpr(*keys, *COUNTERS, *cost_parts("cost_brl"))
 
 
 def sum_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add parts up to a coarser grain. A NULL key is a group of its own."""
-    counters = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS]
-    return parts.groupBy(*keys).agg(*counters, *[F.sum(c).alias(c) for c in COST_PARTS])
-
-
-def _ratio(numerator: str, denominator: str, factor: float | None = None) -> Column:
-    quotient = F.col(numerator) / F.col(denominator)
-    scaled = quotient if factor is None else quotient * factor
-    return F.when(F.col(denominator) > 0, round_to(scaled, 4)).otherwise(F.lit(0.0))
+    counters = [F.expr(f"coalesce(sum({c}), 0) AS {c}") for c in COUNTERS]
+    return parts.groupBy(*keys).agg(*counters, *[F.expr(f"sum({c}) AS {c}") for c in COST_PARTS])
 
 
 def with_ratios(totals: DataFrame) -> DataFrame:
     """Add CTR, CPC, CPM and CPA of the totals; 0.0 where the denominator is not positive."""
-    return totals.withColumns(
-        {
-            "ctr_pct": _ratio("clicks", "impressions", 100.0),
-            "cpc_brl": _ratio("cost_brl", "clicks"),
-            "cpm_brl": _ratio("cost_brl", "impressions", 1000.0),
-            "cpa_brl": _ratio("cost_brl", "conversions"),
-        }
-    )
+    ratios = []
+    for name in RATIOS:
+        numerator, denominator, factor = _RATIO_OF[name]
+        quotient = f"{numerator} / {denominator}" + (f" * {factor}D" if factor != 1 else "")
+        ratios.append(f"CASE WHEN {denominator} > 0 THEN {rounded(quotient, 4)} ELSE 0D END AS {name}")
+    return totals.selectExpr("*", *ratios)
 
 
 def finish(parts: DataFrame, table: str) -> DataFrame:
     """Summed parts as the rows of a gold table, in the table's order."""
     spec = gold_table(table)
-    totals = parts.select(
-        *spec.keys, "impressions", "clicks", joined_cost().alias("cost_brl"), "conversions"
+    totals = parts.selectExpr(
+        *spec.keys, "impressions", "clicks", f"{joined_cost()} AS cost_brl", "conversions"
     )
     order = [
         F.col(c).desc_nulls_first() if way == "desc" else F.col(c).asc_nulls_first()
@@ -91,10 +91,9 @@ def source_comparison(silver: DataFrame) -> DataFrame:
 
 def shared_grain(tables: Iterable[str]) -> list[str]:
     """The keys from which all of ``tables`` can be rolled up."""
-    return list(dict.fromkeys(k for t in GOLD_TABLES if t in set(tables) for k in GOLD_TABLES[t].keys))
+    return list(dict.fromkeys(k for t in tables for k in GOLD_TABLES[t].keys))
 
 
 def distinct_sources(silver: DataFrame) -> DataFrame:
     """Number of distinct sources; NULL counts as one."""
-    present = silver.groupBy("source").agg(F.lit(1).alias("one"))
-    return present.agg(F.count("one").alias("sources"))
+    return silver.select("source").distinct().agg(F.count(F.lit(1)).alias("sources"))

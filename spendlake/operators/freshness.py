@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendlake.functions.casts import rounded
+
 MAX_AGE_HOURS = 25
 LAYERS = ("bronze", "silver", "gold")
 
@@ -27,21 +29,21 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _verdict(age: Column) -> list[Column]:
-    stale = age > MAX_AGE_HOURS
-    message = F.when(age.isNull(), "no parquet files").when(
-        stale, F.concat(F.lit("latest file is "), age.cast("string"), F.lit("h old"))
+def _with_verdict(aged: DataFrame) -> DataFrame:
+    stale = f"age_hours > {MAX_AGE_HOURS}"
+    return aged.selectExpr(
+        "*",
+        f"coalesce(NOT {stale}, false) AS ok",
+        f"""CASE WHEN age_hours IS NULL THEN 'no parquet files'
+                 WHEN {stale} THEN concat('latest file is ', age_hours, 'h old')
+                 ELSE 'ok' END AS message""",
     )
-    return [
-        F.coalesce(~stale, F.lit(False)).alias("ok"),
-        F.coalesce(message, F.lit("ok")).alias("message"),
-    ]
 
 
 def age_hours(modified_at: Column, as_of: datetime | Column) -> Column:
     """Hours between two timestamps, to one decimal."""
     micros = F.unix_micros(F.lit(as_of)) - F.unix_micros(modified_at)
-    return F.floor(micros / 3600e6 * 10 + 0.5) / 10
+    return F.rint(micros / 3600e6 * 10) / 10
 
 
 def freshness(
@@ -59,14 +61,13 @@ def freshness(
         F.regexp_extract("latest.path", r"([^/]+)$", 1).alias("latest_file"),
         age_hours(F.col("latest.modified_at"), as_of).alias("age_hours"),
     )
-    return aged.select("*", *_verdict(F.col("age_hours")))
+    return _with_verdict(aged)
 
 
 def with_missing_layers(status: DataFrame, layers: Sequence[str] = LAYERS) -> DataFrame:
     """The status with a row for every layer; a layer without files is not ok."""
     expected = status.sparkSession.createDataFrame([(name,) for name in layers], "layer string")
-    joined = expected.join(status.drop("ok", "message"), "layer", "left")
-    return joined.select("*", *_verdict(F.col("age_hours")))
+    return _with_verdict(expected.join(status.drop("ok", "message"), "layer", "left"))
 
 
 def overall_status(status: DataFrame) -> DataFrame:
@@ -81,5 +82,4 @@ def overall_status(status: DataFrame) -> DataFrame:
 
 def size_kb(files: DataFrame) -> DataFrame:
     """Total size of the listed files in KB, to two decimals."""
-    kb = F.coalesce(F.sum("bytes"), F.lit(0)) / 1024
-    return files.agg((F.floor(kb * 100 + 0.5) / 100).alias("size_kb"))
+    return files.agg(F.expr(f"{rounded('coalesce(sum(bytes), 0) / 1024', 2)} AS size_kb"))

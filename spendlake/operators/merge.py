@@ -4,17 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendlake.functions.casts import or_fail
-from spendlake.schemas import (
-    SERVED_TEXT_LENGTH,
-    ServedTypes,
-    gold_table,
-    served_schema,
-)
+from spendlake.schemas import SERVED_TEXT_LENGTH, ServedTypes, gold_table, served_schema
 
 
 def empty_served(spark: SparkSession, table: str, types: ServedTypes = ServedTypes()) -> DataFrame:
@@ -22,19 +17,20 @@ def empty_served(spark: SparkSession, table: str, types: ServedTypes = ServedTyp
     return spark.createDataFrame([], served_schema(table, types))
 
 
-def _served_value(field: T.StructField) -> Column:
-    raw = F.col(field.name)
-    value = or_fail(raw.try_cast(field.dataType), raw, f"served {field.name} ({field.dataType.simpleString()})")
-    limit = SERVED_TEXT_LENGTH.get(field.name)
+def _served_value(field: T.StructField) -> str:
+    name, kind = field.name, field.dataType.simpleString()
+    value = f"try_cast({name} AS {kind})"
+    limit = SERVED_TEXT_LENGTH.get(name)
     if limit is not None:
-        too_long = F.raise_error(F.lit(f"served {field.name} is longer than {limit} characters"))
-        value = F.when(F.length(value) <= limit, value).when(value.isNotNull(), too_long)
-    return F.coalesce(value, F.raise_error(F.lit(f"served {field.name} is null"))).alias(field.name)
+        value = f"CASE WHEN length({name}) <= {limit} THEN {name} END"
+        kind = f"at most {limit} characters"
+    failing = or_fail(value, name, f"served {name} ({kind})")
+    return f"coalesce({failing}, raise_error('served {name} is null')) AS {name}"
 
 
 def as_served(gold: DataFrame, table: str, types: ServedTypes = ServedTypes()) -> DataFrame:
     """Gold rows in the served types. NULL, overflow and overlong text fail the job."""
-    return gold.select(*[_served_value(f) for f in served_schema(table, types).fields[:-1]])
+    return gold.selectExpr(*[_served_value(f) for f in served_schema(table, types).fields[:-1]])
 
 
 def one_per_key(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -44,14 +40,12 @@ def one_per_key(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """
     rest = [c for c in rows.columns if c not in keys]
     grouped = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_copies"), *[F.first(c).alias(c) for c in rest]
-    )
-    duplicate = F.raise_error(
-        F.concat(F.lit("duplicate key "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
-    )
-    return grouped.select(
-        *keys, *[F.when(F.col("_copies") == 1, F.col(c)).otherwise(duplicate).alias(c) for c in rest]
+        F.count(F.lit(1)).alias("_copies"), *[F.expr(f"first({c}) AS {c}") for c in rest]
     )
+    key = ", ', ', ".join(f"cast({k} AS string)" for k in keys)
+    duplicate = f"raise_error(concat('duplicate key ', {key}))"
+    checked = [f"CASE WHEN _copies = 1 THEN {c} ELSE {duplicate} END AS {c}" for c in rest]
+    return grouped.selectExpr(*keys, *checked)
 
 
 def merge(
@@ -63,17 +57,13 @@ def merge(
     name stay; an updated row keeps the ``loaded_at`` of its first insert.
     """
     spec = gold_table(table)
-    keys = list(spec.keys)
-    values = [c for c in spec.columns if c not in keys]
-    incoming = one_per_key(as_served(batch, table, types), spec.keys).select(
-        *keys, *[F.col(c).alias(f"new_{c}") for c in values], F.lit(True).alias("_incoming")
+    values = [c for c in spec.columns if c not in spec.keys]
+    incoming = one_per_key(as_served(batch, table, types), spec.keys).selectExpr(
+        *spec.keys, *[f"{c} AS new_{c}" for c in values]
     )
-    joined = target.join(incoming, keys, "full_outer")
-    return joined.select(
-        *keys,
-        *[
-            F.when(F.col("_incoming"), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c)
-            for c in values
-        ],
-        F.coalesce("loaded_at", F.lit(loaded_at.isoformat(sep=" ")).cast("timestamp_ntz")).alias("loaded_at"),
+    # Served values are never NULL, so a NULL means that the row is missing on that side.
+    return target.join(incoming, list(spec.keys), "full_outer").selectExpr(
+        *spec.keys,
+        *[f"coalesce(new_{c}, {c}) AS {c}" for c in values],
+        f"coalesce(loaded_at, timestamp_ntz'{loaded_at.isoformat(sep=' ')}') AS loaded_at",
     )

@@ -4,96 +4,99 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from spendlake.errors import TransformationError
-from spendlake.functions.casts import or_fail, to_double, to_long
+from spendlake.functions.casts import or_fail, quoted
 from spendlake.schemas import SILVER_COLUMNS
 from spendlake.sources.registry import SOURCES, SourceSpec
 
 MEASURES = [c for c in SILVER_COLUMNS if c not in ("source", "source_file", "transformed_at")]
+NAMES = ("campaign_name", "ad_group_name")
 
 
-def require_columns(df: DataFrame, required: Iterable[str], spec: SourceSpec, source_file: str = "") -> None:
+def require_columns(raw: DataFrame, required: Iterable[str], spec: SourceSpec, source_file: str = "") -> None:
     """Fail at plan time if a raw column is missing; no job runs."""
-    missing = sorted(set(required) - set(df.columns))
+    missing = sorted(set(required) - set(raw.columns))
     if missing:
         raise TransformationError(f"{spec.name}: missing columns {missing}", spec.name, source_file)
 
 
-def _parsed(spec: SourceSpec, column: str) -> Column:
-    """One silver column from its raw column; NULL where the raw value does not parse."""
-    raw = F.col(spec.columns[column])
+def _parsed(spec: SourceSpec, column: str) -> str:
+    """One silver column from its raw column; NULL where the raw value does not parse.
+
+    Fractional counts are truncated toward zero.
+    """
+    raw = f"`{spec.columns[column]}`"
     if column == "date":
         return spec.parse_date(raw)
+    if column in NAMES:
+        return f"cast({raw} AS string)"
     if column == "cost_brl":
-        cost = to_double(raw)
-        return cost / float(spec.cost_divisor) if spec.cost_divisor != 1 else cost
-    if column in ("impressions", "clicks", "conversions"):
-        return to_long(raw)
-    return raw.cast("string")
+        cost = f"try_cast({raw} AS double)"
+        return cost if spec.cost_divisor == 1 else f"{cost} / {spec.cost_divisor}D"
+    return f"try_cast({raw} AS bigint)"
 
 
-def _strict(spec: SourceSpec, column: str) -> Column:
-    raw = spec.columns[column]
-    if column in ("campaign_name", "ad_group_name"):
-        return _parsed(spec, column)
-    return or_fail(_parsed(spec, column), F.col(raw), f"{spec.name}.{raw}")
+def _always_parses(spec: SourceSpec, column: str, raw: DataFrame) -> bool:
+    """Can no value of the raw column's type fail? Then no check is generated."""
+    kind = raw.schema[spec.columns[column]].dataType
+    return column in NAMES or (
+        column != "date"
+        and isinstance(kind, T.NumericType if column == "cost_brl" else T.IntegralType)
+    )
 
 
-def _lineage(source_file: str | Column, at: datetime) -> dict[str, Column]:
-    file = F.lit(source_file) if isinstance(source_file, str) else source_file
-    return {"source_file": file, "transformed_at": F.lit(at.isoformat(timespec="seconds"))}
+def _strict(spec: SourceSpec, column: str, raw: DataFrame) -> str:
+    parsed, name = _parsed(spec, column), spec.columns[column]
+    return parsed if _always_parses(spec, column, raw) else or_fail(parsed, f"`{name}`", f"{spec.name}.{name}")
 
 
-def _silver(columns: dict[str, Column]) -> list[Column]:
-    return [columns[c].alias(c) for c in SILVER_COLUMNS]
+def _silver(source: str, measures: dict[str, str], source_file: str, at: datetime) -> list[str]:
+    """Select list in the order of the silver schema."""
+    columns = measures | {
+        "source": source,
+        "source_file": quoted(source_file),
+        "transformed_at": quoted(at.isoformat(timespec="seconds")),
+    }
+    return [f"{columns[c]} AS {c}" for c in SILVER_COLUMNS]
 
 
-def normalize(raw: DataFrame, spec: SourceSpec, source_file: str | Column, at: datetime) -> DataFrame:
+def normalize(raw: DataFrame, spec: SourceSpec, source_file: str, at: datetime) -> DataFrame:
     """One platform's raw rows as silver. A value that does not parse fails the job."""
-    require_columns(raw, spec.required, spec, source_file if isinstance(source_file, str) else "")
-    columns = {c: _strict(spec, c) for c in MEASURES}
-    columns["source"] = F.lit(spec.name)
-    return raw.select(*_silver(columns | _lineage(source_file, at)))
+    require_columns(raw, spec.required, spec, source_file)
+    measures = {c: _strict(spec, c, raw) for c in MEASURES}
+    return raw.selectExpr(*_silver(quoted(spec.name), measures, source_file, at))
 
 
-def normalize_lenient(
-    raw: DataFrame, spec: SourceSpec, source_file: str | Column, at: datetime
-) -> DataFrame:
+def normalize_lenient(raw: DataFrame, spec: SourceSpec, source_file: str, at: datetime) -> DataFrame:
     """As ``normalize``, but unreadable values become NULL and are named in ``unparsed``."""
-    require_columns(raw, spec.required, spec, source_file if isinstance(source_file, str) else "")
-    columns = {c: _parsed(spec, c) for c in MEASURES}
-    columns["source"] = F.lit(spec.name)
-    failed = [
-        F.when(F.col(spec.columns[c]).isNotNull() & columns[c].isNull(), F.lit(c)) for c in MEASURES
-    ]
-    return raw.select(
-        *_silver(columns | _lineage(source_file, at)),
-        F.array_compact(F.array(*failed)).alias("unparsed"),
+    require_columns(raw, spec.required, spec, source_file)
+    measures = {c: _parsed(spec, c) for c in MEASURES}
+    silver = raw.selectExpr(
+        *_silver(quoted(spec.name), measures, source_file, at),
+        *[f"`{spec.columns[c]}` IS NOT NULL AS _has_{c}" for c in MEASURES],
     )
+    failed = ", ".join(f"CASE WHEN _has_{c} AND {c} IS NULL THEN '{c}' END" for c in MEASURES)
+    return silver.selectExpr(*SILVER_COLUMNS, f"array_compact(array({failed})) AS unparsed")
 
 
-def normalize_mixed(raw: DataFrame, source_file: str | Column, at: datetime) -> DataFrame:
+def normalize_mixed(raw: DataFrame, source_file: str, at: datetime) -> DataFrame:
     """Raw rows of all platforms in one wide frame, told apart by ``_source``.
 
     One narrow projection over one scan. Each row is read by its own platform's
     rules; a ``_source`` that is not known fails the job.
     """
     for spec in SOURCES.values():
-        require_columns(raw, [*spec.required, "_source"], spec)
-
-    def per_platform(column: str, otherwise: Column | None = None) -> Column:
-        start = F
-        for spec in SOURCES.values():
-            start = start.when(F.col("_source") == spec.name, _strict(spec, column))
-        return start if otherwise is None else start.otherwise(otherwise)
-
-    columns = {c: per_platform(c) for c in MEASURES}
-    known = reduce(lambda a, b: a | b, (F.col("_source") == name for name in SOURCES))
-    unknown = F.raise_error(F.concat(F.lit("unknown source "), F.coalesce("_source", F.lit("NULL"))))
-    columns["source"] = F.when(known, F.col("_source")).otherwise(unknown)
-    return raw.select(*_silver(columns | _lineage(source_file, at)))
+        require_columns(raw, [*spec.required, "_source"], spec, source_file)
+
+    def by_platform(column: str) -> str:
+        cases = " ".join(f"WHEN {quoted(s.name)} THEN {_strict(s, column, raw)}" for s in SOURCES.values())
+        return f"CASE _source {cases} END"
+
+    known = ", ".join(quoted(name) for name in SOURCES)
+    unknown = "raise_error(concat('unknown source ', coalesce(_source, 'NULL')))"
+    source = f"CASE WHEN _source IN ({known}) THEN _source ELSE {unknown} END"
+    return raw.selectExpr(*_silver(source, {c: by_platform(c) for c in MEASURES}, source_file, at))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendlake.errors import QualityGateError
+from spendlake.functions.casts import quoted
 from spendlake.schemas import KNOWN_SOURCES, SILVER_COLUMNS, SILVER_SCHEMA
 
 # Rule type names, as they appear in reports.
@@ -44,31 +45,29 @@ class Rule:
     def column(self) -> str | None:
         return self.columns[0] if self.columns else None
 
-    def violated(self) -> Column:
+    def violated(self) -> str:
         """TRUE where a row breaks the rule."""
-        first = F.col(self.columns[0])
+        first = self.columns[0]
         if self.expectation_type == NOT_NULL:
-            return is_missing(self.columns[0])
+            return is_missing(first)
         if self.expectation_type == IN_SET:
-            return ~first.isin(*KNOWN_SOURCES)
+            return f"{first} NOT IN ({', '.join(map(repr, KNOWN_SOURCES))})"
         if self.expectation_type == BETWEEN:
-            return first < 0
-        second = F.col(self.columns[1])
-        return self.considered() & ~F.coalesce(first >= second, F.lit(False))
+            return f"{first} < 0"
+        return f"{self.considered()} AND NOT coalesce({first} >= {self.columns[1]}, false)"
 
-    def considered(self) -> Column | None:
+    def considered(self) -> str | None:
         """TRUE where the rule applies to a row; None if it applies to all rows."""
         if self.expectation_type == NOT_NULL:
             return None
-        if self.expectation_type == PAIR_ORDER:
-            return ~(is_missing(self.columns[0]) & is_missing(self.columns[1]))
-        return ~is_missing(self.columns[0])
+        return f"NOT ({' AND '.join(map(is_missing, self.columns))})"
 
 
-def is_missing(column: str) -> Column:
+def is_missing(column: str) -> str:
     """NULL, or NaN in a floating-point column."""
-    missing = F.col(column).isNull()
-    return missing | F.isnan(column) if SILVER_SCHEMA[column].dataType == T.DoubleType() else missing
+    if SILVER_SCHEMA[column].dataType == T.DoubleType():
+        return f"({column} IS NULL OR isnan({column}))"
+    return f"{column} IS NULL"
 
 
 RULES: tuple[Rule, ...] = (
@@ -89,38 +88,34 @@ def quality_report(silver: DataFrame, source_file: str | Column) -> DataFrame:
     ``source_file`` names the report, or is the expression to group by.
     """
     have = set(silver.columns)
-    checkable = [i for i, r in enumerate(RULES) if r.columns and have.issuperset(r.columns)]
-    counters = [F.count(F.lit(1)).alias("rows")]
-    for i in checkable:
-        counters.append(F.count_if(RULES[i].violated()).alias(f"bad_{i}"))
-        if RULES[i].considered() is not None:
-            counters.append(F.count_if(RULES[i].considered()).alias(f"seen_{i}"))
+    counters = [F.expr("count(1) AS _rows")]
+    outcomes = []
+    for i, rule in enumerate(RULES):
+        if rule.columns and have.issuperset(rule.columns):
+            counters.append(F.expr(f"count_if({rule.violated()}) AS _bad_{i}"))
+            seen = "_rows"
+            if rule.considered() is not None:
+                seen = f"_seen_{i}"
+                counters.append(F.expr(f"count_if({rule.considered()}) AS {seen}"))
+            success, count = f"_bad_{i} = 0", f"_bad_{i}"
+            percent = f"CASE WHEN {seen} > 0 THEN _bad_{i} / {seen} * 100D END"
+        else:
+            passed = not rule.columns and have.issuperset(SILVER_COLUMNS)
+            success, count, percent = str(passed).lower(), "cast(NULL AS bigint)", "cast(NULL AS double)"
+        column = quoted(rule.column) if rule.column else "cast(NULL AS string)"
+        outcomes.append(
+            f"{i + 1}, '{rule.expectation_type}', {column}, {quoted(rule.description)}, "
+            f"{success}, {count}, {percent}"
+        )
 
     if isinstance(source_file, str):
         counted = silver.agg(*counters).withColumn("source_file", F.lit(source_file))
     else:
         counted = silver.groupBy(source_file.alias("source_file")).agg(*counters)
-
-    def outcome(i: int, rule: Rule) -> Column:
-        if i in checkable:
-            bad = F.col(f"bad_{i}")
-            seen = F.col("rows" if rule.considered() is None else f"seen_{i}")
-            success, percent = bad == 0, F.when(seen > 0, bad / seen * 100.0)
-        else:
-            success, percent = F.lit(not rule.columns and have.issuperset(SILVER_COLUMNS)), F.lit(None)
-            bad = F.lit(None)
-        return F.struct(
-            F.lit(i + 1).alias("rule"),
-            F.lit(rule.expectation_type).alias("expectation_type"),
-            F.lit(rule.column).cast("string").alias("column"),
-            F.lit(rule.description).alias("description"),
-            success.alias("success"),
-            bad.cast("bigint").alias("unexpected_count"),
-            percent.cast("double").alias("unexpected_percent"),
-        )
-
-    outcomes = F.array(*(outcome(i, r) for i, r in enumerate(RULES)))
-    return counted.select("source_file", F.inline(outcomes))
+    columns = ", ".join(f"`{c}`" for c in REPORT_SCHEMA.names[1:])
+    return counted.selectExpr(
+        "source_file", f"stack({len(RULES)}, {', '.join(outcomes)}) AS ({columns})"
+    )
 
 
 def unreadable_report(spark: SparkSession, source_file: str, error: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from spendlake.functions.dates import check_window, date_window
 from spendlake.plans.isolate import each
@@ -37,7 +36,7 @@ def ingest(
         envelopes = read_envelopes(spark, spec, f"{landing_root.rstrip('/')}/{name}", one_per_line)
         rows = unnest_envelope(envelopes, spec)
         if window is not None:
-            rows = date_window(rows, *window, day=spec.parse_date(F.col(spec.columns["date"])))
+            rows = date_window(rows, *window, day=spec.parse_date(spec.columns["date"]))
         return write_snapshot(with_ingest_columns(rows, spec, at.date()), bronze_root, name, at)
 
     return each("ingest", KNOWN_SOURCES, land)

@@ -33,7 +33,7 @@ def read_envelopes(
 
 def unnest_envelope(envelopes: DataFrame, spec: SourceSpec) -> DataFrame:
     """One row per record of the envelope's array; no record where the array is missing."""
-    return envelopes.select(F.explode(F.col(f"`{spec.envelope_key}`")).alias("record")).select("record.*")
+    return envelopes.selectExpr(f"inline(`{spec.envelope_key}`)")
 
 
 def with_ingest_columns(raw: DataFrame, spec: SourceSpec, ingested_on: date) -> DataFrame:

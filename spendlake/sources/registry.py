@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
 from pyspark.sql import types as T
 
 from spendlake.functions.dates import day_month_year, iso_date, iso_timestamp_date
@@ -15,15 +14,15 @@ from spendlake.functions.dates import day_month_year, iso_date, iso_timestamp_da
 class SourceSpec:
     """Raw columns of one platform and how they map to silver.
 
-    ``columns`` maps a silver column to its raw column. ``cost_divisor`` turns
-    the raw cost into BRL. ``envelope_key`` names the array in the JSON report.
+    ``columns`` maps a silver column to its raw column, ``parse_date`` builds the
+    SQL that reads the raw date, and ``cost_divisor`` turns the raw cost into BRL. ``envelope_key`` names the array in the JSON report.
     """
 
     name: str
     envelope_key: str
     raw_schema: T.StructType
     columns: dict[str, str]
-    parse_date: Callable[[Column], Column]
+    parse_date: Callable[[str], str]
     cost_divisor: int = 1
     envelope_extra: tuple[str, ...] = ()
 
