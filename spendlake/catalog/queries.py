@@ -111,9 +111,9 @@ def quality_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _daily(spark: SparkSession, sf_dir: str, keep: str) -> DataFrame:
-    """Daily totals of some days; the filter on the ship date reaches the scan."""
+    """Daily totals of some days, unordered; the filter on the ship date reaches the scan."""
     lines = derive.lineitem(spark, sf_dir).where(keep)
-    return aggregate.daily_summary(normalize_mixed(derive.raw_mixed(lines), "lineitem", AT))
+    return aggregate.summarize(normalize_mixed(derive.raw_mixed(lines), "lineitem", AT), "daily_summary")
 
 
 def _as_text(rows: DataFrame) -> DataFrame:

@@ -57,36 +57,41 @@ def with_ratios(totals: DataFrame) -> DataFrame:
 
 
 def finish(parts: DataFrame, table: str) -> DataFrame:
-    """Summed parts as the rows of a gold table, in the table's order."""
-    spec = gold_table(table)
+    """Summed parts as the rows of a gold table."""
     totals = parts.selectExpr(
-        *spec.keys, "impressions", "clicks", f"{joined_cost()} AS cost_brl", "conversions"
+        *gold_table(table).keys, "impressions", "clicks", f"{joined_cost()} AS cost_brl", "conversions"
     )
-    order = [
-        F.col(c).desc_nulls_first() if way == "desc" else F.col(c).asc_nulls_first()
-        for c, way in spec.order
-    ]
-    return with_ratios(totals).orderBy(*order)
+    return with_ratios(totals)
 
 
 def summarize(silver: DataFrame, table: str) -> DataFrame:
+    """A gold table from silver, in no order: one shuffle, partitioned by the table's key."""
     keys = gold_table(table).keys
     return finish(sum_parts(metric_parts(silver, keys), keys), table)
 
 
+def in_order(gold: DataFrame, table: str) -> DataFrame:
+    """Gold rows in the table's order; a further, range-partitioned shuffle of the totals."""
+    order = [
+        F.col(c).desc_nulls_first() if way == "desc" else F.col(c).asc_nulls_first()
+        for c, way in gold_table(table).order
+    ]
+    return gold.orderBy(*order)
+
+
 def daily_summary(silver: DataFrame) -> DataFrame:
     """Totals and ratios per day and source."""
-    return summarize(silver, "daily_summary")
+    return in_order(summarize(silver, "daily_summary"), "daily_summary")
 
 
 def campaign_summary(silver: DataFrame) -> DataFrame:
     """Totals and ratios per source and campaign."""
-    return summarize(silver, "campaign_summary")
+    return in_order(summarize(silver, "campaign_summary"), "campaign_summary")
 
 
 def source_comparison(silver: DataFrame) -> DataFrame:
     """Totals and ratios per source, the costliest first."""
-    return summarize(silver, "source_comparison")
+    return in_order(summarize(silver, "source_comparison"), "source_comparison")
 
 
 def shared_grain(tables: Iterable[str]) -> list[str]:

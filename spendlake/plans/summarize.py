@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlake.operators.aggregate import finish, metric_parts, shared_grain, sum_parts
+from spendlake.operators.aggregate import finish, in_order, metric_parts, shared_grain, sum_parts
 from spendlake.operators.union import union_strict
 from spendlake.plans.isolate import each, log
 from spendlake.schemas import GOLD_TABLES, KNOWN_SOURCES, METRICS
@@ -42,7 +42,8 @@ def roll_up(spark: SparkSession, silver: DataFrame) -> tuple[dict[str, DataFrame
     path = scratch_path(spark, "totals")
     sum_parts(metric_parts(silver, grain), grain).write.parquet(path)
     totals = spark.read.parquet(path)
-    return {t: finish(sum_parts(totals, GOLD_TABLES[t].keys), t) for t in possible}, path
+    tables = {t: finish(sum_parts(totals, GOLD_TABLES[t].keys), t) for t in possible}
+    return {t: in_order(gold, t) for t, gold in tables.items()}, path
 
 
 def summarize_all(

@@ -45,21 +45,28 @@ def write_snapshot(
     second replaces the first, unless ``mode`` is "error". Frames passed in are
     narrow or read a written table, so the emptiness check touches one partition.
     """
-    if df.isEmpty():
-        raise ValueError(f"nothing to write for {name!r}: the frame is empty")
-    path = snapshot_path(root, name, at)
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
-    return Written(path, seen.get["rows"])
+    _refuse_empty(df, name)
+    return _write(df, root, name, at, mode)
 
 
 def write_gold_snapshot(df: DataFrame, root: str, table: str, at: datetime | None = None) -> Written:
     """As ``write_snapshot``, for the known gold tables only."""
-    if df.isEmpty():
-        raise ValueError(f"nothing to write for {table!r}: the frame is empty")
+    _refuse_empty(df, table)
     if table not in GOLD_TABLES:
         raise ValueError(f"unknown gold table {table!r}; expected one of {list(GOLD_TABLES)}")
-    return write_snapshot(df, root, table, at)
+    return _write(df, root, table, at, "overwrite")
+
+
+def _refuse_empty(df: DataFrame, name: str) -> None:
+    if df.isEmpty():
+        raise ValueError(f"nothing to write for {name!r}: the frame is empty")
+
+
+def _write(df: DataFrame, root: str, name: str, at: datetime | None, mode: str) -> Written:
+    path = snapshot_path(root, name, at)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    return Written(path, seen.get["rows"])
 
 
 def latest_snapshot(spark: SparkSession, root: str, name: str) -> str | None:
