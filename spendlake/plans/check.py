@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +20,8 @@ def check_file(spark: SparkSession, path: str) -> DataFrame:
     """
     try:
         rows = quality_report(read_snapshot(spark, path), path).collect()
-    except PySparkException as error:
-        return unreadable_report(spark, path, str(error))
+    except Exception as error:  # whatever went wrong, it is the report of this file
+        return unreadable_report(spark, path, str(error).split("\n\tat ")[0])
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
