@@ -14,6 +14,7 @@ from spendlake.functions.dates import date_window, lenient_date, missing_days
 from spendlake.operators import aggregate, contract, freshness, merge, quality
 from spendlake.operators.normalize import normalize, normalize_lenient, normalize_mixed
 from spendlake.operators.union import union_strict
+from spendlake.plans.isolate import each
 from spendlake.plans.refine import refine
 from spendlake.plans.serve import serve_all, served
 from spendlake.plans.summarize import latest_silver, summarize_all
@@ -21,7 +22,7 @@ from spendlake.schemas import KNOWN_SOURCES, METRICS, RATIOS, ServedTypes
 from spendlake.sources.landing import unnest_envelope, with_ingest_columns
 from spendlake.sources.registry import SOURCES
 from spendlake.sources.scratch import scratch_path
-from spendlake.sources.snapshots import latest_rows, latest_snapshot, write_snapshot
+from spendlake.sources.snapshots import Written, latest_rows, latest_snapshot, write_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -236,11 +237,15 @@ def file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _bronze(spark: SparkSession, sf_dir: str, root: str) -> str:
     """Two bronze snapshots per platform: an old one of open lines, then the full one."""
     lines = derive.lineitem(spark, sf_dir)
-    for name, spec in SOURCES.items():
-        mine = derive.own_lines(lines, name)
+
+    def write(name: str) -> Written:
+        spec, mine = SOURCES[name], derive.own_lines(lines, name)
         old = derive.raw_report(mine.where("l_linestatus = 'O'"), spec)
-        for raw, at in ((old, AT), (derive.raw_report(mine, spec), LATER)):
-            write_snapshot(with_ingest_columns(raw, spec, at.date()), f"{root}/bronze", name, at)
+        write_snapshot(with_ingest_columns(old, spec, AT.date()), f"{root}/bronze", name, AT)
+        full = derive.raw_report(mine, spec)
+        return write_snapshot(with_ingest_columns(full, spec, LATER.date()), f"{root}/bronze", name, LATER)
+
+    each(spark, "bronze", SOURCES, write)
     return f"{root}/bronze"
 
 
@@ -253,9 +258,13 @@ def refined_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gold_root(spark: SparkSession, sf_dir: str, root: str) -> str:
     lines = derive.lineitem(spark, sf_dir)
-    for name, spec in SOURCES.items():
-        raw = derive.raw_report(derive.own_lines(lines, name), spec)
-        write_snapshot(normalize(raw, spec, f"{name}.parquet", AT), f"{root}/silver", name, AT)
+
+    def write(name: str) -> Written:
+        raw = derive.raw_report(derive.own_lines(lines, name), SOURCES[name])
+        rows = normalize(raw, SOURCES[name], f"{name}.parquet", AT)
+        return write_snapshot(rows, f"{root}/silver", name, AT)
+
+    each(spark, "silver", SOURCES, write)
     summarize_all(spark, f"{root}/silver", f"{root}/gold", AT)
     return f"{root}/gold"
 

@@ -39,4 +39,4 @@ def ingest(
             rows = date_window(rows, *window, day=spec.parse_date(spec.columns["date"]))
         return write_snapshot(with_ingest_columns(rows, spec, at.date()), bronze_root, name, at)
 
-    return each("ingest", KNOWN_SOURCES, land)
+    return each(spark, "ingest", KNOWN_SOURCES, land)

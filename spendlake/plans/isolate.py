@@ -1,27 +1,38 @@
-"""Run one item of a stage without letting its failure stop the others."""
+"""Run the items of a stage side by side; the failure of one does not stop the others."""
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
+
 R = TypeVar("R")
 log = logging.getLogger("spendlake")
 
 
-def each(stage: str, items: Iterable[str], work: Callable[[str], R | None]) -> dict[str, R | None]:
+def each(
+    spark: SparkSession, stage: str, items: Iterable[str], work: Callable[[str], R | None]
+) -> dict[str, R | None]:
     """``work`` per item, None where it failed or had nothing to do.
 
-    Spark raises most errors at the write, so ``work`` has to include the action.
+    The items' jobs are submitted together, so that one's last tasks do not leave
+    the cluster idle. Spark raises most errors at the write, so ``work`` has to
+    include the action.
     """
-    results: dict[str, R | None] = {}
-    for item in items:
+
+    def guarded(item: str) -> R | None:
         try:
-            results[item] = work(item)
+            result = work(item)
         except Exception as error:  # any failure stays with its item
             log.error("%s | %s failed: %s", stage, item, error)
-            results[item] = None
-        else:
-            log.info("%s | %s -> %s", stage, item, results[item])
-    return results
+            return None
+        log.info("%s | %s -> %s", stage, item, result)
+        return result
+
+    names = list(items)
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        return dict(zip(names, pool.map(inheritable_thread_target(spark)(guarded), names)))

@@ -30,4 +30,4 @@ def refine(
         silver = normalize(read_snapshot(spark, path), source_spec(name), path, at)
         return write_snapshot(silver, silver_root, name, at)
 
-    return each("refine", KNOWN_SOURCES, normalize_latest)
+    return each(spark, "refine", KNOWN_SOURCES, normalize_latest)

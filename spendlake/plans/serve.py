@@ -63,4 +63,4 @@ def serve_all(
             return None
         return upsert(spark, serve_root, table, read_snapshot(spark, path), at, types)
 
-    return each("serve", GOLD_TABLES, load)
+    return each(spark, "serve", GOLD_TABLES, load)

@@ -68,6 +68,6 @@ def summarize_all(
             raise ValueError(f"silver lacks columns for {table}")
         return write_gold_snapshot(tables[table], gold_root, table, at)
 
-    written = each("summarize", GOLD_TABLES, write)
+    written = each(spark, "summarize", GOLD_TABLES, write)
     remove_path(spark, scratch)
     return written

@@ -32,8 +32,13 @@ def read_envelopes(
 
 
 def unnest_envelope(envelopes: DataFrame, spec: SourceSpec) -> DataFrame:
-    """One row per record of the envelope's array; no record where the array is missing."""
-    return envelopes.selectExpr(f"inline(`{spec.envelope_key}`)")
+    """One row per record of the envelope's array; no record where the array is missing.
+
+    The outer form keeps Spark from adding a filter on the array's size, which
+    would parse JSON text that is read with ``from_json`` a second time.
+    """
+    records = envelopes.selectExpr(f"explode_outer(`{spec.envelope_key}`) AS record")
+    return records.where("record IS NOT NULL").select("record.*")
 
 
 def with_ingest_columns(raw: DataFrame, spec: SourceSpec, ingested_on: date) -> DataFrame:
