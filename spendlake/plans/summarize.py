@@ -16,7 +16,7 @@ from spendlake.sources.snapshots import (
     latest_snapshot,
     read_snapshot,
     remove_path,
-    write_gold_snapshot,
+    write_rows,
 )
 
 
@@ -66,7 +66,7 @@ def summarize_all(
     def write(table: str) -> Written | None:
         if table not in tables:
             raise ValueError(f"silver lacks columns for {table}")
-        return write_gold_snapshot(tables[table], gold_root, table, at)
+        return write_rows(tables[table], gold_root, table, at)  # silver has rows, so has every table
 
     written = each(spark, "summarize", GOLD_TABLES, write)
     remove_path(spark, scratch)

@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from spendlake.plans.session import session  # noqa: E402
-from spendlake.schemas import SILVER_SCHEMA  # noqa: E402
+from spendlake.schemas import GOLD_TABLES, SILVER_SCHEMA  # noqa: E402
 from spendlake.sources.registry import SOURCES  # noqa: E402
 
 AT = datetime(2026, 3, 12, 10, 0, 0)
@@ -88,3 +88,32 @@ def silver(spark):
         return spark.createDataFrame(changed, SILVER_SCHEMA)
 
     return build
+
+
+GOLD_ROWS = {
+    "daily_summary": [
+        (date(2026, 3, 1), "google_ads", 100000, 5000, 2500.0, 250, 5.0, 0.5, 25.0, 10.0),
+        (date(2026, 3, 2), "meta_ads", 60000, 3000, 1200.0, 150, 5.0, 0.4, 20.0, 8.0),
+    ],
+    "campaign_summary": [
+        ("google_ads", "Brand Q1", 180000, 9000, 4500.0, 450, 5.0, 0.5, 25.0, 10.0),
+        ("meta_ads", "Lead Gen", 100000, 4500, 1800.0, 225, 4.5, 0.4, 18.0, 8.0),
+    ],
+    "source_comparison": [
+        ("google_ads", 230000, 11000, 5500.0, 550, 4.78, 0.5, 23.9, 10.0),
+        ("meta_ads", 100000, 4500, 1800.0, 225, 4.5, 0.4, 18.0, 8.0),
+    ],
+}
+
+
+@pytest.fixture
+def gold(spark):
+    kinds = {"date": "date", "source": "string", "campaign_name": "string", "impressions": "bigint",
+             "clicks": "bigint", "conversions": "bigint"}
+
+    def build(table, rows=None, **changes):
+        names = GOLD_TABLES[table].columns
+        full = [tuple((dict(zip(names, r)) | changes).values()) for r in (rows or GOLD_ROWS[table])]
+        return spark.createDataFrame(full, ", ".join(f"{c} {kinds.get(c, 'double')}" for c in names))
+
+    return build

@@ -5,11 +5,13 @@ from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
-from conftest import AT, RAW_ROWS
+from conftest import AT, GOLD_ROWS, RAW_ROWS
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendlake.errors import QualityGateError
 from spendlake.operators import merge as merging
+from spendlake.operators.freshness import overall_status
 from spendlake.plans.check import check, reports_by_source
 from spendlake.plans.daily import run_daily
 from spendlake.plans.health import dataset_health, layer_health
@@ -18,8 +20,6 @@ from spendlake.plans.refine import refine
 from spendlake.plans.runlog import append_run, output_info
 from spendlake.plans.serve import serve_all, served, upsert
 from spendlake.plans.summarize import latest_silver, summarize_all
-from spendlake.errors import QualityGateError
-from spendlake.operators.freshness import overall_status
 from spendlake.schemas import GOLD_TABLES, KNOWN_SOURCES, ServedTypes
 from spendlake.sources.landing import read_envelopes, unnest_envelope, with_ingest_columns
 from spendlake.sources.registry import SOURCES
@@ -207,35 +207,6 @@ def test_summarize_isolates_tables(spark, silver, root):
 
 # --- served tables ---------------------------------------------------------
 
-GOLD_ROWS = {
-    "daily_summary": [
-        (date(2026, 3, 1), "google_ads", 100000, 5000, 2500.0, 250, 5.0, 0.5, 25.0, 10.0),
-        (date(2026, 3, 2), "meta_ads", 60000, 3000, 1200.0, 150, 5.0, 0.4, 20.0, 8.0),
-    ],
-    "campaign_summary": [
-        ("google_ads", "Brand Q1", 180000, 9000, 4500.0, 450, 5.0, 0.5, 25.0, 10.0),
-        ("meta_ads", "Lead Gen", 100000, 4500, 1800.0, 225, 4.5, 0.4, 18.0, 8.0),
-    ],
-    "source_comparison": [
-        ("google_ads", 230000, 11000, 5500.0, 550, 4.78, 0.5, 23.9, 10.0),
-        ("meta_ads", 100000, 4500, 1800.0, 225, 4.5, 0.4, 18.0, 8.0),
-    ],
-}
-
-
-@pytest.fixture
-def gold(spark):
-    kinds = {"date": "date", "source": "string", "campaign_name": "string", "impressions": "bigint",
-             "clicks": "bigint", "conversions": "bigint"}
-
-    def build(table, rows=None, **changes):
-        names = GOLD_TABLES[table].columns
-        full = [tuple((dict(zip(names, r)) | changes).values()) for r in (rows or GOLD_ROWS[table])]
-        return spark.createDataFrame(full, ", ".join(f"{c} {kinds.get(c, 'double')}" for c in names))
-
-    return build
-
-
 @pytest.mark.parametrize("table", GOLD_TABLES)
 def test_upsert_inserts_and_is_idempotent(spark, gold, root, table):
     assert upsert(spark, root, table, gold(table), AT) == 2
