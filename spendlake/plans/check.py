@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.operators.quality import REPORT_SCHEMA, quality_report, unreadable_report
+from spendlake.plans.isolate import each
 from spendlake.schemas import KNOWN_SOURCES
 from spendlake.sources.snapshots import latest_snapshot, read_snapshot
 
@@ -27,8 +28,12 @@ def check_file(spark: SparkSession, path: str) -> DataFrame:
 
 def check(spark: SparkSession, silver_root: str) -> dict[str, DataFrame | None]:
     """Reports of every platform's latest silver snapshot; None where there is none."""
-    paths = {name: latest_snapshot(spark, silver_root, name) for name in KNOWN_SOURCES}
-    return {name: check_file(spark, path) if path else None for name, path in paths.items()}
+
+    def report(name: str) -> DataFrame | None:
+        path = latest_snapshot(spark, silver_root, name)
+        return check_file(spark, path) if path else None
+
+    return each(spark, "check", KNOWN_SOURCES, report)
 
 
 def reports_by_source(reports: dict[str, DataFrame | None]) -> DataFrame | None:

@@ -86,6 +86,14 @@ def test_window(silver):
     check_window(date(2026, 1, 1), date(2030, 1, 1), max_days=None)
 
 
+def test_window_reaches_the_scan(spark, silver, root):
+    silver().write.parquet(f"{root}/s")
+    rows = date_window(spark.read.parquet(f"{root}/s"), date(2026, 3, 1), date(2026, 3, 1)).select("clicks")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date,2026-03-01)" in plan and "LessThanOrEqual(date,2026-03-01)" in plan
+    assert "ReadSchema: struct<date:date,clicks:bigint>" in plan
+
+
 def test_missing_days(silver):
     row = ("C", "G", 1, 1, 1.0, 1)
     rows = [(date(2026, 3, d), "google_ads", *row) for d in (1, 1, 2, 5, 6)]
