@@ -254,6 +254,9 @@ SELECT * FROM dated WHERE snapshot = (SELECT max(snapshot) FROM dated)""",
     "date_window": f"""WITH {_LINES}
 SELECT {_SILVER}, 'lineitem' AS source_file, '2026-03-12T10:00:00' AS transformed_at
 FROM lines WHERE date BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'""",
+    "date_spine": f"""WITH {_LINES},
+spans AS (SELECT source, min(date) AS first, max(date) AS last FROM lines GROUP BY source)
+SELECT source, CAST(unnest(generate_series(first, last, INTERVAL 1 DAY)) AS DATE) AS date FROM spans""",
     "date_spine_gaps": f"""WITH {_LINES},
 spans AS (SELECT source, min(date) AS first, max(date) AS last FROM lines GROUP BY source),
 spine AS (
@@ -287,6 +290,11 @@ SELECT CASE WHEN bool_and(coalesce(ok, false)) THEN 'healthy' ELSE 'degraded' EN
 FROM (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('silver')) AS expected(layer)
 LEFT JOIN status USING (layer)""",
     "file_sizes": f"SELECT {_rounded('CAST(sum(event_id) AS DOUBLE) / 1024', 2)} AS size_kb FROM events",
+    "landed_snapshots": f"WITH {_LINES}\nSELECT {_SILVER} FROM lines",
+    "run_log_snapshots": f"""WITH {_LINES}
+SELECT TIMESTAMP '2026-03-13 10:00:00' AS run_at, 'refine' AS stage, source AS item, 'ok' AS status,
+       count(*) AS rows, CAST(3 AS BIGINT) AS items_ok, CAST(0 AS BIGINT) AS items_failed, (SELECT count(*) FROM lines) AS rows_total
+FROM lines GROUP BY source""",
     "refined_snapshots": f"WITH {_LINES}\nSELECT {_SILVER} FROM lines",
     "gold_snapshots": f"""WITH {_LINES},
 daily AS ({_totals('date, source')}),

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendlake.catalog import derive
-from spendlake.functions.dates import date_window, lenient_date, missing_days
+from spendlake.functions.dates import date_window, lenient_date, missing_days, spine_per_source
 from spendlake.operators import aggregate, contract, freshness, merge, quality
 from spendlake.operators.normalize import normalize, normalize_lenient, normalize_mixed
 from spendlake.operators.union import union_strict
+from spendlake.plans.ingest import ingest
 from spendlake.plans.isolate import each
 from spendlake.plans.refine import refine
+from spendlake.plans.runlog import RUN_LOG_SCHEMA, append_run
 from spendlake.plans.serve import serve_all, served
 from spendlake.plans.summarize import latest_silver, summarize_all
 from spendlake.schemas import KNOWN_SOURCES, METRICS, RATIOS, ServedTypes
@@ -153,6 +155,10 @@ def date_window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return date_window(_silver(spark, sf_dir), date(1998, 1, 1), date(1998, 3, 31))
 
 
+def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spine_per_source(_silver(spark, sf_dir))
+
+
 def date_spine_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing_days(_silver(spark, sf_dir))
 
@@ -256,6 +262,32 @@ def refined_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_silver(spark, f"{root}/silver").drop("source_file", "transformed_at")
 
 
+def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed JSON reports, one per line -> bronze -> silver -> their union."""
+    root, lines = scratch_path(spark, "landed"), derive.lineitem(spark, sf_dir)
+
+    def land(name: str) -> str:
+        spec = SOURCES[name]
+        raw = derive.raw_report(derive.own_lines(lines, name), spec)
+        report = f"""named_struct('source', '{name}', 'total_rows', 1L,
+                                  '{spec.envelope_key}', array(struct({", ".join(raw.columns)}))) AS report"""
+        raw.selectExpr(report).select("report.*").write.json(f"{root}/landing/{name}")
+        return name
+
+    each(spark, "land", SOURCES, land)
+    ingest(spark, f"{root}/landing", f"{root}/bronze", at=AT, one_per_line=True)
+    refine(spark, f"{root}/bronze", f"{root}/silver", AT)
+    return latest_silver(spark, f"{root}/silver").drop("source_file", "transformed_at")
+
+
+def run_log_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run log of a refine stage; path and duration differ from run to run."""
+    root = scratch_path(spark, "logged")
+    results = refine(spark, _bronze(spark, sf_dir, root), f"{root}/silver", LATER)
+    append_run(spark, f"{root}/run_log", "refine", results, 0.0, LATER)
+    return spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{root}/run_log").drop("path", "duration_seconds")
+
+
 def _gold_root(spark: SparkSession, sf_dir: str, root: str) -> str:
     lines = derive.lineitem(spark, sf_dir)
 
@@ -317,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "upsert_merge": upsert_merge,
     "latest_snapshot": latest_snapshot_rows,
     "date_window": date_window_rows,
+    "date_spine": date_spine,
     "date_spine_gaps": date_spine_gaps,
     "lenient_date": lenient_dates,
     "envelope_unnest": envelope_unnest,
@@ -325,7 +358,9 @@ QUERIES: dict[str, Query] = {
     "freshness_newest": layer_freshness_newest,
     "overall_health": overall_health,
     "file_sizes": file_sizes,
+    "landed_snapshots": landed_snapshots,
     "refined_snapshots": refined_snapshots,
+    "run_log_snapshots": run_log_snapshots,
     "gold_snapshots": gold_snapshots,
     "served_snapshots": served_snapshots,
 }

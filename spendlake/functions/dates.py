@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MAX_WINDOW_DAYS = 90
 
@@ -72,6 +73,12 @@ def date_spine(spark: SparkSession, start: date, end: date) -> DataFrame:
     return spark.range((end - start).days + 1).selectExpr(f"date_add(DATE'{start}', cast(id AS int)) AS date")
 
 
+def spine_per_source(silver: DataFrame) -> DataFrame:
+    """Every day from each source's first to its last one; the aggregate is one row per source."""
+    spans = silver.groupBy("source").agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    return spans.selectExpr("source", "explode(sequence(first, last)) AS date")
+
+
 def missing_days(silver: DataFrame) -> DataFrame:
     """Days without a row between each source's first and last day.
 
