@@ -85,16 +85,19 @@ def latest_snapshot(spark: SparkSession, root: str, name: str) -> str | None:
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(folder):
         return None
-    found: dict[str, str] = {}
+    found: dict[str, tuple[str, bool]] = {}  # file name it stands for -> (path, is a folder of ours)
     for entry in fs.listStatus(folder):
-        path, label = entry.getPath(), entry.getPath().getName()
+        path, label = entry.getPath().toString(), entry.getPath().getName()
         match = _FOLDER.match(label)
-        if match and entry.isDirectory():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
-                found[f"{name}_{match.group(1)}.parquet"] = path.toString()
+        if match:
+            found[f"{name}_{match.group(1)}.parquet"] = (path, True)
         elif label.endswith(".parquet"):
-            found[label] = path.toString()
-    return found[max(found)] if found else None
+            found[label] = (path, False)
+    for label in sorted(found, reverse=True):
+        path, ours = found[label]
+        if not ours or fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+            return path
+    return None
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
