@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder of intermediate tables: ``spark.checkpoint.dir``, else one below the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/spendlake"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder that ``spark.checkpoint.dir`` names.
-
-    A folder of this machine serves only a local session in which none is set.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="spendlake-")
-    return f"{shared.rstrip('/')}/spendlake/{label}-{uuid.uuid4().hex}"
+    """A fresh path below ``scratch_root``."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once and read back: later reads neither compute it again nor need the executors that did."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove one path on whatever file system it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every intermediate table; for the end of a session, when no frame that reads one is left."""
+    remove_path(spark, scratch_root(spark))

@@ -8,7 +8,9 @@ from pathlib import Path
 import pytest
 from compare import connect, rows_of
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from spendlake.catalog.oracle import ORACLE_SQL
+from spendlake.catalog.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="needs the given tables")
@@ -20,13 +22,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE_SQL.keys()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = queries()[name](spark, SF_DIR)
-    cursor = con.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    cursor = con.execute(ORACLE_SQL[name])
     columns = [d[0] for d in cursor.description]
     want = rows_of(columns, cursor.fetchall())
     assert sorted(df.columns) == sorted(columns)
@@ -38,12 +40,12 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if not n.endswith("_snapshots")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.endswith("_snapshots")])
 def test_generated_code_can_be_jit_compiled(spark, name):
     """Methods above 8000 bytes stay interpreted."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan()
+        plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan()
         debug = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug
         code = getattr(getattr(debug, "package$"), "MODULE$").codegenString(plan)
     finally:
