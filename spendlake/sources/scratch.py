@@ -22,7 +22,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once and read back: later reads neither compute it again nor need the executors that did."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
