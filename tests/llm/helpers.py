@@ -1,0 +1,59 @@
+"""Small tables, and the awkward ones every operator has to cope with."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import DataFrame, SparkSession
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+# Columns named as the operators name their own.
+CLASHING = (
+    "row long, key string, h1 long, h2 long, first string, words string, line_no long, text_key string, fingerprint string, root long, "
+    "n_words long, contaminated boolean, kept boolean, block long, n_tokens long, place string, near string"
+)
+
+SYLLABLES = "ba ce di fo gu ha ki lo mu ne pa ri so tu ve zo".split()
+
+
+def word(rng: random.Random) -> str:
+    return "".join(rng.choice(SYLLABLES) for _ in range(rng.randint(1, 4)))
+
+
+def sentence(rng: random.Random, n: int) -> str:
+    return " ".join(word(rng) for _ in range(n))
+
+
+def documents(spark: SparkSession, texts: list, ids: list | None = None) -> DataFrame:
+    ids = list(range(len(texts))) if ids is None else ids
+    rows = [(i, t, "en", "src0", len(t or "")) for i, t in zip(ids, texts)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def awkward(spark: SparkSession) -> DataFrame:
+    """Null ids and texts, empty and blank ones, repeated rows, equal ids with different texts, a very long text."""
+    rng = random.Random(5)
+    long = "\n".join(sentence(rng, 40) for _ in range(3000))
+    same = sentence(rng, 80)
+    texts = [None, "", " \t\n\x0b ", same, same, same, "é ü 漢字 \U0001f600 " * 20, long, "x", None, sentence(rng, 70), sentence(rng, 70)]
+    ids = [1, 2, 3, 4, 4, 5, 6, 7, None, None, 8, 8]
+    return documents(spark, texts, ids)
+
+
+def empty(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], DOCS)
+
+
+def clashing(docs: DataFrame) -> DataFrame:
+    return docs.selectExpr("*", *[f"cast(null as {c.split()[1]}) as {c.split()[0]}" for c in CLASHING.split(", ")])
+
+
+def rows(df: DataFrame) -> list[dict]:
+    return [r.asDict() for r in df.collect()]
+
+
+def read(spark: SparkSession, name: str, sf: str = SF) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
