@@ -4,7 +4,7 @@ A line is its words; lines with equal words are one line, and of those the earli
 Two lines of ``min_near`` words or more are near if one word was replaced, inserted or deleted. A line goes if an
 earlier line is near it, whether that one stays or not, so the verdict depends on no order of processing.
 
-* Segments keep the neighbourhoods small. The shorter length s of a pair fixes segments of ``min(32, s/2)`` words;
+* Segments keep the neighbourhoods small. The shorter length s of a pair fixes segments of ``min(128, s/2)`` words;
   one edit lies in one segment k, so both lines agree on the words before k, counted from the left, and behind k,
   counted from the right. Lines that share (s, k, words before, words behind) with no other line have no near line
   there and emit nothing.
@@ -24,79 +24,85 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import WORD, text_of
+from spendlake.llm.common import GAP, WORD, text_of
 from spendlake.sources.scratch import written
 
 MIN_NEAR = 10
-SEGMENT = 32
+SEGMENT = 128
+MOST_BROADCAST = 500_000  # rows of 100 bytes at most
+
+# A segment of a line of n words, as one of a pair whose shorter line has s words (s = n, or n - 1 if it is the longer
+# one): the k-th of its segments, and how many words stand before and behind it.
+SEGMENT_WORDS = f"least({SEGMENT}, ({{s}} + 1) div 2)"
+SEGMENTS = f"""transform(sequence(0, ({{s}} + {SEGMENT_WORDS} - 1) div {SEGMENT_WORDS} - 1), k -> named_struct(
+    's', {{s}}, 'k', k, 'before', k * {SEGMENT_WORDS}, 'behind', greatest({{s}} - (k + 1) * {SEGMENT_WORDS}, 0)))"""
+# What surrounds a segment, hashed.
+PLACE = """xxhash64({x}.s, {x}.k, slice(words, 1, {x}.before), slice(words, size(words) - {x}.behind + 1, {x}.behind))"""
+# The same for lines that have two segments, without a lambda, which generated code does not cover.
+TWO_PLACES = """
+    xxhash64({s}, 0L, slice(words, size(words) - {s} div 2 + 1, {s} div 2)), xxhash64({s}, 1L, slice(words, 1, ({s} + 1) div 2))"""
 
 
 def _position() -> Column:
-    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "line_no")
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "line_no", "raw")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, a hash of the text, line_no (from 0) and the words of every line that has any."""
+    """doc_id, a hash of the text, line_no (from 0), the line and its hash, of every line that has a word."""
     key = F.xxhash64(text_of()).alias("text_key")
     split = docs.select("doc_id", key, F.posexplode(F.split(text_of(), "\n", -1)).alias("line_no", "line"))
-    return split.select("doc_id", "text_key", "line_no", F.expr(f"regexp_extract_all(line, r'({WORD})', 1)").alias("words")).where(
-        "size(words) > 0"
-    )
+    return split.where(F.col("line").rlike(WORD)).withColumn("raw", F.xxhash64("line"))
+
 
+def _words(line: str) -> Column:
+    return F.array_remove(F.split(line, f"{GAP}+", -1), "")
 
-# A segment, for a line as one of a pair whose shorter line has s words: the words before and behind it. Of a line of
-# n words, those with s = n - 1 are for pairs in which it is the longer one.
-def _segments(s: str) -> str:
-    seg = f"least({SEGMENT}, ({s} + 1) div 2)"
-    return f"""transform(sequence(0, ({s} + {seg} - 1) div {seg} - 1), k -> named_struct(
-        's', {s}, 'k', k, 'before', k * {seg}, 'behind', greatest({s} - (k + 1) * {seg}, 0)))"""
 
+def _segments(min_near: int) -> str:
+    own, less = SEGMENTS.format(s="size(words)"), SEGMENTS.format(s="(size(words) - 1)")
+    return f"concat(if(size(words) >= {min_near}, {own}, array()), if(size(words) > {min_near}, {less}, array()))"
 
-def _around(seg: str, n: str = "size(words)") -> str:
-    """The hash of what surrounds a segment."""
+
+def _places(min_near: int) -> Column:
+    own, less = TWO_PLACES.format(s="size(words)"), TWO_PLACES.format(s="(size(words) - 1)")
     return (
-        f"xxhash64({seg}.s, {seg}.k, slice(words, 1, {seg}.before), "
-        f"slice(words, {n} - {seg}.behind + 1, {seg}.behind))"
+        F.when(F.size("words") > 2 * SEGMENT, F.expr(f"transform({_segments(min_near)}, x -> {PLACE.format(x='x')})"))
+        .when(F.size("words") > min_near, F.expr(f"array({own}, {less})"))
+        .when(F.size("words") == min_near, F.expr(f"array({own})"))
+        .otherwise(F.expr("cast(array() as array<bigint>)"))
     )
 
 
-def _with_segments(lines: DataFrame, min_near: int) -> DataFrame:
-    """Array ``segments`` of the two lengths s a line can have as a pair's shorter length."""
-    n = "size(words)"
-    own = f"if({n} >= {min_near}, {_segments(n)}, array())"
-    less = f"if({n} > {min_near}, {_segments(f'({n} - 1)')}, array())"
-    return lines.withColumn("segments", F.expr(f"concat({own}, {less})"))
+def _small(df: DataFrame) -> DataFrame:
+    """To be broadcast if its rows, counted, are few; else joined as any other."""
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
 
 
 def decide(docs: DataFrame, min_near: int = MIN_NEAR) -> DataFrame:
-    """Every line with a word: doc_id, text_key, line_no, n_words, kept, the earliest equal line (first_doc_id, first_line_no)
-    and, if one comes before that, the earliest near line (near_doc_id, near_line_no)."""
-    lines = _with_segments(lines_of(docs), min_near)
+    """Every line with a word: doc_id, text_key, line_no, n_words, kept, the earliest equal line (first_doc_id,
+    first_line_no) and, if one comes before that, the earliest near line (near_doc_id, near_line_no)."""
     hashed = written(
-        lines.select(
+        lines_of(docs).withColumn("words", _words("line")).select(
             "doc_id",
             "text_key",
             "line_no",
+            "raw",
             F.size("words").alias("n_words"),
             F.xxhash64("words").alias("h1"),
             F.xxhash64(F.lit(1), "words").alias("h2"),
-            F.expr(f"transform(segments, x -> {_around('x')})").alias("places"),
+            _places(min_near).alias("places"),
         ),
         "lines",
+    )
+    first = written(
+        hashed.groupBy("h1", "h2").agg(F.min(_position()).alias("first"), F.first("places").alias("places")), "first-lines"
     )
-    first = hashed.groupBy("h1", "h2").agg(
-        F.min(_position()).alias("first"), F.first("places").alias("places")
-    )
-    first = written(first, "first-lines")
-    places = first.select("first", F.explode("places").alias("place"))
-    shared = places.groupBy("place").agg(F.count("*").alias("n")).where("n > 1").select("place")
-    crowded = (
-        places.join(shared, "place", "left_semi")
-        .groupBy("first")
-        .agg(F.collect_set("place").alias("shared"))
-    )
+    places = first.select("h1", "h2", F.explode("places").alias("place"))
+    shared = written(places.groupBy("place").agg(F.count("*").alias("n")).where("n > 1").select("place"), "places")
+    crowded = places.join(_small(shared), "place", "left_semi").groupBy("h1", "h2").agg(F.collect_set("place").alias("shared"))
+    crowded = written(first.drop("places").join(crowded, ["h1", "h2"]).select("h1", "h2", "first.*", "shared"), "crowded")
     near = near_lines(docs, crowded, min_near)
-    decided = first.drop("places").join(near, "first", "left")
+    decided = first.drop("places").join(near, ["h1", "h2"], "left")
     return hashed.drop("places").join(decided, ["h1", "h2"]).select(
         "doc_id",
         "text_key",
@@ -111,16 +117,25 @@ def decide(docs: DataFrame, min_near: int = MIN_NEAR) -> DataFrame:
 
 
 def near_lines(docs: DataFrame, crowded: DataFrame, min_near: int) -> DataFrame:
-    """(first, near): of the given lines (their position, ``first``, and the places they share with others) those with
-    an earlier near line, and the earliest such."""
-    lines = _with_segments(lines_of(docs), min_near).withColumn("first", _position()).join(crowded, "first")
-    chosen = written(lines.select("first", "shared", "words", "segments"), "crowded-lines")
-    segment = chosen.select("first", "words", F.explode("segments").alias("x"), "shared").where(
-        F.expr(f"array_contains(shared, {_around('x')})")
+    """(h1, h2, near): of the given lines (hashes, position, the places they share with others) those with an earlier
+    near line, and the earliest such."""
+    lines = lines_of(docs).withColumnRenamed("doc_id", "line_doc_id")
+    own = F.col("line_doc_id").eqNullSafe(F.col("doc_id"))
+    found = lines.join(_small(crowded), ["raw", "text_key", "line_no"]).where(own)
+    chosen = written(
+        found.select("h1", "h2", _position().alias("first"), "shared", _words("line").alias("words")).withColumn(
+            "segments", F.expr(_segments(min_near))
+        ),
+        "crowded-lines",
+    )
+    segment = chosen.select("first", "h1", "h2", "words", F.explode("segments").alias("x"), "shared").where(
+        F.expr(f"array_contains(shared, {PLACE.format(x='x')})")
     )
     middle = "slice(words, x.before + 1, size(words) - x.before - x.behind)"
     parts = segment.select(
         "first",
+        "h1",
+        "h2",
         F.expr("size(words)").alias("n"),
         "x",
         F.expr("slice(words, 1, x.before)").alias("a"),
@@ -132,6 +147,8 @@ def near_lines(docs: DataFrame, crowded: DataFrame, min_near: int) -> DataFrame:
         key = f"'{kind}', x.s, x.k, {at}, a, {middle}, z"
         return rows.select(
             "first",
+            "h1",
+            "h2",
             F.lit(role).alias("role"),
             F.expr(f"xxhash64({key})").alias("g1"),
             F.expr(f"xxhash64(1, {key})").alias("g2"),
@@ -147,14 +164,15 @@ def near_lines(docs: DataFrame, crowded: DataFrame, min_near: int) -> DataFrame:
     leasts = [F.min(F.when(F.col("role") == r, F.col("first"))).alias(f"least_{r}") for r in partner]
     groups = emitted.groupBy("g1", "g2").agg(*leasts, F.count("*").alias("size")).where("size > 1")
     other = F.coalesce(*[F.when(F.col("role") == r, F.col(f"least_{p}")) for r, p in partner.items()])
-    linked = emitted.join(groups, ["g1", "g2"]).select("first", other.alias("near")).where("near < first").distinct()
+    linked = emitted.join(groups, ["g1", "g2"]).select("h1", "h2", "first", other.alias("near")).where("near < first")
     words = chosen.select("first", "words")
     verified = (
-        linked.join(words, "first")
+        linked.distinct()
+        .join(words, "first")
         .join(words.select(F.col("first").alias("near"), F.col("words").alias("other")), "near")
         .where(within_one_edit("words", "other"))
     )
-    return verified.groupBy("first").agg(F.min("near").alias("near"))
+    return verified.groupBy("h1", "h2").agg(F.min("near").alias("near"))
 
 
 def within_one_edit(a: str, b: str) -> Column:
