@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from spendlake.llm import decontamination, line_dedup, near_dup, packing, quality_rules
 from spendlake.sources.scratch import written
@@ -30,9 +29,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of words with the benchmark."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    judged = decontamination.decontaminate(docs, benchmark, docs.columns)
-    return judged.where(~F.col("contaminated")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return decontamination.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

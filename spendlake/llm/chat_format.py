@@ -38,9 +38,10 @@ PIECE = re.compile(rb"### ((?:[^\\:]|\\.)*): (.*)</turn>\n", re.DOTALL)
 
 def _starts_of(data: np.ndarray, mark: bytes) -> np.ndarray:
     """Where the mark begins, overlapping occurrences included."""
-    found = np.ones(max(len(data) - len(mark) + 1, 0), bool)
+    n = max(len(data) - len(mark) + 1, 0)
+    found = np.ones(n, bool)
     for i, byte in enumerate(mark):
-        found &= data[i : len(data) - len(mark) + 1 + i] == byte
+        found &= data[i : i + n] == byte
     return np.flatnonzero(found)
 
 

@@ -26,6 +26,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -252,23 +253,37 @@ def benchmark_blocks(benchmark: DataFrame, window: int, most_bytes: int) -> list
     return out
 
 
-def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, columns: list[str], window: int = 10, block_bytes: int = 8 << 20
-) -> DataFrame:
-    """``columns`` of every document with n_words, n_hit, n_items, items_sha256 and contaminated."""
+def _judged(blocks: list, window: int, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
+    """Parts of the batch, whose last column is the text, with their verdicts."""
+    only = [blocks[0]()] if len(blocks) == 1 else None
+    for part in slices(batch, "__text", 1 << 20):
+        yield part, judge(words_in(*byte_arrays(part.column("__text"))), only or (b() for b in blocks), window)
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 8 << 20) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every row of (doc_id, text)."""
     if window < K:
         raise ValueError(f"a window has {K} words or more")
     blocks = benchmark_blocks(benchmark, window, block_bytes)
-    kept = len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only = blocks[0]() if len(blocks) == 1 else None
-        for whole in batches:
-            for batch in slices(whole, "__text", 1 << 20):
-                found = judge(words_in(*byte_arrays(batch.column("__text"))), [only] if only else (b() for b in blocks), window)
-                names = [*batch.schema.names[:kept], "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *found], names)
-
-    rows = docs.select(*columns, bytes_of().alias("__text"))
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return rows.mapInArrow(run, f"{schema}, {COLUMNS}")
+        for batch in batches:
+            for part, found in _judged(blocks, window, batch):
+                names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+                yield pa.RecordBatch.from_arrays([part.column(0), *found], names)
+
+    rows = docs.select("doc_id", bytes_of().alias("__text"))
+    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {COLUMNS}")
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 8 << 20) -> DataFrame:
+    """The rows that hold no window of the benchmark, with all their columns."""
+    blocks = benchmark_blocks(benchmark, window, block_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, found in _judged(blocks, window, batch):
+                rows = pa.RecordBatch.from_arrays(part.columns[:-1], part.schema.names[:-1])
+                yield rows.filter(pc.invert(found[-1]))
+
+    return docs.withColumn("__text", bytes_of()).mapInArrow(run, docs.schema)

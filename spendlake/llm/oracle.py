@@ -1,5 +1,176 @@
-"""The queries in SQL (DuckDB)."""
+"""The queries in SQL (DuckDB), where SQL can say them.
+
+Without SQL: the suffix tree (1), the style tree (6), XXH64 fingerprints (7), best fit (8) and the pipeline, which
+holds 7 and 8. They are tested against brute force.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from spendlake.llm.secret_scan import BASE_RULES, MORE_RULES, Rule
+
+WORD = r"[^\x20\x09-\x0D]+"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+QUALITY = rf"""
+WITH t AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM t, unnest(range(1, len(w) - 1)) AS u(i)
+), repeated AS (
+    SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) WHERE n > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n FROM repeated, unnest([0, 1, 2]) AS u(k) GROUP BY doc_id
+), counted AS (
+    SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+        len(lines) AS n_lines, len(list_filter(w, lambda x: regexp_matches(x, '^[A-Z]{{2,}}'))) AS n_shouted
+    FROM t LEFT JOIN covered USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT (base_failed OR 100 * n_symbols > 20 * n_words OR 100 * n_dup_lines > 50 * n_lines OR word_chars < 2 * n_words
+        OR word_chars > 20 * n_words OR 100 * n_shouted > 40 * n_words) AS kept
+FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+"""
+
+URLS = r"""
+WITH t AS (
+    SELECT page_id, lower(coalesce(regexp_extract(url, '://([^/?#]*)', 1), '')) AS host,
+        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), ruled AS (
+    SELECT *, CASE
+        WHEN '.' || host LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+        WHEN '.' || host LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+        WHEN '.' || host LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+        WHEN '.' || host LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+        WHEN '.' || host LIKE '%.com' AND path LIKE '/%' THEN 'com/'
+    END AS rule FROM t
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN list_has_any(string_split(host, '.'),
+        ['ads-track', 'adult-x', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+
+def _matches(rule: Rule, rank: int) -> str:
+    """The rule's matches as (doc_id, rank, kind, start, end), from the pieces between them."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+    SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind, start, start + length(m[i]) AS stop
+    FROM (
+        SELECT doc_id, i, m, g, coalesce(list_sum(list_transform(s[1:i], lambda x: length(x))), 0)
+            + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start
+        FROM (
+            SELECT doc_id, string_split_regex(text, '{pattern}') AS s, regexp_extract_all(text, '{pattern}', 0) AS m,
+                regexp_extract_all(text, '{pattern}', {rule.group}) AS g FROM t
+        ), unnest(range(1, len(m) + 1)) AS u(i)
+    ) WHERE length(g[i]) >= {rule.least}"""
+
+
+def _secrets() -> str:
+    found = "\n    UNION ALL".join(_matches(rule, rank) for rank, rule in enumerate(BASE_RULES + MORE_RULES))
+    base = ", ".join(f"'{r.kind}'" for r in BASE_RULES)
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES)
+    listed = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)"
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({found}
+)
+SELECT doc_id, {counts},
+    sha256(coalesce({listed} FILTER (kind IN ({base})), '')) AS base_sha256,
+    coalesce({listed} FILTER (kind IS NOT NULL), '') AS spans
+FROM t LEFT JOIN found USING (doc_id) GROUP BY doc_id
+"""
+
+
+LINES = rf"""
+WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (
+    SELECT doc_id, i - 1 AS line_no, doc_id * 10000000 + i - 1 AS pos, regexp_extract_all(l[i], '{WORD}') AS w
+    FROM t, unnest(range(1, len(l) + 1)) AS u(i)
+), firsts AS (
+    SELECT array_to_string(w, ' ') AS line, min(pos) AS pos, any_value(w) AS w FROM lines WHERE len(w) > 0 GROUP BY line
+), variants AS (
+    SELECT line, pos, len(w) AS n, i, array_to_string(w[1:i - 1] || w[i + 1:], ' ') AS v
+    FROM firsts, unnest(range(1, len(w) + 1)) AS u(i) WHERE len(w) >= 10
+), pairs AS (
+    SELECT a.line, b.pos AS near FROM variants a JOIN variants b ON a.v = b.v AND a.i = b.i AND a.n = b.n AND b.pos < a.pos
+    UNION ALL
+    SELECT a.line, b.pos FROM variants a JOIN firsts b ON a.v = b.line AND b.pos < a.pos WHERE a.n > 10
+    UNION ALL
+    SELECT b.line, a.pos FROM variants a JOIN firsts b ON a.v = b.line AND a.pos < b.pos WHERE a.n > 10
+), nears AS (SELECT line, min(near) AS near FROM pairs GROUP BY line)
+SELECT doc_id, line_no, len(lines.w) AS n_words, near IS NULL AND lines.pos = firsts.pos AS kept,
+    firsts.pos // 10000000 AS first_doc_id, firsts.pos % 10000000 AS first_line_no,
+    near // 10000000 AS near_doc_id, near % 10000000 AS near_line_no
+FROM lines JOIN firsts ON firsts.line = array_to_string(lines.w, ' ') LEFT JOIN nears ON nears.line = firsts.line
+WHERE len(lines.w) > 0
+"""
+
+ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+LEAKS = rf"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{ITEM_WORD}') AS w
+    FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{ITEM_WORD}') AS w
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS g
+    FROM b, unnest(range(1, greatest(len(w) - 8, 2))) AS u(i) WHERE len(w) > 0
+), hits AS (
+    SELECT doc_id, i, n, item_id
+    FROM (
+        SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
+        FROM d, (SELECT DISTINCT n FROM windows), unnest(range(1, greatest(len(w) - n + 2, 1))) AS u(i)
+    ) JOIN windows USING (n, g)
+), words AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS u(p) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+def _escaped(column: str, marks: str = "") -> str:
+    """Its characters, and a backslash for each mark."""
+    return (
+        rf"length({column}) + length({column}) - length(replace({column}, '\', '')){marks}"
+        f" + (length({column}) - length(replace({column}, '</turn>', ''))) // 7"
+        f" + coalesce(list_sum(list_transform(regexp_extract_all({column}, '#{{3,}}'), lambda x: length(x) - 2)), 0)"
+    )
+
+
+CHATS = rf"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(14 + {_escaped("role", " + length(role) - length(replace(role, ':', ''))")} + {_escaped("text")})::BIGINT
+        AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_quality_rules": QUALITY,
+    "op3_url_filter": URLS,
+    "op4_secret_scan": _secrets(),
+    "op5_line_dedup": LINES,
+    "op9_decontamination": LEAKS,
+    "op10_chat_format": CHATS,
+}

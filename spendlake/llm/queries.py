@@ -67,7 +67,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
-    return decontamination.decontaminate(docs, benchmark, ["doc_id"])
+    return decontamination.decontaminate(docs, benchmark)
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

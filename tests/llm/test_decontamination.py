@@ -1,0 +1,119 @@
+"""Hits against looking for every window in every text."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers import SF, awkward, clashing, documents, empty, read, rows, sentence, word
+
+from spendlake.llm.common import byte_arrays
+from spendlake.llm.decontamination import K, decontaminate, keep_clean, winnowed, words_in
+
+PLAIN = re.compile(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def words(text: str | None) -> list[str]:
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return PLAIN.findall(lowered)
+
+
+def brute_force(texts: list, items: list[tuple]) -> list[tuple]:
+    windows: dict[tuple, set] = {}
+    for i, text in items:
+        w = words(text)
+        for at in range(max(1, len(w) - 9) if w else 0):
+            windows.setdefault(tuple(w[at : at + 10]), set()).add(i)
+    sizes = {len(w) for w in windows}
+    out = []
+    for text in texts:
+        w, hit, found = words(text), set(), set()
+        for n in sizes:
+            for at in range(len(w) - n + 1):
+                ids = windows.get(tuple(w[at : at + n]))
+                if ids:
+                    hit.update(range(at, at + n))
+                    found |= ids
+        ids = sorted({str(i) for i in found if i is not None})
+        out.append((len(w), len(hit), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(hit)))
+    return out
+
+
+def compared(spark, texts: list, items: list[tuple], **options) -> int:
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: tuple(r.values())[1:] for r in rows(decontaminate(documents(spark, texts), benchmark, **options))}
+    want = brute_force(texts, items)
+    assert [got[i] for i in range(len(texts))] == want
+    assert {r["doc_id"] for r in rows(keep_clean(documents(spark, texts), benchmark))} == {i for i, w in enumerate(want) if not w[-1]}
+    return sum(w[-1] for w in want)
+
+
+@pytest.mark.parametrize("block_bytes", [8 << 20, 300])
+def test_planted_spans_of_all_lengths(spark, block_bytes):
+    rng = random.Random(3)
+    items = [(i, sentence(rng, n)) for i, n in enumerate([0, 1, 2, 4, 5, 6, 9, 10, 11, 12, 30, 60, 15, 10, 10])]
+    items += [(20, items[10][1]), (21, None), (None, sentence(rng, 14)), (23, "é ü " * 8), (24, "x " * 40), (25, items[11][1].upper().replace(" ", " - "))]
+    texts = [None, "", "x " * 9, "x " * 10, "é ü " * 30, items[1][1], "y" + items[1][1]]
+    for _ in range(150):
+        i, text = rng.choice(items)
+        w = (text or "").split()
+        a = rng.randint(0, max(0, len(w) - 1))
+        part = w[a : a + rng.randint(1, 25)]
+        if rng.random() < 0.3 and part:
+            part[rng.randrange(len(part))] = word(rng)
+        glue = rng.choice([" ", "\n", ", ", " -- "])
+        texts.append(sentence(rng, rng.randint(0, 30)) + " " + glue.join(part) + rng.choice(["", " ", "q"]) + sentence(rng, rng.randint(0, 30)))
+    assert compared(spark, texts, items, block_bytes=block_bytes) > 20
+
+
+def test_given_documents(spark):
+    docs = sorted(rows(read(spark, "documents")), key=lambda r: r["doc_id"])
+    items = [(r["item_id"], r["text"]) for r in rows(read(spark, "benchmark"))]
+    assert [d["doc_id"] for d in docs] == list(range(len(docs)))
+    assert compared(spark, [d["text"] for d in docs], items) > 0
+    assert SF
+
+
+def test_windows_longer_than_a_slice(spark):
+    rng = random.Random(5)
+    long = sentence(rng, 250_000)
+    item = " ".join(long.split()[200_000:200_015])
+    assert compared(spark, [long, "a b c"], [(1, item)]) == 1
+
+
+def test_winnowing_guarantee():
+    """Two sides that share a full run of hashes keep a common one."""
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        shared = rng.integers(0, 50, 6).astype(np.uint64)
+        sides = [np.concatenate([rng.integers(0, 50, rng.integers(0, 9)).astype(np.uint64), shared, rng.integers(0, 50, 5).astype(np.uint64)]) for _ in "ab"]
+        kept = [set(side[winnowed(side, 6)].tolist()) for side in sides]
+        assert int(shared.min()) in kept[0] & kept[1]
+
+
+def test_words_and_grams():
+    texts = pa.array([b"Ab, c1-\xc3\xa9!", b"", b"x", b"a b c d e f"], pa.binary())
+    found = words_in(*byte_arrays(texts))
+    spelled = [found.data[a:b].tobytes() for a, b in zip(found.start, found.end)]
+    assert spelled == [b"ab", b"c1", b"\xc3\xa9", b"x", b"a", b"b", b"c", b"d", b"e", b"f"]
+    assert found.first.tolist() == [0, 3, 3, 4, 10]
+    gone = np.uint64(0xFFFFFFFFFFFFFFFF)
+    assert (found.grams(K) != gone).tolist() == [False] * 4 + [True, True] + [False] * 4
+    assert (found.grams(1) != gone).all()
+
+
+def test_awkward_rows(spark):
+    benchmark = spark.createDataFrame([(1, "x")], "item_id long, text string").selectExpr("*", "1 as doc_id")
+    docs = clashing(awkward(spark))
+    assert len(rows(decontaminate(docs, benchmark))) == docs.count()
+    kept = keep_clean(docs, benchmark)
+    assert kept.columns == docs.columns
+    assert len(rows(kept)) == docs.count() - 1
+    assert rows(decontaminate(empty(spark), benchmark)) == []
+    assert not any(r["contaminated"] for r in rows(decontaminate(docs, benchmark.limit(0))))
+    with pytest.raises(ValueError):
+        decontaminate(docs, benchmark, window=K - 1)

@@ -1,0 +1,89 @@
+"""Packing: whole, within bounds, and against a plain search for the best fit."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from helpers import SF, awkward, clashing, documents, empty, read, rows
+
+from spendlake.llm.packing import CAPACITIES, compute_cost, opened, pack, pack_texts
+
+
+def plain(lengths: list[int], capacities: list[int]) -> list:
+    """Every open bin is looked at for every piece."""
+    largest = max(capacities)
+    pieces = sorted(((min(largest, n - at), i, at) for i, n in enumerate(lengths) for at in range(0, n, largest)), key=lambda p: (-p[0], p[1], p[2]))
+    left, bins, out = sum(p[0] for p in pieces), [], []
+    for n, i, at in pieces:
+        fits = [(c - used, b) for b, (c, used) in enumerate(bins) if c - used >= n]
+        if fits:
+            b = min(fits)[1]
+        else:
+            c = min((c for c in capacities if c >= n), key=lambda c: (compute_cost(c) / min(c, left), c))
+            bins.append((c, 0))
+            b = len(bins) - 1
+        out.append((i, at, n, b, bins[b][1]))
+        bins[b] = bins[b][0], bins[b][1] + n
+        left -= n
+    return out, [(min(c for c in capacities if c >= used), used) for _, used in bins]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_equals_the_plain_search(seed):
+    rng = random.Random(seed)
+    lengths = [rng.choice([1, 5, rng.randint(1, 70), rng.randint(1, 300)]) for _ in range(rng.randint(0, 300))]
+    capacities = sorted(rng.sample(range(8, 200), rng.randint(1, 4)))
+    got, bins = pack(lengths, capacities)
+    assert (got, [(b.capacity, b.used) for b in bins]) == plain(lengths, capacities)
+
+
+def test_least_cost_bin_is_opened():
+    assert opened(100, 10**9, CAPACITIES, float) == 512
+    assert opened(100, 10**9, CAPACITIES, lambda c: c + 500) == 4096
+    assert opened(100, 600, CAPACITIES, lambda c: c + 500) in (512, 1024)
+    assert opened(3000, 3000, CAPACITIES, compute_cost) == 4096
+
+
+def checked(found: list[dict], sizes: dict) -> None:
+    bins: dict[tuple, list] = {}
+    texts: dict = {}
+    for r in found:
+        bins.setdefault((r["block"], r["bin"]), []).append(r)
+        texts.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+    for pieces in bins.values():
+        pieces.sort(key=lambda r: r["offset"])
+        at = 0
+        for r in pieces:
+            assert r["offset"] == at
+            at += r["length"]
+        assert {r["capacity"] for r in pieces} == {min(c for c in CAPACITIES if c >= at)}
+    for i, n in sizes.items():
+        at = 0
+        for start, length in sorted(texts.pop(i)):
+            assert start == at
+            at += length
+        assert at == n
+    assert not texts
+
+
+@pytest.mark.parametrize("block_rows", [20_000, 70])
+def test_given_documents_are_packed_whole(spark, block_rows):
+    docs = read(spark, "documents")
+    sizes = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0d]+", r["text"])) + 1 for r in rows(docs)}
+    found = rows(pack_texts(docs, block_rows=block_rows))
+    checked(found, sizes)
+    filled = sum(r["length"] for r in found) / sum({(r["block"], r["bin"]): r["capacity"] for r in found}.values())
+    assert filled > 0.9
+    assert SF
+
+
+def test_awkward_rows(spark):
+    docs = clashing(awkward(spark))
+    found = rows(pack_texts(docs, block_rows=3))
+    assert sum(r["length"] for r in found if r["doc_id"] == 7) == 120_001
+    assert sum(r["start"] == 0 for r in found) == docs.count()
+    assert sum(r["length"] for r in found if r["doc_id"] in (1, 2, 3)) == 3
+    assert rows(pack_texts(empty(spark))) == []
+    assert len(rows(pack_texts(documents(spark, ["a", "a"], [1, 1])))) == 2
