@@ -102,17 +102,18 @@ def decide(docs: DataFrame, min_near: int = MIN_NEAR) -> DataFrame:
     crowded = places.join(_small(shared), "place", "left_semi").groupBy("h1", "h2").agg(F.collect_set("place").alias("shared"))
     crowded = written(first.drop("places").join(crowded, ["h1", "h2"]).select("h1", "h2", "first.*", "shared"), "crowded")
     near = near_lines(docs, crowded, min_near)
-    decided = first.drop("places").join(near, ["h1", "h2"], "left")
-    return hashed.drop("places").join(decided, ["h1", "h2"]).select(
+    # Written tables on both sides, so that a line on very many rows can be split at run time.
+    decided = hashed.drop("places").join(first.drop("places"), ["h1", "h2"]).join(_small(near), ["h1", "h2"], "left")
+    return decided.select(
         "doc_id",
         "text_key",
-        "line_no",
-        "n_words",
+        F.col("line_no").cast("long").alias("line_no"),
+        F.col("n_words").cast("long").alias("n_words"),
         (F.col("near").isNull() & (F.col("first") == _position())).alias("kept"),
         F.col("first.doc_id").alias("first_doc_id"),
-        F.col("first.line_no").alias("first_line_no"),
+        F.col("first.line_no").cast("long").alias("first_line_no"),
         F.col("near.doc_id").alias("near_doc_id"),
-        F.col("near.line_no").alias("near_line_no"),
+        F.col("near.line_no").cast("long").alias("near_line_no"),
     )
 
 
@@ -122,57 +123,55 @@ def near_lines(docs: DataFrame, crowded: DataFrame, min_near: int) -> DataFrame:
     lines = lines_of(docs).withColumnRenamed("doc_id", "line_doc_id")
     own = F.col("line_doc_id").eqNullSafe(F.col("doc_id"))
     found = lines.join(_small(crowded), ["raw", "text_key", "line_no"]).where(own)
+    line_id = F.monotonically_increasing_id().alias("line_id")
     chosen = written(
-        found.select("h1", "h2", _position().alias("first"), "shared", _words("line").alias("words")).withColumn(
-            "segments", F.expr(_segments(min_near))
-        ),
-        "crowded-lines",
+        found.select("h1", "h2", line_id, _position().alias("first"), "shared", _words("line").alias("words")), "crowded-lines"
     )
-    segment = chosen.select("first", "h1", "h2", "words", F.explode("segments").alias("x"), "shared").where(
-        F.expr(f"array_contains(shared, {PLACE.format(x='x')})")
+    emitted = written(variants(chosen, min_near), "variants")
+    common = written(emitted.groupBy("g1", "g2").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "common-variants")
+    hits = emitted.join(_small(common), ["g1", "g2"], "left_semi").join(chosen.select("line_id", "h1", "h2", "first"), "line_id")
+    hits = written(hits.drop("line_id"), "variant-hits")
+    partner = {EITHER: EITHER, LONGER: SHORTER, SHORTER: LONGER}
+    leasts = [F.min(F.when(F.col("role") == r, F.col("first"))).alias(f"least_{r}") for r in partner]
+    groups = hits.groupBy("g1", "g2").agg(*leasts)
+    other = F.coalesce(*[F.when(F.col("role") == r, F.col(f"least_{p}")) for r, p in partner.items()])
+    linked = hits.join(written(groups, "variant-groups"), ["g1", "g2"]).select("h1", "h2", "first", other.alias("near"))
+    words = chosen.select("first", "words")
+    verified = (
+        linked.where("near < first")
+        .distinct()
+        .join(words, "first")
+        .join(words.select(F.col("first").alias("near"), F.col("words").alias("other")), "near")
+        .where(within_one_edit("words", "other"))
     )
-    middle = "slice(words, x.before + 1, size(words) - x.before - x.behind)"
-    parts = segment.select(
-        "first",
-        "h1",
-        "h2",
+    return written(verified.groupBy("h1", "h2").agg(F.min("near").alias("near")), "near-lines")
+
+
+EITHER, LONGER, SHORTER = 0, 1, 2
+
+
+def variants(lines: DataFrame, min_near: int) -> DataFrame:
+    """(line_id, role, g1, g2): the hashed deletion variants of (line_id, words, shared) in the places they share."""
+    segment = lines.select("line_id", "words", "shared", F.explode(F.expr(_segments(min_near))).alias("x"))
+    parts = segment.where(F.expr(f"array_contains(shared, {PLACE.format(x='x')})")).select(
+        "line_id",
         F.expr("size(words)").alias("n"),
         "x",
         F.expr("slice(words, 1, x.before)").alias("a"),
-        F.expr(middle).alias("m"),
+        F.expr("slice(words, x.before + 1, size(words) - x.before - x.behind)").alias("m"),
         F.expr("slice(words, size(words) - x.behind + 1, x.behind)").alias("z"),
     )
 
-    def keyed(rows: DataFrame, kind: str, role: str, middle: str, at: str) -> DataFrame:
+    def keyed(rows: DataFrame, kind: str, role: int, middle: str, at: str) -> DataFrame:
         key = f"'{kind}', x.s, x.k, {at}, a, {middle}, z"
-        return rows.select(
-            "first",
-            "h1",
-            "h2",
-            F.lit(role).alias("role"),
-            F.expr(f"xxhash64({key})").alias("g1"),
-            F.expr(f"xxhash64(1, {key})").alias("g2"),
-        )
+        return rows.selectExpr("line_id", f"cast({role} as tinyint) as role", f"xxhash64({key}) as g1", f"xxhash64(1, {key}) as g2")
 
     without = "concat(slice(m, 1, i), slice(m, i + 2, size(m)))"
     each = parts.select("*", F.explode(F.expr("sequence(0, size(m) - 1)")).alias("i"))
-    replaced = keyed(each.where("n = x.s"), "replaced", "either", without, "i")
-    inserted = keyed(each.where("n > x.s"), "inserted", "longer", without, "0")
-    whole = keyed(parts.where("n = x.s"), "inserted", "shorter", "m", "0")
-    emitted = written(replaced.union(inserted).union(whole).distinct(), "variants")
-    partner = {"either": "either", "longer": "shorter", "shorter": "longer"}
-    leasts = [F.min(F.when(F.col("role") == r, F.col("first"))).alias(f"least_{r}") for r in partner]
-    groups = emitted.groupBy("g1", "g2").agg(*leasts, F.count("*").alias("size")).where("size > 1")
-    other = F.coalesce(*[F.when(F.col("role") == r, F.col(f"least_{p}")) for r, p in partner.items()])
-    linked = emitted.join(groups, ["g1", "g2"]).select("h1", "h2", "first", other.alias("near")).where("near < first")
-    words = chosen.select("first", "words")
-    verified = (
-        linked.distinct()
-        .join(words, "first")
-        .join(words.select(F.col("first").alias("near"), F.col("words").alias("other")), "near")
-        .where(within_one_edit("words", "other"))
-    )
-    return verified.groupBy("h1", "h2").agg(F.min("near").alias("near"))
+    replaced = keyed(each.where("n = x.s"), "replaced", EITHER, without, "i")
+    inserted = keyed(each.where("n > x.s"), "inserted", LONGER, without, "0")
+    whole = keyed(parts.where("n = x.s"), "inserted", SHORTER, "m", "0")
+    return replaced.union(inserted).union(whole)
 
 
 def within_one_edit(a: str, b: str) -> Column:
@@ -199,7 +198,7 @@ def cleaned(docs: DataFrame, min_near: int = MIN_NEAR) -> DataFrame:
         decide(docs, min_near)
         .where("not kept")
         .groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-        .agg(F.collect_set("line_no").alias("__gone"))
+        .agg(F.collect_set(F.col("line_no").cast("int")).alias("__gone"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(text_of()) == F.col("__key"))
     rows = docs.join(gone, same, "left")
