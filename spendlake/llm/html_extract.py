@@ -29,9 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.llm.url_filter import host_and_path
+from spendlake.sources.scratch import written
 
 MIN_PAGES = 8
 LEAST_IMPORTANCE = 0.1
+MOST_BROADCAST = 8 << 20  # characters of paths
+SALTS = 64
 
 # Elements and names that are noise wherever they stand.
 NOISE_TAGS = frozenset(
@@ -236,6 +239,18 @@ def noise_paths(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEA
     return low.groupBy("host").agg(F.collect_set("path").alias("cut"))
 
 
+def with_cuts(rows: DataFrame, cut: DataFrame) -> DataFrame:
+    """``rows`` with their host's ``cut``. It is broadcast if it is small, counted; else each host's rows are dealt
+    over ``SALTS`` tasks, with a copy of the host's paths for each."""
+    cut = written(cut, "cuts")
+    size = cut.agg(F.sum(F.length(F.concat_ws("", "cut"))).alias("n")).first()["n"] or 0
+    if size <= MOST_BROADCAST:
+        return rows.join(F.broadcast(cut), "host", "left")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int"))
+    return salted.join(cut.select("*", salts), ["host", "salt"], "left").drop("salt")
+
+
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEAST_IMPORTANCE) -> DataFrame:
     """page_id, url, text and n_chars of every row of (page_id, url, html)."""
     source = F.coalesce(F.col("html"), F.lit("")).alias("html")
@@ -250,5 +265,5 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEAST_I
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])
 
     schema = ", ".join(f"{c} {pages.schema[c].dataType.simpleString()}" for c in ("page_id", "url"))
-    joined = rows.join(cut, "host", "left").select("page_id", "url", "html", "cut")
+    joined = with_cuts(rows, cut).select("page_id", "url", "html", "cut")
     return joined.mapInArrow(run, f"{schema}, text string, n_chars long")
