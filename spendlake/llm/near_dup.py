@@ -148,7 +148,8 @@ def grouped(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (least doc_id) of every row of (doc_id, text)."""
     rows = grouped(docs, shingle, radius)
-    names = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that the join can split a component that many rows belong to.
+    names = written(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), "components")
     return rows.join(names, "root").select("doc_id", _hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
