@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.llm.common import lower_ascii, text_of
+from spendlake.sources.scratch import written
 
 sre, sre_constants = re._parser, re._constants
 
@@ -173,7 +174,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) ->
     indexed = {kind: q for kind, q in queries.items() if q != ALWAYS}
     trigrams = sorted({t for q in indexed.values() for clause in q for t in clause})
     rows = docs.select("doc_id", text_of().alias("text")).withColumn("key", F.xxhash64("text"))
-    found = candidates(trigram_index(rows, trigrams), indexed)
+    # Written, so that the join can split a text that many rows have.
+    found = written(candidates(trigram_index(rows, trigrams), indexed), "candidates")
     none = F.array().cast(SPANS)
     columns = []
     for rank, rule in enumerate(rules):
