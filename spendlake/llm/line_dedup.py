@@ -1,7 +1,7 @@
 """Line dedup by a deletion-neighbourhood join.
 
 A line is its words; lines with equal words are one line, and of those the earliest, by (doc_id, line number), stays.
-Two lines of ``min_near`` words or more are near if one word was replaced, inserted or deleted. A line goes if an
+Lines of fewer than ``min_words`` words, such as headings and single answers, are equal by chance and all stay. Two lines of ``min_near`` words or more are near if one word was replaced, inserted or deleted. A line goes if an
 earlier line is near it, whether that one stays or not, so the verdict depends on no order of processing.
 
 * Segments keep the neighbourhoods small. The shorter length s of a pair fixes segments of ``min(128, s/2)`` words;
@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 from spendlake.llm.common import GAP, WORD, text_of
 from spendlake.sources.scratch import written
 
+MIN_WORDS = 5
 MIN_NEAR = 10
 SEGMENT = 128
-MOST_BROADCAST = 500_000  # rows of 100 bytes at most
+MOST_BROADCAST = 300_000  # rows of about 250 bytes
 
 # A segment of a line of n words, as one of a pair whose shorter line has s words (s = n, or n - 1 if it is the longer
 # one): the k-th of its segments, and how many words stand before and behind it.
@@ -78,7 +79,7 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
 
 
-def decide(docs: DataFrame, min_near: int = MIN_NEAR) -> DataFrame:
+def decide(docs: DataFrame, min_near: int = MIN_NEAR, min_words: int = MIN_WORDS) -> DataFrame:
     """Every line with a word: doc_id, text_key, line_no, n_words, kept, the earliest equal line (first_doc_id,
     first_line_no) and, if one comes before that, the earliest near line (near_doc_id, near_line_no)."""
     hashed = written(
@@ -109,7 +110,7 @@ def decide(docs: DataFrame, min_near: int = MIN_NEAR) -> DataFrame:
         "text_key",
         F.col("line_no").cast("long").alias("line_no"),
         F.col("n_words").cast("long").alias("n_words"),
-        (F.col("near").isNull() & (F.col("first") == _position())).alias("kept"),
+        (F.col("near").isNull() & (F.col("first") == _position()) | (F.col("n_words") < min_words)).alias("kept"),
         F.col("first.doc_id").alias("first_doc_id"),
         F.col("first.line_no").cast("long").alias("first_line_no"),
         F.col("near.doc_id").alias("near_doc_id"),
@@ -189,13 +190,13 @@ def within_one_edit(a: str, b: str) -> Column:
     )
 
 
-def cleaned(docs: DataFrame, min_near: int = MIN_NEAR) -> DataFrame:
+def cleaned(docs: DataFrame, min_near: int = MIN_NEAR, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows with the lines that go cut out of ``text``, and ``n_chars``, where there is one, counted again.
 
     Rows that had lines with words and have none left are gone, as all of them stand elsewhere.
     """
     gone = (
-        decide(docs, min_near)
+        decide(docs, min_near, min_words)
         .where("not kept")
         .groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
         .agg(F.collect_set(F.col("line_no").cast("int")).alias("__gone"))

@@ -107,7 +107,8 @@ lines AS (
     UNION ALL
     SELECT b.line, a.pos FROM variants a JOIN firsts b ON a.v = b.line AND a.pos < b.pos WHERE a.n > 10
 ), nears AS (SELECT line, min(near) AS near FROM pairs GROUP BY line)
-SELECT doc_id, line_no, len(lines.w) AS n_words, near IS NULL AND lines.pos = firsts.pos AS kept,
+SELECT doc_id, line_no, len(lines.w) AS n_words,
+    near IS NULL AND lines.pos = firsts.pos OR len(lines.w) < 5 AS kept,
     firsts.pos // 10000000 AS first_doc_id, firsts.pos % 10000000 AS first_line_no,
     near // 10000000 AS near_doc_id, near % 10000000 AS near_line_no
 FROM lines JOIN firsts ON firsts.line = array_to_string(lines.w, ' ') LEFT JOIN nears ON nears.line = firsts.line

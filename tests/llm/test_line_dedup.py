@@ -8,7 +8,7 @@ import re
 import pytest
 from helpers import SF_SMALL, awkward, clashing, documents, empty, read, rows, sentence, word
 
-from spendlake.llm.line_dedup import MIN_NEAR, cleaned, decide, within_one_edit
+from spendlake.llm.line_dedup import MIN_NEAR, MIN_WORDS, cleaned, decide, within_one_edit
 
 
 def near(a: list, b: list) -> bool:
@@ -40,7 +40,8 @@ def brute_force(texts: list) -> dict:
         if len(w) >= MIN_NEAR:
             around = [x for n in (len(w) - 1, len(w), len(w) + 1) for x in sized.get(n, []) if x[0] < at]
             earliest[w] = min((x[0] for x in around if near(list(w), x[1])), default=None)
-    return {at: (first[w] == at and earliest.get(w) is None, first[w], earliest.get(w)) for at, w in lines}
+    stays = lambda at, w: len(w) < MIN_WORDS or first[w] == at and earliest.get(w) is None
+    return {at: (stays(at, w), first[w], earliest.get(w)) for at, w in lines}
 
 
 def compared(spark, texts: list) -> int:
@@ -67,19 +68,19 @@ def test_edits_of_all_kinds_and_places(spark):
         lines.append([*base[: n // 2], base[n // 2], base[n // 2], *base[n // 2 + 1 :]])
         rng.shuffle(lines)
         texts += ["\n".join(" ".join(x) for x in lines[i::3]) for i in range(3)]
-    assert compared(spark, texts) > 100
+    assert compared(spark, texts) > 50
 
 
 def test_random_lines_of_few_words(spark):
     rng = random.Random(6)
     texts = ["\n".join(" ".join(rng.choice("ab") for _ in range(rng.randint(8, 13))) for _ in range(10)) for _ in range(12)]
     texts += ["  a\tb \n\n a b\x0b\na  b", "a b", None, "", "\n"]
-    assert compared(spark, texts) > 10
+    assert compared(spark, texts) > 5
 
 
 def test_given_documents(spark):
     texts = [r["text"] for r in sorted(rows(read(spark, "documents", SF_SMALL)), key=lambda r: r["doc_id"])]
-    assert compared(spark, texts) > 100
+    assert compared(spark, texts) > 50
 
 
 def test_one_template_on_many_lines(spark):
