@@ -34,11 +34,16 @@ _RATIOS = f"""{_ratio('clicks', 'impressions', ' * CAST(100 AS DOUBLE)')} AS ctr
        {_ratio('cost_brl', 'conversions')} AS cpa_brl"""
 
 
+# The sum of the doubles as they are, in whole units of 2^-56, read back from its digits.
+_EXACT_COST = """CAST(CAST(sum(CAST(cost_brl * 72057594037927936 AS HUGEINT)) AS VARCHAR) AS DOUBLE)
+           / 72057594037927936"""
+
+
 def _totals(keys: str, rows: str = "lines") -> str:
     return f"""SELECT {keys},
          CAST(sum(impressions) AS BIGINT) AS impressions,
          CAST(sum(clicks) AS BIGINT) AS clicks,
-         CAST(sum(CAST(cost_brl AS DECIMAL(20, 6))) AS DOUBLE) AS cost_brl,
+         {_EXACT_COST} AS cost_brl,
          CAST(sum(conversions) AS BIGINT) AS conversions
   FROM {rows} GROUP BY {keys}"""
 
@@ -89,9 +94,18 @@ _FITS = f"""coalesce(date IS NOT NULL
   AND {_CLEAN_SOURCE} IN ('google_ads', 'meta_ads', 'tiktok_ads'), false)"""
 
 _KNOWN = "('google_ads', 'meta_ads', 'tiktok_ads')"
-_NULL_CHECKED = (
-    "date source campaign_name ad_group_name impressions clicks cost_brl conversions source_file transformed_at"
-).split()
+_NULL_CHECKED = [
+    "date",
+    "source",
+    "campaign_name",
+    "ad_group_name",
+    "impressions",
+    "clicks",
+    "cost_brl",
+    "conversions",
+    "source_file",
+    "transformed_at",
+]
 
 
 def _rules() -> list[tuple[str, str, str, str, str]]:
@@ -201,10 +215,11 @@ SELECT {_SILVER}, 'lineitem' AS source_file, '2026-03-12T10:00:00' AS transforme
     "silver_union": f"""WITH {_LINES}
 SELECT {_SILVER}, source || '.parquet' AS source_file, '2026-03-12T10:00:00' AS transformed_at FROM lines""",
     "silver_lenient": f"""WITH {_LINES}
-SELECT CASE WHEN impressions <> 5000 THEN date END AS date, campaign_name, impressions,
-       CASE WHEN impressions < 4900 THEN cost_brl END AS cost_brl,
-       CASE WHEN impressions = 5000 THEN 'date,cost_brl' WHEN impressions >= 4900 THEN 'cost_brl' ELSE '' END
-         AS unparsed
+SELECT CASE WHEN impressions NOT IN (4600, 5000) THEN date END AS date, 'tiktok_ads' AS source, campaign_name, ad_group_name,
+       impressions, clicks, CASE WHEN impressions NOT IN (4700, 4800, 4900, 5000) THEN cost_brl END AS cost_brl, conversions,
+       'lineitem' AS source_file, '2026-03-12T10:00:00' AS transformed_at,
+       CASE WHEN impressions = 5000 THEN 'date,cost_brl' WHEN impressions >= 4700 THEN 'cost_brl'
+            WHEN impressions = 4600 THEN 'date' ELSE '' END AS unparsed
 FROM lines""",
     "daily_summary": _gold("date, source", "date, source"),
     "campaign_summary": _gold("source, campaign_name", "source, campaign_name"),
@@ -212,7 +227,7 @@ FROM lines""",
     "derived_metrics_zero": f"""WITH {_LINES}
 SELECT {_SILVER},
        {_RATIOS}
-FROM lines WHERE impressions = 0 OR clicks = 0 OR conversions = 0""",
+FROM lines""",
     "row_contract_valid": f"""WITH {_DAMAGED}
 SELECT date, {_CLEAN_SOURCE} AS source, campaign_name, ad_group_name, impressions, clicks,
        {_rounded('cost_brl', 6)} AS cost_brl, conversions, source_file, transformed_at, source_dir

@@ -62,21 +62,25 @@ def silver_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = SOURCES["tiktok_ads"]
     raw = derive.raw_report(derive.lineitem(spark, sf_dir), spec).withColumns(
         {
-            "stat_time": F.expr("CASE WHEN views = 5000 THEN 'yesterday' ELSE stat_time END"),
-            "total_cost": F.expr("CASE WHEN views >= 4900 THEN 'n/a' ELSE total_cost END"),
+            "stat_time": F.expr(
+                """CASE views WHEN 5000 THEN 'yesterday' WHEN 4600 THEN concat(left(stat_time, 9), chr(10))
+                   ELSE stat_time END"""
+            ),
+            "total_cost": F.expr(
+                """CASE views WHEN 5000 THEN 'n/a' WHEN 4900 THEN concat(total_cost, 'd') WHEN 4800 THEN '0x1p3'
+                   WHEN 4700 THEN concat(total_cost, chr(10)) ELSE total_cost END"""
+            ),
         }
     )
     silver = normalize_lenient(raw, spec, "lineitem", AT)
-    return silver.selectExpr(
-        "date", "campaign_name", "impressions", "cost_brl", "concat_ws(',', unparsed) AS unparsed"
-    )
+    return silver.withColumn("unparsed", F.concat_ws(",", "unparsed"))
 
 
 def derived_metrics_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _silver(spark, sf_dir).select(
         "date", "source", "campaign_name", "ad_group_name", "impressions", "clicks", "cost_brl", "conversions"
     )
-    return aggregate.with_ratios(rows.where("impressions = 0 OR clicks = 0 OR conversions = 0"))
+    return aggregate.with_ratios(rows)
 
 
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:

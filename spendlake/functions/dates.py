@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: the longest window an ingestion takes unless told otherwise.
 MAX_WINDOW_DAYS = 90
 
 
@@ -14,9 +15,11 @@ def iso_date(raw: str) -> str:
     """DATE from ``YYYY-MM-DD``; NULL for anything else.
 
     The pattern check plus a cast takes less than half the time per row of
-    ``to_date`` with a format, and is as strict.
+    ``to_date`` with a format, and is as strict. The end is checked by the
+    length, as ``$`` also matches before a line break.
     """
-    return f"CASE WHEN {raw} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' THEN try_cast({raw} AS date) END"
+    shape = f"length({raw}) = 10 AND {raw} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}'"
+    return f"CASE WHEN {shape} THEN try_cast({raw} AS date) END"
 
 
 def iso_timestamp_date(raw: str) -> str:
@@ -37,7 +40,7 @@ def _week_date(raw: str) -> str:
     parsed = f"date_add(date_trunc('WEEK', {january_4}), cast({day} div 10 * 7 + {day} % 10 - 8 AS int))"
     same_week = f"extract(YEAROFWEEK FROM {parsed}) = cast(left({raw}, 4) AS int)"
     shape = "^[0-9]{4}(-W[0-9]{2}(-[1-7])?|W[0-9]{2}[1-7]?)$"
-    return f"CASE WHEN {raw} RLIKE '{shape}' THEN CASE WHEN {same_week} THEN {parsed} END END"
+    return f"CASE WHEN NOT contains({raw}, chr(10)) AND {raw} RLIKE '{shape}' THEN CASE WHEN {same_week} THEN {parsed} END END"
 
 
 def lenient_date(raw: str, fallback: date) -> str:
@@ -46,7 +49,7 @@ def lenient_date(raw: str, fallback: date) -> str:
     ``raw`` should be a column rather than a long expression: it is mentioned often.
     """
     dashed = f"concat(left({raw}, 4), '-', substr({raw}, 5, 2), '-', substr({raw}, 7, 2))"
-    basic = f"CASE WHEN {raw} RLIKE '^[0-9]{{8}}$' THEN try_cast({dashed} AS date) END"
+    basic = f"CASE WHEN length({raw}) = 8 AND {raw} RLIKE '^[0-9]{{8}}' THEN try_cast({dashed} AS date) END"
     parsed = f"coalesce({iso_date(raw)}, {basic}, {_week_date(raw)})"
     return f"CASE WHEN {raw} >= '0001' THEN coalesce({parsed}, DATE'{fallback}') ELSE DATE'{fallback}' END"
 
@@ -80,12 +83,12 @@ def spine_per_source(silver: DataFrame) -> DataFrame:
 
 
 def missing_days(silver: DataFrame) -> DataFrame:
-    """Days without a row between each source's first and last day.
+    """Days without a row between each source's first and last day; NULL is a source as any other.
 
     One scan: the rows shrink to distinct (source, date) pairs before the first
     shuffle, and a window partition holds at most the days of the calendar.
     """
-    pairs = silver.where("source IS NOT NULL").select("source", "date").distinct()
+    pairs = silver.select("source", "date").distinct()
     following = "lead(date) OVER (PARTITION BY source ORDER BY date) AS following"
     gaps = pairs.selectExpr("source", "date", following).where("datediff(following, date) > 1")
     return gaps.selectExpr("source", "explode(sequence(date_add(date, 1), date_sub(following, 1))) AS date")

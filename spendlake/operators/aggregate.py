@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.functions.casts import rounded
-from spendlake.functions.cost import COST_PARTS, cost_parts, joined_cost
+from spendlake.functions.cost import cost_parts, joined_cost, summed_parts
 from spendlake.schemas import GOLD_TABLES, METRICS, RATIOS, gold_table
 
 COUNTERS = ("impressions", "clicks", "conversions")
@@ -43,7 +43,7 @@ def metric_parts(silver: DataFrame, keys: Sequence[str]) -> DataFrame:
 def sum_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add parts up to a coarser grain. A NULL key is a group of its own."""
     counters = [F.expr(f"coalesce(sum({c}), 0) AS {c}") for c in COUNTERS]
-    return parts.groupBy(*keys).agg(*counters, *[F.expr(f"sum({c}) AS {c}") for c in COST_PARTS])
+    return parts.groupBy(*keys).agg(*counters, *map(F.expr, summed_parts()))
 
 
 def with_ratios(totals: DataFrame) -> DataFrame:

@@ -28,8 +28,10 @@ _BLANKS = (
 
 
 def clean_source(source: str = "source") -> str:
+    """A name that is known as it stands is taken as it is; only others are trimmed and lowered."""
     blanks = "".join(f"\\u{point:04X}" for point in _BLANKS)
-    return f"lower(btrim({source}, '{blanks}'))"
+    known = ", ".join(map(repr, KNOWN_SOURCES))
+    return f"CASE WHEN {source} IN ({known}) THEN {source} ELSE lower(btrim({source}, '{blanks}')) END"
 
 
 def fits_contract() -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spendlake.functions.casts import rounded
 
+# Fixed value: hours after which a layer is stale.
 MAX_AGE_HOURS = 25
 LAYERS = ("bronze", "silver", "gold")
 

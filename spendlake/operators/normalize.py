@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from spendlake.errors import TransformationError
+from spendlake.errors import ReportLacksFields
 from spendlake.functions.casts import or_fail, quoted
 from spendlake.schemas import SILVER_COLUMNS
 from spendlake.sources.registry import SOURCES, SourceSpec
@@ -19,17 +19,24 @@ NAMES = ("campaign_name", "ad_group_name")
 
 def require_columns(raw: DataFrame, required: Iterable[str], spec: SourceSpec, source_file: str = "") -> None:
     """Fail at plan time if a raw column is missing; no job runs."""
-    missing = sorted(set(required) - set(raw.columns))
+    missing = set(required) - set(raw.columns)
     if missing:
-        raise TransformationError(f"{spec.name}: missing columns {missing}", spec.name, source_file)
+        raise ReportLacksFields(spec.name, list(missing), source_file)
 
 
-def _parsed(spec: SourceSpec, column: str) -> str:
+# Fixed value: what a text may look like to be read as a number. A cast alone also takes blanks around it and the
+# suffixes and hexadecimal forms of a Java literal.
+NUMBER = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def _parsed(spec: SourceSpec, column: str, frame: DataFrame) -> str:
     """One silver column from its raw column; NULL where the raw value does not parse.
 
     Fractional counts are truncated toward zero.
     """
     raw = f"`{spec.columns[column]}`"
+    if column not in ("date", *NAMES) and isinstance(frame.schema[spec.columns[column]].dataType, T.StringType):
+        raw = f"CASE WHEN NOT contains({raw}, chr(10)) AND {raw} RLIKE '{NUMBER}' THEN {raw} END"
     if column == "date":
         return spec.parse_date(raw)
     if column in NAMES:
@@ -50,7 +57,7 @@ def _always_parses(spec: SourceSpec, column: str, raw: DataFrame) -> bool:
 
 
 def _strict(spec: SourceSpec, column: str, raw: DataFrame) -> str:
-    parsed, name = _parsed(spec, column), spec.columns[column]
+    parsed, name = _parsed(spec, column, raw), spec.columns[column]
     return parsed if _always_parses(spec, column, raw) else or_fail(parsed, f"`{name}`", f"{spec.name}.{name}")
 
 
@@ -74,7 +81,7 @@ def normalize(raw: DataFrame, spec: SourceSpec, source_file: str, at: datetime)
 def normalize_lenient(raw: DataFrame, spec: SourceSpec, source_file: str, at: datetime) -> DataFrame:
     """As ``normalize``, but unreadable values become NULL and are named in ``unparsed``."""
     require_columns(raw, spec.required, spec, source_file)
-    measures = {c: _parsed(spec, c) for c in MEASURES}
+    measures = {c: _parsed(spec, c, raw) for c in MEASURES}
     silver = raw.selectExpr(
         *_silver(quoted(spec.name), measures, source_file, at),
         *[f"`{spec.columns[c]}` IS NOT NULL AS _has_{c}" for c in MEASURES],

@@ -6,8 +6,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-# The platforms every layer knows, in load order.
-KNOWN_SOURCES = ("google_ads", "meta_ads", "tiktok_ads")
+from spendlake.sources.registry import SOURCES
+
+# The platforms every layer knows, in load order.
+KNOWN_SOURCES = tuple(SOURCES)
+
+# The silver columns, and the gold tables' keys and orders further below.
 
 SILVER_SCHEMA = T.StructType(
     [

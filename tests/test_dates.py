@@ -58,7 +58,7 @@ def test_lenient_date_on_any_date(spark, days):
 
 
 def test_iso_date_is_strict(spark):
-    good, bad = ["2026-03-01", "2024-02-29"], ["2026-3-1", "2026-03-1T", "2026-03-01 ", "2026-02-30", "", None]
+    good, bad = ["2026-03-01", "2024-02-29"], ["2026-3-1", "2026-03-1T", "2026-03-01 ", "2026-02-30", "2026-03-01\n", "", None]
     assert apply(spark, iso_date("t"), good) == [date(2026, 3, 1), date(2024, 2, 29)]
     assert set(apply(spark, iso_date("t"), bad)) == {None}
 
@@ -100,7 +100,7 @@ def test_missing_days(silver):
     rows += [(date(2026, 3, d), "meta_ads", *row) for d in (3, 4)] + [(None, "meta_ads", *row)]
     rows += [(date(2026, 3, 1), None, *row), (date(2026, 3, 9), None, *row)]
     gaps = {(r.source, r.date.day) for r in missing_days(silver(rows)).collect()}
-    assert gaps == {("google_ads", 3), ("google_ads", 4)}
+    assert gaps == {("google_ads", 3), ("google_ads", 4)} | {(None, d) for d in range(2, 9)}
 
 
 def test_rounding_breaks_ties_to_even(spark):

@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+import math
 import random
 from datetime import date
-from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from spendlake.functions.cost import COST_PARTS
 from spendlake.operators import aggregate
@@ -83,7 +84,8 @@ def many(costs):
 def test_cost_sum_is_exact_in_any_order(silver):
     rng = random.Random(7)
     costs = [round(rng.uniform(-50, 100000), rng.choice([0, 2, 4, 6])) for _ in range(5000)]
-    exact = float(sum(Decimal(repr(c)) for c in costs))
+    costs += [4e-7] * 3 + [1e15 + 0.125, -3e-9, 1e-17, 2.5e17]
+    exact = math.fsum(costs)
     for parts in (1, 3, 8):
         rng.shuffle(costs)
         total = aggregate.source_comparison(silver(many(costs)).repartition(parts)).first().cost_brl
@@ -91,11 +93,28 @@ def test_cost_sum_is_exact_in_any_order(silver):
 
 
 def test_cost_beyond_exact_range(silver):
-    assert aggregate.source_comparison(silver(many([1.5, 4e15]))).first().cost_brl == 4e15 + 1.5
+    assert aggregate.source_comparison(silver(many([1.5, 4e15]))).first().cost_brl == math.fsum([1.5, 4e15])
     assert aggregate.source_comparison(silver(many([1.5, float("inf")]))).first().cost_brl == float("inf")
     nan = aggregate.source_comparison(silver(many([1.5, float("nan")]))).first().cost_brl
     assert nan != nan
-    assert aggregate.source_comparison(silver(many([0.1234567, 1.0]))).first().cost_brl == 1.123457
+    assert aggregate.source_comparison(silver(many([0.1234567, 1.0]))).first().cost_brl == 1.1234567
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_cost_of_very_many_rows(spark, silver, ansi):
+    """Small parts reach the total, large totals do not wrap, and what does not fit fails."""
+    one = silver().limit(1).drop("cost_brl").crossJoin(spark.range(1_000_000)).drop("id")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        total = lambda cost, n: aggregate.source_comparison(one.limit(n).withColumn("cost_brl", F.lit(cost))).first().cost_brl
+        assert total(4e-7, 1_000_000) == math.fsum([4e-7] * 1_000_000)
+        assert total(9e14, 20_000) == 1.8e19
+        with pytest.raises(Exception, match="out of range"):
+            total(9e29, 20_000)
+        with pytest.raises(Exception, match="out of range"):
+            total(1e30, 1)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 @pytest.mark.parametrize("table", GOLD_TABLES)

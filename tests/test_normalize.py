@@ -7,7 +7,7 @@ import pytest
 from conftest import AT
 from pyspark.sql import functions as F
 
-from spendlake.errors import TransformationError
+from spendlake.errors import ReportLacksFields
 from spendlake.operators.normalize import normalize, normalize_lenient, normalize_mixed
 from spendlake.operators.union import union_strict
 from spendlake.schemas import KNOWN_SOURCES, SILVER_COLUMNS, SILVER_SCHEMA
@@ -54,10 +54,10 @@ def test_values(raw, name, cost, impressions, clicks, conversions, campaigns, gr
 def test_missing_column_fails_without_a_job(raw, name):
     spec = SOURCES[name]
     for column in spec.required:
-        with pytest.raises(TransformationError) as caught:
+        with pytest.raises(ReportLacksFields) as caught:
             normalize(raw(name).drop(column), spec, "f.parquet", AT)
         assert column in str(caught.value)
-        assert (caught.value.source, caught.value.source_file) == (name, "f.parquet")
+        assert (caught.value.platform, caught.value.fields, caught.value.where) == (name, [column], "f.parquet")
 
 
 def test_extra_columns_are_dropped(raw):
@@ -80,6 +80,11 @@ def test_extra_columns_are_dropped(raw):
         ("tiktok_ads", {"stat_time": "yesterday"}),
         ("tiktok_ads", {"total_cost": "R$ 12"}),
         ("tiktok_ads", {"total_cost": ""}),
+        ("tiktok_ads", {"total_cost": "12.5d"}),
+        ("tiktok_ads", {"total_cost": "0x1p3"}),
+        ("tiktok_ads", {"total_cost": "12.5\n"}),
+        ("tiktok_ads", {"total_cost": " 12.5"}),
+        ("google_ads", {"date": "2026-03-01\n"}),
     ],
 )
 @pytest.mark.parametrize("ansi", ["true", "false"])
