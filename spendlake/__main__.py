@@ -12,8 +12,10 @@ from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from spendlake.errors import QualityGateError
+from spendlake.functions.dates import MAX_WINDOW_DAYS
 from spendlake.operators.freshness import overall_status
 from spendlake.operators.quality import gate, quality_failures, quality_summary
 from spendlake.plans.check import check, reports_by_source
@@ -21,9 +23,16 @@ from spendlake.plans.daily import run_daily
 from spendlake.plans.health import dataset_health, layer_health
 from spendlake.plans.ingest import ingest
 from spendlake.plans.refine import refine
+from spendlake.plans.relational import serve_relational
 from spendlake.plans.serve import serve_all
 from spendlake.plans.session import session
 from spendlake.plans.summarize import summarize_all
+from spendlake.schemas import ServedTypes
+
+
+def decimal(text: str) -> T.DecimalType:
+    precision, scale = map(int, text.split(","))
+    return T.DecimalType(precision, scale)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -47,12 +56,22 @@ def parser() -> argparse.ArgumentParser:
     ):
         sub.add_argument("--start-date", type=date.fromisoformat, default=today - timedelta(days=7))
         sub.add_argument("--end-date", type=date.fromisoformat, default=today)
-        sub.add_argument("--one-per-line", action="store_true", help="one JSON report per line")
+        sub.add_argument("--many-lines", action="store_true", help="files hold one small JSON report over many lines")
+        sub.add_argument("--max-days", type=int, default=MAX_WINDOW_DAYS, help="longest window; 0 for any")
     sub.add_argument("--gate", choices=("fail", "warn"), default="fail", help="what a failed quality rule does")
-    stage("refine", "bronze -> silver", bronze, silver)
+    daily = sub
+    refining = stage("refine", "bronze -> silver", bronze, silver)
+    refining.add_argument("--quarantine-path", default="storage/quarantine", help="where refused rows go")
+    for sub in (daily, refining):
+        sub.add_argument("--on-error", choices=("fail", "quarantine"), default="fail", help="for values that cannot be read")
+        sub.add_argument("--contract", action="store_true", help="set rows aside that break the row contract")
     stage("check", "quality rules on silver", silver)
     stage("summarize", "silver -> gold", silver, gold)
-    stage("serve", "gold -> served tables", gold, served)
+    serving = stage("serve", "gold -> served tables", gold, served)
+    serving.add_argument("--jdbc-url", help="load a relational store instead of served snapshots")
+    for sub in (daily, serving):
+        sub.add_argument("--money", type=decimal, default=ServedTypes().money, help="precision,scale of costs")
+        sub.add_argument("--ratio", type=decimal, default=ServedTypes().ratio, help="precision,scale of ratios")
     stage("health", "freshness of the layers", storage)
     return top
 
@@ -61,10 +80,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     """Run one stage; returns the exit code."""
     if args.stage == "ingest":
         window = (args.start_date, args.end_date)
-        ingest(spark, args.landing_path, args.bronze_path, window, one_per_line=args.one_per_line)
+        ingest(spark, args.landing_path, args.bronze_path, window, None, args.many_lines, args.max_days or None)
         return 0
     if args.stage == "refine":
-        refine(spark, args.bronze_path, args.silver_path)
+        aside = args.quarantine_path if args.on_error == "quarantine" or args.contract else None
+        refine(spark, args.bronze_path, args.silver_path, None, aside, args.contract)
         return 0
     if args.stage == "check":
         reports = reports_by_source(check(spark, args.silver_path))
@@ -75,7 +95,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.stage == "summarize":
         return int(None in summarize_all(spark, args.silver_path, args.gold_path).values())
     if args.stage == "serve":
-        return int(None in serve_all(spark, args.gold_path, args.served_path).values())
+        types = ServedTypes(args.money, args.ratio)
+        if args.jdbc_url:
+            return int(None in serve_relational(spark, args.gold_path, args.jdbc_url, types=types).values())
+        return int(None in serve_all(spark, args.gold_path, args.served_path, types=types).values())
     if args.stage == "health":
         layers = layer_health(spark, args.storage_path)
         layers.show(truncate=False)
@@ -85,7 +108,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         return int(overall_status(layers).first().status != "healthy")
     try:
         window = (args.start_date, args.end_date)
-        run_daily(spark, args.landing_path, args.storage_path, window, args.gate, one_per_line=args.one_per_line)
+        run_daily(
+            spark,
+            args.landing_path,
+            args.storage_path,
+            window,
+            args.gate,
+            many_lines=args.many_lines,
+            types=ServedTypes(args.money, args.ratio),
+            max_days=args.max_days or None,
+            quarantine=args.on_error == "quarantine",
+            contract=args.contract,
+        )
     except (QualityGateError, RuntimeError) as error:
         logging.getLogger("spendlake").error("%s", error)
         return 1

@@ -17,20 +17,32 @@ def empty_served(spark: SparkSession, table: str, types: ServedTypes = ServedTyp
     return spark.createDataFrame([], served_schema(table, types))
 
 
+def _served_key(field: T.StructField, gold: DataFrame) -> tuple[str, str]:
+    """A key column and the condition that it can be served. A key that has its type already stays as it is, so that
+    what it is partitioned by is known further on."""
+    name, limit = field.name, SERVED_TEXT_LENGTH.get(field.name)
+    value = name if gold.schema[name].dataType == field.dataType else f"cast({name} AS {field.dataType.simpleString()})"
+    failing = f"CASE WHEN {name} IS NULL THEN raise_error('served {name} is null')"
+    if limit is not None:
+        failing += f" WHEN length({name}) > {limit} THEN raise_error('served {name} (at most {limit} characters)')"
+    return f"{value} AS {name}", f"{failing} ELSE true END"
+
+
 def _served_value(field: T.StructField) -> str:
     name, kind = field.name, field.dataType.simpleString()
     value = f"try_cast({name} AS {kind})"
-    limit = SERVED_TEXT_LENGTH.get(name)
-    if limit is not None:
-        value = f"CASE WHEN length({name}) <= {limit} THEN {name} END"
-        kind = f"at most {limit} characters"
     failing = or_fail(value, name, f"served {name} ({kind})")
-    return f"coalesce({failing}, raise_error('served {name} is null')) AS {name}"
+    return f"coalesce({failing}, raise_error('served {name} is null'))"
 
 
 def as_served(gold: DataFrame, table: str, types: ServedTypes = ServedTypes()) -> DataFrame:
     """Gold rows in the served types. NULL, overflow and overlong text fail the job."""
-    return gold.selectExpr(*[_served_value(f) for f in served_schema(table, types).fields[:-1]])
+    fields = {f.name: f for f in served_schema(table, types).fields[:-1]}
+    keys, checks = zip(*[_served_key(fields[k], gold) for k in gold_table(table).keys])
+    # The keys are checked along with the first value, which leaves them bare.
+    first, *rest = [(f.name, _served_value(f)) for f in fields.values() if f.name not in gold_table(table).keys]
+    checked = f"CASE WHEN {' AND '.join(checks)} THEN {first[1]} END AS {first[0]}"
+    return gold.selectExpr(*keys, checked, *[f"{value} AS {name}" for name, value in rest])
 
 
 def one_per_key(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.operators.quality import REPORT_SCHEMA, quality_report, unreadable_report
-from spendlake.plans.isolate import each
+from spendlake.plans.isolate import Results, each
 from spendlake.schemas import KNOWN_SOURCES
 from spendlake.sources.snapshots import latest_snapshot, read_snapshot
 
@@ -26,7 +26,7 @@ def check_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
-def check(spark: SparkSession, silver_root: str) -> dict[str, DataFrame | None]:
+def check(spark: SparkSession, silver_root: str) -> Results[DataFrame]:
     """Reports of every platform's latest silver snapshot; None where there is none."""
 
     def report(name: str) -> DataFrame | None:

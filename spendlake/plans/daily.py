@@ -9,6 +9,7 @@ from datetime import date, datetime
 
 from pyspark.sql import SparkSession
 
+from spendlake.functions.dates import MAX_WINDOW_DAYS
 from spendlake.operators.quality import gate, quality_summary
 from spendlake.plans.check import check, reports_by_source
 from spendlake.plans.ingest import ingest
@@ -33,14 +34,18 @@ def run_daily(
     window: tuple[date, date] | None = None,
     gate_mode: str = "fail",
     at: datetime | None = None,
-    one_per_line: bool = False,
+    many_lines: bool = False,
     types: ServedTypes = ServedTypes(),
+    max_days: int | None = MAX_WINDOW_DAYS,
+    quarantine: bool = False,
+    contract: bool = False,
 ) -> RunResult:
     """Run all stages in order; each finds its input on storage.
 
     A platform or table that fails does not stop the others. The run stops at a
     failed quality gate unless ``gate_mode`` is "warn", and when no gold table
-    could be written or loaded.
+    could be written or loaded. ``quarantine`` sets rows aside that cannot be read, and ``contract`` those that
+    break the row contract, below ``{storage_root}/quarantine``.
     """
     at = at or datetime.now()
     roots = {layer: f"{storage_root.rstrip('/')}/{layer}" for layer in ("bronze", "silver", "gold", "served")}
@@ -52,8 +57,9 @@ def run_daily(
         seconds = time.monotonic() - started
         append_run(spark, f"{storage_root.rstrip('/')}/run_log", name, result.stages[name], seconds, at)
 
-    stage("ingest", lambda: ingest(spark, landing_root, roots["bronze"], window, at, one_per_line))
-    stage("refine", lambda: refine(spark, roots["bronze"], roots["silver"], at))
+    aside = f"{storage_root.rstrip('/')}/quarantine" if quarantine or contract else None
+    stage("ingest", lambda: ingest(spark, landing_root, roots["bronze"], window, at, many_lines, max_days))
+    stage("refine", lambda: refine(spark, roots["bronze"], roots["silver"], at, aside, contract))
 
     reports = reports_by_source(check(spark, roots["silver"]))
     if reports is not None:

@@ -9,27 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.operators.freshness import LAYERS, freshness, list_files, with_missing_layers
+from spendlake.sources.snapshots import file_system, latest_snapshot
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+def _datasets(spark: SparkSession, folder: str) -> list[str]:
+    fs, path = file_system(spark, folder)
+    return sorted(e.getPath().getName() for e in fs.listStatus(path) if e.isDirectory()) if fs.exists(path) else []
 
 
 def layer_files(spark: SparkSession, storage_root: str) -> DataFrame | None:
-    """The Parquet files of all layers, with their layer and dataset."""
-    folders = {layer: f"{storage_root.rstrip('/')}/{layer}" for layer in LAYERS}
-    frames = [
-        list_files(spark, folder).select(
-            F.lit(layer).alias("layer"),
-            F.regexp_extract("path", rf"/{layer}/([^/]+)/", 1).alias("dataset"),
-            "path",
-            "modified_at",
-            "bytes",
-        )
-        for layer, folder in folders.items()
-        if _exists(spark, folder)
-    ]
+    """The Parquet files of each dataset's latest snapshot, with their layer and dataset.
+
+    Of the older snapshots only the names are listed.
+    """
+    frames = []
+    for layer in LAYERS:
+        root = f"{storage_root.rstrip('/')}/{layer}"
+        for dataset in _datasets(spark, root):
+            path = latest_snapshot(spark, root, dataset)
+            if path is not None:
+                names = F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset")
+                frames.append(list_files(spark, path).select(*names, "path", "modified_at", "bytes"))
     return reduce(DataFrame.unionByName, frames) if frames else None
 
 

@@ -6,12 +6,12 @@ from datetime import date, datetime
 
 from pyspark.sql import SparkSession
 
-from spendlake.functions.dates import check_window, date_window
-from spendlake.plans.isolate import each
+from spendlake.functions.dates import MAX_WINDOW_DAYS, check_window, date_window
+from spendlake.plans.isolate import Results, each
 from spendlake.schemas import KNOWN_SOURCES
 from spendlake.sources.landing import read_envelopes, unnest_envelope, with_ingest_columns
 from spendlake.sources.registry import source_spec
-from spendlake.sources.snapshots import Written, write_snapshot
+from spendlake.sources.snapshots import Written, latest_snapshot, write_snapshot
 
 
 def ingest(
@@ -20,23 +20,26 @@ def ingest(
     bronze_root: str,
     window: tuple[date, date] | None = None,
     at: datetime | None = None,
-    one_per_line: bool = False,
-) -> dict[str, Written | None]:
-    """Land every platform's reports under ``{landing_root}/{source}`` as a bronze snapshot.
+    many_lines: bool = False,
+    max_days: int | None = MAX_WINDOW_DAYS,
+) -> Results[Written]:
+    """Write the records of every platform's newest finished landing run as a bronze snapshot.
 
-    ``window`` keeps the days in it, both ends included. A platform without
-    records, or whose reports cannot be read, yields None.
+    ``window`` keeps the days in it, both ends included; it spans ``max_days`` at most, any number if None. A platform
+    without a run or records, or whose reports cannot be read, yields None.
     """
     if window is not None:
-        check_window(*window)
+        check_window(*window, max_days)
     at = at or datetime.now()
 
     def land(name: str) -> Written | None:
         spec = source_spec(name)
-        envelopes = read_envelopes(spark, spec, f"{landing_root.rstrip('/')}/{name}", one_per_line)
-        rows = unnest_envelope(envelopes, spec)
+        run = latest_snapshot(spark, landing_root, name, kind="landed")
+        if run is None:
+            return None
+        rows = unnest_envelope(read_envelopes(spark, spec, run, many_lines), spec)
         if window is not None:
-            rows = date_window(rows, *window, day=spec.parse_date(spec.columns["date"]))
+            rows = date_window(rows, *window, day=spec.parse_date(spec.columns["date"]), max_days=max_days)
         return write_snapshot(with_ingest_columns(rows, spec, at.date()), bronze_root, name, at)
 
     return each(spark, "ingest", KNOWN_SOURCES, land)

@@ -7,12 +7,16 @@ into the served table in a single transaction.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from spendlake.operators.merge import as_served, one_per_key
+from spendlake.plans.isolate import Results, each
 from spendlake.plans.serve import served_name
-from spendlake.schemas import SERVED_TEXT_LENGTH, ServedTypes, gold_table, served_schema
+from spendlake.schemas import GOLD_TABLES, SERVED_TEXT_LENGTH, ServedTypes, gold_table, served_schema
+from spendlake.sources.snapshots import latest_snapshot, read_snapshot
 
 
 def _sql_type(field: T.StructField) -> str:
@@ -69,14 +73,36 @@ def _in_one_transaction(
 
 
 def upsert_relational(
-    batch: DataFrame, table: str, url: str, properties: dict[str, str], types: ServedTypes = ServedTypes()
+    batch: DataFrame,
+    table: str,
+    url: str,
+    properties: dict[str, str],
+    types: ServedTypes = ServedTypes(),
+    connections: int = 16,
 ) -> int:
     """Merge ``batch`` into the store's served table; returns the number of merged rows.
 
-    Staging replaces whatever an earlier, failed load left there, so the call can
-    simply be repeated.
+    Each load has a staging table of its own, so loads of one table do not mix, and
+    a failed one can simply be repeated. ``connections`` bounds how many tasks write at once.
     """
-    spark, staging = batch.sparkSession, f"{served_name(table)}_staging"
-    staged_rows(batch, table, types).write.jdbc(url, staging, mode="overwrite", properties=properties)
+    spark, staging = batch.sparkSession, f"{served_name(table)}_staging_{uuid.uuid4().hex[:12]}"
+    rows, settings = staged_rows(batch, table, types), properties | {"numPartitions": str(connections)}
+    rows.write.jdbc(url, staging, mode="error", properties=settings)
     statements = [create_statement(table, types), merge_statement(table, staging), f"DROP TABLE {staging}"]
     return _in_one_transaction(spark, url, properties, statements)[1]
+
+
+def serve_relational(
+    spark: SparkSession,
+    gold_root: str,
+    url: str,
+    properties: dict[str, str] | None = None,
+    types: ServedTypes = ServedTypes(),
+) -> Results[int]:
+    """Load every table's latest gold snapshot into the store; None where there is none or the load failed."""
+
+    def load(table: str) -> int | None:
+        path = latest_snapshot(spark, gold_root, table)
+        return upsert_relational(read_snapshot(spark, path), table, url, properties or {}, types) if path else None
+
+    return each(spark, "serve", GOLD_TABLES, load)

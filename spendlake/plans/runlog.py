@@ -23,6 +23,7 @@ RUN_LOG_SCHEMA = T.StructType(
         T.StructField("items_failed", T.LongType(), False),
         T.StructField("rows_total", T.LongType(), False),
         T.StructField("duration_seconds", T.DoubleType(), False),
+        T.StructField("error", T.StringType()),
     ]
 )
 
@@ -35,7 +36,8 @@ def append_run(
     seconds: float,
     run_at: datetime,
 ) -> None:
-    """Append one row per item of a finished stage."""
+    """Append one row per item of a finished stage: ok, failed with its error, or skipped for want of input."""
+    errors, skipped = getattr(results, "errors", {}), getattr(results, "skipped", {})
     counts = {
         item: result.rows if isinstance(result, Written) else result for item, result in results.items()
     }
@@ -45,13 +47,14 @@ def append_run(
             run_at,
             stage,
             item,
-            "failed" if result is None else "ok",
+            "ok" if result is not None else "skipped" if item in skipped else "failed",
             counts[item],
             result.path if isinstance(result, Written) else None,
             len(done),
             len(counts) - len(done),
             sum(done),
             round(seconds, 2),
+            errors.get(item) or skipped.get(item),
         )
         for item, result in results.items()
     ]

@@ -7,9 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlake.operators.merge import empty_served, merge
-from spendlake.plans.isolate import each
+from spendlake.plans.isolate import Results, each
 from spendlake.schemas import GOLD_TABLES, ServedTypes, gold_table, served_schema
-from spendlake.sources.snapshots import latest_snapshot, read_snapshot, write_rows
+from spendlake.sources.snapshots import latest_snapshot, read_snapshot, write_snapshot
 
 
 def served_name(table: str) -> str:
@@ -44,7 +44,7 @@ def upsert(
         return 0
     at = at or datetime.now()
     merged = merge(served(spark, serve_root, table, types), batch, table, at, types)
-    write_rows(merged, serve_root, served_name(table), at, mode="error")
+    write_snapshot(merged, serve_root, served_name(table), at)
     return rows
 
 
@@ -54,7 +54,7 @@ def serve_all(
     serve_root: str,
     at: datetime | None = None,
     types: ServedTypes = ServedTypes(),
-) -> dict[str, int | None]:
+) -> Results[int]:
     """Load every table's latest gold snapshot; None where there is none or the load failed."""
 
     def load(table: str) -> int | None:

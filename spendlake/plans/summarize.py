@@ -8,16 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendlake.operators.aggregate import finish, in_order, metric_parts, shared_grain, sum_parts
 from spendlake.operators.union import union_strict
-from spendlake.plans.isolate import each, log
+from spendlake.plans.isolate import Results, each, log
 from spendlake.schemas import GOLD_TABLES, KNOWN_SOURCES, METRICS
-from spendlake.sources.scratch import scratch_path
-from spendlake.sources.snapshots import (
-    Written,
-    latest_snapshot,
-    read_snapshot,
-    remove_path,
-    write_rows,
-)
+from spendlake.sources.scratch import remove_path, scratch_path
+from spendlake.sources.snapshots import Written, latest_snapshot, read_snapshot, write_snapshot
 
 
 def latest_silver(spark: SparkSession, silver_root: str) -> DataFrame | None:
@@ -40,34 +34,37 @@ def roll_up(spark: SparkSession, silver: DataFrame) -> tuple[dict[str, DataFrame
         raise ValueError("silver lacks the columns of every gold table")
     grain = shared_grain(possible)
     path = scratch_path(spark, "totals")
-    sum_parts(metric_parts(silver, grain), grain).write.parquet(path)
-    totals = spark.read.parquet(path)
-    tables = {t: finish(sum_parts(totals, GOLD_TABLES[t].keys), t) for t in possible}
-    return {t: in_order(gold, t) for t, gold in tables.items()}, path
+    try:
+        sum_parts(metric_parts(silver, grain), grain).write.parquet(path)
+        totals = spark.read.parquet(path)
+        tables = {t: finish(sum_parts(totals, GOLD_TABLES[t].keys), t) for t in possible}
+        return {t: in_order(gold, t) for t, gold in tables.items()}, path
+    except Exception:
+        remove_path(spark, path)
+        raise
 
 
 def summarize_all(
     spark: SparkSession, silver_root: str, gold_root: str, at: datetime | None = None
-) -> dict[str, Written | None]:
+) -> Results[Written]:
     """Write the three gold tables; None for a table that failed, for all without silver."""
     at = at or datetime.now()
-    nothing: dict[str, Written | None] = dict.fromkeys(GOLD_TABLES)
-    scratch = None
     try:
         silver = latest_silver(spark, silver_root)
-        if silver is None or silver.isEmpty():
+        if silver is None:
             log.error("summarize | no silver rows below %s", silver_root)
-            return nothing
+            return Results(dict.fromkeys(GOLD_TABLES), skipped=dict.fromkeys(GOLD_TABLES, "no silver"))
         tables, scratch = roll_up(spark, silver)
     except Exception as error:  # no table can be built
         log.error("summarize | failed: %s", error)
-        return nothing
+        return Results(dict.fromkeys(GOLD_TABLES), errors=dict.fromkeys(GOLD_TABLES, str(error).split("\n\tat ")[0]))
 
     def write(table: str) -> Written | None:
         if table not in tables:
             raise ValueError(f"silver lacks columns for {table}")
-        return write_rows(tables[table], gold_root, table, at)  # silver has rows, so has every table
+        return write_snapshot(tables[table], gold_root, table, at)
 
-    written = each(spark, "summarize", GOLD_TABLES, write)
-    remove_path(spark, scratch)
-    return written
+    try:
+        return each(spark, "summarize", GOLD_TABLES, write)
+    finally:
+        remove_path(spark, scratch)

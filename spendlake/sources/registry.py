@@ -30,15 +30,20 @@ class SourceSpec:
     def required(self) -> list[str]:
         return list(self.columns.values())
 
-    def envelope_schema(self, extra_fields: tuple[T.StructField, ...] = ()) -> T.StructType:
-        """Schema of the JSON report; ``extra_fields`` keeps raw fields the spec does not know."""
-        row = T.StructType(self.raw_schema.fields + list(extra_fields))
+    @property
+    def landed_schema(self) -> T.StructType:
+        """The raw columns as they are read from JSON: a count may come with a fraction."""
+        kinds = [T.DoubleType() if f.dataType == T.LongType() else f.dataType for f in self.raw_schema.fields]
+        return T.StructType([T.StructField(f.name, k) for f, k in zip(self.raw_schema.fields, kinds)])
+
+    def envelope_schema(self) -> T.StructType:
+        """Schema of the JSON report; its records are kept as text."""
         texts = [T.StructField(c, T.StringType()) for c in ("source", *self.envelope_extra)]
         return T.StructType(
             texts
             + [
                 T.StructField("total_rows", T.LongType()),
-                T.StructField(self.envelope_key, T.ArrayType(row)),
+                T.StructField(self.envelope_key, T.ArrayType(T.StringType())),
             ]
         )
 

@@ -6,7 +6,6 @@ read as snapshots too.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -14,10 +13,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendlake.errors import NothingToWrite
 from spendlake.schemas import GOLD_TABLES
+from spendlake.sources.scratch import remove_path
 
 STAMP_FORMAT = "%Y%m%d_%H%M%S"
-_FOLDER = re.compile(r"^snapshot=(.+)$")
 
 
 @dataclass(frozen=True)
@@ -36,66 +36,69 @@ def snapshot_path(root: str, name: str, at: datetime | None = None) -> str:
     return f"{root.rstrip('/')}/{name}/snapshot={stamp(at)}"
 
 
-def write_snapshot(
-    df: DataFrame, root: str, name: str, at: datetime | None = None, mode: str = "overwrite"
-) -> Written:
-    """Write ``df`` as a new snapshot; an empty frame is refused.
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
-    The check costs one partition of a narrow frame, but the whole shuffle of a
-    wide one: where rows are known to exist, use ``write_rows``.
+
+def _free_path(spark: SparkSession, path: str) -> str:
+    """The path or, where there is something already, the next one that sorts behind it."""
+    for attempt in range(1, 100):
+        free = path if attempt == 1 else f"{path}_{attempt:02d}"
+        fs, target = file_system(spark, free)
+        if not fs.exists(target):
+            return free
+    raise RuntimeError(f"99 snapshots begin with {path}")
+
+
+def write_snapshot(df: DataFrame, root: str, name: str, at: datetime | None = None) -> Written:
+    """Write ``df`` as a new snapshot, in one pass over it.
+
+    The write counts the rows, and only then the snapshot gets its commit marker; one without rows is removed and
+    the call fails. A snapshot is never overwritten: a second one of the same second, or after a run that died, gets a
+    name that sorts behind the first.
     """
-    _refuse_empty(df, name)
-    return write_rows(df, root, name, at, mode)
+    spark = df.sparkSession
+    path = _free_path(spark, snapshot_path(root, name, at))
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    observed.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").mode("error").parquet(path)
+    rows = seen.get["rows"]
+    if not rows:
+        remove_path(spark, path)
+        raise NothingToWrite(f"nothing to write for {name!r}: the frame is empty")
+    fs, marker = file_system(spark, f"{path}/_SUCCESS")
+    fs.create(marker).close()
+    return Written(path, rows)
 
 
 def write_gold_snapshot(df: DataFrame, root: str, table: str, at: datetime | None = None) -> Written:
     """As ``write_snapshot``, for the known gold tables only."""
-    _refuse_empty(df, table)
     if table not in GOLD_TABLES:
         raise ValueError(f"unknown gold table {table!r}; expected one of {list(GOLD_TABLES)}")
-    return write_rows(df, root, table, at)
+    return write_snapshot(df, root, table, at)
 
 
-def _refuse_empty(df: DataFrame, name: str) -> None:
-    if df.isEmpty():
-        raise ValueError(f"nothing to write for {name!r}: the frame is empty")
-
-
-def write_rows(
-    df: DataFrame, root: str, name: str, at: datetime | None = None, mode: str = "overwrite"
-) -> Written:
-    """Write ``df`` as a new snapshot without a check; the write itself counts the rows.
-
-    A second snapshot in the same second replaces the first, unless ``mode`` is "error".
-    """
-    path = snapshot_path(root, name, at)
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
-    return Written(path, seen.get["rows"])
-
-
-def latest_snapshot(spark: SparkSession, root: str, name: str) -> str | None:
-    """Path of the snapshot with the greatest name, or None.
+def latest_snapshot(spark: SparkSession, root: str, name: str, kind: str = "snapshot") -> str | None:
+    """Path of the snapshot (or the landing run, ``kind="landed"``) with the greatest name, or None.
 
     Only committed snapshots count: Spark leaves ``_SUCCESS`` behind a finished
     write, so a folder without it belongs to a job that is running or has died.
     """
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, folder = file_system(spark, f"{root.rstrip('/')}/{name}")
     if not fs.exists(folder):
         return None
     found: dict[str, tuple[str, bool]] = {}  # file name it stands for -> (path, is a folder of ours)
     for entry in fs.listStatus(folder):
         path, label = entry.getPath().toString(), entry.getPath().getName()
-        match = _FOLDER.match(label)
-        if match:
-            found[f"{name}_{match.group(1)}.parquet"] = (path, True)
-        elif label.endswith(".parquet"):
+        if label.startswith(f"{kind}="):
+            found[f"{name}_{label.removeprefix(f'{kind}=')}.parquet"] = (path, True)
+        elif label.endswith(".parquet") and kind == "snapshot":
             found[label] = (path, False)
     for label in sorted(found, reverse=True):
         path, ours = found[label]
-        if not ours or fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+        if not ours or fs.exists(file_system(spark, f"{path}/_SUCCESS")[1]):
             return path
     return None
 
@@ -103,19 +106,3 @@ def latest_snapshot(spark: SparkSession, root: str, name: str) -> str | None:
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
-
-
-def latest_rows(df: DataFrame, snapshot: str) -> DataFrame:
-    """Rows of the greatest ``snapshot`` value, for data kept as one table.
-
-    The maximum is a scalar subquery over that one column, so it prunes
-    partitions, or is pushed to Parquet, when the main scan starts.
-    """
-    return df.where(F.col(snapshot) == df.select(F.max(snapshot)).scalar())
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a scratch table this library wrote."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-

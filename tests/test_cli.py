@@ -38,7 +38,7 @@ def test_failures_set_the_exit_code(spark, root):
 def test_daily(spark, root, mode, code):
     for name in KNOWN_SOURCES:
         landing = land(root, name)
-    land(root, "meta_ads", spend=-5.0)
+    land(root, "meta_ads", spend=-5.0, run="20260312_093000")
     args = ("--landing-path", landing, "--storage-path", f"{root}/store", "--gate", mode, *WINDOW)
     assert call(spark, "daily", *args) == code
 

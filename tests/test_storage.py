@@ -16,26 +16,28 @@ from spendlake.plans.check import check, reports_by_source
 from spendlake.plans.daily import run_daily
 from spendlake.plans.health import dataset_health, layer_health
 from spendlake.plans.ingest import ingest
+from spendlake.plans.isolate import Results
 from spendlake.plans.refine import refine
 from spendlake.plans.runlog import append_run, output_info
 from spendlake.plans.serve import serve_all, served, upsert
 from spendlake.plans.summarize import latest_silver, summarize_all
 from spendlake.schemas import GOLD_TABLES, KNOWN_SOURCES, ServedTypes
-from spendlake.sources.landing import read_envelopes, unnest_envelope, with_ingest_columns
+from spendlake.sources.landing import RECORD_COLUMNS, read_envelopes, unnest_envelope, with_ingest_columns
 from spendlake.sources.registry import SOURCES
 from spendlake.sources.scratch import scratch_path
-from spendlake.sources.snapshots import latest_rows, latest_snapshot, write_gold_snapshot, write_snapshot
+from spendlake.sources.snapshots import latest_snapshot, write_gold_snapshot, write_snapshot
 
 LATER = AT + timedelta(days=1)
 
 
-def land(root, name, rows=None, key=None, file="report.json", **changes):
+def land(root, name, rows=None, key=None, file="report.json", run="20260312_090000", **changes):
     spec = SOURCES[name]
     records = [dict(zip(spec.raw_schema.names, r)) | changes for r in (RAW_ROWS[name] if rows is None else rows)]
     envelope = {"source": name, "total_rows": len(records), key or spec.envelope_key: records}
-    folder = Path(root) / "landing" / name
+    folder = Path(root) / "landing" / name / f"landed={run}"
     folder.mkdir(parents=True, exist_ok=True)
-    (folder / file).write_text(json.dumps(envelope, indent=1))
+    (folder / file).write_text(json.dumps(envelope))
+    (folder / "_SUCCESS").touch()
     return f"{root}/landing"
 
 
@@ -46,8 +48,8 @@ def land(root, name, rows=None, key=None, file="report.json", **changes):
 def test_envelope_is_unnested(spark, root, name):
     landing = land(root, name)
     rows = unnest_envelope(read_envelopes(spark, SOURCES[name], f"{landing}/{name}"), SOURCES[name])
-    assert rows.schema == SOURCES[name].raw_schema
-    assert [tuple(r) for r in rows.collect()] == RAW_ROWS[name]
+    assert rows.columns == [*SOURCES[name].raw_schema.names, *RECORD_COLUMNS]
+    assert [tuple(r)[:-2] for r in rows.collect()] == RAW_ROWS[name]
     tagged = with_ingest_columns(rows, SOURCES[name], date(2026, 3, 12)).first()
     assert (tagged._source, tagged._ingested_at) == (name, "2026-03-12")
 
@@ -58,20 +60,57 @@ def test_missing_array_gives_no_rows(spark, root):
     assert unnest_envelope(read_envelopes(spark, spec, f"{landing}/google_ads"), spec).count() == 0
 
 
-def test_one_envelope_per_line(spark, tmp_path):
+def test_envelopes_per_line_and_per_file(spark, tmp_path):
     spec = SOURCES["meta_ads"]
     record = dict(zip(spec.raw_schema.names, RAW_ROWS["meta_ads"][0]))
     lines = [json.dumps({"source": "meta_ads", "data": [record] * n}) for n in (1, 0, 3)]
     (tmp_path / "r.jsonl").write_text("\n".join(lines))
-    assert unnest_envelope(read_envelopes(spark, spec, str(tmp_path), one_per_line=True), spec).count() == 4
+    assert unnest_envelope(read_envelopes(spark, spec, str(tmp_path)), spec).count() == 4
+    whole = tmp_path / "whole"
+    whole.mkdir()
+    (whole / "r.json").write_text(json.dumps({"source": "meta_ads", "data": [record] * 2}, indent=1))
+    assert unnest_envelope(read_envelopes(spark, spec, str(whole), many_lines=True), spec).count() == 2
 
 
-def test_unknown_fields_can_be_kept(spark, root):
-    landing = land(root, "google_ads", device="phone")
-    spec = SOURCES["google_ads"]
-    extra = (T.StructField("device", T.StringType()),)
-    rows = unnest_envelope(read_envelopes(spark, spec, f"{landing}/google_ads", extra_fields=extra), spec)
-    assert {r.device for r in rows.collect()} == {"phone"}
+def test_records_are_kept_as_they_came(spark, root):
+    landing = land(root, "google_ads", device={"kind": "phone", "n": [1, 2]})
+    results = ingest(spark, landing, f"{root}/bronze", at=AT)
+    for r in spark.read.parquet(results["google_ads"].path).collect():
+        assert json.loads(r._record)["device"] == {"kind": "phone", "n": [1, 2]}
+        assert "device" in r._fields and r.clicks == json.loads(r._record)["clicks"]
+
+
+def test_field_that_never_occurs_fails_its_platform(spark, root):
+    names = [n for n in SOURCES["google_ads"].raw_schema.names if n != "cost_micros"]
+    rows = [dict(zip(SOURCES["google_ads"].raw_schema.names, r)) for r in RAW_ROWS["google_ads"]]
+    folder = Path(root) / "landing" / "google_ads" / "landed=20260312_090000"
+    folder.mkdir(parents=True)
+    (folder / "r.json").write_text(json.dumps({"rows": [{n: r[n] for n in names} for r in rows]}))
+    (folder / "_SUCCESS").touch()
+    land(root, "meta_ads", results=None)  # there, though null
+    assert ingest(spark, f"{root}/landing", f"{root}/bronze", at=AT)["google_ads"].rows == len(rows)
+    results = refine(spark, f"{root}/bronze", f"{root}/silver", AT)
+    assert results["google_ads"] is None and "cost_micros" in results.errors["google_ads"]
+    assert results["meta_ads"].rows == len(RAW_ROWS["meta_ads"])
+    with pytest.raises(RuntimeError, match="cost_micros"):
+        results.complete()
+
+
+def test_fractional_counts_are_truncated_in_silver(spark, root):
+    landing = land(root, "meta_ads", results=2.5)
+    ingest(spark, landing, f"{root}/bronze", at=AT)
+    refine(spark, f"{root}/bronze", f"{root}/silver", AT)
+    assert {r.conversions for r in latest_silver(spark, f"{root}/silver").collect()} == {2}
+
+
+def test_newest_finished_landing_run_is_read(spark, root):
+    land(root, "google_ads", clicks=100)
+    landing = land(root, "google_ads", clicks=110, run="20260313_090000")
+    land(root, "google_ads", clicks=999, run="20260314_090000")
+    (Path(landing) / "google_ads" / "landed=20260314_090000" / "_SUCCESS").unlink()
+    results = ingest(spark, landing, f"{root}/bronze", at=AT)
+    assert {r.clicks for r in spark.read.parquet(results["google_ads"].path).collect()} == {110}
+    assert results.skipped == {"meta_ads": "no input", "tiktok_ads": "no input"}
 
 
 def test_ingest_isolates_sources(spark, root):
@@ -83,7 +122,8 @@ def test_ingest_isolates_sources(spark, root):
     assert results["google_ads"].path.endswith("google_ads/snapshot=20260312_100000")
     assert results["meta_ads"] is None and results["tiktok_ads"] is None
     bronze = spark.read.parquet(results["google_ads"].path)
-    assert bronze.columns == [*SOURCES["google_ads"].raw_schema.names, "_source", "_ingested_at"]
+    assert bronze.columns == [*SOURCES["google_ads"].raw_schema.names, *RECORD_COLUMNS, "_source", "_ingested_at"]
+    assert list(results.skipped) == ["meta_ads"] and list(results.errors) == ["tiktok_ads"]
 
 
 def test_ingest_window(spark, root):
@@ -96,6 +136,8 @@ def test_ingest_window(spark, root):
         ingest(spark, landing, f"{root}/bronze", window=(day, day - timedelta(days=1)))
     with pytest.raises(ValueError):
         ingest(spark, landing, f"{root}/bronze", window=(day, day + timedelta(days=91)))
+    long = ingest(spark, landing, f"{root}/bronze", window=(day, day + timedelta(days=400)), at=AT, max_days=None)
+    assert {r.rows for r in long.values()} == {1}
 
 
 # --- snapshots -------------------------------------------------------------
@@ -131,21 +173,22 @@ def test_single_files_are_snapshots_too(spark, silver, tmp_path):
 def test_empty_and_unknown_are_refused(silver, root):
     with pytest.raises(ValueError, match="empty"):
         write_snapshot(silver([]), root, "google_ads")
-    with pytest.raises(ValueError, match="empty"):
-        write_gold_snapshot(silver([]), root, "other")
     with pytest.raises(ValueError, match="unknown gold table"):
         write_gold_snapshot(silver(), root, "other")
 
 
-def test_same_second_replaces(spark, silver, root):
-    write_snapshot(silver(), root, "google_ads", AT)
+def test_same_second_adds(spark, silver, root):
+    first = write_snapshot(silver(), root, "google_ads", AT)
     again = write_snapshot(silver().limit(1), root, "google_ads", AT)
     assert again.rows == 1 and spark.read.parquet(again.path).count() == 1
+    assert spark.read.parquet(first.path).count() == silver().count()
+    assert latest_snapshot(spark, root, "google_ads").endswith(again.path.split("/")[-1])
 
 
-def test_latest_rows(silver):
-    rows = latest_rows(silver(), "date").collect()
-    assert len(rows) == 2 and {r.date for r in rows} == {date(2026, 3, 2)}
+def test_nothing_is_left_of_an_empty_snapshot(spark, silver, tmp_path):
+    with pytest.raises(ValueError, match="empty"):
+        write_snapshot(silver([]), str(tmp_path), "google_ads", AT)
+    assert not list((tmp_path / "google_ads").iterdir())
 
 
 def test_scratch_uses_the_shared_folder(spark):
@@ -172,6 +215,17 @@ def test_refine(spark, raw, root):
     assert files["meta_ads"].endswith("bronze/meta_ads/snapshot=20260312_100000")
 
 
+def test_refine_can_set_rows_aside(spark, raw, root):
+    mixed = raw("tiktok_ads").withColumn("total_cost", F.expr("CASE WHEN views > 100000 THEN '1d' ELSE total_cost END"))
+    write_snapshot(mixed, f"{root}/bronze", "tiktok_ads", AT)
+    write_snapshot(raw("meta_ads", link_clicks=-1), f"{root}/bronze", "meta_ads", AT)
+    results = refine(spark, f"{root}/bronze", f"{root}/silver", AT, f"{root}/aside", contract=True)
+    assert results["tiktok_ads"].rows == 1 and results["meta_ads"] is None
+    unread = spark.read.parquet(latest_snapshot(spark, f"{root}/aside/unparsed", "tiktok_ads")).collect()
+    assert [r.unparsed for r in unread] == [["cost_brl"]]
+    assert spark.read.parquet(latest_snapshot(spark, f"{root}/aside/contract", "meta_ads")).count() == 2
+
+
 def test_refine_takes_the_latest_and_isolates(spark, raw, root):
     bronze(raw, root, ["google_ads"])
     write_snapshot(raw("google_ads").limit(1), f"{root}/bronze", "google_ads", LATER)
@@ -301,7 +355,7 @@ def test_run_daily_twice(spark, root):
 def test_gate_stops_or_warns(spark, root):
     for name in KNOWN_SOURCES:
         landing = land(root, name)
-    land(root, "google_ads", clicks=200001)
+    land(root, "google_ads", clicks=200001, run="20260312_093000")
     with pytest.raises(QualityGateError):
         run_daily(spark, landing, f"{root}/store", at=AT)
     assert latest_snapshot(spark, f"{root}/store/gold", "daily_summary") is None
@@ -310,6 +364,17 @@ def test_gate_stops_or_warns(spark, root):
     assert result.stages["serve"]["daily_summary"] == 6
 
 
+def test_overlapping_reports_are_not_added_up(spark, root):
+    """A day that a later report restates counts once, as restated."""
+    day = lambda d, n: (f"2026-03-{d:02d}", "C", "G", n, n // 2, n * 10_000, 1.0, "BRL")
+    land(root, "google_ads", [day(1, 100)])
+    run_daily(spark, f"{root}/landing", f"{root}/store", at=AT)
+    landing = land(root, "google_ads", [day(1, 110), day(2, 50)], run="20260313_090000")
+    run_daily(spark, landing, f"{root}/store", at=LATER)
+    rows = {r.date.day: r for r in served(spark, f"{root}/store/served", "daily_summary").collect()}
+    assert {d: (r.impressions, float(r.cost_brl)) for d, r in rows.items()} == {1: (110, 1.1), 2: (50, 0.5)}
+
+
 def test_run_without_input_fails(spark, root):
     with pytest.raises(RuntimeError, match="summarize"):
         run_daily(spark, f"{root}/landing", f"{root}/store", at=AT)
@@ -353,4 +418,8 @@ def test_output_info_and_run_log(spark, silver, root):
     rows = {r.item: r for r in spark.read.parquet(f"{root}/log").collect()}
     assert (rows["google_ads"].rows, rows["google_ads"].status) == (5, "ok")
     assert (rows["meta_ads"].rows, rows["meta_ads"].status) == (None, "failed")
+    done = Results({"a": 1, "b": None, "c": None}, errors={"b": "broken"}, skipped={"c": "no input"})
+    append_run(spark, f"{root}/log2", "serve", done, 1.0, AT)
+    states = {r.item: (r.status, r.error) for r in spark.read.parquet(f"{root}/log2").collect()}
+    assert states == {"a": ("ok", None), "b": ("failed", "broken"), "c": ("skipped", "no input")}
     assert {(r.items_ok, r.items_failed, r.duration_seconds) for r in rows.values()} == {(1, 1, 1.23)}
