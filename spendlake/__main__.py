@@ -83,8 +83,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         ingest(spark, args.landing_path, args.bronze_path, window, None, args.many_lines, args.max_days or None)
         return 0
     if args.stage == "refine":
-        aside = args.quarantine_path if args.on_error == "quarantine" or args.contract else None
-        refine(spark, args.bronze_path, args.silver_path, None, aside, args.contract)
+        lenient = args.on_error == "quarantine"
+        refine(spark, args.bronze_path, args.silver_path, None, args.quarantine_path, args.contract, lenient)
         return 0
     if args.stage == "check":
         reports = reports_by_source(check(spark, args.silver_path))

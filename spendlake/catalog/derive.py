@@ -7,6 +7,8 @@ quantity, discount, tax and price give the metrics.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlake.sources.registry import SOURCES, SourceSpec
@@ -65,9 +67,9 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem")
 
 
-def raw_report(lines: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Every given line as a raw row of one platform."""
-    return lines.selectExpr(*[f"{value} AS {name}" for name, value in _RAW[spec.name].items()])
+def raw_report(lines: DataFrame, spec: SourceSpec, extra: Sequence[str] = ()) -> DataFrame:
+    """Every given line as a raw row of one platform, with ``extra`` columns as they are."""
+    return lines.selectExpr(*[f"{value} AS {name}" for name, value in _RAW[spec.name].items()], *extra)
 
 
 def own_lines(lines: DataFrame, name: str) -> DataFrame:

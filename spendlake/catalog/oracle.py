@@ -263,9 +263,7 @@ FROM batch
 UNION ALL
 SELECT {_served('date, source')}, TIMESTAMP '2026-03-12 10:00:00'
 FROM stored WHERE date < DATE '1998-01-01'""",
-    "latest_snapshot": """WITH dated AS (
-  SELECT o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y%m') AS snapshot FROM orders)
-SELECT * FROM dated WHERE snapshot = (SELECT max(snapshot) FROM dated)""",
+    "latest_snapshot": "SELECT o_orderkey, o_custkey, o_totalprice * 2 AS o_totalprice FROM orders",
     "date_window": f"""WITH {_LINES}
 SELECT {_SILVER}, 'lineitem' AS source_file, '2026-03-12T10:00:00' AS transformed_at
 FROM lines WHERE date BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'""",
@@ -284,9 +282,9 @@ WHERE NOT EXISTS (SELECT 1 FROM lines WHERE lines.source = spine.source AND line
 FROM orders""",
     "envelope_unnest": """SELECT strftime(ts, '%Y-%m-%d') AS date, event_type AS campaign_name,
        'User ' || CAST(user_id AS VARCHAR) AS ad_group_name,
-       CAST(props->>'$.k' AS BIGINT) * times AS impressions,
-       CAST(props->>'$.k' AS BIGINT) AS clicks,
-       CAST(floor(value * 1e6 + 0.5) AS BIGINT) AS cost_micros, value AS conversions, 'BRL' AS currency,
+       CAST(CAST(props->>'$.k' AS BIGINT) * times AS DOUBLE) AS impressions,
+       CAST(CAST(props->>'$.k' AS BIGINT) AS DOUBLE) AS clicks,
+       CAST(floor(value * 1e6 + 0.5) AS DOUBLE) AS cost_micros, value AS conversions, 'BRL' AS currency,
        'google_ads' AS _source, '2026-03-12' AS _ingested_at
 FROM events, (VALUES (100), (200)) AS copies(times)
 WHERE event_type NOT IN ('error', 'signup')""",
@@ -305,12 +303,55 @@ SELECT CASE WHEN bool_and(coalesce(ok, false)) THEN 'healthy' ELSE 'degraded' EN
 FROM (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('silver')) AS expected(layer)
 LEFT JOIN status USING (layer)""",
     "file_sizes": f"SELECT {_rounded('CAST(sum(event_id) AS DOUBLE) / 1024', 2)} AS size_kb FROM events",
-    "landed_snapshots": f"WITH {_LINES}\nSELECT {_SILVER} FROM lines",
+    "landed_snapshots": f"""WITH {_LINES}
+SELECT {_SILVER}, source || '/snapshot=20260312_100000' AS source_file, '2026-03-12T10:00:00' AS transformed_at
+FROM lines""",
+    "overlapping_landings": f"""WITH {_LINES.replace("FROM lineitem)", """FROM (
+    SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01'))""")},
+totals AS ({_totals('date, source')})
+SELECT *, {_RATIOS} FROM totals""",
+    "landed_extra_fields": f"""WITH {_LINES.replace("SELECT ", "SELECT l_orderkey, ", 1)}
+SELECT source AS _source, '2026-03-12' AS _ingested_at, campaign_name, ad_group_name, CAST(impressions AS DOUBLE) AS impressions,
+       CAST(clicks AS DOUBLE) AS clicks, CAST(l_orderkey AS BIGINT) AS extra_order, CAST(copy AS BIGINT) AS copy, true AS has_copy
+FROM lines, (VALUES (1), (2)) AS copies(copy)""",
+    "daily_sevenths": f"""WITH {_LINES},
+sevenths AS (SELECT * REPLACE (cost_brl / 7 AS cost_brl) FROM lines),
+totals AS ({_totals('date, source', 'sevenths')})
+SELECT *, {_RATIOS} FROM totals""",
+    "served_defaults": f"""WITH {_LINES},
+totals AS ({_totals('date, source', '(SELECT * REPLACE (cost_brl / 1000 AS cost_brl) FROM lines)')}),
+gold AS (SELECT *, {_RATIOS} FROM totals)
+SELECT date, source, impressions, clicks, CAST(cost_brl AS DECIMAL(14, 6)) AS cost_brl, conversions,
+       CAST(ctr_pct AS DECIMAL(10, 4)) AS ctr_pct, CAST(cpc_brl AS DECIMAL(10, 4)) AS cpc_brl,
+       CAST(cpm_brl AS DECIMAL(10, 4)) AS cpm_brl, CAST(cpa_brl AS DECIMAL(10, 4)) AS cpa_brl
+FROM gold""",
+    "gold_order": f"""WITH {_LINES}
+SELECT 'daily_summary' AS gold_table, CAST(date AS VARCHAR) AS day, source,
+       row_number() OVER (ORDER BY date, source) AS place
+FROM (SELECT DISTINCT date, source FROM lines)
+UNION ALL
+SELECT 'source_comparison', NULL, source, row_number() OVER (ORDER BY cost DESC)
+FROM (SELECT source, sum(cost_brl) AS cost FROM lines GROUP BY source)""",
+    "checked_snapshots": f"""WITH {_DAMAGED},
+report AS ({_report('source_dir', 'GROUP BY source_dir')})
+SELECT source_file, bool_and(success) AS success, count(rule) AS total_expectations,
+       count(*) FILTER (WHERE success) AS passed, count(*) FILTER (WHERE NOT success) AS failed,
+       NOT bool_and(success) AS stopped
+FROM report GROUP BY source_file""",
+    "written_health": f"""WITH {_LINES}
+SELECT layer, source AS dataset, true AS ok, true AS has_size
+FROM (SELECT DISTINCT source FROM lines), (VALUES ('bronze'), ('silver')) AS layers(layer)
+UNION ALL
+SELECT 'gold', dataset, true, true
+FROM (VALUES ('daily_summary'), ('campaign_summary'), ('source_comparison')) AS gold(dataset)""",
     "run_log_snapshots": f"""WITH {_LINES}
 SELECT TIMESTAMP '2026-03-13 10:00:00' AS run_at, 'refine' AS stage, source AS item, 'ok' AS status,
-       count(*) AS rows, CAST(3 AS BIGINT) AS items_ok, CAST(0 AS BIGINT) AS items_failed, (SELECT count(*) FROM lines) AS rows_total
+       count(*) AS rows, CAST(3 AS BIGINT) AS items_ok, CAST(0 AS BIGINT) AS items_failed, (SELECT count(*) FROM lines) AS rows_total,
+       CAST(NULL AS VARCHAR) AS error
 FROM lines GROUP BY source""",
-    "refined_snapshots": f"WITH {_LINES}\nSELECT {_SILVER} FROM lines",
+    "refined_snapshots": f"""WITH {_LINES}
+SELECT {_SILVER}, source || '/snapshot=20260313_100000' AS source_file, '2026-03-13T10:00:00' AS transformed_at
+FROM lines""",
     "gold_snapshots": f"""WITH {_LINES},
 daily AS ({_totals('date, source')}),
 campaigns AS ({_totals('source, campaign_name')}),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,17 +14,19 @@ from spendlake.functions.dates import date_window, lenient_date, missing_days, s
 from spendlake.operators import aggregate, contract, freshness, merge, quality
 from spendlake.operators.normalize import normalize, normalize_lenient, normalize_mixed
 from spendlake.operators.union import union_strict
+from spendlake.plans.check import check, reports_by_source
+from spendlake.plans.health import dataset_health, layer_files
 from spendlake.plans.ingest import ingest
 from spendlake.plans.isolate import each
 from spendlake.plans.refine import refine
 from spendlake.plans.runlog import RUN_LOG_SCHEMA, append_run
 from spendlake.plans.serve import serve_all, served
 from spendlake.plans.summarize import latest_silver, summarize_all
-from spendlake.schemas import KNOWN_SOURCES, METRICS, RATIOS, ServedTypes
-from spendlake.sources.landing import unnest_envelope, with_ingest_columns
+from spendlake.schemas import KNOWN_SOURCES, METRICS, RATIOS, SILVER_SCHEMA, ServedTypes
+from spendlake.sources.landing import RECORD_COLUMNS, unnest_envelope, with_ingest_columns
 from spendlake.sources.registry import SOURCES
 from spendlake.sources.scratch import scratch_path
-from spendlake.sources.snapshots import Written, latest_rows, latest_snapshot, write_snapshot
+from spendlake.sources.snapshots import Written, latest_snapshot, read_snapshot, write_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -150,13 +152,22 @@ def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = derive.table(spark, sf_dir, "orders")
-    month = "date_format(o_orderdate, 'yyyyMM') AS snapshot"
-    return latest_rows(orders.selectExpr("o_orderkey", "o_custkey", "o_totalprice", month), "snapshot")
+    """Two snapshots of orders, the later one with raised prices, and a write that never finished."""
+    root, orders = scratch_path(spark, "orders"), derive.table(spark, sf_dir, "orders")
+    write_snapshot(orders, root, "orders", AT)
+    write_snapshot(orders.withColumn("o_totalprice", F.col("o_totalprice") * 2), root, "orders", LATER)
+    orders.limit(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{root}/orders/snapshot=20991231_000000"
+    )
+    latest = read_snapshot(spark, latest_snapshot(spark, root, "orders"), orders.schema)
+    return latest.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 def date_window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return date_window(_silver(spark, sf_dir), date(1998, 1, 1), date(1998, 3, 31))
+    """A window over a stored DATE, which reaches the scan."""
+    root = scratch_path(spark, "window")
+    path = write_snapshot(_silver(spark, sf_dir), root, "all", AT).path
+    return date_window(read_snapshot(spark, path, SILVER_SCHEMA), date(1998, 1, 1), date(1998, 3, 31))
 
 
 def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +216,7 @@ def envelope_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     parsed = F.from_json("text", spec.envelope_schema(), {"mode": "FAILFAST"}).alias("report")
     envelopes = reports.select(parsed).select("report.*")
-    return with_ingest_columns(unnest_envelope(envelopes, spec), spec, AT.date())
+    return with_ingest_columns(unnest_envelope(envelopes, spec).drop(*RECORD_COLUMNS), spec, AT.date())
 
 
 def distinct_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,39 +266,76 @@ def _bronze(spark: SparkSession, sf_dir: str, root: str) -> str:
         full = derive.raw_report(mine, spec)
         return write_snapshot(with_ingest_columns(full, spec, LATER.date()), f"{root}/bronze", name, LATER)
 
-    each(spark, "bronze", SOURCES, write)
+    each(spark, "bronze", SOURCES, write).complete()
     return f"{root}/bronze"
 
 
 def refined_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze snapshots on storage -> latest ones -> silver snapshots -> their union."""
     root = scratch_path(spark, "refined")
-    refine(spark, _bronze(spark, sf_dir, root), f"{root}/silver", LATER)
-    return latest_silver(spark, f"{root}/silver").drop("source_file", "transformed_at")
+    refine(spark, _bronze(spark, sf_dir, root), f"{root}/silver", LATER).complete()
+    return _with_file_names(latest_silver(spark, f"{root}/silver"))
 
 
-def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed JSON reports, one per line -> bronze -> silver -> their union."""
-    root, lines = scratch_path(spark, "landed"), derive.lineitem(spark, sf_dir)
+def _with_file_names(silver: DataFrame) -> DataFrame:
+    """The lineage without the folder the query made up: dataset and snapshot only."""
+    return silver.withColumn("source_file", F.regexp_extract("source_file", r"([^/]+/[^/]+)$", 1))
+
+
+def _land(spark: SparkSession, lines: DataFrame, landing: str, run: str, records: tuple[str, ...] = ("struct(*)",)) -> None:
+    """A landing run of every platform: each line as a report of its own, one per line of JSON."""
 
     def land(name: str) -> str:
         spec = SOURCES[name]
-        raw = derive.raw_report(derive.own_lines(lines, name), spec)
-        report = f"""named_struct('source', '{name}', 'total_rows', 1L,
-                                  '{spec.envelope_key}', array(struct({", ".join(raw.columns)}))) AS report"""
-        raw.selectExpr(report).select("report.*").write.json(f"{root}/landing/{name}")
+        mine = derive.own_lines(lines, name)
+        raw = derive.raw_report(mine, spec, extra=[c for c in mine.columns if c.startswith("extra_")])
+        report = f"""named_struct('source', '{name}', 'total_rows', {len(records)}L,
+                                  '{spec.envelope_key}', array({", ".join(records)})) AS report"""
+        raw.selectExpr(report).select("report.*").write.json(f"{landing}/{name}/landed={run}")
         return name
 
-    each(spark, "land", SOURCES, land)
-    ingest(spark, f"{root}/landing", f"{root}/bronze", at=AT, one_per_line=True)
-    refine(spark, f"{root}/bronze", f"{root}/silver", AT)
-    return latest_silver(spark, f"{root}/silver").drop("source_file", "transformed_at")
+    each(spark, "land", SOURCES, land).complete()
+
+
+def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed JSON reports, one per line -> bronze -> silver -> their union."""
+    root = scratch_path(spark, "landed")
+    _land(spark, derive.lineitem(spark, sf_dir), f"{root}/landing", "20260312_090000")
+    ingest(spark, f"{root}/landing", f"{root}/bronze", at=AT).complete()
+    refine(spark, f"{root}/bronze", f"{root}/silver", AT).complete()
+    return _with_file_names(latest_silver(spark, f"{root}/silver"))
+
+
+def overlapping_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two daily runs; the second report restates days of the first with other metrics."""
+    root, lines = scratch_path(spark, "overlap"), derive.lineitem(spark, sf_dir)
+    restated = lines.where("l_shipdate >= timestamp'1995-01-01'").withColumn("l_quantity", F.expr("l_quantity + 1"))
+    for at, report in ((AT, lines.where("l_shipdate < timestamp'1997-01-01'")), (LATER, restated)):
+        _land(spark, report, f"{root}/landing", at.strftime("%Y%m%d_%H%M%S"))
+        ingest(spark, f"{root}/landing", f"{root}/bronze", at=at).complete()
+        refine(spark, f"{root}/bronze", f"{root}/silver", at).complete()
+    return aggregate.summarize(latest_silver(spark, f"{root}/silver"), "daily_summary")
+
+
+def landed_extra_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of reports with two records each, and a field that no schema knows."""
+    root = scratch_path(spark, "extra")
+    lines = derive.lineitem(spark, sf_dir).withColumn("extra_order", F.col("l_orderkey"))
+    _land(spark, lines, f"{root}/landing", "20260312_090000", ("struct(*, 1 AS copy)", "struct(*, 2 AS copy)"))
+    ingest(spark, f"{root}/landing", f"{root}/bronze", at=AT).complete()
+    frames = []
+    for name, spec in SOURCES.items():
+        bronze = read_snapshot(spark, latest_snapshot(spark, f"{root}/bronze", name))
+        extra = [f"cast(get_json_object(_record, '$.{f}') AS bigint) AS {f}" for f in ("extra_order", "copy")]
+        own = [f"`{spec.columns[c]}` AS {c}" for c in ("campaign_name", "ad_group_name", "impressions", "clicks")]
+        frames.append(bronze.selectExpr("_source", "_ingested_at", *own, *extra, "array_contains(_fields, 'copy') AS has_copy"))
+    return union_strict(frames)
 
 
 def run_log_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The run log of a refine stage; path and duration differ from run to run."""
     root = scratch_path(spark, "logged")
-    results = refine(spark, _bronze(spark, sf_dir, root), f"{root}/silver", LATER)
+    results = refine(spark, _bronze(spark, sf_dir, root), f"{root}/silver", LATER).complete()
     append_run(spark, f"{root}/run_log", "refine", results, 0.0, LATER)
     return spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{root}/run_log").drop("path", "duration_seconds")
 
@@ -300,11 +348,59 @@ def _gold_root(spark: SparkSession, sf_dir: str, root: str) -> str:
         rows = normalize(raw, SOURCES[name], f"{name}.parquet", AT)
         return write_snapshot(rows, f"{root}/silver", name, AT)
 
-    each(spark, "silver", SOURCES, write)
-    summarize_all(spark, f"{root}/silver", f"{root}/gold", AT)
+    each(spark, "silver", SOURCES, write).complete()
+    summarize_all(spark, f"{root}/silver", f"{root}/gold", AT).complete()
     return f"{root}/gold"
 
 
+def daily_sevenths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Costs that no decimal can hold, summed exactly."""
+    silver = _silver(spark, sf_dir).withColumn("cost_brl", F.expr("cost_brl / 7D"))
+    return aggregate.daily_summary(silver)
+
+
+def served_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily totals in the served types as declared, decimals as decimals."""
+    silver = _silver(spark, sf_dir).withColumn("cost_brl", F.expr("cost_brl / 1000D"))
+    return merge.as_served(aggregate.summarize(silver, "daily_summary"), "daily_summary")
+
+
+def gold_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each row in two sorted gold tables, whose sizes the calendar and the platforms bound."""
+    silver, place = _silver(spark, sf_dir), F.row_number().over(Window.orderBy("id")).cast("long")
+    frames = []
+    for table in (aggregate.daily_summary, aggregate.source_comparison):
+        ordered = table(silver).withColumn("id", F.monotonically_increasing_id())
+        day = "cast(date AS string)" if "date" in ordered.columns else "cast(NULL AS string)"
+        rows = ordered.selectExpr(f"'{table.__name__}' AS gold_table", f"{day} AS day", "source", "id")
+        frames.append(rows.withColumn("place", place).drop("id"))
+    return union_strict(frames)
+
+
+def checked_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality run over damaged silver snapshots, and what the gate says of each platform."""
+    root, damaged = scratch_path(spark, "checked"), _damaged(spark, sf_dir)
+
+    def write(name: str) -> Written:
+        rows = damaged.where(F.col("source_dir") == name).drop("source_dir")
+        return write_snapshot(rows, f"{root}/silver", name, AT)
+
+    each(spark, "silver", SOURCES, write).complete()
+    summary = quality.quality_summary(reports_by_source(check(spark, f"{root}/silver").complete()))
+    stopped = quality.gate(summary, "warn")
+    return summary.withColumn("stopped", F.col("source_file").isin(stopped))
+
+
+def written_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness and size of the files that a run has just written, by dataset."""
+    root = scratch_path(spark, "health")
+    refine(spark, _bronze(spark, sf_dir, root), f"{root}/silver", LATER).complete()
+    summarize_all(spark, f"{root}/silver", f"{root}/gold", LATER).complete()
+    health = dataset_health(spark, root).select("layer", "dataset", "ok")
+    sizes = layer_files(spark, root).groupBy("layer", "dataset").agg(F.sum("bytes").alias("bytes"))
+    return health.join(sizes, ["layer", "dataset"]).selectExpr("layer", "dataset", "ok", "bytes > 0 AS has_size")
+
+
 def gold_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver snapshots -> the three gold snapshots, rolled up from one scan; all rows."""
     gold = _gold_root(spark, sf_dir, scratch_path(spark, "gold"))
@@ -323,7 +419,7 @@ def served_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "served")
     gold = _gold_root(spark, sf_dir, root)
     for at in (AT, LATER):
-        serve_all(spark, gold, f"{root}/served", at, WIDE)
+        serve_all(spark, gold, f"{root}/served", at, WIDE).complete()
     return _as_text(served(spark, f"{root}/served", "campaign_summary", WIDE))
 
 
@@ -367,4 +463,11 @@ QUERIES: dict[str, Query] = {
     "run_log_snapshots": run_log_snapshots,
     "gold_snapshots": gold_snapshots,
     "served_snapshots": served_snapshots,
+    "overlapping_landings": overlapping_landings,
+    "landed_extra_fields": landed_extra_fields,
+    "daily_sevenths": daily_sevenths,
+    "served_defaults": served_defaults,
+    "gold_order": gold_order,
+    "checked_snapshots": checked_snapshots,
+    "written_health": written_health,
 }

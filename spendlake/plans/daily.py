@@ -59,7 +59,7 @@ def run_daily(
 
     aside = f"{storage_root.rstrip('/')}/quarantine" if quarantine or contract else None
     stage("ingest", lambda: ingest(spark, landing_root, roots["bronze"], window, at, many_lines, max_days))
-    stage("refine", lambda: refine(spark, roots["bronze"], roots["silver"], at, aside, contract))
+    stage("refine", lambda: refine(spark, roots["bronze"], roots["silver"], at, aside, contract, quarantine))
 
     reports = reports_by_source(check(spark, roots["silver"]))
     if reports is not None:

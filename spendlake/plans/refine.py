@@ -24,6 +24,7 @@ def refine(
     at: datetime | None = None,
     quarantine_root: str | None = None,
     contract: bool = False,
+    lenient: bool = False,
 ) -> Results[Written]:
     """Normalize every platform's latest bronze snapshot; narrow, no shuffle.
 
@@ -31,9 +32,9 @@ def refine(
     registry does not know are simply not read. A field that silver is made of and
     that occurs in no record fails the platform.
 
-    A value that does not parse fails the platform too or, with ``quarantine_root``,
-    its row goes there, with the names of the columns. ``contract`` lets only rows
-    through that fit the row contract; the others go to the quarantine, if there is one.
+    A value that does not parse fails the platform too or, if ``lenient``, its row is
+    set aside with the names of the columns. ``contract`` lets only rows through that
+    fit the row contract. Rows set aside go below ``quarantine_root``, if there is one.
     """
     at = at or datetime.now()
 
@@ -42,12 +43,12 @@ def refine(
         if path is None:
             return None
         raw, spec = read_snapshot(spark, path), source_spec(name)
-        if quarantine_root is None:
-            silver, refused = normalize(raw, spec, path, at), []
+        if lenient:
+            rows = normalize_lenient(raw, spec, path, at)
+            silver = rows.where("size(unparsed) = 0").drop("unparsed")
+            refused = [("unparsed", rows.where("size(unparsed) > 0"))]
         else:
-            lenient = normalize_lenient(raw, spec, path, at)
-            silver = lenient.where("size(unparsed) = 0").drop("unparsed")
-            refused = [("unparsed", lenient.where("size(unparsed) > 0"))]
+            silver, refused = normalize(raw, spec, path, at), []
         if contract:
             refused.append(("contract", contract_quarantine(silver)))
             silver = contract_valid(silver)

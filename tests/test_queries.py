@@ -51,3 +51,29 @@ def test_generated_code_can_be_jit_compiled(spark, name):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
+
+
+def physical(spark, name):
+    return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_keeps_the_partitioning_of_its_batch(spark):
+    assert physical(spark, "upsert_merge").count("Exchange") <= 4
+
+
+def test_window_is_pushed_to_the_scan(spark):
+    assert "GreaterThanOrEqual(date," in physical(spark, "date_window")
+
+
+def test_a_lost_platform_is_an_error(spark, monkeypatch):
+    from spendlake.catalog import queries
+
+    def broken(df, root, name, at=None):
+        if name == "meta_ads":
+            raise OSError("disk is gone")
+        return write(df, root, name, at)
+
+    write = queries.write_snapshot
+    monkeypatch.setattr(queries, "write_snapshot", broken)
+    with pytest.raises(RuntimeError, match="meta_ads: disk is gone"):
+        QUERIES["refined_snapshots"](spark, SF_DIR)

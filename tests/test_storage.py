@@ -219,7 +219,7 @@ def test_refine_can_set_rows_aside(spark, raw, root):
     mixed = raw("tiktok_ads").withColumn("total_cost", F.expr("CASE WHEN views > 100000 THEN '1d' ELSE total_cost END"))
     write_snapshot(mixed, f"{root}/bronze", "tiktok_ads", AT)
     write_snapshot(raw("meta_ads", link_clicks=-1), f"{root}/bronze", "meta_ads", AT)
-    results = refine(spark, f"{root}/bronze", f"{root}/silver", AT, f"{root}/aside", contract=True)
+    results = refine(spark, f"{root}/bronze", f"{root}/silver", AT, f"{root}/aside", contract=True, lenient=True)
     assert results["tiktok_ads"].rows == 1 and results["meta_ads"] is None
     unread = spark.read.parquet(latest_snapshot(spark, f"{root}/aside/unparsed", "tiktok_ads")).collect()
     assert [r.unparsed for r in unread] == [["cost_brl"]]
