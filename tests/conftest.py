@@ -39,21 +39,18 @@ def root(tmp_path):
 
 RAW_ROWS = {
     "google_ads": [
-        ("2026-03-01", "Brand Awareness Q1", "Audience 18-34", 100000, 5000, 2500000000, 250.0, "BRL"),
-        ("2026-03-02", "Retargeting Summer", "Lookalike 1%", 200000, 10000, 5000000000, 500.0, "BRL"),
+        ("2026-03-01", "Garden tools", "Spades", 7300, 410, 1234500000, 31.0, "BRL"),
+        ("2026-03-02", "Balcony pots", "Clay", 5100, 260, 845250000, 12.0, "BRL"),
     ],
     "meta_ads": [
-        ("01/03/2026", "01/03/2026", "Brand Awareness Q1", "Broad Match", 80000, 4000, 1200.50, 200,
-         "CONVERSIONS", "BRL"),
-        ("02/03/2026", "02/03/2026", "Lead Gen B2B", "Lookalike 1%", 150000, 8000, 2400.75, 400,
-         "LEAD_GENERATION", "BRL"),
+        ("01/03/2026", "01/03/2026", "Winter boots", "Size 40 up", 9400, 655, 310.75, 48, "TRAFFIC", "BRL"),
+        ("02/03/2026", "02/03/2026", "Sandals", "Beach", 2200, 120, 99.5, 7, "REACH", "BRL"),
     ],
     "tiktok_ads": [
-        ("2026-03-01 00:00:00", "Holiday Sale", "Interest Tech", 60000, 3000, "900.25", 150, "TRAFFIC", "BR"),
-        ("2026-03-02 00:00:00", "App Install Campaign", "Remarketing Cart", 120000, 6000, "1800.50", 300,
-         "APP_INSTALL", "BR"),
+        ("2026-03-01 00:00:00", "Bike bells", "Riders", 15800, 930, "412.6", 55, "VIEWS", "BR"),
+        ("2026-03-02 00:00:00", "Bike lamps", "Commuters", 8700, 333, "208.15", 21, "VIEWS", "BR"),
     ],
-}
+}
 
 
 @pytest.fixture
@@ -69,11 +66,11 @@ def raw(spark):
 
 
 SILVER_ROWS = [
-    (date(2026, 3, 1), "google_ads", "Brand Q1", "Grp A", 100000, 5000, 2500.0, 250),
-    (date(2026, 3, 1), "google_ads", "Retargeting", "Grp B", 50000, 2000, 1000.0, 100),
-    (date(2026, 3, 2), "google_ads", "Brand Q1", "Grp A", 80000, 4000, 2000.0, 200),
-    (date(2026, 3, 1), "meta_ads", "Brand Q1", "Grp X", 60000, 3000, 1200.0, 150),
-    (date(2026, 3, 2), "meta_ads", "Lead Gen", "Grp Y", 40000, 1500, 600.0, 75),
+    (date(2026, 3, 1), "google_ads", "Garden", "Spades", 6000, 300, 750.0, 30),
+    (date(2026, 3, 1), "google_ads", "Balcony", "Pots", 2000, 60, 120.0, 6),
+    (date(2026, 3, 2), "google_ads", "Garden", "Spades", 5000, 200, 500.0, 25),
+    (date(2026, 3, 1), "meta_ads", "Garden", "Boots", 4000, 160, 240.0, 16),
+    (date(2026, 3, 2), "meta_ads", "Shoes", "Kids", 3000, 90, 135.0, 5),
 ]
 
 
@@ -92,16 +89,16 @@ def silver(spark):
 
 GOLD_ROWS = {
     "daily_summary": [
-        (date(2026, 3, 1), "google_ads", 100000, 5000, 2500.0, 250, 5.0, 0.5, 25.0, 10.0),
-        (date(2026, 3, 2), "meta_ads", 60000, 3000, 1200.0, 150, 5.0, 0.4, 20.0, 8.0),
+        (date(2026, 3, 1), "google_ads", 8000, 360, 870.0, 36, 4.5, 2.4167, 108.75, 24.1667),
+        (date(2026, 3, 2), "meta_ads", 3000, 90, 135.0, 5, 3.0, 1.5, 45.0, 27.0),
     ],
     "campaign_summary": [
-        ("google_ads", "Brand Q1", 180000, 9000, 4500.0, 450, 5.0, 0.5, 25.0, 10.0),
-        ("meta_ads", "Lead Gen", 100000, 4500, 1800.0, 225, 4.5, 0.4, 18.0, 8.0),
+        ("google_ads", "Garden", 11000, 500, 1250.0, 55, 4.5455, 2.5, 113.6364, 22.7273),
+        ("meta_ads", "Shoes", 3000, 90, 135.0, 5, 3.0, 1.5, 45.0, 27.0),
     ],
     "source_comparison": [
-        ("google_ads", 230000, 11000, 5500.0, 550, 4.78, 0.5, 23.9, 10.0),
-        ("meta_ads", 100000, 4500, 1800.0, 225, 4.5, 0.4, 18.0, 8.0),
+        ("google_ads", 13000, 560, 1370.0, 61, 4.3077, 2.4464, 105.3846, 22.459),
+        ("meta_ads", 7000, 250, 375.0, 21, 3.5714, 1.5, 53.5714, 17.8571),
     ],
 }
 

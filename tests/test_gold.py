@@ -31,21 +31,21 @@ def test_daily_values_and_order(silver):
         (1, "google_ads"), (1, "meta_ads"), (2, "google_ads"), (2, "meta_ads"),
     ]
     first = rows[0]
-    assert (first.impressions, first.clicks, first.cost_brl, first.conversions) == (150000, 7000, 3500.0, 350)
-    assert (first.ctr_pct, first.cpc_brl, first.cpm_brl, first.cpa_brl) == (4.6667, 0.5, 23.3333, 10.0)
+    assert (first.impressions, first.clicks, first.cost_brl, first.conversions) == (8000, 360, 870.0, 36)
+    assert (first.ctr_pct, first.cpc_brl, first.cpm_brl, first.cpa_brl) == (4.5, 2.4167, 108.75, 24.1667)
 
 
 def test_campaign_values_and_order(silver):
     rows = aggregate.campaign_summary(silver()).collect()
     assert [(r.source, r.campaign_name) for r in rows] == [
-        ("google_ads", "Brand Q1"), ("google_ads", "Retargeting"), ("meta_ads", "Brand Q1"), ("meta_ads", "Lead Gen"),
+        ("google_ads", "Balcony"), ("google_ads", "Garden"), ("meta_ads", "Garden"), ("meta_ads", "Shoes"),
     ]
-    assert rows[0].impressions == 180000
+    assert rows[1].impressions == 11000
 
 
 def test_source_values_and_order(silver):
     rows = aggregate.source_comparison(silver()).collect()
-    assert [(r.source, r.cost_brl) for r in rows] == [("google_ads", 5500.0), ("meta_ads", 1800.0)]
+    assert [(r.source, r.cost_brl) for r in rows] == [("google_ads", 1370.0), ("meta_ads", 375.0)]
 
 
 @pytest.mark.parametrize(

@@ -32,12 +32,12 @@ def test_schema_and_lineage(raw, name):
 @pytest.mark.parametrize(
     "name, cost, impressions, clicks, conversions, campaigns, groups",
     [
-        ("google_ads", [2500.0, 5000.0], [100000, 200000], [5000, 10000], [250, 500],
-         ["Brand Awareness Q1", "Retargeting Summer"], ["Audience 18-34", "Lookalike 1%"]),
-        ("meta_ads", [1200.5, 2400.75], [80000, 150000], [4000, 8000], [200, 400],
-         ["Brand Awareness Q1", "Lead Gen B2B"], ["Broad Match", "Lookalike 1%"]),
-        ("tiktok_ads", [900.25, 1800.5], [60000, 120000], [3000, 6000], [150, 300],
-         ["Holiday Sale", "App Install Campaign"], ["Interest Tech", "Remarketing Cart"]),
+        ("google_ads", [1234.5, 845.25], [7300, 5100], [410, 260], [31, 12],
+         ["Garden tools", "Balcony pots"], ["Spades", "Clay"]),
+        ("meta_ads", [310.75, 99.5], [9400, 2200], [655, 120], [48, 7],
+         ["Winter boots", "Sandals"], ["Size 40 up", "Beach"]),
+        ("tiktok_ads", [412.6, 208.15], [15800, 8700], [930, 333], [55, 21],
+         ["Bike bells", "Bike lamps"], ["Riders", "Commuters"]),
     ],
 )
 def test_values(raw, name, cost, impressions, clicks, conversions, campaigns, groups):

@@ -11,8 +11,8 @@ from spendlake.plans.check import check, check_file, reports_by_source
 from spendlake.sources.snapshots import write_snapshot
 
 GOOD = [
-    (date(2026, 3, 1), "google_ads", "Brand", "A", 100000, 5000, 2500.0, 250),
-    (date(2026, 3, 2), "google_ads", "Retarget", "B", 200000, 10000, 5000.0, 500),
+    (date(2026, 3, 1), "google_ads", "Garden", "Spades", 6000, 300, 750.0, 30),
+    (date(2026, 3, 2), "google_ads", "Balcony", "Pots", 4000, 80, 160.5, 8),
 ]
 
 

@@ -216,7 +216,7 @@ def test_refine(spark, raw, root):
 
 
 def test_refine_can_set_rows_aside(spark, raw, root):
-    mixed = raw("tiktok_ads").withColumn("total_cost", F.expr("CASE WHEN views > 100000 THEN '1d' ELSE total_cost END"))
+    mixed = raw("tiktok_ads").withColumn("total_cost", F.expr("CASE WHEN views > 10000 THEN '1d' ELSE total_cost END"))
     write_snapshot(mixed, f"{root}/bronze", "tiktok_ads", AT)
     write_snapshot(raw("meta_ads", link_clicks=-1), f"{root}/bronze", "meta_ads", AT)
     results = refine(spark, f"{root}/bronze", f"{root}/silver", AT, f"{root}/aside", contract=True, lenient=True)
@@ -244,7 +244,7 @@ def test_summarize_all(spark, raw, root):
     }
     by_cost = spark.read.parquet(results["source_comparison"].path).orderBy(F.desc("cost_brl")).collect()
     assert [(r.source, r.cost_brl) for r in by_cost] == [
-        ("google_ads", 7500.0), ("meta_ads", 3601.25), ("tiktok_ads", 2700.75),
+        ("google_ads", 2079.75), ("tiktok_ads", 620.75), ("meta_ads", 410.25),
     ]
 
 
@@ -280,7 +280,7 @@ def test_upsert_updates_in_place_and_keeps_the_rest(spark, gold, root):
     rows = {(r.date.day, r.source): r for r in served(spark, root, "daily_summary").collect()}
     assert len(rows) == 3
     assert rows[1, "google_ads"].impressions == 999999 and rows[1, "google_ads"].loaded_at == AT
-    assert rows[2, "meta_ads"].impressions == 60000 and rows[2, "meta_ads"].loaded_at == AT
+    assert rows[2, "meta_ads"].impressions == 3000 and rows[2, "meta_ads"].loaded_at == AT
     assert rows[3, "google_ads"].loaded_at == LATER
 
 
