@@ -279,7 +279,7 @@ def refined_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _with_file_names(silver: DataFrame) -> DataFrame:
     """The lineage without the folder the query made up: dataset and snapshot only."""
-    return silver.withColumn("source_file", F.regexp_extract("source_file", r"([^/]+/[^/]+)$", 1))
+    return silver.withColumn("source_file", F.substring_index("source_file", "/", -2))
 
 
 def _land(spark: SparkSession, lines: DataFrame, landing: str, run: str, records: tuple[str, ...] = ("struct(*)",)) -> None:
