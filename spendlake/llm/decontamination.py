@@ -22,7 +22,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,20 +39,33 @@ BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
 
 
-@cache
+class _Tables(dict):
+    """What a worker has worked out; it is not sent along with the functions that use it."""
+
+    def __reduce__(self) -> tuple:
+        return _Tables, ()
+
+
+TABLES = _Tables()
+
+
 def _fold() -> np.ndarray:
     """Each byte lowered; 0 for bytes between words."""
+    if "fold" in TABLES:
+        return TABLES["fold"]
     out = np.zeros(256, np.uint8)
     for b in range(256):
         c = b + 32 if 65 <= b <= 90 else b
         if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128:
             out[b] = c
+    TABLES["fold"] = out
     return out
 
 
-@cache
 def _powers(base: int, log2: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and its inverse modulo 2**64, for i below 2**log2."""
+    """base**i and its inverse modulo 2**64, for i below 2**log2 or more."""
+    if base in TABLES and len(TABLES[base][0]) >= 1 << log2:
+        return TABLES[base]
 
     def up(b: int) -> np.ndarray:
         out = np.ones(1 << log2, np.uint64)
@@ -61,7 +73,8 @@ def _powers(base: int, log2: int) -> tuple[np.ndarray, np.ndarray]:
             out[1 << bit : 2 << bit] = out[: 1 << bit] * np.uint64(pow(b, 1 << bit, 1 << 64))
         return out
 
-    return up(base), up(pow(base, -1, 1 << 64))
+    TABLES[base] = up(base), up(pow(base, -1, 1 << 64))
+    return TABLES[base]
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
