@@ -73,7 +73,8 @@ TOKEN = re.compile(
       | <[!?][^>]*(?:>|\Z)""",
     re.DOTALL | re.IGNORECASE | re.VERBOSE,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+# One attribute: its name and its value, which is consumed whole, whatever stands in it.
+ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 NAME = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
 
@@ -92,12 +93,12 @@ def _label(tag: str, attributes: str) -> tuple[str, bool]:
         return tag, noise
     label = tag
     for m in ATTRIBUTE.finditer(attributes):
-        kind, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
+        kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if kind == "role":
             noise = noise or value in NOISE_ROLES
         elif kind == "hidden":
             noise = True
-        else:
+        elif kind in ("class", "id"):
             noise = noise or not NOISE_NAMES.isdisjoint(NAME.findall(value))
             label += "|" + " ".join(sorted(DIGITS.sub("0", value).split()))
     return label, noise

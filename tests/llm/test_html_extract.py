@@ -40,6 +40,15 @@ def test_noise_by_markup():
     assert text('<div role="navigation">x</div><section role="main">y</section>') == "y"
 
 
+def test_values_of_other_attributes_are_not_names():
+    for attributes in ('style="overflow:hidden"', 'aria-hidden="false"', 'title="the hidden cost"', "data-x = 'a class=ad b'", "alt='role=\"menu\"'"):
+        assert text(f"<div {attributes}>kept</div>") == "kept"
+    for href in ('"/the-hidden-truth"', '"/x?id=login"', "/x?id=login", "'/a id=ad'"):
+        assert text(f"<p>all <a href={href}>the words</a> stay</p>") == "all the words stay"
+    assert text('<div data-a="1"class=ad>x</div><div title=x HIDDEN>x</div><div a = b ID = "ad">x</div><div role=\'menu\'>x</div>y') == "y"
+    assert text("<div class= hidden>x</div>") == "x"
+
+
 def test_broken_markup():
     assert text("<p>a</b></div></article>b") == "ab" or text("<p>a</b></div></article>b") == "a\n\nb"
     assert text("<article><p>whole <a href='x>y'>link</a> te") == "whole link te"
