@@ -7,7 +7,8 @@ entropies, each as a share of its maximum; branches below a node that looks and
 noise of the site and are cut from each of them. A node seen on fewer than ``MIN_PAGES`` distinct pages has full importance:
 a few pages say nothing on what repeats.
 
-What is noise by its markup alone (menus, adverts, scripts, …) is cut on every page, before the tree is built. Of what
+What is noise by its markup alone (menus, adverts, scripts, …) is cut on every page, before the tree is built. A class or
+id counts if it is a noise name as a whole, never on ``html``, ``body``, ``main`` and ``article``. Of what
 remains the ``article`` elements count where there are any with text, else ``main``, else the whole body.
 
 Counts are summed per host, path and hash before the entropies, so a host with a third of all pages is no hot group.
@@ -43,10 +44,22 @@ NOISE_TAGS = frozenset(
 )
 NOISE_NAMES = frozenset(
     """ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu breadcrumb
-    breadcrumbs sidebar footer header masthead cookie cookies consent gdpr notice notices notification alert newsletter
-    subscribe subscription signup login popup modal overlay share sharing social related recommended comment comments
-    reply replies disqus toolbar pagination pager skip""".split()
+    breadcrumbs sidebar footer header masthead cookie cookies consent gdpr newsletter subscribe subscription signup login
+    popup modal share sharing related recommended comment comments reply replies disqus toolbar pagination pager""".split()
 )
+# What may stand beside a noise name in a compound one (cookie-notice, main-nav). By themselves these names tell nothing: a
+# notice or an alert can be the story, so the style tree decides on it.
+QUALIFIERS = frozenset(
+    """notice notices notification alert overlay social skip site main top bottom upper lower global primary secondary user
+    reader mobile desktop box bar list lists item items link links button buttons icon icons wrapper wrap container block
+    widget area slot unit form group posts articles stories thread x""".split()
+)
+NOISE_COMPOUNDS = frozenset(
+    tuple(w.split("-"))
+    for w in "side-bar social-links social-icons social-buttons social-media social-bar skip-link skip-links site-notice".split()
+)
+# Elements that hold the page or its story, whatever their class or id says on its layout.
+WHOLE_TAGS = frozenset("html body main article".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK_TAGS = frozenset(
@@ -75,7 +88,7 @@ TOKEN = re.compile(
 )
 # One attribute: its name and its value, which is consumed whole, whatever stands in it.
 ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-NAME = re.compile(r"[a-z]+")
+NAME_PART = re.compile(r"[^\W\d_]+")
 DIGITS = re.compile(r"\d+")
 
 
@@ -86,6 +99,14 @@ class Element:
         self.tag, self.path, self.noise, self.inside = tag, path, noise, inside
 
 
+def is_noise_name(name: str) -> bool:
+    """Whether a class or id, in lower case, is a noise name or one with qualifiers only."""
+    parts = NAME_PART.findall(name)
+    if NOISE_NAMES.isdisjoint(parts):
+        return tuple(parts) in NOISE_COMPOUNDS
+    return all(p in NOISE_NAMES or p in QUALIFIERS for p in parts)
+
+
 def _label(tag: str, attributes: str) -> tuple[str, bool]:
     """What names the element in the tree, and whether it is noise by its markup."""
     noise = tag in NOISE_TAGS
@@ -99,8 +120,9 @@ def _label(tag: str, attributes: str) -> tuple[str, bool]:
         elif kind == "hidden":
             noise = True
         elif kind in ("class", "id"):
-            noise = noise or not NOISE_NAMES.isdisjoint(NAME.findall(value))
-            label += "|" + " ".join(sorted(DIGITS.sub("0", value).split()))
+            names = value.split()
+            noise = noise or (tag not in WHOLE_TAGS and any(map(is_noise_name, names)))
+            label += "|" + " ".join(sorted(DIGITS.sub("0", n) for n in names))
     return label, noise
 
 

@@ -49,6 +49,26 @@ def test_values_of_other_attributes_are_not_names():
     assert text("<div class= hidden>x</div>") == "x"
 
 
+def test_names_count_as_a_whole():
+    for name in ("has-sidebar", "no-sidebar", "with-comments", "social-policy", "notice-of-meeting", "ad-hoc", "content-sidebar", "post-header"):
+        for shell in ("body", "main", "article", "div", "section"):
+            assert text(f'<{shell} class="{name}"><p>story</p></{shell}>') == "story"
+            assert text(f'<{shell} id="{name}"><p>story</p></{shell}>') == "story"
+    for tag in ("html", "body", "main", "article"):
+        assert text(f'<{tag} class="sidebar comments"><p>story</p></{tag}>') == "story"
+    for name in ("ad", "ad-slot-3", "ad1", "main-nav", "site_header", "reader-comments", "cookie-notice", "social-links", "side-bar", "Share-Buttons"):
+        assert text(f'<div class="big {name}">noise</div><p>story</p>') == "story"
+
+
+def test_the_tree_decides_on_ambiguous_names(spark):
+    rng = random.Random(7)
+    shell = "<body><div class='notice'>{}</div><div class='alert'>Read our terms</div><p>{}</p></body>"
+    parts = [(sentence(rng, 8), sentence(rng, 6)) for _ in range(20)]
+    pages = [(i, f"http://a.com/{i}", shell.format(*p)) for i, p in enumerate(parts)]
+    got = {r["page_id"]: r["text"] for r in rows(extract(spark.createDataFrame(pages, SCHEMA)))}
+    assert got == {i: "\n\n".join(p) for i, p in enumerate(parts)}
+
+
 def test_broken_markup():
     assert text("<p>a</b></div></article>b") == "ab" or text("<p>a</b></div></article>b") == "a\n\nb"
     assert text("<article><p>whole <a href='x>y'>link</a> te") == "whole link te"
