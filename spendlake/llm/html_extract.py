@@ -9,7 +9,8 @@ a few pages say nothing on what repeats.
 
 What is noise by its markup alone (menus, adverts, scripts, …) is cut on every page, before the tree is built. A class or
 id counts if it is a noise name as a whole, never on ``html``, ``body``, ``main`` and ``article``. Of what
-remains the ``article`` elements count where there are any with text, else ``main``, else the whole body.
+remains, by markup and tree, everything is text, unless ``main`` holds at least half of it: then all that stands in
+``main``. An ``article`` is no bound: it can be a teaser beside the story, or a part of it.
 
 Counts are summed per host, path and hash before the entropies, so a host with a third of all pages is no hot group.
 
@@ -93,10 +94,10 @@ DIGITS = re.compile(r"\d+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "inside")
+    __slots__ = ("tag", "path", "noise", "in_main")
 
-    def __init__(self, tag: str, path: str, noise: bool, inside: str) -> None:
-        self.tag, self.path, self.noise, self.inside = tag, path, noise, inside
+    def __init__(self, tag: str, path: str, noise: bool, in_main: bool) -> None:
+        self.tag, self.path, self.noise, self.in_main = tag, path, noise, in_main
 
 
 def is_noise_name(name: str) -> bool:
@@ -131,12 +132,12 @@ class Page:
 
     def __init__(self, source: str, cut: frozenset[str] = frozenset()) -> None:
         self.cut = cut
-        self.blocks: list[tuple[str, str]] = []  # (what it stands in: article, main or nothing; text)
+        self.blocks: list[tuple[bool, str]] = []  # (whether it stands in main, text)
         self.children: dict[str, list[str]] = {}
         self.texts: dict[str, list[str]] = {}
         self._parts: list[str] = []
-        self._inside = ""
-        self._stack = [Element("", "", False, "")]
+        self._in_main = False
+        self._stack = [Element("", "", False, False)]
         at = 0
         for m in TOKEN.finditer(source):
             if m.start() > at:
@@ -154,7 +155,7 @@ class Page:
             return
         text = html.unescape(raw) if "&" in raw else raw
         self._parts.append(text)
-        self._inside = top.inside or self._inside
+        self._in_main = self._in_main or top.in_main
         if not text.isspace():
             for element in self._stack[1:]:
                 self.texts.setdefault(element.path, []).append(text)
@@ -162,8 +163,8 @@ class Page:
     def _flush(self) -> None:
         text = " ".join("".join(self._parts).split())
         if text:
-            self.blocks.append((self._inside, text))
-        self._parts, self._inside = [], ""
+            self.blocks.append((self._in_main, text))
+        self._parts, self._in_main = [], False
 
     def _pop_to(self, at: int) -> None:
         if any(e.tag in BLOCK_TAGS for e in self._stack[at:]):
@@ -202,18 +203,13 @@ class Page:
         noise = noise or above.noise or path in self.cut
         if not noise:
             self.children.setdefault(above.path, []).append(label)
-        inside = above.inside or (tag if tag in ("article", "main") else "")
-        if tag == "article":
-            inside = "article"
         if not attributes.endswith("/") or tag in BLOCK_TAGS:
-            self._stack.append(Element(tag, path, noise, inside))
+            self._stack.append(Element(tag, path, noise, above.in_main or tag == "main"))
         return None
 
     def text(self) -> str:
-        for wanted in ("article", "main"):
-            if any(inside == wanted for inside, _ in self.blocks):
-                return "\n\n".join(text for inside, text in self.blocks if inside == wanted)
-        return "\n\n".join(text for _, text in self.blocks)
+        every, main = [text for _, text in self.blocks], [text for in_main, text in self.blocks if in_main]
+        return "\n\n".join(main if 2 * sum(map(len, main)) >= sum(map(len, every)) else every)
 
 
 def _hash(parts: list[str]) -> int:

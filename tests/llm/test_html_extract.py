@@ -69,6 +69,18 @@ def test_the_tree_decides_on_ambiguous_names(spark):
     assert got == {i: "\n\n".join(p) for i, p in enumerate(parts)}
 
 
+def test_articles_do_not_bound_the_story():
+    story = "<p>the story begins</p><p>and goes on for long</p>"
+    want = "the story begins\n\nand goes on for long"
+    teasers = "<article>one</article><article>two</article>"
+    for shell in ("<main>{}{}</main>", "<div>{}</div>{}", "<main>{}</main><div>{}</div>"):
+        assert text(shell.format(story, teasers)).startswith(want)
+    assert text(f"<main>{story}<article>nested quote of a post</article><p>end</p></main>") == f"{want}\n\nnested quote of a post\n\nend"
+    assert text("<article>the first and by far the longest part</article><p>the end</p>") == "the first and by far the longest part\n\nthe end"
+    assert text(f"<main><article>{story}</article></main><p>aside</p>") == want
+    assert text(f"<main><p>lead</p></main><div>{story}</div>") == f"lead\n\n{want}"
+
+
 def test_broken_markup():
     assert text("<p>a</b></div></article>b") == "ab" or text("<p>a</b></div></article>b") == "a\n\nb"
     assert text("<article><p>whole <a href='x>y'>link</a> te") == "whole link te"
