@@ -2,8 +2,8 @@
 
 Texts become sequences of one of several permitted lengths. A text longer than the largest is cut into pieces of that
 length and a rest. Pieces are placed longest first, each into the open bin with the least room that is enough. Where
-none has room, a bin of the least cost a token is opened: the cost of a length over the tokens that it can be
-filled with from what is still to be placed. At the end each bin gets the shortest permitted length that holds it.
+none has room, a bin of the least cost a token is opened: the cost of a length over the tokens that it is filled with if it
+gets, of the pieces still to be placed, always the longest that fits. At the end each bin gets the shortest permitted length that holds it.
 
 Rows are dealt by a hash into blocks of about ``block_rows``, packed independently: the bins a block leaves partly
 filled are few against those it fills, and no task sees more than a block, of which it gets ids and lengths, not texts.
@@ -14,7 +14,7 @@ Null or empty text: length 1, its end. Extra columns are ignored; repeated rows
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -39,10 +39,30 @@ class Bin:
     used: int = 0
 
 
-def opened(piece: int, to_place: int, capacities: Sequence[int], cost: Callable[[int], float]) -> int:
-    """The capacity with the least cost a token that it may be filled with; of equals the smallest."""
+def opened(
+    piece: int,
+    to_place: int,
+    capacities: Sequence[int],
+    cost: Callable[[int], float],
+    filled: Callable[[int], int] | None = None,
+) -> int:
+    """The capacity with the least cost a token that it is filled with; of equals the smallest. Unless ``filled`` tells
+    the tokens for a capacity, any number up to ``to_place`` is thought to fit."""
     fitting = [c for c in capacities if c >= piece]
-    return min(fitting, key=lambda c: (cost(c) / min(c, to_place), c))
+    return min(fitting, key=lambda c: (cost(c) / min(c, to_place, filled(c) if filled else c), c))
+
+
+def fill(capacity: int, at: int, shorter: Sequence[int]) -> int:
+    """Tokens in a bin that gets the piece ``at`` and of those behind it always the longest that fits. ``shorter`` has
+    the negative lengths of all pieces, longest first."""
+    room = capacity + shorter[at]
+    at += 1
+    while (at := bisect_left(shorter, -room, lo=at)) < len(shorter):
+        same = bisect_right(shorter, shorter[at], lo=at) - at
+        taken = min(same, room // -shorter[at])
+        room += taken * shorter[at]
+        at += taken
+    return capacity - room
 
 
 def pack(
@@ -54,16 +74,17 @@ def pack(
     pieces = [(min(largest, n - at), i, at) for i, n in enumerate(lengths) for at in range(0, n, largest)]
     pieces.sort(key=lambda p: (-p[0], p[1], p[2]))
     to_place = sum(p[0] for p in pieces)
+    shorter = [-p[0] for p in pieces]
     bins: list[Bin] = []
     room: list[tuple[int, int]] = []  # (free, bin), sorted
     out = []
-    for length, text, start in pieces:
+    for next_piece, (length, text, start) in enumerate(pieces):
         at = bisect_left(room, (length, -1))
         if at < len(room):
             _, number = room.pop(at)
         else:
             number = len(bins)
-            bins.append(Bin(opened(length, to_place, capacities, cost)))
+            bins.append(Bin(opened(length, to_place, capacities, cost, lambda c: fill(c, next_piece, shorter))))
         box = bins[number]
         out.append((text, start, length, number, box.used))
         box.used += length

@@ -8,7 +8,8 @@ import re
 import pytest
 from helpers import SF, awkward, clashing, documents, empty, read, rows
 
-from spendlake.llm.packing import CAPACITIES, compute_cost, opened, pack, pack_texts
+from spendlake.llm import packing
+from spendlake.llm.packing import CAPACITIES, compute_cost, fill, opened, pack, pack_texts
 
 
 def plain(lengths: list[int], capacities: list[int]) -> list:
@@ -46,6 +47,42 @@ def test_least_cost_bin_is_opened():
     assert opened(3000, 3000, CAPACITIES, compute_cost) == 4096
 
 
+def cost_of(bins: list) -> float:
+    return sum(compute_cost(b.capacity) for b in bins)
+
+
+def test_lengths_are_chosen_by_what_is_left_to_place():
+    """With the cost as it is used: three texts of 300 in 1024, not each in 512."""
+    _, bins = pack([300] * 3000)
+    assert [(b.capacity, b.used) for b in bins] == [(1024, 900)] * 1000
+    rng = random.Random(3)
+    _, bins = pack([rng.randint(300, 400) for _ in range(5000)])
+    assert {1024, 2048} <= {b.capacity for b in bins}
+    assert sum(b.used for b in bins) > 0.9 * sum(b.capacity for b in bins)
+    # None is better off in a bin of its own.
+    assert cost_of(bins) < 0.8 * 5000 * compute_cost(512)
+
+
+def test_bins_are_made_shorter_at_the_end(monkeypatch):
+    """The last 1024 was opened for 400 and 260, which then fits elsewhere."""
+    chosen = []
+    monkeypatch.setattr(packing, "opened", lambda *a: chosen.append(opened(*a)) or chosen[-1])
+    _, bins = pack([200, 700, 700, 400, 260])
+    assert chosen == [1024, 1024, 1024]
+    assert [(b.capacity, b.used) for b in bins] == [(1024, 960), (1024, 900), (512, 400)]
+
+
+def test_fill_takes_the_longest_that_fits():
+    rng = random.Random(2)
+    for _ in range(300):
+        lengths = sorted((rng.randint(1, 60) for _ in range(rng.randint(1, 80))), reverse=True)
+        at, capacity = rng.randrange(len(lengths)), rng.randint(60, 400)
+        used = lengths[at]
+        for n in lengths[at + 1 :]:
+            used += n if used + n <= capacity else 0
+        assert fill(capacity, at, [-n for n in lengths]) == used
+
+
 def checked(found: list[dict], sizes: dict) -> None:
     bins: dict[tuple, list] = {}
     texts: dict = {}
