@@ -7,7 +7,7 @@ gets, of the pieces still to be placed, always the longest that fits. At the end
 
 Rows are dealt by a hash into blocks of about ``block_rows``, packed independently: the bins a block leaves partly
 filled are few against those it fills, and no task sees more than a block, of which it gets ids and lengths, not texts.
-Rows that share a doc_id are dealt by their text as well.
+Rows that share a doc_id are dealt by their text as well, and rows that share both evenly over all blocks.
 
 Null or empty text: length 1, its end. Extra columns are ignored; repeated rows are packed once each.
 """
@@ -18,6 +18,7 @@ from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,11 +117,21 @@ def pack_texts(
         "doc_id", F.xxhash64("doc_id", "text").alias("key"), tokens(F.col("text")).alias("n_tokens")
     )
     n_blocks = max(1, -(-docs.count() // block_rows))
-    dealt = rows.withColumn("block", F.pmod("key", F.lit(n_blocks)))
+    # Equal rows go to consecutive blocks in equal numbers, as a count for each.
+    equal = rows.groupBy("doc_id", "key", "n_tokens").agg(F.count("*").alias("n"))
+    parts = equal.select("*", F.explode(F.expr(f"sequence(0L, least(n, {n_blocks}L) - 1)")).alias("part"))
+    dealt = parts.select(
+        "doc_id",
+        "key",
+        "n_tokens",
+        F.expr(f"n div {n_blocks} + int(part < n % {n_blocks})").alias("copies"),
+        F.expr(f"pmod(pmod(key, {n_blocks}L) + part, {n_blocks}L)").alias("block"),
+    )
     kind = docs.schema["doc_id"].dataType
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("key", "ascending"), ("n_tokens", "ascending")])
+        table = table.take(pa.array(np.repeat(np.arange(table.num_rows), table.column("copies").to_numpy())))
         pieces, bins = pack(table.column("n_tokens").to_pylist(), capacities)
         text, start, length, number, offset = zip(*pieces)
         columns = [start, length, [table.column("block")[0].as_py()] * len(text), number, [bins[b].capacity for b in number], offset]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import pytest
 from helpers import SF, awkward, clashing, documents, empty, read, rows
@@ -116,6 +117,24 @@ def test_given_documents_are_packed_whole(spark, block_rows):
     assert SF
 
 
+def test_repeated_rows_are_dealt_over_the_blocks(spark):
+    texts = ["same " * 9] * 401 + [None] * 301 + [f"own {i}" for i in range(298)]
+    ids = [7] * 401 + [None] * 301 + list(range(1000, 1298))
+    found = rows(pack_texts(documents(spark, texts, ids), block_rows=100))
+    blocks = {i: Counter(r["block"] for r in found if r["doc_id"] == i) for i in (7, None)}
+    assert sorted(blocks[7].values()) == [40] * 9 + [41]
+    assert sorted(blocks[None].values()) == [30] * 9 + [31]
+    sizes = {7: 10, None: 1, **{i: 3 for i in range(1000, 1298)}}
+    assert Counter(r["doc_id"] for r in found) == {7: 401, None: 301, **{i: 1 for i in range(1000, 1298)}}
+    assert all((r["start"], r["length"]) == (0, sizes[r["doc_id"]]) for r in found)
+    bins: dict[tuple, list] = {}
+    for r in found:
+        bins.setdefault((r["block"], r["bin"]), []).append(r)
+    for pieces in bins.values():
+        pieces.sort(key=lambda r: r["offset"])
+        assert [r["offset"] for r in pieces] == [sum(p["length"] for p in pieces[:i]) for i in range(len(pieces))]
+
+
 def test_awkward_rows(spark):
     docs = clashing(awkward(spark))
     found = rows(pack_texts(docs, block_rows=3))
