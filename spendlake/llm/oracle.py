@@ -1,7 +1,7 @@
 """The queries in SQL (DuckDB), where SQL can say them.
 
-Without SQL: the suffix tree (1), the style tree (6), XXH64 fingerprints (7), best fit (8) and the pipeline, which
-holds 7 and 8. They are tested against brute force.
+Without SQL: the suffix tree (1), the style tree (6), XXH64 fingerprints (7), best fit (8), winnowing (13) and the
+pipeline, which holds 7 and 8. They are tested against brute force.
 """
 
 from __future__ import annotations
@@ -167,6 +167,33 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+FILL_MIDDLE = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u
+  FROM documents),
+numbers AS (
+  SELECT doc_id, t, u, len(u) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS c1,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS c2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS fim, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS spm
+  FROM drawn),
+cut AS (
+  SELECT doc_id, t, n,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR fim >= 90 THEN 'plain'
+              WHEN spm < 20 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(u[:least(c1, c2)], '') AS p,
+         array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+         array_to_string(u[greatest(c1, c2) + 1:], '') AS s
+  FROM numbers)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut
+"""
+
 ORACLE: dict[str, str] = {
     "op2_quality_rules": QUALITY,
     "op3_url_filter": URLS,
@@ -174,4 +201,5 @@ ORACLE: dict[str, str] = {
     "op5_line_dedup": LINES,
     "op9_decontamination": LEAKS,
     "op10_chat_format": CHATS,
+    "op11_fill_middle": FILL_MIDDLE,
 }

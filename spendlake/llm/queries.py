@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from spendlake.llm import (
     chat_format,
     decontamination,
+    fill_middle,
+    fingerprints,
     html_extract,
     line_dedup,
     lm_scoring,
@@ -76,6 +78,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(turns.union(forged)))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest(read_table(spark, sf_dir, "documents"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.beside_edited(read_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -89,6 +99,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_decontamination,
         op10_chat_format,
+        op11_fill_middle,
+        op13_fingerprints,
     )
 }
 LLM_ORACLE_SQL: dict[str, str] = ORACLE
