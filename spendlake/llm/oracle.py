@@ -194,6 +194,89 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
 FROM cut
 """
 
+
+def _way(state: str, letter: str, cost: str, line: str = "''") -> str:
+    """A state after one more edit: cost, letters, and the lines that are left."""
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {line}}}"
+
+
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _when(condition: str, way: str) -> str:
+    return f"CASE WHEN {condition} THEN {way} END"
+
+
+_NEVER = "{'c': 1000000, 'a': '', 't': ''}"
+_LINE = "role || ':' || text || chr(10)"
+_SAID = "'user:' || text || chr(10)"
+_TOLD = "'assistant:' || text || chr(10)"
+
+# Forward, a turn at a time; of equally cheap ways into a state that with the least letters goes on.
+REPAIRS = rf"""
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+    FROM conversations
+), faulty AS (
+    SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(list_prepend(4294967295,
+        list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(k[i]) AS BIGINT))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS f
+    FROM keyed, crc
+), hurt AS (
+    SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
+    FROM faulty, unnest([0, 1]) AS u(copy) WHERE f <> 0 AND (copy = 0 OR f = 3)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+        count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS r,
+        regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS e
+    FROM hurt
+), judged AS (
+    SELECT *, e = '' AS blank, e <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+        lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS two
+    FROM placed
+), coded AS (
+    SELECT *, blank OR again AS gone, CASE WHEN blank OR again OR e IN ('.', '!', '?') THEN 0 ELSE 1 END AS cut FROM judged
+), walk AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, n, {{'c': 0, 'a': '', 't': ''}} AS o, {_NEVER} AS s, {_NEVER} AS u, {_NEVER} AS a
+    FROM coded
+    UNION ALL
+    SELECT conv_id, i, n, {_way("o", "D", "3")},
+        {_least(_way("s", "D", "3"), _when("NOT gone AND r = 's'", _way("o", "K", "cut", _LINE)))},
+        {_least(_way("u", "D", "3"), *[_when("NOT gone AND r = 'u'", _way(x, "K", "cut", _LINE)) for x in "osa"],
+                *[_when("NOT gone", _way(x, "R", "2 + cut", _SAID)) for x in "osa"])},
+        {_least(_way("a", "D", "3"), _when("NOT gone AND r = 'a'", _way("u", "K", "cut", _LINE)),
+                _when("NOT gone", _way("u", "R", "2 + cut", _TOLD)))}
+    FROM (
+        SELECT * REPLACE ({_least("a", _way("u", "I", "2", "'assistant:' || chr(10)"))} AS a)
+        FROM (
+            SELECT coded.conv_id, coded.i, coded.n, r, role, text, gone, cut, o, s, a,
+                {_least("u", *[_way(x, "I", "2", "'user:' || chr(10)") for x in "osa"])} AS u
+            FROM walk JOIN coded ON walk.conv_id IS NOT DISTINCT FROM coded.conv_id AND coded.i = walk.i + 1
+        )
+    )
+), ended AS (
+    SELECT conv_id, {_least("o", "a", _way("u", "I", "2", "'assistant:' || chr(10)"))} AS w
+    FROM (SELECT conv_id, o, a, {_least("u", _way("s", "I", "2", "'user:' || chr(10)"))} AS u FROM walk WHERE i = n)
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+        count(*) FILTER (again) AS duplicate, sum(cut) AS truncated,
+        count(*) FILTER (two IS NOT NULL AND two NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM coded GROUP BY conv_id
+)
+SELECT named.conv_id, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("gaps", "blank", "duplicate", "truncated", "illegal"))},
+    CAST(coalesce(w.c, 0) AS BIGINT) AS cost, coalesce(w.a, '') AS audit,
+    sha256(coalesce(left(w.t, length(w.t) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS named
+LEFT JOIN counted ON named.conv_id IS NOT DISTINCT FROM counted.conv_id
+LEFT JOIN ended ON named.conv_id IS NOT DISTINCT FROM ended.conv_id
+"""
+
 ORACLE: dict[str, str] = {
     "op2_quality_rules": QUALITY,
     "op3_url_filter": URLS,
@@ -202,4 +285,5 @@ ORACLE: dict[str, str] = {
     "op9_decontamination": LEAKS,
     "op10_chat_format": CHATS,
     "op11_fill_middle": FILL_MIDDLE,
+    "op12_structure_repair": REPAIRS,
 }

@@ -19,6 +19,7 @@ from spendlake.llm import (
     packing,
     quality_rules,
     secret_scan,
+    structure_repair,
     url_filter,
 )
 from spendlake.llm.common import read_table
@@ -82,6 +83,10 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digest(read_table(spark, sf_dir, "documents"))
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.digest(read_table(spark, sf_dir, "conversations"))
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.beside_edited(read_table(spark, sf_dir, "documents"))
 
@@ -100,6 +105,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_decontamination,
         op10_chat_format,
         op11_fill_middle,
+        op12_structure_repair,
         op13_fingerprints,
     )
 }
