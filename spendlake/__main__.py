@@ -25,6 +25,7 @@ from spendlake.plans.ingest import ingest
 from spendlake.plans.refine import refine
 from spendlake.plans.relational import serve_relational
 from spendlake.plans.serve import serve_all
+from spendlake.plans.serve_together import DEFAULT_BUCKETS, serve_together
 from spendlake.plans.session import session
 from spendlake.plans.summarize import summarize_all
 from spendlake.schemas import ServedTypes
@@ -69,6 +70,8 @@ def parser() -> argparse.ArgumentParser:
     stage("summarize", "silver -> gold", silver, gold)
     serving = stage("serve", "gold -> served tables", gold, served)
     serving.add_argument("--jdbc-url", help="load a relational store instead of served snapshots")
+    serving.add_argument("--together", action="store_true", help="served tables in buckets, all loaded in one commit")
+    serving.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS, help="buckets of a table that is new to --together")
     for sub in (daily, serving):
         sub.add_argument("--money", type=decimal, default=ServedTypes().money, help="precision,scale of costs")
         sub.add_argument("--ratio", type=decimal, default=ServedTypes().ratio, help="precision,scale of ratios")
@@ -98,6 +101,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         types = ServedTypes(args.money, args.ratio)
         if args.jdbc_url:
             return int(None in serve_relational(spark, args.gold_path, args.jdbc_url, types=types).values())
+        if args.together:
+            return int(not serve_together(spark, args.gold_path, args.served_path, types=types, buckets=args.buckets))
         return int(None in serve_all(spark, args.gold_path, args.served_path, types=types).values())
     if args.stage == "health":
         layers = layer_health(spark, args.storage_path)

@@ -206,6 +206,29 @@ status AS (
   FROM aged)"""
 
 
+def _after_restating(table: str, keys: str, day: str, campaign: str) -> str:
+    """A served table: rows of the restated days, and those of all days with other keys."""
+    same = " AND ".join(f"restated_{table}.{k} = all_{table}.{k}" for k in keys.split(", "))
+    head = f"'{table}' AS gold_table, {day} AS day, {campaign} AS campaign_name, source"
+    kept = f"FROM all_{table} WHERE NOT EXISTS (SELECT 1 FROM restated_{table} WHERE {same})"
+    known = " AND ".join(f"restated_{table}.{k} = all_{table}.{k}" for k in keys.split(", "))
+    first = f"CASE WHEN EXISTS (SELECT 1 FROM all_{table} WHERE {known}) THEN TIMESTAMP '2026-03-12 10:00:00' ELSE TIMESTAMP '2026-03-13 10:00:00' END"
+    return f"""SELECT {_served(head)}, TIMESTAMP '2026-03-12 10:00:00' AS loaded_at {kept}
+UNION ALL
+SELECT {_served(head)}, {first} FROM restated_{table}"""
+
+
+_SERVED_KEYS = {
+    "daily_summary": ("date, source", "CAST(date AS VARCHAR)", "NULL"),
+    "campaign_summary": ("source, campaign_name", "NULL", "campaign_name"),
+    "source_comparison": ("source", "NULL", "NULL"),
+}
+_RESTATED = _LINES.replace("lines AS", "restated AS").replace(
+    "FROM lineitem)",
+    """FROM (SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM lineitem
+    WHERE l_shipdate >= TIMESTAMP '1998-03-01' AND l_shipdate < TIMESTAMP '1998-03-26'))""",
+)
+
 ORACLE_SQL: dict[str, str] = {
     "silver_google": _one_platform("google_ads"),
     "silver_meta": _one_platform("meta_ads"),
@@ -306,6 +329,12 @@ LEFT JOIN status USING (layer)""",
     "landed_snapshots": f"""WITH {_LINES}
 SELECT {_SILVER}, source || '/snapshot=20260312_100000' AS source_file, '2026-03-12T10:00:00' AS transformed_at
 FROM lines""",
+    "served_together": f"""WITH {_LINES},
+{_RESTATED},
+{",".join(f"""
+{name}_{t}_totals AS ({_totals(keys, rows)}),
+{name}_{t} AS (SELECT *, {_RATIOS} FROM {name}_{t}_totals)""" for t, (keys, _, _) in _SERVED_KEYS.items() for name, rows in (("all", "lines"), ("restated", "restated")))}
+{" UNION ALL ".join(_after_restating(t, *columns) for t, columns in _SERVED_KEYS.items())}""",
     "overlapping_landings": f"""WITH {_LINES.replace("FROM lineitem)", """FROM (
     SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01'))""")},
 totals AS ({_totals('date, source')})

@@ -21,8 +21,10 @@ from spendlake.plans.isolate import each
 from spendlake.plans.refine import refine
 from spendlake.plans.runlog import RUN_LOG_SCHEMA, append_run
 from spendlake.plans.serve import serve_all, served
+from spendlake.plans.serve_together import serve_together, served_version
 from spendlake.plans.summarize import latest_silver, summarize_all
-from spendlake.schemas import KNOWN_SOURCES, METRICS, RATIOS, SILVER_SCHEMA, ServedTypes
+from spendlake.schemas import GOLD_TABLES, KNOWN_SOURCES, METRICS, RATIOS, SILVER_SCHEMA, ServedTypes
+from spendlake.sources.buckets import read_manifest
 from spendlake.sources.landing import RECORD_COLUMNS, unnest_envelope, with_ingest_columns
 from spendlake.sources.registry import SOURCES
 from spendlake.sources.scratch import scratch_path
@@ -423,6 +425,27 @@ def served_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(served(spark, f"{root}/served", "campaign_summary", WIDE))
 
 
+def _write_gold(spark: SparkSession, lines: DataFrame, root: str, at: datetime) -> None:
+    silver = normalize_mixed(derive.raw_mixed(lines), "lineitem", at)
+    each(spark, "gold", GOLD_TABLES, lambda t: write_snapshot(aggregate.summarize(silver, t), root, t, at)).complete()
+
+
+def served_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All gold in one commit, then that of 25 restated days, which is 1 % of the days; the three tables of one version."""
+    root, lines = scratch_path(spark, "together"), derive.lineitem(spark, sf_dir)
+    days = lines.where("l_shipdate >= timestamp_ntz'1998-03-01' AND l_shipdate < timestamp_ntz'1998-03-26'")
+    for at, reported in ((AT, lines), (LATER, days.withColumn("l_quantity", F.expr("l_quantity + 1")))):
+        _write_gold(spark, reported, f"{root}/gold", at)
+        serve_together(spark, f"{root}/gold", f"{root}/served", at, WIDE)
+    version, frames = read_manifest(spark, f"{root}/served"), []
+    for name, gold in GOLD_TABLES.items():
+        rows = _as_text(served_version(spark, f"{root}/served", name, WIDE, version))
+        day, campaign = (c if c.split()[0] in gold.keys else "NULL" for c in ("date", "campaign_name"))
+        head = [f"'{name}' AS gold_table", f"cast({day} AS string) AS day", f"cast({campaign} AS string) AS campaign_name", "source"]
+        frames.append(rows.selectExpr(*head, *METRICS, *RATIOS, "loaded_at"))
+    return union_strict(frames)
+
+
 def _gold(builder: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: builder(_silver(spark, sf_dir))
 
@@ -463,6 +486,7 @@ QUERIES: dict[str, Query] = {
     "run_log_snapshots": run_log_snapshots,
     "gold_snapshots": gold_snapshots,
     "served_snapshots": served_snapshots,
+    "served_together": served_together,
     "overlapping_landings": overlapping_landings,
     "landed_extra_fields": landed_extra_fields,
     "daily_sevenths": daily_sevenths,

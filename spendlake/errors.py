@@ -16,3 +16,10 @@ class NothingToWrite(ValueError):
 
 class QualityGateError(ValueError):
     """At least one validated source failed a quality rule."""
+
+
+class StaleWriter(RuntimeError):
+    """Somebody else has committed a newer version since this writer read its own."""
+
+    def __init__(self, root: str, version: int) -> None:
+        super().__init__(f"{root} has moved on from version {version}; nothing was changed, load again")

@@ -1,0 +1,158 @@
+"""Served tables in buckets: what a load touches, what readers see, and who may commit."""
+
+from __future__ import annotations
+
+from datetime import date, datetime, timedelta
+from pathlib import Path
+
+import pytest
+from test_cli import call
+
+from spendlake.errors import StaleWriter
+from spendlake.plans import serve_together as together
+from spendlake.plans.serve_together import serve_together, served_version
+from spendlake.schemas import GOLD_TABLES
+from spendlake.sources.buckets import Manifest, bucket_path, commit, prune, read_manifest
+from spendlake.sources.snapshots import write_snapshot
+
+AT, LATER, LAST = (datetime(2026, 3, d, 10) for d in (12, 13, 14))
+DAYS = [date(2026, 1, 1) + timedelta(days=i) for i in range(200)]
+
+
+def day_rows(days, clicks=1):
+    return [(d, s, 100, clicks, 10.0, 1, 1.0, 10.0, 100.0, 10.0) for d in days for s in ("google_ads", "meta_ads")]
+
+
+def data_files(root):
+    return {p: (p.stat().st_mtime_ns, p.stat().st_ino, p.read_bytes()) for p in Path(root).rglob("part-*.parquet")}
+
+
+def current_files(spark, root, name):
+    table = read_manifest(spark, root).tables[name]
+    paths = {b: Path(bucket_path(root, name, load, b)) for b, load in table.loads.items()}
+    return {b: next(p.glob("part-*.parquet")) for b, p in paths.items()}
+
+
+@pytest.fixture
+def load(spark, gold, root):
+    """Write gold snapshots of the given tables and serve them."""
+
+    def run(at, **tables):
+        for table, rows in tables.items():
+            write_snapshot(gold(table, rows), f"{root}/gold", table, at)
+        return serve_together(spark, f"{root}/gold", f"{root}/served", at)
+
+    return run
+
+
+def test_a_load_touches_its_buckets_only(spark, load, root):
+    served = f"{root}/served"
+    load(AT, daily_summary=day_rows(DAYS))
+    before, files = data_files(served), current_files(spark, served, "gold_daily_summary")
+    assert len(files) > 40 and len(before) == len(files)
+    load(LATER, daily_summary=day_rows(DAYS[50:52], clicks=2))
+    after, newer = data_files(served), current_files(spark, served, "gold_daily_summary")
+    assert {p: after[p] for p in before} == before
+    changed = {b for b in newer if newer[b] != files.get(b)}
+    assert 1 <= len(changed) <= 2
+    assert len(after) == len(before) + len(changed)
+    rows = {(r.date, r.source): r for r in served_version(spark, served, "daily_summary").collect()}
+    assert len(rows) == 400
+    assert {k[0] for k, r in rows.items() if r.clicks == 2} == set(DAYS[50:52])
+    assert {r.loaded_at for r in rows.values()} == {AT}
+
+
+def test_new_keys_and_idempotence(spark, load, root):
+    load(AT, daily_summary=day_rows(DAYS[:10]))
+    for at in (LATER, LAST):
+        assert load(at, daily_summary=day_rows(DAYS[9:12])) == {"daily_summary": 6}
+        rows = served_version(spark, f"{root}/served", "daily_summary").collect()
+        assert len(rows) == 24
+        assert {r.loaded_at for r in rows if r.date > DAYS[9]} == {LATER}
+
+
+def test_all_tables_or_none(spark, load, gold, root, monkeypatch):
+    served = f"{root}/served"
+    load(AT, **{t: None for t in GOLD_TABLES})
+    before = {t: sorted(served_version(spark, served, t).collect()) for t in GOLD_TABLES}
+    files, calls = data_files(served), []
+
+    def dies(*args, **kwargs):
+        calls.append(args[2])
+        if len(calls) == 2:
+            raise OSError("disk is gone")
+        return write(*args, **kwargs)
+
+    write = together.write_buckets
+    monkeypatch.setattr(together, "write_buckets", dies)
+    for t in GOLD_TABLES:
+        write_snapshot(gold(t, clicks=7), f"{root}/gold", t, LATER)
+    with pytest.raises(OSError):
+        serve_together(spark, f"{root}/gold", served, LATER)
+    assert len(calls) == 2 and len(data_files(served)) > len(files)
+    assert {t: sorted(served_version(spark, served, t).collect()) for t in GOLD_TABLES} == before
+    monkeypatch.undo()
+    assert serve_together(spark, f"{root}/gold", served, LATER) == dict.fromkeys(GOLD_TABLES, 2)
+    assert all(r.clicks == 7 for t in GOLD_TABLES for r in served_version(spark, served, t).collect())
+    assert prune(spark, served, keep=1) > 0
+    assert len(data_files(served)) == sum(len(t.loads) for t in read_manifest(spark, served).tables.values())
+
+
+def test_the_slower_of_two_writers_fails(spark, load, gold, root, monkeypatch):
+    served = f"{root}/served"
+    load(AT, source_comparison=None)
+    write_snapshot(gold("source_comparison", clicks=5), f"{root}/gold", "source_comparison", LATER)
+    faster = together.write_buckets
+
+    def slow(*args, **kwargs):
+        monkeypatch.setattr(together, "write_buckets", faster)
+        write_snapshot(gold("source_comparison", clicks=6), f"{root}/gold", "source_comparison", LAST)
+        serve_together(spark, f"{root}/gold", served, LAST)
+        return faster(*args, **kwargs)
+
+    monkeypatch.setattr(together, "write_buckets", slow)
+    with pytest.raises(StaleWriter, match="version 1"):
+        serve_together(spark, f"{root}/gold", served, LATER)
+    assert {r.clicks for r in served_version(spark, served, "source_comparison").collect()} == {6}
+    assert sorted(p.name for p in Path(served, "_manifest").glob("[!.]*")) == ["0000000001.json", "0000000002.json"]
+
+
+def test_readers_keep_their_version(spark, load, gold, root):
+    load(AT, source_comparison=None, campaign_summary=None)
+    begun = read_manifest(spark, f"{root}/served")
+    old = served_version(spark, f"{root}/served", "source_comparison", manifest=begun)
+    rows = sorted(old.collect())
+    write_snapshot(gold("source_comparison", clicks=5), f"{root}/gold", "source_comparison", LATER)
+    load(LATER)
+    assert sorted(old.collect()) == rows
+    assert read_manifest(spark, f"{root}/served", begun.version) == begun
+    assert served_version(spark, f"{root}/served", "daily_summary").count() == 0
+
+
+@pytest.mark.parametrize("change", [{"source": None}, {"clicks": None}, {"cost_brl": 1e9}])
+def test_what_cannot_be_served_changes_nothing(spark, load, gold, root, change):
+    load(AT, daily_summary=None)
+    write_snapshot(gold("daily_summary", **change), f"{root}/gold", "daily_summary", LATER)
+    with pytest.raises(Exception, match="served"):
+        load(LATER)
+    assert read_manifest(spark, f"{root}/served").version == 1
+
+
+def test_a_key_that_occurs_twice(spark, load, root):
+    with pytest.raises(Exception, match="duplicate key"):
+        load(AT, daily_summary=day_rows(DAYS[:2]) + day_rows(DAYS[:1]))
+    assert read_manifest(spark, f"{root}/served") == Manifest()
+
+
+def test_nothing_to_load(spark, root):
+    assert serve_together(spark, f"{root}/gold", f"{root}/served") == {}
+    assert read_manifest(spark, f"{root}/served") == Manifest()
+    assert call(spark, "serve", "--together", "--gold-path", f"{root}/gold", "--served-path", f"{root}/served") == 1
+
+
+def test_manifest_as_text(spark, root):
+    table = together.BucketedTable(8, ("date",), {1: "a", 3: "b", 5: "a"})
+    assert Manifest.from_json(Manifest(4, {"gold_x": table}).to_json()) == Manifest(4, {"gold_x": table})
+    assert commit(spark, root, Manifest()).version == 1
+    with pytest.raises(StaleWriter):
+        commit(spark, root, Manifest())
