@@ -57,7 +57,7 @@ def parser() -> argparse.ArgumentParser:
     ):
         sub.add_argument("--start-date", type=date.fromisoformat, default=today - timedelta(days=7))
         sub.add_argument("--end-date", type=date.fromisoformat, default=today)
-        sub.add_argument("--many-lines", action="store_true", help="files hold one small JSON report over many lines")
+        sub.add_argument("--many-lines", action="store_true", help="a file holds one JSON report, over any number of lines")
         sub.add_argument("--max-days", type=int, default=MAX_WINDOW_DAYS, help="longest window; 0 for any")
     sub.add_argument("--gate", choices=("fail", "warn"), default="fail", help="what a failed quality rule does")
     daily = sub

@@ -239,10 +239,11 @@ SELECT {_SILVER}, 'lineitem' AS source_file, '2026-03-12T10:00:00' AS transforme
 SELECT {_SILVER}, source || '.parquet' AS source_file, '2026-03-12T10:00:00' AS transformed_at FROM lines""",
     "silver_lenient": f"""WITH {_LINES}
 SELECT CASE WHEN impressions NOT IN (4600, 5000) THEN date END AS date, 'tiktok_ads' AS source, campaign_name, ad_group_name,
-       impressions, clicks, CASE WHEN impressions NOT IN (4700, 4800, 4900, 5000) THEN cost_brl END AS cost_brl, conversions,
+       impressions, clicks,
+       CASE WHEN impressions NOT IN (4000, 4100, 4200, 4300, 4400, 4500, 4700, 4800, 4900, 5000) THEN cost_brl END AS cost_brl, conversions,
        'lineitem' AS source_file, '2026-03-12T10:00:00' AS transformed_at,
-       CASE WHEN impressions = 5000 THEN 'date,cost_brl' WHEN impressions >= 4700 THEN 'cost_brl'
-            WHEN impressions = 4600 THEN 'date' ELSE '' END AS unparsed
+       CASE WHEN impressions = 5000 THEN 'date,cost_brl' WHEN impressions = 4600 THEN 'date'
+            WHEN impressions >= 4000 THEN 'cost_brl' ELSE '' END AS unparsed
 FROM lines""",
     "daily_summary": _gold("date, source", "date, source"),
     "campaign_summary": _gold("source, campaign_name", "source, campaign_name"),
@@ -399,3 +400,4 @@ totals AS ({_totals('source, campaign_name')}),
 gold AS (SELECT *, {_RATIOS} FROM totals)
 SELECT {_served('source, campaign_name')}, TIMESTAMP '2026-03-12 10:00:00' AS loaded_at FROM gold""",
 }
+ORACLE_SQL["landed_documents"] = ORACLE_SQL["landed_snapshots"]

@@ -72,7 +72,10 @@ def silver_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
             "total_cost": F.expr(
                 """CASE views WHEN 5000 THEN 'n/a' WHEN 4900 THEN concat(total_cost, 'd') WHEN 4800 THEN '0x1p3'
-                   WHEN 4700 THEN concat(total_cost, chr(10)) ELSE total_cost END"""
+                   WHEN 4700 THEN concat(total_cost, chr(10)) WHEN 4500 THEN concat(total_cost, chr(13))
+                   WHEN 4400 THEN concat(total_cost, chr(13), chr(10)) WHEN 4300 THEN concat(total_cost, '\u0085')
+                   WHEN 4200 THEN concat(total_cost, '\u2028') WHEN 4100 THEN '1e400' WHEN 4000 THEN concat(' ', total_cost)
+                   ELSE total_cost END"""
             ),
         }
     )
@@ -181,15 +184,21 @@ def date_spine_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lenient_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order dates in several spellings, by order status and priority."""
+    """Order dates in several spellings, by order status and priority; week dates with line ends count as unreadable."""
+    week = "concat(extract(YEAROFWEEK FROM o_orderdate), '-W', lpad(weekofyear(o_orderdate), 2, '0'), '-', weekday(o_orderdate) + 1)"
     texts = derive.table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
-        """CASE left(o_orderpriority, 1)
+        f"""CASE left(o_orderpriority, 1)
              WHEN '1' THEN cast(cast(o_orderdate AS date) AS string)
              WHEN '2' THEN date_format(o_orderdate, 'yyyyMMdd')
-             WHEN '3' THEN concat(extract(YEAROFWEEK FROM o_orderdate), '-W',
-                                  lpad(weekofyear(o_orderdate), 2, '0'), '-', weekday(o_orderdate) + 1)
-             WHEN '4' THEN date_format(o_orderdate, 'dd/MM/yyyy')
+             WHEN '3' THEN {week}
+             WHEN '4' THEN CASE o_orderkey % 6
+                             WHEN 0 THEN date_format(o_orderdate, 'dd/MM/yyyy')
+                             WHEN 1 THEN concat({week}, chr(13))
+                             WHEN 2 THEN concat(left({week}, 8), chr(13), chr(10))
+                             WHEN 3 THEN concat(replace({week}, '-', ''), '\u0085')
+                             WHEN 4 THEN concat(left({week}, 8), '\u2028')
+                             ELSE concat(date_format(o_orderdate, 'yyyyMMdd'), chr(13)) END
              ELSE CASE o_orderstatus
                     WHEN 'F' THEN ''
                     WHEN 'O' THEN concat(date_format(o_orderdate, 'yyyy-MM-'), '32') END
@@ -308,6 +317,29 @@ def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_file_names(latest_silver(spark, f"{root}/silver"))
 
 
+def _land_document(spark: SparkSession, lines: DataFrame, landing: str, run: str) -> None:
+    """A landing run of every platform: all its lines as one JSON document in one file, over many lines of text."""
+
+    def land(name: str) -> str:
+        spec = SOURCES[name]
+        records = derive.raw_report(derive.own_lines(lines, name), spec).selectExpr("concat(', ', to_json(struct(*))) AS value")
+        begin = f"""{{"source": "{name}", "total_rows": 1, "paging": {{"next": []}},\n "{spec.envelope_key}": [null"""
+        head, end = (spark.range(1).select(F.lit(t).alias("value")) for t in (begin, "]}"))
+        head.union(records).union(end).coalesce(1).write.text(f"{landing}/{name}/landed={run}")
+        return name
+
+    each(spark, "land", SOURCES, land).complete()
+
+
+def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document a platform with all its records, read by several tasks -> bronze -> silver -> their union."""
+    root = scratch_path(spark, "documents")
+    _land_document(spark, derive.lineitem(spark, sf_dir), f"{root}/landing", "20260312_090000")
+    ingest(spark, f"{root}/landing", f"{root}/bronze", at=AT, many_lines=True).complete()
+    refine(spark, f"{root}/bronze", f"{root}/silver", AT).complete()
+    return _with_file_names(latest_silver(spark, f"{root}/silver"))
+
+
 def overlapping_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two daily runs; the second report restates days of the first with other metrics."""
     root, lines = scratch_path(spark, "overlap"), derive.lineitem(spark, sf_dir)
@@ -487,6 +519,7 @@ QUERIES: dict[str, Query] = {
     "gold_snapshots": gold_snapshots,
     "served_snapshots": served_snapshots,
     "served_together": served_together,
+    "landed_documents": landed_documents,
     "overlapping_landings": overlapping_landings,
     "landed_extra_fields": landed_extra_fields,
     "daily_sevenths": daily_sevenths,

@@ -39,8 +39,9 @@ def _week_date(raw: str) -> str:
     day = f"(cast(rpad({digits}, 7, '1') AS bigint) % 1000)"  # wwd
     parsed = f"date_add(date_trunc('WEEK', {january_4}), cast({day} div 10 * 7 + {day} % 10 - 8 AS int))"
     same_week = f"extract(YEAROFWEEK FROM {parsed}) = cast(left({raw}, 4) AS int)"
-    shape = "^[0-9]{4}(-W[0-9]{2}(-[1-7])?|W[0-9]{2}[1-7]?)$"
-    return f"CASE WHEN NOT contains({raw}, chr(10)) AND {raw} RLIKE '{shape}' THEN CASE WHEN {same_week} THEN {parsed} END END"
+    # Unlike a dollar sign, this end does not match before a line end of any kind.
+    shape = r"^[0-9]{4}(-W[0-9]{2}(-[1-7])?|W[0-9]{2}[1-7]?)\\z"
+    return f"CASE WHEN {raw} RLIKE '{shape}' THEN CASE WHEN {same_week} THEN {parsed} END END"
 
 
 def lenient_date(raw: str, fallback: date) -> str:

@@ -24,9 +24,10 @@ def require_columns(raw: DataFrame, required: Iterable[str], spec: SourceSpec, s
         raise ReportLacksFields(spec.name, list(missing), source_file)
 
 
-# Fixed value: what a text may look like to be read as a number. A cast alone also takes blanks around it and the
-# suffixes and hexadecimal forms of a Java literal.
-NUMBER = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+# Fixed value: what a text that is read as a number consists of. A cast alone also takes blanks and line ends around it, and
+# the suffixes, names and hexadecimal forms of a Java literal. Of these characters it takes decimal numbers only.
+NUMBER_CHARACTERS = "0123456789+-.eE"
+LARGEST = "1.7976931348623157e308D"
 
 
 def _parsed(spec: SourceSpec, column: str, frame: DataFrame) -> str:
@@ -35,15 +36,18 @@ def _parsed(spec: SourceSpec, column: str, frame: DataFrame) -> str:
     Fractional counts are truncated toward zero.
     """
     raw = f"`{spec.columns[column]}`"
-    if column not in ("date", *NAMES) and isinstance(frame.schema[spec.columns[column]].dataType, T.StringType):
-        raw = f"CASE WHEN NOT contains({raw}, chr(10)) AND {raw} RLIKE '{NUMBER}' THEN {raw} END"
+    text = isinstance(frame.schema[spec.columns[column]].dataType, T.StringType)
+    if column not in ("date", *NAMES) and text:
+        raw = f"CASE WHEN translate({raw}, '{NUMBER_CHARACTERS}', '') = '' THEN {raw} END"
     if column == "date":
         return spec.parse_date(raw)
     if column in NAMES:
         return f"cast({raw} AS string)"
     if column == "cost_brl":
         cost = f"try_cast({raw} AS double)"
-        return cost if spec.cost_divisor == 1 else f"{cost} / {spec.cost_divisor}D"
+        if text:  # one too large for a double would turn into infinity
+            cost = f"CASE WHEN abs({cost}) <= {LARGEST} THEN {cost} END"
+        return cost if spec.cost_divisor == 1 else f"({cost}) / {spec.cost_divisor}D"
     return f"try_cast({raw} AS bigint)"
 
 

@@ -127,7 +127,8 @@ class Cutter:
         self.in_string, self.opened, self.key, self.start = begin.in_string, list(begin.opened), key, start
         self.record: list[str] | None = [] if in_records(self.opened, key) and len(self.opened) > 2 else None
         self.began = begin.began
-        self.some = start > 0  # a split begins behind a brace, so there was a record before
+        # A split begins behind a brace, so there was a record before, or the end of the report.
+        self.some, self.done = start > 0, start > 0 and not begin.opened
         self.envelope: list[str] = []
 
     def between(self) -> bool:
@@ -145,6 +146,8 @@ class Cutter:
         kept_from, last, key = 0, None, None
         for token, at in tokens(piece, self):
             if token[0] == '"':
+                if self.between():
+                    raise BadReport("a record that is no object")
                 last = token
             elif token == ":":
                 key = last
@@ -156,8 +159,8 @@ class Cutter:
                     if token == "[":
                         raise BadReport("a record that is no object")
                     self.record, self.began, kept_from = [], self.start, at
-                elif not self.opened and (self.envelope or token == "["):
-                    raise BadReport("more than one object in a report")
+                elif not self.opened and (self.done or token == "[" or piece[:at].strip()):
+                    raise BadReport("a report is one object")
                 self.opened.append((token, _name(key)))
                 key = None
                 if self.record is None and self.between():
@@ -174,6 +177,9 @@ class Cutter:
                     self.record.append(piece[kept_from : at + 1])
                     yield "".join(self.record), -1 if self.began == self.start else self.began
                     self.record, kept_from, self.some = None, at + 1, True
+                self.done = not self.opened
+        if self.done and piece[kept_from:].rpartition("}")[2].strip():
+            raise BadReport("text behind the report")
         (self.envelope if self.record is None else self.record).append(piece[kept_from:])
 
     @staticmethod
@@ -234,6 +240,7 @@ def _begins(splits: list, key: str) -> dict[tuple[int, int], Begin]:
         parts.sort(key=lambda s: s["start"])
         # Every piece but the last one is ended by a brace; the last one may be.
         spare = parts[0]["size"] - sum(s["bytes"] + s["pieces"] for s in parts)
+        spare -= 3 if spare in (2, 3) else 0  # a byte order mark, which Spark leaves out
         if spare not in (0, -1):
             raise BadReport("a report that is compressed or not UTF-8 cannot be split")
         in_string, opened, began = False, [], -1
@@ -242,10 +249,13 @@ def _begins(splits: list, key: str) -> dict[tuple[int, int], Begin]:
             if s is parts[-1] and spare == -1:
                 begin.last_piece = s["pieces"] - 1
             in_string, closed, left = json.loads(s["guesses"])[in_string]
+            if begin.last_piece >= 0:  # was followed as if a brace ended it, too
+                if closed[-1:] != "}":
+                    raise BadReport("a report that ends too early")
+                closed = closed[:-1]
             for mark in closed:
                 if not opened or opened.pop()[0] != PAIRS.get(mark):
-                    if s is not parts[-1] or spare != -1 or mark != closed[-1]:
-                        raise BadReport("brackets that do not match")
+                    raise BadReport("brackets that do not match")
             known = len(opened)
             opened = [*opened, *map(tuple, left)]
             if not in_records(opened, key) or len(opened) < 3:
@@ -294,8 +304,6 @@ def _cut(pieces: DataFrame, begins: dict[tuple[int, int], Begin], key: str) -> D
                     cutter = Cutter(begin, of[1], key)
                 text = value if number == begin.last_piece else value + "}"
                 number += 1
-                if of[1] == 0 and number == 1:
-                    text = text.removeprefix("﻿")
                 for record, began in cutter.feed(text):
                     out.append((*of[:2], "r" if began < 0 else "p", began, record))
             yield flushed()
@@ -319,7 +327,8 @@ def report_records(spark: SparkSession, spec: SourceSpec, path: str) -> DataFram
 
     envelopes = joined(cut.where("kind = 'e'"), "file").where("trim(BOTH ' \t\r\n' FROM text) <> ''")
     parsed = envelopes.select(F.from_json("text", spec.envelope_schema(), {"mode": "FAILFAST"}).alias("report"))
-    parsed.agg(F.count("report.total_rows"), F.count("report.source")).collect()
+    fields = [f"report.`{f}`" for f in spec.envelope_schema().names]
+    parsed.agg(F.max(F.xxhash64(*fields))).collect()  # reads every field, which fails for one of another type
     # A record on a border has one part in each of its splits.
     parts = joined(cut.where("kind = 'p'"), "file", "began")
     return cut.where("kind = 'r'").select(F.col("text").alias("_record")).union(parts.select("text"))

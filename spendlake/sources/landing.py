@@ -2,8 +2,7 @@
 
 One landing run is one folder, ``{landing}/{source}/landed=YYYYMMDD_HHMMSS/``, finished by an empty file ``_SUCCESS``.
 A report that restates days of an earlier one replaces it as a whole, so only the newest finished run is read.
-Reports come one per line, which is what scales: a file is split among tasks. A file that holds a single report over many
-lines, ``many_lines``, is one row of one task and is meant for small reports only.
+Reports come one per line, and a file is split among tasks, or one per file, which ``sources.documents`` splits.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ RECORD_COLUMNS = ("_record", "_fields")
 
 
 def read_envelopes(spark: SparkSession, spec: SourceSpec, path: str, many_lines: bool = False) -> DataFrame:
-    """Reports landed as JSON, one envelope per line or, with ``many_lines``, per file.
+    """Reports landed as JSON, one envelope per line or, with ``many_lines``, per file; then each is one row.
 
     Records are kept as the text they came in. What is no report fails the read: a value that turned NULL silently
     would pass for missing data.
@@ -40,6 +39,11 @@ def unnest_envelope(envelopes: DataFrame, spec: SourceSpec) -> DataFrame:
     would parse JSON text that is read with ``from_json`` a second time.
     """
     records = envelopes.selectExpr(f"explode_outer(`{spec.envelope_key}`) AS _record").where("_record IS NOT NULL")
+    return parse_records(records, spec)
+
+
+def parse_records(records: DataFrame, spec: SourceSpec) -> DataFrame:
+    """The raw columns of records kept as text, ``_record``, beside what ``RECORD_COLUMNS`` names."""
     parsed = F.from_json("_record", spec.landed_schema, {"mode": "FAILFAST"})
     return records.select(parsed.alias("r"), "_record", F.expr("json_object_keys(_record) AS _fields")).select("r.*", *RECORD_COLUMNS)
 

@@ -1,0 +1,166 @@
+"""Reports of one JSON document, split at every few bytes, against a plain JSON parser."""
+
+from __future__ import annotations
+
+import json
+import random
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from conftest import RAW_ROWS
+
+from spendlake.plans.ingest import ingest
+from spendlake.sources import documents
+from spendlake.sources.documents import report_records
+from spendlake.sources.registry import SOURCES
+from spendlake.sources.scratch import scratch_root
+
+SPEC = SOURCES["google_ads"]
+TEXTS = ["plain", "a } b", '"', "\\", '\\"}', "}{][", "é漢\U0001f600", "", "\n}\n", "rows", ': [{"x": 1}], ', "}}}}", "x" * 300]
+
+
+def value(rng: random.Random, depth: int = 0):
+    kind = rng.randint(0, 5 if depth < 2 else 3)
+    if kind == 4:
+        return {rng.choice(TEXTS): value(rng, depth + 1) for _ in range(rng.randint(0, 3))}
+    if kind == 5:
+        return [value(rng, depth + 1) for _ in range(rng.randint(0, 3))]
+    return [rng.choice(TEXTS), rng.randint(-9, 9), None, rng.random()][kind]
+
+
+def record(rng: random.Random) -> dict:
+    return {f"field {i}": value(rng) for i in range(rng.randint(0, 4))}
+
+
+@pytest.fixture
+def split_bytes(spark):
+    def set_to(n):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", n)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+
+    yield set_to
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def records_of(spark, path) -> list[str]:
+    found = report_records(spark, SPEC, str(path)).collect()
+    return sorted(json.dumps(json.loads(r["_record"])) for r in found)
+
+
+def put(root, text: str, name: str = "report.json") -> str:
+    Path(root, "run").mkdir(exist_ok=True)
+    Path(root, "run", name).write_bytes(text.encode())
+    return f"{root}/run"
+
+
+@pytest.mark.parametrize("n, style", [(120, {}), (300, {"indent": 2}), (150, {"separators": (",", ":"), "ensure_ascii": False}), (100_000, {})])
+def test_splits_make_no_difference(spark, root, split_bytes, n, style):
+    rng = random.Random(n)
+    split_bytes(n)
+    want = []
+    for i in range(3):
+        rows = [record(rng) for _ in range(25)]
+        envelope = {"meta": value(rng), "source": "google } \"ads", "total_rows": 25, "rows": rows, "next": {"rows": [{"no": 1}]}}
+        path = put(root, json.dumps(envelope, **style) + "\n" * i, f"{i}.json")
+        want += [json.dumps(r) for r in rows]
+    assert records_of(spark, path) == sorted(want)
+
+
+def test_more_than_one_task(spark, root, split_bytes):
+    split_bytes(2000)
+    path = put(root, json.dumps({"rows": [{"i": i, "text": "} {"} for i in range(400)]}))
+    pieces = documents._pieces(spark, path)
+    assert pieces.rdd.getNumPartitions() > 5
+    assert len(documents._summaries(pieces).collect()) > 5
+    assert len(records_of(spark, path)) == 400
+
+
+def test_a_record_longer_than_splits(spark, root, split_bytes):
+    split_bytes(200)
+    long = {"a": [{"b": "}" * 40} for _ in range(50)], "c": "]}" * 100}
+    path = put(root, json.dumps({"rows": [{"x": 1}, long, {"y": 2}, long]}))
+    assert records_of(spark, path) == sorted(map(json.dumps, [{"x": 1}, long, {"y": 2}, long]))
+
+
+@pytest.mark.parametrize(
+    "text, records",
+    [
+        ('{"source": "x"}', 0),
+        ('{"rows": []}', 0),
+        ('{"rows": null, "total_rows": 3}', 0),
+        ('{"rows": [null, {"a": 1}, null , null, {"a": 2}, null]}', 2),
+        ('  {"rows" : [ null ] } \n', 0),
+        ('{"ro\\u0077s": [{"a": 1}]}', 1),
+        ('﻿{"rows": [{"a": 1}]}', 1),
+        ('{"rows": [{}]}', 1),
+        ("", 0),
+    ],
+)
+def test_short_reports(spark, root, text, records):
+    assert len(records_of(spark, put(root, text))) == records
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"rows": [{"a": 1}',
+        '{"rows": [{"a": 1}]',
+        '{"rows": [{"a": 1}, {"b": "x}',
+        '{"rows": [{"a": 1} {"a": 2}]}',
+        '{"rows": [{"a": 1},, {"a": 2}]}',
+        '{"rows": [, {"a": 1}]}',
+        '{"rows": [{"a": 1},]}',
+        '{"rows": [1, {"a": 1}]}',
+        '{"rows": ["x}", {"a": 1}]}',
+        '{"rows": [[{"a": 1}]]}',
+        '{"rows": {"a": 1}}',
+        '{"rows": [{"a": 1]}}',
+        '{"rows": []} {"rows": []}',
+        '{"rows": []}}',
+        '{"rows": []} x',
+        'x {"rows": []}',
+        '[{"rows": []}]',
+        '{"rows": [], "total_rows": "many"}',
+        '{"rows": [] "total_rows": 1}',
+        "no report",
+    ],
+)
+def test_what_is_no_report(spark, root, split_bytes, text):
+    split_bytes(9)
+    with pytest.raises(Exception):  # noqa: B017 - in the driver or in a task
+        records_of(spark, put(root, text))
+
+
+def test_splits_that_change_are_noticed(spark, root, split_bytes, monkeypatch):
+    path = put(root, json.dumps({"rows": [{"i": i} for i in range(500)]}))
+    split_bytes(1000)
+
+    def replanned(splits, key, begins=documents._begins):
+        split_bytes(700)
+        return begins(splits, key)
+
+    monkeypatch.setattr(documents, "_begins", replanned)
+    with pytest.raises(Exception, match="splits of the reports have changed"):
+        records_of(spark, path)
+
+
+@pytest.mark.parametrize("name", list(SOURCES))
+def test_ingest_of_documents(spark, root, split_bytes, name):
+    """The same bronze rows as from a report on one line."""
+    spec = SOURCES[name]
+    rows = [dict(zip(spec.raw_schema.names, r)) for r in RAW_ROWS[name]] * 20
+    report = {"source": name, "total_rows": len(rows), spec.envelope_key: rows}
+    split_bytes(500)
+    bronze = {}
+    for how, text in (("lines", json.dumps(report)), ("document", json.dumps(report, indent=1))):
+        folder = Path(root, how, name, "landed=20260312_090000")
+        folder.mkdir(parents=True)
+        (folder / "report.json").write_text(text)
+        (folder / "_SUCCESS").touch()
+        done = ingest(spark, f"{root}/{how}", f"{root}/bronze-{how}", at=datetime(2026, 3, 12), many_lines=how == "document")
+        bronze[how] = spark.read.parquet(done[name].path).drop("_record")
+    assert bronze["lines"].schema == bronze["document"].schema
+    assert sorted(map(repr, bronze["lines"].collect())) == sorted(map(repr, bronze["document"].collect()))
+    assert scratch_root(spark)
