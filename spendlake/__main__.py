@@ -28,6 +28,7 @@ from spendlake.plans.serve import serve_all
 from spendlake.plans.serve_together import DEFAULT_BUCKETS, serve_together
 from spendlake.plans.session import session
 from spendlake.plans.summarize import summarize_all
+from spendlake.plans.totals import summarize_restated
 from spendlake.schemas import ServedTypes
 
 
@@ -67,7 +68,8 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--on-error", choices=("fail", "quarantine"), default="fail", help="for values that cannot be read")
         sub.add_argument("--contract", action="store_true", help="set rows aside that break the row contract")
     stage("check", "quality rules on silver", silver)
-    stage("summarize", "silver -> gold", silver, gold)
+    summing = stage("summarize", "silver -> gold", silver, gold)
+    summing.add_argument("--totals-path", help="keep totals there and sum only the days that silver has rows of")
     serving = stage("serve", "gold -> served tables", gold, served)
     serving.add_argument("--jdbc-url", help="load a relational store instead of served snapshots")
     serving.add_argument("--together", action="store_true", help="served tables in buckets, all loaded in one commit")
@@ -96,6 +98,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         quality_failures(reports).show(truncate=False)
         return 1 if gate(quality_summary(reports), "warn") else 0
     if args.stage == "summarize":
+        if args.totals_path:
+            return int(None in summarize_restated(spark, args.silver_path, args.totals_path, args.gold_path).values())
         return int(None in summarize_all(spark, args.silver_path, args.gold_path).values())
     if args.stage == "serve":
         types = ServedTypes(args.money, args.ratio)

@@ -206,18 +206,7 @@ status AS (
   FROM aged)"""
 
 
-def _after_restating(table: str, keys: str, day: str, campaign: str) -> str:
-    """A served table: rows of the restated days, and those of all days with other keys."""
-    same = " AND ".join(f"restated_{table}.{k} = all_{table}.{k}" for k in keys.split(", "))
-    head = f"'{table}' AS gold_table, {day} AS day, {campaign} AS campaign_name, source"
-    kept = f"FROM all_{table} WHERE NOT EXISTS (SELECT 1 FROM restated_{table} WHERE {same})"
-    known = " AND ".join(f"restated_{table}.{k} = all_{table}.{k}" for k in keys.split(", "))
-    first = f"CASE WHEN EXISTS (SELECT 1 FROM all_{table} WHERE {known}) THEN TIMESTAMP '2026-03-12 10:00:00' ELSE TIMESTAMP '2026-03-13 10:00:00' END"
-    return f"""SELECT {_served(head)}, TIMESTAMP '2026-03-12 10:00:00' AS loaded_at {kept}
-UNION ALL
-SELECT {_served(head)}, {first} FROM restated_{table}"""
-
-
+# Keys of the gold tables, and their day and campaign as text.
 _SERVED_KEYS = {
     "daily_summary": ("date, source", "CAST(date AS VARCHAR)", "NULL"),
     "campaign_summary": ("source, campaign_name", "NULL", "campaign_name"),
@@ -229,6 +218,37 @@ _RESTATED = _LINES.replace("lines AS", "restated AS").replace(
     WHERE l_shipdate >= TIMESTAMP '1998-03-01' AND l_shipdate < TIMESTAMP '1998-03-26'))""",
 )
 
+
+def _named(table: str) -> str:
+    _, day, campaign = _SERVED_KEYS[table]
+    return f"'{table}' AS gold_table, {day} AS day, {campaign} AS campaign_name, source"
+
+
+def _totals_of(name: str, rows: str) -> str:
+    """The three gold tables, named ``name`` and the table."""
+    parts = []
+    for table, (keys, _, _) in _SERVED_KEYS.items():
+        parts.append(f"{name}_{table}_totals AS ({_totals(keys, rows)})")
+        parts.append(f"{name}_{table} AS (SELECT *, {_RATIOS} FROM {name}_{table}_totals)")
+    return ",\n".join(parts)
+
+
+def _all_gold(rows: str) -> str:
+    values = "impressions, clicks, cost_brl, conversions, ctr_pct, cpc_brl, cpm_brl, cpa_brl"
+    return _totals_of("all", rows) + "\n" + "\nUNION ALL\n".join(f"SELECT {_named(t)}, {values} FROM all_{t}" for t in _SERVED_KEYS)
+
+
+def _after_restating(table: str) -> str:
+    """A served table: the rows of the restated days, and of all others the rows with other keys."""
+    same = " AND ".join(f"restated_{table}.{k} = all_{table}.{k}" for k in _SERVED_KEYS[table][0].split(", "))
+    first, second = "TIMESTAMP '2026-03-12 10:00:00'", "TIMESTAMP '2026-03-13 10:00:00'"
+    return f"""SELECT {_served(_named(table))}, {first} AS loaded_at FROM all_{table}
+WHERE NOT EXISTS (SELECT 1 FROM restated_{table} WHERE {same})
+UNION ALL
+SELECT {_served(_named(table))}, CASE WHEN EXISTS (SELECT 1 FROM all_{table} WHERE {same}) THEN {first} ELSE {second} END
+FROM restated_{table}"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "silver_google": _one_platform("google_ads"),
     "silver_meta": _one_platform("meta_ads"),
@@ -332,10 +352,9 @@ SELECT {_SILVER}, source || '/snapshot=20260312_100000' AS source_file, '2026-03
 FROM lines""",
     "served_together": f"""WITH {_LINES},
 {_RESTATED},
-{",".join(f"""
-{name}_{t}_totals AS ({_totals(keys, rows)}),
-{name}_{t} AS (SELECT *, {_RATIOS} FROM {name}_{t}_totals)""" for t, (keys, _, _) in _SERVED_KEYS.items() for name, rows in (("all", "lines"), ("restated", "restated")))}
-{" UNION ALL ".join(_after_restating(t, *columns) for t, columns in _SERVED_KEYS.items())}""",
+{_totals_of("all", "lines")},
+{_totals_of("restated", "restated")}
+{" UNION ALL ".join(map(_after_restating, _SERVED_KEYS))}""",
     "overlapping_landings": f"""WITH {_LINES.replace("FROM lineitem)", """FROM (
     SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01'))""")},
 totals AS ({_totals('date, source')})
@@ -356,11 +375,14 @@ SELECT date, source, impressions, clicks, CAST(cost_brl AS DECIMAL(14, 6)) AS co
        CAST(cpm_brl AS DECIMAL(10, 4)) AS cpm_brl, CAST(cpa_brl AS DECIMAL(10, 4)) AS cpa_brl
 FROM gold""",
     "gold_order": f"""WITH {_LINES}
-SELECT 'daily_summary' AS gold_table, CAST(date AS VARCHAR) AS day, source,
+SELECT 'daily_summary' AS gold_table, CAST(date AS VARCHAR) AS day, NULL AS campaign_name, source,
        row_number() OVER (ORDER BY date, source) AS place
 FROM (SELECT DISTINCT date, source FROM lines)
 UNION ALL
-SELECT 'source_comparison', NULL, source, row_number() OVER (ORDER BY cost DESC)
+SELECT 'campaign_summary', NULL, campaign_name, source, row_number() OVER (ORDER BY source, campaign_name)
+FROM (SELECT DISTINCT source, campaign_name FROM lines)
+UNION ALL
+SELECT 'source_comparison', NULL, NULL, source, row_number() OVER (ORDER BY cost DESC)
 FROM (SELECT source, sum(cost_brl) AS cost FROM lines GROUP BY source)""",
     "checked_snapshots": f"""WITH {_DAMAGED},
 report AS ({_report('source_dir', 'GROUP BY source_dir')})
@@ -383,21 +405,14 @@ FROM lines GROUP BY source""",
 SELECT {_SILVER}, source || '/snapshot=20260313_100000' AS source_file, '2026-03-13T10:00:00' AS transformed_at
 FROM lines""",
     "gold_snapshots": f"""WITH {_LINES},
-daily AS ({_totals('date, source')}),
-campaigns AS ({_totals('source, campaign_name')}),
-sources AS ({_totals('source')}),
-totals AS (
-  SELECT 'daily_summary' AS gold_table, CAST(date AS VARCHAR) AS day, NULL AS campaign_name,
-         source, impressions, clicks, cost_brl, conversions FROM daily
-  UNION ALL
-  SELECT 'campaign_summary', NULL, campaign_name, source, impressions, clicks, cost_brl, conversions
-  FROM campaigns
-  UNION ALL
-  SELECT 'source_comparison', NULL, NULL, source, impressions, clicks, cost_brl, conversions FROM sources)
-SELECT *, {_RATIOS} FROM totals""",
+{_all_gold("lines")}""",
     "served_snapshots": f"""WITH {_LINES},
-totals AS ({_totals('source, campaign_name')}),
-gold AS (SELECT *, {_RATIOS} FROM totals)
-SELECT {_served('source, campaign_name')}, TIMESTAMP '2026-03-12 10:00:00' AS loaded_at FROM gold""",
+{_totals_of("all", "lines")}
+{" UNION ALL ".join(f"SELECT {_served(_named(t))}, TIMESTAMP '2026-03-12 10:00:00' AS loaded_at FROM all_{t}" for t in _SERVED_KEYS)}""",
+    "restated_gold": f"""WITH {_LINES},
+{_RESTATED},
+both_reports AS (
+  SELECT * FROM lines WHERE date NOT BETWEEN DATE '1998-03-01' AND DATE '1998-03-25' UNION ALL SELECT * FROM restated),
+{_all_gold("both_reports")}""",
 }
 ORACLE_SQL["landed_documents"] = ORACLE_SQL["landed_snapshots"]

@@ -23,6 +23,7 @@ from spendlake.plans.runlog import RUN_LOG_SCHEMA, append_run
 from spendlake.plans.serve import serve_all, served
 from spendlake.plans.serve_together import serve_together, served_version
 from spendlake.plans.summarize import latest_silver, summarize_all
+from spendlake.plans.totals import summarize_restated
 from spendlake.schemas import GOLD_TABLES, KNOWN_SOURCES, METRICS, RATIOS, SILVER_SCHEMA, ServedTypes
 from spendlake.sources.buckets import read_manifest
 from spendlake.sources.landing import RECORD_COLUMNS, unnest_envelope, with_ingest_columns
@@ -400,13 +401,11 @@ def served_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The place of each row in two sorted gold tables, whose sizes the calendar and the platforms bound."""
+    """The place of each row in the sorted gold tables, whose sizes the calendar, the platforms and their campaigns bound."""
     silver, place = _silver(spark, sf_dir), F.row_number().over(Window.orderBy("id")).cast("long")
     frames = []
-    for table in (aggregate.daily_summary, aggregate.source_comparison):
-        ordered = table(silver).withColumn("id", F.monotonically_increasing_id())
-        day = "cast(date AS string)" if "date" in ordered.columns else "cast(NULL AS string)"
-        rows = ordered.selectExpr(f"'{table.__name__}' AS gold_table", f"{day} AS day", "source", "id")
+    for table in (aggregate.daily_summary, aggregate.campaign_summary, aggregate.source_comparison):
+        rows = table(silver).withColumn("id", F.monotonically_increasing_id()).selectExpr(*_head(table.__name__), "id")
         frames.append(rows.withColumn("place", place).drop("id"))
     return union_strict(frames)
 
@@ -426,35 +425,71 @@ def checked_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def written_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Freshness and size of the files that a run has just written, by dataset."""
+    """Freshness and size of the files that a run has just written, by dataset; sizes next to what the files hold."""
     root = scratch_path(spark, "health")
     refine(spark, _bronze(spark, sf_dir, root), f"{root}/silver", LATER).complete()
     summarize_all(spark, f"{root}/silver", f"{root}/gold", LATER).complete()
     health = dataset_health(spark, root).select("layer", "dataset", "ok")
     sizes = layer_files(spark, root).groupBy("layer", "dataset").agg(F.sum("bytes").alias("bytes"))
-    return health.join(sizes, ["layer", "dataset"]).selectExpr("layer", "dataset", "ok", "bytes > 0 AS has_size")
+    # The same files read byte by byte, in the latest folder of each dataset.
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
+    folder = "split(path, '/')"
+    held = files.selectExpr(f"element_at({folder}, -4) AS layer", f"element_at({folder}, -3) AS dataset", f"element_at({folder}, -2) AS run", "octet_length(content) AS held")
+    newest = held.groupBy("layer", "dataset", "run").agg(F.sum("held").alias("held")).groupBy("layer", "dataset").agg(F.max_by("held", "run").alias("held"))
+    return health.join(sizes, ["layer", "dataset"]).join(newest, ["layer", "dataset"]).selectExpr("layer", "dataset", "ok", "bytes = held AND bytes > 0 AS has_size")
 
 
-def gold_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver snapshots -> the three gold snapshots, rolled up from one scan; all rows."""
-    gold = _gold_root(spark, sf_dir, scratch_path(spark, "gold"))
+def _all_gold(spark: SparkSession, gold: str) -> DataFrame:
+    """The rows of the three latest gold snapshots."""
     frames = []
-    for name in ("daily_summary", "campaign_summary", "source_comparison"):
+    for name in GOLD_TABLES:
         rows = spark.read.parquet(latest_snapshot(spark, gold, name))
-        day = "cast(date AS string)" if "date" in rows.columns else "cast(NULL AS string)"
-        campaign = "campaign_name" if "campaign_name" in rows.columns else "cast(NULL AS string)"
-        head = [f"'{name}' AS gold_table", f"{day} AS day", f"{campaign} AS campaign_name", "source"]
-        frames.append(rows.selectExpr(*head, *METRICS, *RATIOS))
+        frames.append(rows.selectExpr(*_head(name), *METRICS, *RATIOS))
     return union_strict(frames)
 
 
+def _head(table: str) -> list[str]:
+    day, campaign = (c if c in GOLD_TABLES[table].keys else "NULL" for c in ("date", "campaign_name"))
+    return [f"'{table}' AS gold_table", f"cast({day} AS string) AS day", f"cast({campaign} AS string) AS campaign_name", "source"]
+
+
+def gold_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver snapshots -> the three gold snapshots, rolled up from one scan; all rows."""
+    return _all_gold(spark, _gold_root(spark, sf_dir, scratch_path(spark, "gold")))
+
+
+def restated_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of all days, then of 25 restated days, summed from these days and the totals that were kept."""
+    root, lines = scratch_path(spark, "restated"), derive.lineitem(spark, sf_dir)
+    for at, reported in ((AT, lines), (LATER, _restated_days(lines))):
+
+        def write(name: str, reported: DataFrame = reported, at: datetime = at) -> Written:
+            raw = derive.raw_report(derive.own_lines(reported, name), SOURCES[name])
+            return write_snapshot(normalize(raw, SOURCES[name], f"{name}.parquet", at), f"{root}/silver", name, at)
+
+        each(spark, "silver", SOURCES, write).complete()
+        summarize_restated(spark, f"{root}/silver", f"{root}/totals", f"{root}/gold", at).complete()
+    return _all_gold(spark, f"{root}/gold")
+
+
 def served_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold snapshots loaded twice into the served tables; the campaign table as served."""
+    """Gold snapshots loaded twice into the served tables; all three as served."""
     root = scratch_path(spark, "served")
     gold = _gold_root(spark, sf_dir, root)
     for at in (AT, LATER):
         serve_all(spark, gold, f"{root}/served", at, WIDE).complete()
-    return _as_text(served(spark, f"{root}/served", "campaign_summary", WIDE))
+    return _all_served(lambda table: served(spark, f"{root}/served", table, WIDE))
+
+
+def _all_served(table: Callable[[str], DataFrame]) -> DataFrame:
+    """The rows of the three served tables."""
+    return union_strict([_as_text(table(t)).selectExpr(*_head(t), *METRICS, *RATIOS, "loaded_at") for t in GOLD_TABLES])
+
+
+def _restated_days(lines: DataFrame) -> DataFrame:
+    """Other metrics for 25 days, which is 1 % of the days."""
+    days = lines.where("l_shipdate >= timestamp_ntz'1998-03-01' AND l_shipdate < timestamp_ntz'1998-03-26'")
+    return days.withColumn("l_quantity", F.expr("l_quantity + 1"))
 
 
 def _write_gold(spark: SparkSession, lines: DataFrame, root: str, at: datetime) -> None:
@@ -463,19 +498,13 @@ def _write_gold(spark: SparkSession, lines: DataFrame, root: str, at: datetime)
 
 
 def served_together(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All gold in one commit, then that of 25 restated days, which is 1 % of the days; the three tables of one version."""
+    """All gold in one commit, then that of 25 restated days; the three tables of one version."""
     root, lines = scratch_path(spark, "together"), derive.lineitem(spark, sf_dir)
-    days = lines.where("l_shipdate >= timestamp_ntz'1998-03-01' AND l_shipdate < timestamp_ntz'1998-03-26'")
-    for at, reported in ((AT, lines), (LATER, days.withColumn("l_quantity", F.expr("l_quantity + 1")))):
+    for at, reported in ((AT, lines), (LATER, _restated_days(lines))):
         _write_gold(spark, reported, f"{root}/gold", at)
         serve_together(spark, f"{root}/gold", f"{root}/served", at, WIDE)
-    version, frames = read_manifest(spark, f"{root}/served"), []
-    for name, gold in GOLD_TABLES.items():
-        rows = _as_text(served_version(spark, f"{root}/served", name, WIDE, version))
-        day, campaign = (c if c.split()[0] in gold.keys else "NULL" for c in ("date", "campaign_name"))
-        head = [f"'{name}' AS gold_table", f"cast({day} AS string) AS day", f"cast({campaign} AS string) AS campaign_name", "source"]
-        frames.append(rows.selectExpr(*head, *METRICS, *RATIOS, "loaded_at"))
-    return union_strict(frames)
+    version = read_manifest(spark, f"{root}/served")
+    return _all_served(lambda table: served_version(spark, f"{root}/served", table, WIDE, version))
 
 
 def _gold(builder: Callable[[DataFrame], DataFrame]) -> Query:
@@ -518,6 +547,7 @@ QUERIES: dict[str, Query] = {
     "run_log_snapshots": run_log_snapshots,
     "gold_snapshots": gold_snapshots,
     "served_snapshots": served_snapshots,
+    "restated_gold": restated_gold,
     "served_together": served_together,
     "landed_documents": landed_documents,
     "overlapping_landings": overlapping_landings,

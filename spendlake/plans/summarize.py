@@ -11,7 +11,7 @@ from spendlake.operators.union import union_strict
 from spendlake.plans.isolate import Results, each, log
 from spendlake.schemas import GOLD_TABLES, KNOWN_SOURCES, METRICS
 from spendlake.sources.scratch import remove_path, scratch_path
-from spendlake.sources.snapshots import Written, latest_snapshot, read_snapshot, write_snapshot
+from spendlake.sources.snapshots import Written, latest_snapshot, read_snapshot, write_gold_snapshot
 
 
 def latest_silver(spark: SparkSession, silver_root: str) -> DataFrame | None:
@@ -62,7 +62,7 @@ def summarize_all(
     def write(table: str) -> Written | None:
         if table not in tables:
             raise ValueError(f"silver lacks columns for {table}")
-        return write_snapshot(tables[table], gold_root, table, at)
+        return write_gold_snapshot(tables[table], gold_root, table, at)
 
     try:
         return each(spark, "summarize", GOLD_TABLES, write)

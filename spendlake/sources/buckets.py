@@ -138,12 +138,16 @@ def touched(batch: DataFrame, table: BucketedTable) -> list[int]:
 def write_buckets(rows: DataFrame, root: str, name: str, table: BucketedTable, buckets: Iterable[int], load: str) -> BucketedTable:
     """Write ``rows``, all those of some buckets, as a load of its own; the table with these buckets read from there.
 
-    Rows are dealt by bucket before the write, so a bucket is one file.
+    Rows are dealt by bucket before the write, so a bucket is one file. A bucket without rows is read from nowhere.
     """
-    chosen = list(buckets)
+    chosen = set(buckets)
     dealt = rows.selectExpr("*", f"{table.bucket()} AS bucket").repartition(max(len(chosen), 1), "bucket")
     dealt.write.partitionBy("bucket").mode("error").parquet(f"{root}/{name}/load={load}")
-    return replace(table, loads=table.loads | dict.fromkeys(chosen, load))
+    fs, folder = file_system(rows.sparkSession, f"{root}/{name}/load={load}")
+    names = [entry.getPath().getName() for entry in fs.listStatus(folder)]
+    written = {int(n.removeprefix("bucket=")) for n in names if n.startswith("bucket=")}
+    others = {bucket: held for bucket, held in table.loads.items() if bucket not in chosen}
+    return replace(table, loads=others | dict.fromkeys(written, load))
 
 
 def prune(spark: SparkSession, root: str, keep: int = 2) -> int:

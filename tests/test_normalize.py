@@ -151,3 +151,20 @@ def test_union_is_strict(silver):
 def test_unknown_source_spec():
     with pytest.raises(KeyError):
         source_spec("other_ads")
+
+
+@pytest.mark.parametrize("end", ["\n", "\r", "\r\n", "\u0085", "\u2028", "\u2029", " ", "\t", "d", "f"])
+def test_a_text_with_anything_behind_the_number_is_no_number(raw, end):
+    rows = normalize_lenient(raw("tiktok_ads", total_cost=f"12.5{end}"), SOURCES["tiktok_ads"], "f", AT)
+    assert {(r.cost_brl, tuple(r.unparsed)) for r in rows.collect()} == {(None, ("cost_brl",))}
+
+
+@pytest.mark.parametrize("text", ["1e400", "-1e400", "Infinity", "NaN", "0x1p3", "", ".", "1e", "--1", "1.2.3", "e5", "+"])
+def test_texts_that_are_no_number(raw, text):
+    with pytest.raises(Exception, match="tiktok_ads.total_cost"):
+        normalize(raw("tiktok_ads", total_cost=text), SOURCES["tiktok_ads"], "f", AT).collect()
+
+
+@pytest.mark.parametrize("text, cost", [("1e3", 1000.0), ("+1.", 1.0), (".5", 0.5), ("-2.50E-1", -0.25), ("1e308", 1e308), ("007", 7.0)])
+def test_texts_that_are_numbers(raw, text, cost):
+    assert {r.cost_brl for r in normalize(raw("tiktok_ads", total_cost=text), SOURCES["tiktok_ads"], "f", AT).collect()} == {cost}
