@@ -1,8 +1,9 @@
 """Line dedup by a deletion-neighbourhood join.
 
 A line is its words; lines with equal words are one line, and of those the earliest, by (doc_id, line number), stays.
-Lines of fewer than ``min_words`` words, such as headings and single answers, are equal by chance and all stay. Two lines of ``min_near`` words or more are near if one word was replaced, inserted or deleted. A line goes if an
-earlier line is near it, whether that one stays or not, so the verdict depends on no order of processing.
+Two lines of ``min_near`` words or more are near if one word was replaced, inserted or deleted; of fewer words, one is more
+than a fifth. A line goes if an earlier line is near it, whether that one stays or not, so the verdict depends on no order
+of processing.
 
 * Segments keep the neighbourhoods small. The shorter length s of a pair fixes segments of ``min(128, s/2)`` words;
   one edit lies in one segment k, so both lines agree on the words before k, counted from the left, and behind k,
@@ -27,10 +28,9 @@ from pyspark.sql import functions as F
 from spendlake.llm.common import GAP, WORD, text_of
 from spendlake.sources.scratch import written
 
-MIN_WORDS = 5
-MIN_NEAR = 10
+MIN_NEAR = 5
 SEGMENT = 128
-MOST_BROADCAST = 300_000  # rows of about 250 bytes
+MOST_BROADCAST = 64 << 20  # bytes
 
 # A segment of a line of n words, as one of a pair whose shorter line has s words (s = n, or n - 1 if it is the longer
 # one): the k-th of its segments, and how many words stand before and behind it.
@@ -74,12 +74,18 @@ def _places(min_near: int) -> Column:
     )
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """To be broadcast if its rows, counted, are few; else joined as any other."""
-    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+def _small(df: DataFrame, more: str = "0") -> DataFrame:
+    """To be broadcast if its bytes, counted, are few; else joined as any other. A row is some hashes and numbers, and
+    ``more`` bytes."""
+    rows, extra = df.agg(F.count("*"), F.coalesce(F.sum(F.expr(f"cast({more} as bigint)")), F.lit(0))).first()
+    return F.broadcast(df) if 200 * rows + extra <= MOST_BROADCAST else df
 
 
-def decide(docs: DataFrame, min_near: int = MIN_NEAR, min_words: int = MIN_WORDS) -> DataFrame:
+def _id_bytes(column: str) -> str:
+    return f"coalesce(octet_length(cast({column} as string)), 0)"
+
+
+def decide(docs: DataFrame, min_near: int = MIN_NEAR) -> DataFrame:
     """Every line with a word: doc_id, text_key, line_no, n_words, kept, the earliest equal line (first_doc_id,
     first_line_no) and, if one comes before that, the earliest near line (near_doc_id, near_line_no)."""
     hashed = written(
@@ -104,13 +110,13 @@ def decide(docs: DataFrame, min_near: int = MIN_NEAR, min_words: int = MIN_WORDS
     crowded = written(first.drop("places").join(crowded, ["h1", "h2"]).select("h1", "h2", "first.*", "shared"), "crowded")
     near = near_lines(docs, crowded, min_near)
     # Written tables on both sides, so that a line on very many rows can be split at run time.
-    decided = hashed.drop("places").join(first.drop("places"), ["h1", "h2"]).join(_small(near), ["h1", "h2"], "left")
+    decided = hashed.drop("places").join(first.drop("places"), ["h1", "h2"]).join(_small(near, _id_bytes("near.doc_id")), ["h1", "h2"], "left")
     return decided.select(
         "doc_id",
         "text_key",
         F.col("line_no").cast("long").alias("line_no"),
         F.col("n_words").cast("long").alias("n_words"),
-        (F.col("near").isNull() & (F.col("first") == _position()) | (F.col("n_words") < min_words)).alias("kept"),
+        (F.col("near").isNull() & (F.col("first") == _position())).alias("kept"),
         F.col("first.doc_id").alias("first_doc_id"),
         F.col("first.line_no").cast("long").alias("first_line_no"),
         F.col("near.doc_id").alias("near_doc_id"),
@@ -123,7 +129,7 @@ def near_lines(docs: DataFrame, crowded: DataFrame, min_near: int) -> DataFrame:
     near line, and the earliest such."""
     lines = lines_of(docs).withColumnRenamed("doc_id", "line_doc_id")
     own = F.col("line_doc_id").eqNullSafe(F.col("doc_id"))
-    found = lines.join(_small(crowded), ["raw", "text_key", "line_no"]).where(own)
+    found = lines.join(_small(crowded, f"8 * size(shared) + {_id_bytes('doc_id')}"), ["raw", "text_key", "line_no"]).where(own)
     line_id = F.monotonically_increasing_id().alias("line_id")
     chosen = written(
         found.select("h1", "h2", line_id, _position().alias("first"), "shared", _words("line").alias("words")), "crowded-lines"
@@ -190,13 +196,13 @@ def within_one_edit(a: str, b: str) -> Column:
     )
 
 
-def cleaned(docs: DataFrame, min_near: int = MIN_NEAR, min_words: int = MIN_WORDS) -> DataFrame:
-    """The rows with the lines that go cut out of ``text``, and ``n_chars``, where there is one, counted again.
+def cleaned(docs: DataFrame, min_near: int = MIN_NEAR) -> DataFrame:
+    """The rows with the lines that go cut out of ``text``, and ``n_chars``, where there is one, counted again in these rows.
 
     Rows that had lines with words and have none left are gone, as all of them stand elsewhere.
     """
     gone = (
-        decide(docs, min_near, min_words)
+        decide(docs, min_near)
         .where("not kept")
         .groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
         .agg(F.collect_set(F.col("line_no").cast("int")).alias("__gone"))
@@ -209,5 +215,6 @@ def cleaned(docs: DataFrame, min_near: int = MIN_NEAR, min_words: int = MIN_WORD
     rows = rows.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n")))
     rows = rows.where(F.col("__gone").isNull() | F.col("text").rlike(WORD))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        rows = rows.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(counted))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -99,16 +99,15 @@ lines AS (
     SELECT array_to_string(w, ' ') AS line, min(pos) AS pos, any_value(w) AS w FROM lines WHERE len(w) > 0 GROUP BY line
 ), variants AS (
     SELECT line, pos, len(w) AS n, i, array_to_string(w[1:i - 1] || w[i + 1:], ' ') AS v
-    FROM firsts, unnest(range(1, len(w) + 1)) AS u(i) WHERE len(w) >= 10
+    FROM firsts, unnest(range(1, len(w) + 1)) AS u(i) WHERE len(w) >= 5
 ), pairs AS (
     SELECT a.line, b.pos AS near FROM variants a JOIN variants b ON a.v = b.v AND a.i = b.i AND a.n = b.n AND b.pos < a.pos
     UNION ALL
-    SELECT a.line, b.pos FROM variants a JOIN firsts b ON a.v = b.line AND b.pos < a.pos WHERE a.n > 10
+    SELECT a.line, b.pos FROM variants a JOIN firsts b ON a.v = b.line AND b.pos < a.pos WHERE a.n > 5
     UNION ALL
-    SELECT b.line, a.pos FROM variants a JOIN firsts b ON a.v = b.line AND a.pos < b.pos WHERE a.n > 10
+    SELECT b.line, a.pos FROM variants a JOIN firsts b ON a.v = b.line AND a.pos < b.pos WHERE a.n > 5
 ), nears AS (SELECT line, min(near) AS near FROM pairs GROUP BY line)
-SELECT doc_id, line_no, len(lines.w) AS n_words,
-    near IS NULL AND lines.pos = firsts.pos OR len(lines.w) < 5 AS kept,
+SELECT doc_id, line_no, len(lines.w) AS n_words, near IS NULL AND lines.pos = firsts.pos AS kept,
     firsts.pos // 10000000 AS first_doc_id, firsts.pos % 10000000 AS first_line_no,
     near // 10000000 AS near_doc_id, near % 10000000 AS near_line_no
 FROM lines JOIN firsts ON firsts.line = array_to_string(lines.w, ' ') LEFT JOIN nears ON nears.line = firsts.line
@@ -234,7 +233,9 @@ WITH RECURSIVE crc AS (
 ), placed AS (
     SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
         count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS r,
-        regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS e
+        regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS e
     FROM hurt
 ), judged AS (
     SELECT *, e = '' AS blank, e <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
