@@ -8,8 +8,9 @@ A batch is assembled as a whole: numpy finds the places that need a backslash, s
 offsets, and copies headers, texts and marks by scatter indices into one preallocated buffer, which becomes the
 Arrow column as it is.
 
-Each row yields its own piece of the conversation; a conversation is the concatenation of its pieces by turn, so one
-of any length is never held in memory. Reading back streams over pieces sorted by conversation in the same way.
+Each row yields its own piece of the conversation and the place of that; a conversation is the concatenation of its pieces by
+place, so one of any length is never held in memory. Reading back sorts pieces by conversation and place, however they
+were stored, and streams over them in the same way.
 
 Null role or text: empty. Null conv_id: one conversation. Null turns come first; rows with equal turns are ordered by
 role, then text, and repeated rows are each a turn. Extra columns are ignored; no rows, no conversations.
@@ -93,20 +94,26 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np
     return pieces, at[:, 3] - at[:, 0], at[:, 4] - at[:, 0]
 
 
-PIECES = "piece binary, text_from long, text_to long, learned boolean"
+PIECES = "place long, piece binary, text_from long, text_to long, learned boolean"
 
 
 def format_turns(turns: DataFrame) -> DataFrame:
-    """conv_id and, in the order of its turns, each turn's ``piece``, the byte range of its text in it, and whether that
-    range is under the loss mask. The rows of a conversation are consecutive in one partition."""
+    """conv_id, the ``place`` of each turn in its conversation (from 0), its ``piece``, the byte range of its text in it,
+    and whether that range is under the loss mask."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, place = None, -1
         for whole in batches:
             for batch in slices(whole, "text"):
                 pieces, begin, end = assemble(batch.column("role"), batch.column("text"))
                 learned = [r == LEARNED for r in batch.column("role").to_pylist()]
-                columns = [batch.column("conv_id"), pieces.cast(pa.binary()), pa.array(begin), pa.array(end), pa.array(learned, pa.bool_())]
-                yield pa.RecordBatch.from_arrays(columns, ["conv_id", "piece", "text_from", "text_to", "learned"])
+                places = []
+                for conv in batch.column("conv_id").to_pylist():
+                    last, place = (conv,), place + 1 if last == (conv,) else 0
+                    places.append(place)
+                columns = [pa.array(places, pa.int64()), pieces.cast(pa.binary()), pa.array(begin), pa.array(end), pa.array(learned, pa.bool_())]
+                names = ["conv_id", *[c.split()[0] for c in PIECES.split(", ")]]
+                yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *columns], names)
 
     kind = turns.schema["conv_id"].dataType.simpleString()
     rows = turns.select("conv_id", "turn", bytes_of("role").alias("role"), bytes_of("text").alias("text"))
@@ -131,7 +138,7 @@ READ = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string,
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of each conversation, from the output of ``format_turns`` alone, one pass over its order."""
+    """Digests of each conversation, from the output of ``format_turns`` alone, in whatever order it was stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[tuple] = []
@@ -169,4 +176,5 @@ def read_back(formatted: DataFrame) -> DataFrame:
             yield flushed()
 
     kind = formatted.schema["conv_id"].dataType.simpleString()
-    return formatted.mapInArrow(run, f"conv_id {kind}, {READ}")
+    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "place")
+    return ordered.select("conv_id", "piece", "text_from", "text_to", "learned").mapInArrow(run, f"conv_id {kind}, {READ}")

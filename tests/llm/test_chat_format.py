@@ -82,6 +82,23 @@ def test_digests_of_given_conversations(spark):
         assert r["formatted_chars"] >= sum(len(role) + len(text) for role, text in want[i])
 
 
+def test_read_back_from_storage(spark, tmp_path):
+    """Pieces written, read in small splits, and shuffled."""
+    turns = read(spark, "conversations")
+    made = format_turns(turns)
+    want = {tuple(r) for r in read_back(made).collect()}
+    made.repartition(7).write.option("parquet.block.size", 4096).parquet(f"{tmp_path}/pieces")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 8192)
+    try:
+        stored = spark.read.parquet(f"{tmp_path}/pieces")
+        assert stored.rdd.getNumPartitions() > 7
+        assert {tuple(r) for r in read_back(stored).collect()} == want
+        assert {tuple(r) for r in read_back(stored.orderBy("piece")).collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(want) == turns.select("conv_id").distinct().count()
+
+
 def test_awkward_rows(spark):
     rng = random.Random(2)
     turns = [(i % 5, t // 3, rng.choice(["assistant", "user", None, "a:b"]), rng.choice([None, nasty(rng)])) for i in range(5) for t in range(40)]
