@@ -23,6 +23,7 @@ from spendlake.plans.daily import run_daily
 from spendlake.plans.health import dataset_health, layer_health
 from spendlake.plans.ingest import ingest
 from spendlake.plans.refine import refine
+from spendlake.plans.refine_once import check_kept, refine_once
 from spendlake.plans.relational import serve_relational
 from spendlake.plans.serve import serve_all
 from spendlake.plans.serve_together import DEFAULT_BUCKETS, serve_together
@@ -63,11 +64,13 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--gate", choices=("fail", "warn"), default="fail", help="what a failed quality rule does")
     daily = sub
     refining = stage("refine", "bronze -> silver", bronze, silver)
+    refining.add_argument("--once", action="store_true", help="read bronze once, and count for the quality rules on the way")
     refining.add_argument("--quarantine-path", default="storage/quarantine", help="where refused rows go")
     for sub in (daily, refining):
         sub.add_argument("--on-error", choices=("fail", "quarantine"), default="fail", help="for values that cannot be read")
         sub.add_argument("--contract", action="store_true", help="set rows aside that break the row contract")
-    stage("check", "quality rules on silver", silver)
+    checking = stage("check", "quality rules on silver", silver)
+    checking.add_argument("--kept", action="store_true", help="from the counters that refine --once keeps; scans only what has none")
     summing = stage("summarize", "silver -> gold", silver, gold)
     summing.add_argument("--totals-path", help="keep totals there and sum only the days that silver has rows of")
     serving = stage("serve", "gold -> served tables", gold, served)
@@ -89,10 +92,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         return 0
     if args.stage == "refine":
         lenient = args.on_error == "quarantine"
-        refine(spark, args.bronze_path, args.silver_path, None, args.quarantine_path, args.contract, lenient)
+        work = refine_once if args.once else refine
+        work(spark, args.bronze_path, args.silver_path, None, args.quarantine_path, args.contract, lenient)
         return 0
     if args.stage == "check":
-        reports = reports_by_source(check(spark, args.silver_path))
+        reports = reports_by_source((check_kept if args.kept else check)(spark, args.silver_path))
         if reports is None:
             return 0
         quality_failures(reports).show(truncate=False)

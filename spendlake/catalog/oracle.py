@@ -249,6 +249,19 @@ SELECT {_served(_named(table))}, CASE WHEN EXISTS (SELECT 1 FROM all_{table} WHE
 FROM restated_{table}"""
 
 
+_FAULTY = f"""{_LINES},
+faulty AS (
+  SELECT date, source,
+         CASE WHEN source = 'meta_ads' AND impressions = 4600 THEN ''
+              WHEN source <> 'meta_ads' OR impressions <> 4700 THEN campaign_name END AS campaign_name,
+         ad_group_name, CASE WHEN source = 'google_ads' AND impressions = 4500 THEN -1 ELSE impressions END AS impressions,
+         clicks, cost_brl, conversions, source || '/x' AS source_file, '2026-03-12T10:00:00' AS transformed_at, source AS source_dir,
+         CASE WHEN source <> 'tiktok_ads' OR impressions < 4800 THEN '' WHEN impressions = 4800 THEN 'cost_brl'
+              WHEN impressions = 4900 THEN 'date,cost_brl' ELSE 'date' END AS unparsed
+  FROM lines),
+damaged AS (SELECT * FROM faulty WHERE unparsed = '')"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "silver_google": _one_platform("google_ads"),
     "silver_meta": _one_platform("meta_ads"),
@@ -415,4 +428,14 @@ both_reports AS (
   SELECT * FROM lines WHERE date NOT BETWEEN DATE '1998-03-01' AND DATE '1998-03-25' UNION ALL SELECT * FROM restated),
 {_all_gold("both_reports")}""",
 }
+ORACLE_SQL["refined_once"] = f"""WITH {_FAULTY}
+SELECT 'unparsed' AS went_to, unparsed, CASE WHEN unparsed NOT LIKE 'date%' THEN date END AS date, source, campaign_name, ad_group_name,
+       impressions, clicks, CASE WHEN unparsed NOT LIKE '%cost_brl' THEN cost_brl END AS cost_brl, conversions
+FROM faulty WHERE unparsed <> ''
+UNION ALL
+SELECT CASE WHEN {_FITS} THEN 'valid' ELSE 'contract' END, '', date, source, campaign_name, ad_group_name, impressions, clicks,
+       CASE WHEN {_FITS} THEN {_rounded('cost_brl', 6)} ELSE cost_brl END, conversions
+FROM damaged"""
+ORACLE_SQL["checked_once"] = f"""WITH {_FAULTY}
+{_report('source_dir', 'GROUP BY source_dir')}"""
 ORACLE_SQL["landed_documents"] = ORACLE_SQL["landed_snapshots"]

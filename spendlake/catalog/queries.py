@@ -19,6 +19,7 @@ from spendlake.plans.health import dataset_health, layer_files
 from spendlake.plans.ingest import ingest
 from spendlake.plans.isolate import each
 from spendlake.plans.refine import refine
+from spendlake.plans.refine_once import check_kept, refine_once
 from spendlake.plans.runlog import RUN_LOG_SCHEMA, append_run
 from spendlake.plans.serve import serve_all, served
 from spendlake.plans.serve_together import serve_together, served_version
@@ -424,6 +425,50 @@ def checked_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.withColumn("stopped", F.col("source_file").isin(stopped))
 
 
+def _faulty_bronze(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Bronze with values that cannot be read and rows that break the contract, each on one platform."""
+    lines = derive.lineitem(spark, sf_dir)
+    faults = {
+        "google_ads": {"impressions": "CASE impressions WHEN 4500 THEN -1L ELSE impressions END"},
+        "meta_ads": {"campaign_name": "CASE reach WHEN 4600 THEN '' WHEN 4700 THEN NULL ELSE campaign_name END"},
+        "tiktok_ads": {
+            "total_cost": "CASE WHEN views IN (4800, 4900) THEN 'n/a' ELSE total_cost END",
+            "stat_time": "CASE WHEN views IN (4900, 5000) THEN 'yesterday' ELSE stat_time END",
+        },
+    }
+
+    def write(name: str) -> Written:
+        raw = derive.raw_report(derive.own_lines(lines, name), SOURCES[name])
+        raw = raw.withColumns({c: F.expr(e) for c, e in faults[name].items()})
+        return write_snapshot(with_ingest_columns(raw, SOURCES[name], AT.date()), f"{root}/bronze", name, AT)
+
+    each(spark, "bronze", SOURCES, write).complete()
+    return f"{root}/bronze"
+
+
+def refined_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and both kinds of quarantine from one pass over bronze; all rows with where they went."""
+    root = scratch_path(spark, "once")
+    refine_once(spark, _faulty_bronze(spark, sf_dir, root), f"{root}/silver", AT, f"{root}/aside", True, True).complete()
+    frames = []
+    for name in KNOWN_SOURCES:
+        for why, at in (("valid", f"{root}/silver"), ("contract", f"{root}/aside/contract"), ("unparsed", f"{root}/aside/unparsed")):
+            path = latest_snapshot(spark, at, name)
+            if path is not None:
+                rows = read_snapshot(spark, path)
+                unparsed = "unparsed" if "unparsed" in rows.columns else "''"
+                frames.append(rows.selectExpr(f"'{why}' AS went_to", f"cast({unparsed} AS string) AS unparsed", *SILVER_SCHEMA.names[:8]))
+    return union_strict(frames)
+
+
+def checked_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality reports of silver from the counters kept when it was written."""
+    root = scratch_path(spark, "kept")
+    bronze = _faulty_bronze(spark, sf_dir, root)
+    refine_once(spark, bronze, f"{root}/silver", AT, lenient=True).complete()
+    return reports_by_source(check_kept(spark, f"{root}/silver").complete())
+
+
 def written_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Freshness and size of the files that a run has just written, by dataset; sizes next to what the files hold."""
     root = scratch_path(spark, "health")
@@ -555,6 +600,8 @@ QUERIES: dict[str, Query] = {
     "daily_sevenths": daily_sevenths,
     "served_defaults": served_defaults,
     "gold_order": gold_order,
+    "refined_once": refined_once,
+    "checked_once": checked_once,
     "checked_snapshots": checked_snapshots,
     "written_health": written_health,
 }

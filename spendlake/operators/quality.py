@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,23 +80,25 @@ RULES: tuple[Rule, ...] = (
 )
 
 
-def quality_report(silver: DataFrame, source_file: str | Column) -> DataFrame:
-    """One row per source file and rule.
-
-    One scan and one aggregate hold all counters, so the shuffle carries one row
-    per task and source file. A rule on a missing column fails without a count.
-    ``source_file`` names the report, or is the expression to group by.
-    """
-    have = set(silver.columns)
-    counters = [F.expr("count(1) AS _rows")]
-    outcomes = []
+def counted_by(columns: Iterable[str], where: str | None = None) -> list[str]:
+    """The counters of all rules on rows with these columns, as SQL aggregates: ``_rows``, and what breaks each rule and what
+    each rule applies to. ``where`` chooses the rows that count."""
+    have, also = set(columns), f"{where} AND " if where else ""
+    counters = [f"count_if({where}) AS _rows" if where else "count(1) AS _rows"]
     for i, rule in enumerate(RULES):
         if rule.columns and have.issuperset(rule.columns):
-            counters.append(F.expr(f"count_if({rule.violated()}) AS _bad_{i}"))
-            seen = "_rows"
+            counters.append(f"count_if({also}{rule.violated()}) AS _bad_{i}")
             if rule.considered() is not None:
-                seen = f"_seen_{i}"
-                counters.append(F.expr(f"count_if({rule.considered()}) AS {seen}"))
+                counters.append(f"count_if({also}{rule.considered()}) AS _seen_{i}")
+    return counters
+
+
+def report_of_counts(counted: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """The report that the counters stand for: one row per rule for each row of (source_file, counters)."""
+    have, outcomes = set(columns), []
+    for i, rule in enumerate(RULES):
+        if rule.columns and have.issuperset(rule.columns):
+            seen = "_rows" if rule.considered() is None else f"_seen_{i}"
             success, count = f"_bad_{i} = 0", f"_bad_{i}"
             percent = f"CASE WHEN {seen} > 0 THEN _bad_{i} / {seen} * 100D END"
         else:
@@ -107,15 +109,23 @@ def quality_report(silver: DataFrame, source_file: str | Column) -> DataFrame:
             f"{i + 1}, '{rule.expectation_type}', {column}, {quoted(rule.description)}, "
             f"{success}, {count}, {percent}"
         )
+    names = ", ".join(f"`{c}`" for c in REPORT_SCHEMA.names[1:])
+    return counted.selectExpr("source_file", f"stack({len(RULES)}, {', '.join(outcomes)}) AS ({names})")
+
+
+def quality_report(silver: DataFrame, source_file: str | Column) -> DataFrame:
+    """One row per source file and rule.
 
+    One scan and one aggregate hold all counters, so the shuffle carries one row
+    per task and source file. A rule on a missing column fails without a count.
+    ``source_file`` names the report, or is the expression to group by.
+    """
+    counters = map(F.expr, counted_by(silver.columns))
     if isinstance(source_file, str):
         counted = silver.agg(*counters).withColumn("source_file", F.lit(source_file))
     else:
         counted = silver.groupBy(source_file.alias("source_file")).agg(*counters)
-    columns = ", ".join(f"`{c}`" for c in REPORT_SCHEMA.names[1:])
-    return counted.selectExpr(
-        "source_file", f"stack({len(RULES)}, {', '.join(outcomes)}) AS ({columns})"
-    )
+    return report_of_counts(counted, silver.columns)
 
 
 def unreadable_report(spark: SparkSession, source_file: str, error: str) -> DataFrame:

@@ -52,6 +52,17 @@ def _free_path(spark: SparkSession, path: str) -> str:
     raise RuntimeError(f"99 snapshots begin with {path}")
 
 
+def free_snapshot(spark: SparkSession, root: str, name: str, at: datetime | None = None) -> str:
+    """The path of a new snapshot, which does not exist yet."""
+    return _free_path(spark, snapshot_path(root, name, at))
+
+
+def commit_snapshot(spark: SparkSession, path: str) -> None:
+    """Make a finished snapshot count."""
+    fs, marker = file_system(spark, f"{path}/_SUCCESS")
+    fs.create(marker).close()
+
+
 def write_snapshot(df: DataFrame, root: str, name: str, at: datetime | None = None) -> Written:
     """Write ``df`` as a new snapshot, in one pass over it.
 
@@ -60,7 +71,7 @@ def write_snapshot(df: DataFrame, root: str, name: str, at: datetime | None = No
     name that sorts behind the first.
     """
     spark = df.sparkSession
-    path = _free_path(spark, snapshot_path(root, name, at))
+    path = free_snapshot(spark, root, name, at)
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     observed.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").mode("error").parquet(path)
@@ -68,8 +79,7 @@ def write_snapshot(df: DataFrame, root: str, name: str, at: datetime | None = No
     if not rows:
         remove_path(spark, path)
         raise NothingToWrite(f"nothing to write for {name!r}: the frame is empty")
-    fs, marker = file_system(spark, f"{path}/_SUCCESS")
-    fs.create(marker).close()
+    commit_snapshot(spark, path)
     return Written(path, rows)
 
 
