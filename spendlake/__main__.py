@@ -64,6 +64,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--gate", choices=("fail", "warn"), default="fail", help="what a failed quality rule does")
     daily = sub
     refining = stage("refine", "bronze -> silver", bronze, silver)
+    refining.add_argument("--cluster", action="store_true", help="silver in ranges of dates, for scans of date windows; not with --once")
     refining.add_argument("--once", action="store_true", help="read bronze once, and count for the quality rules on the way")
     refining.add_argument("--quarantine-path", default="storage/quarantine", help="where refused rows go")
     for sub in (daily, refining):
@@ -92,8 +93,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         return 0
     if args.stage == "refine":
         lenient = args.on_error == "quarantine"
-        work = refine_once if args.once else refine
-        work(spark, args.bronze_path, args.silver_path, None, args.quarantine_path, args.contract, lenient)
+        common = spark, args.bronze_path, args.silver_path, None, args.quarantine_path, args.contract, lenient
+        refine_once(*common) if args.once else refine(*common, cluster=args.cluster)
         return 0
     if args.stage == "check":
         reports = reports_by_source((check_kept if args.kept else check)(spark, args.silver_path))

@@ -438,4 +438,14 @@ SELECT CASE WHEN {_FITS} THEN 'valid' ELSE 'contract' END, '', date, source, cam
 FROM damaged"""
 ORACLE_SQL["checked_once"] = f"""WITH {_FAULTY}
 {_report('source_dir', 'GROUP BY source_dir')}"""
+ORACLE_SQL["committed_sizes"] = f"""WITH {_LINES}
+SELECT layer, source AS dataset, true AS ok, count(*) AS rows, true AS exact_bytes, true AS has_files
+FROM lines, (VALUES ('bronze'), ('silver')) AS layers(layer) GROUP BY layer, source
+UNION ALL
+SELECT 'gold', 'daily_summary', true, count(DISTINCT (date, source)), true, true FROM lines
+UNION ALL
+SELECT 'gold', 'campaign_summary', true, count(DISTINCT (source, campaign_name)), true, true FROM lines
+UNION ALL
+SELECT 'gold', 'source_comparison', true, count(DISTINCT source), true, true FROM lines"""
+ORACLE_SQL["clustered_window"] = ORACLE_SQL["date_window"]
 ORACLE_SQL["landed_documents"] = ORACLE_SQL["landed_snapshots"]

@@ -15,7 +15,7 @@ from spendlake.operators import aggregate, contract, freshness, merge, quality
 from spendlake.operators.normalize import normalize, normalize_lenient, normalize_mixed
 from spendlake.operators.union import union_strict
 from spendlake.plans.check import check, reports_by_source
-from spendlake.plans.health import dataset_health, layer_files
+from spendlake.plans.health import committed_health, dataset_health, layer_files
 from spendlake.plans.ingest import ingest
 from spendlake.plans.isolate import each
 from spendlake.plans.refine import refine
@@ -476,12 +476,32 @@ def written_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     summarize_all(spark, f"{root}/silver", f"{root}/gold", LATER).complete()
     health = dataset_health(spark, root).select("layer", "dataset", "ok")
     sizes = layer_files(spark, root).groupBy("layer", "dataset").agg(F.sum("bytes").alias("bytes"))
-    # The same files read byte by byte, in the latest folder of each dataset.
+    held = _held_bytes(spark, root)
+    return health.join(sizes, ["layer", "dataset"]).join(held, ["layer", "dataset"]).selectExpr("layer", "dataset", "ok", "bytes = held AND bytes > 0 AS has_size")
+
+
+def _held_bytes(spark: SparkSession, root: str) -> DataFrame:
+    """(layer, dataset, held): the bytes of the files in the latest folder of each dataset, read byte by byte."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
     folder = "split(path, '/')"
     held = files.selectExpr(f"element_at({folder}, -4) AS layer", f"element_at({folder}, -3) AS dataset", f"element_at({folder}, -2) AS run", "octet_length(content) AS held")
-    newest = held.groupBy("layer", "dataset", "run").agg(F.sum("held").alias("held")).groupBy("layer", "dataset").agg(F.max_by("held", "run").alias("held"))
-    return health.join(sizes, ["layer", "dataset"]).join(newest, ["layer", "dataset"]).selectExpr("layer", "dataset", "ok", "bytes = held AND bytes > 0 AS has_size")
+    return held.groupBy("layer", "dataset", "run").agg(F.sum("held").alias("held")).groupBy("layer", "dataset").agg(F.max_by("held", "run").alias("held"))
+
+
+def committed_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, freshness and size of what a run has written, from the markers of the snapshots alone."""
+    root = scratch_path(spark, "sizes")
+    refine(spark, _bronze(spark, sf_dir, root), f"{root}/silver", LATER).complete()
+    summarize_all(spark, f"{root}/silver", f"{root}/gold", LATER).complete()
+    health = committed_health(spark, root).join(_held_bytes(spark, root), ["layer", "dataset"])
+    return health.selectExpr("layer", "dataset", "ok", "rows", "bytes = held AS exact_bytes", "files > 0 AS has_files")
+
+
+def clustered_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window of dates over a snapshot that is clustered by date, so most of its row groups are skipped."""
+    root = scratch_path(spark, "clustered")
+    path = write_snapshot(_silver(spark, sf_dir), root, "all", AT, cluster_by="date").path
+    return date_window(read_snapshot(spark, path, SILVER_SCHEMA), date(1998, 1, 1), date(1998, 3, 31))
 
 
 def _all_gold(spark: SparkSession, gold: str) -> DataFrame:
@@ -604,4 +624,6 @@ QUERIES: dict[str, Query] = {
     "checked_once": checked_once,
     "checked_snapshots": checked_snapshots,
     "written_health": written_health,
+    "committed_sizes": committed_sizes,
+    "clustered_window": clustered_window,
 }

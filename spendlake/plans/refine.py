@@ -25,8 +25,9 @@ def refine(
     quarantine_root: str | None = None,
     contract: bool = False,
     lenient: bool = False,
+    cluster: bool = False,
 ) -> Results[Written]:
-    """Normalize every platform's latest bronze snapshot; narrow, no shuffle.
+    """Normalize every platform's latest bronze snapshot; narrow, no shuffle, unless silver is to be clustered by date.
 
     The bronze schema comes from the snapshot's own footers, so raw columns the
     registry does not know are simply not read. A field that silver is made of and
@@ -55,7 +56,7 @@ def refine(
         _require(raw, spec.name, path, required_fields(raw, spec))
         for why, rows in refused if quarantine_root else []:
             _write_any(rows, f"{quarantine_root}/{why}", name, at)
-        return write_snapshot(silver, silver_root, name, at)
+        return write_snapshot(silver, silver_root, name, at, "date" if cluster else None)
 
     return each(spark, "refine", KNOWN_SOURCES, normalize_latest)
 

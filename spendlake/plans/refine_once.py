@@ -26,7 +26,7 @@ from spendlake.schemas import KNOWN_SOURCES, SILVER_COLUMNS
 from spendlake.sources.landing import required_fields
 from spendlake.sources.registry import source_spec
 from spendlake.sources.scratch import remove_path
-from spendlake.sources.snapshots import Written, commit_snapshot, file_system, free_snapshot, latest_snapshot, read_snapshot
+from spendlake.sources.snapshots import Written, commit_snapshot, file_system, free_snapshot, get_text, latest_snapshot, put_text, read_snapshot
 
 VALID, CONTRACT, UNPARSED = "valid", "contract", "unparsed"
 COUNTERS_FILE = "_quality.json"
@@ -80,7 +80,8 @@ def refine_once(
         if required:
             raw = raw.observe(fields, *[F.coalesce(F.bool_or(F.expr(c)), F.lit(True)).alias(f) for f, c in required.items()])
         rows = judged((normalize_lenient if lenient else normalize)(raw, spec, path, at), contract)
-        rows = rows.observe(counts, *map(F.expr, counted_by(SILVER_COLUMNS, f"verdict = '{VALID}'")))
+        refused = [f"count_if(verdict = '{CONTRACT}') AS _{CONTRACT}", f"count_if(verdict NOT IN ('{VALID}', '{CONTRACT}')) AS _{UNPARSED}"]
+        rows = rows.observe(counts, *map(F.expr, [*counted_by(SILVER_COLUMNS, f"verdict = '{VALID}'"), *refused]))
         if not quarantine_root:
             rows = rows.where(f"verdict = '{VALID}'")
         staging = f"{silver_root.rstrip('/')}/{name}/.staging-{uuid.uuid4().hex}"
@@ -91,13 +92,13 @@ def refine_once(
             if missing:
                 raise ReportLacksFields(name, missing, path)
             counted = counts.get
-            _move_refused(spark, staging, quarantine_root, name, at)
+            _move_refused(spark, staging, quarantine_root, name, at, {v: counted[f"_{v}"] for v in (CONTRACT, UNPARSED)})
             if not counted["_rows"]:
                 raise NothingToWrite(f"nothing to write for {name!r}: no valid rows")
             target = free_snapshot(spark, silver_root, name, at)
             _move(spark, f"{staging}/verdict={VALID}", target)
-            _put(spark, f"{target}/{COUNTERS_FILE}", json.dumps(counted))
-            commit_snapshot(spark, target)
+            put_text(spark, f"{target}/{COUNTERS_FILE}", json.dumps(counted))
+            commit_snapshot(spark, target, counted["_rows"])
             return Written(target, counted["_rows"])
         finally:
             remove_path(spark, staging)
@@ -112,7 +113,7 @@ def _move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} cannot be moved to {target}")
 
 
-def _move_refused(spark: SparkSession, staging: str, quarantine_root: str | None, name: str, at: datetime) -> None:
+def _move_refused(spark: SparkSession, staging: str, quarantine_root: str | None, name: str, at: datetime, rows: dict[str, int]) -> None:
     """Folders of other verdicts to the quarantine: one snapshot for the contract, one for what cannot be read."""
     fs, folder = file_system(spark, staging)
     found = [e.getPath().getName() for e in fs.listStatus(folder)] if fs.exists(folder) else []
@@ -122,27 +123,16 @@ def _move_refused(spark: SparkSession, staging: str, quarantine_root: str | None
         why = CONTRACT if verdict == CONTRACT else UNPARSED
         target = targets.setdefault(why, free_snapshot(spark, f"{quarantine_root}/{why}", name, at) if why not in targets else "")
         _move(spark, f"{staging}/verdict={verdict}", target if why == CONTRACT else f"{target}/{UNPARSED}={verdict}")
-    for target in targets.values():
-        commit_snapshot(spark, target)
-
-
-def _put(spark: SparkSession, path: str, text: str) -> None:
-    fs, target = file_system(spark, path)
-    stream = fs.create(target)
-    stream.write(text.encode())
-    stream.close()
+    for why, target in targets.items():
+        commit_snapshot(spark, target, rows[why])
 
 
 def kept_report(spark: SparkSession, path: str) -> DataFrame:
     """The report of a silver snapshot from the counters kept beside it; from a scan, where there are none."""
-    fs, kept = file_system(spark, f"{path}/{COUNTERS_FILE}")
-    if not fs.exists(kept):
+    kept = get_text(spark, f"{path}/{COUNTERS_FILE}")
+    if kept is None:
         return check_file(spark, path)
-    stream = fs.open(kept)
-    try:
-        counts = json.loads(bytes(stream.readAllBytes()).decode())
-    finally:
-        stream.close()
+    counts = json.loads(kept)
     counted = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
     return report_of_counts(counted.withColumn("source_file", F.lit(path)), SILVER_COLUMNS)
 

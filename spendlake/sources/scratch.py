@@ -8,9 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of intermediate tables: ``spark.checkpoint.dir``, else one below the warehouse."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/spendlake"
+    """The folder of this application's intermediate tables, below ``spark.checkpoint.dir``, else below the warehouse.
+
+    On a cluster executors do not share a local warehouse, so there the setting is needed.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        target = spark._jvm.org.apache.hadoop.fs.Path(shared)
+        scheme = target.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+        if scheme == "file" and not spark.sparkContext._jsc.sc().isLocal():
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+    return f"{shared.rstrip('/')}/spendlake/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -33,5 +42,5 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Remove every intermediate table; for the end of a session, when no frame that reads one is left."""
+    """Remove this application's intermediate tables; for its end, when no frame that reads one is left."""
     remove_path(spark, scratch_root(spark))

@@ -6,7 +6,8 @@ read as snapshots too.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -57,14 +58,66 @@ def free_snapshot(spark: SparkSession, root: str, name: str, at: datetime | None
     return _free_path(spark, snapshot_path(root, name, at))
 
 
-def commit_snapshot(spark: SparkSession, path: str) -> None:
-    """Make a finished snapshot count."""
-    fs, marker = file_system(spark, f"{path}/_SUCCESS")
-    fs.create(marker).close()
+@dataclass(frozen=True)
+class Commit:
+    """What a snapshot's marker says of it: rows, files, their bytes, and when the newest was written (milliseconds)."""
+
+    rows: int
+    files: int
+    bytes: int
+    newest: int
+
+
+def commit_snapshot(spark: SparkSession, path: str, rows: int) -> Commit:
+    """Make a finished snapshot count, and note in its marker how large it is."""
+    fs, folder = file_system(spark, path)
+    found, sizes, newest = fs.listFiles(folder, True), [], 0
+    while found.hasNext():
+        entry = found.next()
+        if entry.getPath().getName().endswith(".parquet"):
+            sizes.append(entry.getLen())
+            newest = max(newest, entry.getModificationTime())
+    commit = Commit(rows, len(sizes), sum(sizes), newest)
+    put_text(spark, f"{path}/_SUCCESS", json.dumps(asdict(commit)))
+    return commit
+
+
+def read_commit(spark: SparkSession, path: str) -> Commit | None:
+    """What the marker of a snapshot says; None where there is no marker, or an empty one."""
+    text = get_text(spark, f"{path}/_SUCCESS")
+    return Commit(**json.loads(text)) if text else None
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, target = file_system(spark, path)
+    stream = fs.create(target)
+    stream.write(text.encode())
+    stream.close()
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None where there is none."""
+    fs, target = file_system(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def clustered(df: DataFrame, by: str) -> DataFrame:
+    """``df`` in ranges of a column, sorted within each, so that a scan for a range skips files and row groups by their
+    statistics. A value that many rows have is spread over several ranges."""
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return df.repartitionByRange(F.col(by), spread).sortWithinPartitions(by)
 
 
-def write_snapshot(df: DataFrame, root: str, name: str, at: datetime | None = None) -> Written:
-    """Write ``df`` as a new snapshot, in one pass over it.
+def write_snapshot(
+    df: DataFrame, root: str, name: str, at: datetime | None = None, cluster_by: str | None = None
+) -> Written:
+    """Write ``df`` as a new snapshot, in one pass over it, ``clustered`` by a column if one is named.
 
     The write counts the rows, and only then the snapshot gets its commit marker; one without rows is removed and
     the call fails. A snapshot is never overwritten: a second one of the same second, or after a run that died, gets a
@@ -73,13 +126,14 @@ def write_snapshot(df: DataFrame, root: str, name: str, at: datetime | None = No
     spark = df.sparkSession
     path = free_snapshot(spark, root, name, at)
     seen = Observation()
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    arranged = df if cluster_by is None else clustered(df, cluster_by)
+    observed = arranged.observe(seen, F.count(F.lit(1)).alias("rows"))
     observed.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").mode("error").parquet(path)
     rows = seen.get["rows"]
     if not rows:
         remove_path(spark, path)
         raise NothingToWrite(f"nothing to write for {name!r}: the frame is empty")
-    commit_snapshot(spark, path)
+    commit_snapshot(spark, path, rows)
     return Written(path, rows)
 
 

@@ -1,0 +1,97 @@
+"""What markers say of snapshots, snapshots clustered by date, and where scratch goes."""
+
+from __future__ import annotations
+
+from datetime import date, datetime, timedelta
+from pathlib import Path
+
+import pytest
+
+from spendlake.functions.dates import date_window
+from spendlake.plans.health import committed_health, commits, dataset_health
+from spendlake.sources import scratch
+from spendlake.sources.scratch import clear_scratch, scratch_root, written
+from spendlake.sources.snapshots import latest_snapshot, read_commit, write_snapshot
+
+AT = datetime(2026, 3, 12, 10)
+DAYS = [date(2026, 1, 1) + timedelta(days=i) for i in range(400)]
+
+
+def rows_of(days):
+    return [(d, "google_ads", f"c{i % 7}", "g", i, 0, 1.0, 0) for i, d in enumerate(days)]
+
+
+def scanned_rows(df):
+    """How many rows the scan of a frame gives to the filter behind it."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    while not plan.nodeName().startswith("Scan"):
+        plan = plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_markers_tell_rows_files_and_bytes(spark, silver, root):
+    done = write_snapshot(silver(rows_of(DAYS)).repartition(3), f"{root}/silver", "google_ads", AT)
+    commit = read_commit(spark, done.path)
+    files = list(Path(done.path).glob("*.parquet"))
+    assert (commit.rows, commit.files, commit.bytes) == (400, len(files), sum(f.stat().st_size for f in files))
+    assert commit.newest == max(int(f.stat().st_mtime * 1000) for f in files)
+    assert latest_snapshot(spark, f"{root}/silver", "google_ads").endswith(done.path)
+
+
+def test_health_from_markers(spark, silver, root):
+    write_snapshot(silver(), f"{root}/silver", "google_ads", AT)
+    silver().write.parquet(f"{root}/gold/daily_summary/snapshot=20260312_100000")  # Spark's own marker is empty
+    silver().write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/gold/other/snapshot=20260312_100000")
+    columns = "layer", "dataset", "age_hours", "ok"
+    assert sorted(committed_health(spark, root).select(*columns).collect()) == sorted(dataset_health(spark, root).select(*columns).collect())
+    known = {r.dataset: r for r in commits(spark, root).collect()}
+    assert known.keys() == {"google_ads", "daily_summary"}
+    assert (known["google_ads"].rows, known["daily_summary"].rows) == (5, None)
+    assert known["daily_summary"].bytes > 0
+    assert commits(spark, f"{root}/nowhere").collect() == []
+
+
+@pytest.mark.parametrize("cluster_by, most", [(None, 4000), ("date", 900)])
+def test_a_window_skips_most_of_a_clustered_snapshot(spark, silver, root, cluster_by, most):
+    rows = silver(rows_of(DAYS * 10)).repartition(8, "campaign_name", "impressions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        path = write_snapshot(rows, root, "all", AT, cluster_by).path
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    window = date_window(spark.read.parquet(path), DAYS[100], DAYS[120])
+    assert window.count() == 210
+    read = scanned_rows(window)
+    assert 210 <= read <= most
+    assert cluster_by or read == 4000
+
+
+def test_one_day_is_spread(spark, silver, root):
+    path = write_snapshot(silver(rows_of(DAYS[:1] * 2000)), root, "all", AT, "date").path
+    assert len(list(Path(path).glob("*.parquet"))) >= 1
+    assert spark.read.parquet(path).count() == 2000
+
+
+def test_scratch_is_this_applications_own(spark, root, monkeypatch):
+    assert scratch_root(spark).endswith(spark.sparkContext.applicationId)
+    other = Path(scratch_root(spark)).parent / "another-application" / "table"
+    other.mkdir(parents=True)
+    written(spark.range(3), "mine")
+    assert Path(scratch_root(spark)).exists()
+    clear_scratch(spark)
+    assert other.exists() and not Path(scratch_root(spark)).exists()
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Cluster:
+        """The session of a cluster without the setting."""
+
+        conf = type("", (), {"get": staticmethod(lambda k, d=None: None if k == "spark.checkpoint.dir" else "file:/tmp/warehouse")})
+        _jvm, sparkContext = spark._jvm, type("", (), {"applicationId": "a", "_jsc": type("", (), {"sc": staticmethod(lambda: type("", (), {"isLocal": staticmethod(lambda: False)}))})})
+        _jsc = spark._jsc
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.scratch_root(Cluster)
