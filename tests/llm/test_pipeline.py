@@ -65,7 +65,7 @@ def test_awkward_rows_in_every_stage(spark, name, stage):
 
 def test_queries_are_registered():
     names = [n for n in driver.queries() if re.match(r"op\d+_|pipeline$", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 14))
     assert "pipeline" in names
     assert driver.oracle_sql().keys() >= LLM_ORACLE_SQL.keys() <= LLM_QUERIES.keys()
 
