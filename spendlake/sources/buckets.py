@@ -9,7 +9,8 @@ that names for every table the load each bucket is to be read from. So all table
 nothing, and whoever reads keeps the version begun with. A manifest's number is one above that of the version its writer has
 read, and its file has to be new, so of two writers that began from the same version the second one fails.
 
-That takes a store whose rename is atomic and refuses an existing target, as HDFS, ABFS or a local disk do. The manifest has
+That takes a store whose rename is atomic and refuses an existing target, as HDFS and ABFS do. A local disk checks before it
+renames, which is good enough for one writer at a time. The manifest has
 one number a bucket, whatever the size of the tables.
 """
 
