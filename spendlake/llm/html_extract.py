@@ -1,29 +1,43 @@
 """Main text of web pages by a site style tree.
 
 All pages of a host are merged into one tree. A node is an element's path: tag, classes and id of it and of the elements
-around it, digits levelled. For each node the tree has two distributions over the host's distinct pages: of its
-presentation (the sequence of child elements) and of its content (the text). A node's importance is the larger of the two
-entropies, each as a share of its maximum; branches below a node that looks and reads the same on nearly all pages are
-noise of the site and are cut from each of them. A node seen on fewer than ``MIN_PAGES`` distinct pages has full importance:
-a few pages say nothing on what repeats.
+around it, digits levelled; elements more than ``DEPTH`` containers deep belong to the node of that depth. Nodes that can be
+cut are containers (``CONTAINERS``), never a paragraph, a cell or a word within one.
 
-What is noise by its markup alone (menus, adverts, scripts, …) is cut on every page, before the tree is built. A class or
-id counts if it is a noise name as a whole, never on ``html``, ``body``, ``main`` and ``article``. Of what
-remains, by markup and tree, everything is text, unless ``main`` holds at least half of it: then all that stands in
-``main``. An ``article`` is no bound: it can be a teaser beside the story, or a part of it.
+A node's importance, from 0 to 1, has two parts:
 
-Counts are summed per host, path and hash before the entropies, so a host with a third of all pages is no hot group.
+* Content: each distinct text between two tags in the branch, link texts on their own, weighs the inverse of its perplexity
+  over the host's distinct pages, exp(-H): 1 for a text of one page, 1/k for one that is equally on k pages. The node has the
+  mean of all distinct texts of its branch, so it gets the importance of the nodes below by their numbers of texts. Copies of
+  one story, however many, are few among the distinct texts of a site's stories and do not pull them down.
+* Presentation: the entropy of the sequences of child elements, as a share of its maximum. It scales the content from
+  ``SAME_LOOK`` (the same on all pages) to 1 (another on each).
+
+Branches below ``LEAST_IMPORTANCE`` (in an ``article``: ``LEAST_IN_STORY``) are cut from each page. A node seen on fewer than
+``MIN_PAGES`` distinct pages is never cut: a few pages say nothing on what repeats. For these, and for noise that never repeats
+(readers' comments), markup is the prior: elements, roles, classes and ids that name a menu, an advert, … are cut on every
+page, before the tree is built. A class or id counts if it is a noise name as a whole, never on ``html``, ``body``,
+``main`` and ``article``. ``prior=False`` leaves everything but scripts, styles and the head to the tree.
+
+A ``header`` within ``main`` or ``article`` is the story's. A ``form`` is cut unless it holds at least half of the page's text and
+``STORY_WORDS`` words: then it stands around the story. Of what remains everything is text, unless ``main`` holds at least half of
+it: then all that stands in ``main``. An ``article`` is no bound: it can be a teaser beside the story, or a part of it. A page
+of which the tree would leave nothing keeps what the prior left.
+
+Counts are summed per host, node and hash before the entropies, so a host with a third of all pages is no hot group.
 
 Null or empty html: an empty text. Null urls and such without ``://`` share the host "". Unclosed and stray tags are
-taken as a browser would, roughly. Repeated pages are each returned, and count once in the tree. Extra columns are
-ignored.
+taken as a browser would, roughly. Repeated pages are each returned, and count once in the tree. Nested elements of any
+depth take time in proportion to the page. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -34,26 +48,32 @@ from spendlake.llm.url_filter import host_and_path
 from spendlake.sources.scratch import written
 
 MIN_PAGES = 8
-LEAST_IMPORTANCE = 0.1
-MOST_BROADCAST = 8 << 20  # characters of paths
+LEAST_IMPORTANCE = 0.35
+LEAST_IN_STORY = 0.1
+SAME_LOOK = 0.7
+STORY_WORDS = 50
+DEPTH = 64
+MOST_BROADCAST = 8 << 20  # bytes of nodes
 SALTS = 64
 
 # Elements and names that are noise wherever they stand.
 NOISE_TAGS = frozenset(
-    """head title nav header footer aside form script style noscript template iframe svg button select textarea
+    """head title nav header footer aside script style noscript template iframe svg button select textarea
     object embed canvas audio video dialog menu""".split()
 )
 NOISE_NAMES = frozenset(
     """ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu breadcrumb
     breadcrumbs sidebar footer header masthead cookie cookies consent gdpr newsletter subscribe subscription signup login
-    popup modal share sharing related recommended comment comments reply replies disqus toolbar pagination pager""".split()
+    popup modal share sharing related recommended comment comments reply replies disqus toolbar pagination pager
+    topnav subnav adbox""".split()
 )
 # What may stand beside a noise name in a compound one (cookie-notice, main-nav). By themselves these names tell nothing: a
 # notice or an alert can be the story, so the style tree decides on it.
 QUALIFIERS = frozenset(
     """notice notices notification alert overlay social skip site main top bottom upper lower global primary secondary user
     reader mobile desktop box bar list lists item items link links button buttons icon icons wrapper wrap container block
-    widget area slot unit form group posts articles stories thread x""".split()
+    widget area slot unit form group posts articles stories thread x left
+    right body text policy""".split()
 )
 NOISE_COMPOUNDS = frozenset(
     tuple(w.split("-"))
@@ -62,6 +82,12 @@ NOISE_COMPOUNDS = frozenset(
 # Elements that hold the page or its story, whatever their class or id says on its layout.
 WHOLE_TAGS = frozenset("html body main article".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
+# What is never text, with or without the prior.
+UNSEEN_TAGS = frozenset("head title script style noscript template iframe svg textarea object embed canvas audio video".split())
+# What the tree may cut.
+CONTAINERS = frozenset(
+    "div section nav header footer aside ul ol dl dir menu form fieldset address details table center figure dialog".split()
+)
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK_TAGS = frozenset(
     """address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
@@ -93,11 +119,23 @@ NAME_PART = re.compile(r"[^\W\d_]+")
 DIGITS = re.compile(r"\d+")
 
 
+P_STOPS = BLOCK_TAGS - {"p"}
+
+
 class Element:
-    __slots__ = ("tag", "path", "noise", "in_main")
+    __slots__ = ("tag", "path", "noise", "in_main", "in_story", "form", "nodes")
+
+    def __init__(self, tag: str, path: int, noise: bool, in_main: bool, in_story: bool, form: int, nodes: tuple) -> None:
+        self.tag, self.path, self.noise, self.in_main, self.in_story = tag, path, noise, in_main, in_story
+        self.form = form  # the number of the outermost form around it, 0 without one
+        self.nodes = nodes  # it and the containers around it, as far as they are nodes: (path, whether in an article)
 
-    def __init__(self, tag: str, path: str, noise: bool, in_main: bool) -> None:
-        self.tag, self.path, self.noise, self.in_main = tag, path, noise, in_main
+
+@lru_cache(1 << 16)
+def _below(path: int, label: str) -> int:
+    """The path of an element with that label below a path."""
+    digest = blake2b(label.encode("utf-8", "surrogatepass"), digest_size=8, key=path.to_bytes(8, "little", signed=True))
+    return int.from_bytes(digest.digest(), "little", signed=True)
 
 
 def is_noise_name(name: str) -> bool:
@@ -108,6 +146,7 @@ def is_noise_name(name: str) -> bool:
     return all(p in NOISE_NAMES or p in QUALIFIERS for p in parts)
 
 
+@lru_cache(1 << 14)
 def _label(tag: str, attributes: str) -> tuple[str, bool]:
     """What names the element in the tree, and whether it is noise by its markup."""
     noise = tag in NOISE_TAGS
@@ -128,16 +167,17 @@ def _label(tag: str, attributes: str) -> tuple[str, bool]:
 
 
 class Page:
-    """The blocks of a page that are not noise by their markup, with the paths around each text, in page order."""
+    """The blocks of a page that are not noise by prior or ``cut``, and what its nodes show, in page order."""
 
-    def __init__(self, source: str, cut: frozenset[str] = frozenset()) -> None:
-        self.cut = cut
-        self.blocks: list[tuple[bool, str]] = []  # (whether it stands in main, text)
-        self.children: dict[str, list[str]] = {}
-        self.texts: dict[str, list[str]] = {}
+    def __init__(self, source: str, cut: frozenset[int] = frozenset(), prior: bool = True) -> None:
+        self.cut, self.prior = cut, prior
+        self.blocks: list[tuple[bool, int, str]] = []  # (whether it stands in main, its form, text)
+        self.looks: dict[tuple[int, bool], list[str]] = {}  # of each node with text the labels of child elements
+        self.texts: dict[tuple[int, bool], set[str]] = {}  # and the texts of its branch
         self._parts: list[str] = []
-        self._in_main = False
-        self._stack = [Element("", "", False, False)]
+        self._in_main, self._form, self._forms = False, 0, 0
+        self._open: Counter[str] = Counter()
+        self._stack = [Element("", 0, False, False, False, 0, ())]
         at = 0
         for m in TOKEN.finditer(source):
             if m.start() > at:
@@ -156,22 +196,28 @@ class Page:
         text = html.unescape(raw) if "&" in raw else raw
         self._parts.append(text)
         self._in_main = self._in_main or top.in_main
-        if not text.isspace():
-            for element in self._stack[1:]:
-                self.texts.setdefault(element.path, []).append(text)
+        self._form = top.form
+        if top.nodes and not text.isspace():
+            text = " ".join(text.split())
+            for node in top.nodes:
+                self.texts.setdefault(node, set()).add(text)
 
     def _flush(self) -> None:
         text = " ".join("".join(self._parts).split())
         if text:
-            self.blocks.append((self._in_main, text))
-        self._parts, self._in_main = [], False
+            self.blocks.append((self._in_main, self._form, text))
+        self._parts, self._in_main, self._form = [], False, 0
 
     def _pop_to(self, at: int) -> None:
-        if any(e.tag in BLOCK_TAGS for e in self._stack[at:]):
+        gone = self._stack[at:]
+        if any(e.tag in BLOCK_TAGS for e in gone):
             self._flush()
+        self._open.subtract(e.tag for e in gone)
         del self._stack[at:]
 
     def _close(self, tags: set[str], stops: set[str]) -> None:
+        if not any(self._open[t] for t in tags):
+            return
         for at in range(len(self._stack) - 1, 0, -1):
             if self._stack[at].tag in tags:
                 self._pop_to(at)
@@ -182,6 +228,8 @@ class Page:
         if is_end:
             if tag == "br":
                 self._parts.append(" ")
+            if not self._open[tag]:
+                return None
             for at in range(len(self._stack) - 1, 0, -1):
                 if self._stack[at].tag == tag:
                     return self._pop_to(at)
@@ -189,7 +237,7 @@ class Page:
                     return None
             return None
         if tag in BLOCK_TAGS:
-            self._close({"p"}, BLOCK_TAGS - {"p"})
+            self._close({"p"}, P_STOPS)
             self._flush()
         elif tag in ("br", "td", "th", "img"):
             self._parts.append(" ")
@@ -197,64 +245,100 @@ class Page:
             self._close(*CLOSES[tag])
         if tag in VOID_TAGS:
             return None
+        if not attributes.endswith("/") or tag in BLOCK_TAGS:
+            self._enter(tag, attributes)
+        elif not self._stack[-1].noise and self._stack[-1].nodes:
+            self.looks.setdefault(self._stack[-1].nodes[-1], []).append(tag)
+        return None
+
+    def _enter(self, tag: str, attributes: str) -> None:
         above = self._stack[-1]
         label, noise = _label(tag, attributes)
-        path = f"{above.path}/{label}"
-        noise = noise or above.noise or path in self.cut
+        if tag == "header" and noise and (above.in_main or above.in_story):
+            noise = _label("div", attributes)[1]
+        noise = above.noise or (noise if self.prior else tag in UNSEEN_TAGS)
+        path, nodes, form = above.path, above.nodes, above.form
         if not noise:
-            self.children.setdefault(above.path, []).append(label)
-        if not attributes.endswith("/") or tag in BLOCK_TAGS:
-            self._stack.append(Element(tag, path, noise, above.in_main or tag == "main"))
-        return None
+            if nodes:
+                self.looks.setdefault(nodes[-1], []).append(label)
+            if len(nodes) < DEPTH:
+                path = _below(path, label)
+                if tag in CONTAINERS:
+                    nodes = (*nodes, (path, above.in_story))
+                    noise = path in self.cut
+            if tag == "form" and not form and self.prior:
+                self._forms += 1
+                form = self._forms
+        in_main, in_story = above.in_main or tag == "main", above.in_story or tag == "article"
+        self._stack.append(Element(tag, path, noise, in_main, in_story, form, nodes))
+        self._open[tag] += 1
+
+    def kept(self) -> list[tuple[bool, str]]:
+        """The blocks without those of forms, unless these stand around the story: (whether in main, text)."""
+        every, sizes, words = 0, Counter(), Counter()
+        for _, form, text in self.blocks:
+            every += len(text)
+            sizes[form] += len(text)
+            words[form] += text.count(" ") + 1
+        story = {f for f in sizes if not f or (2 * sizes[f] >= every and words[f] >= STORY_WORDS)}
+        return [(in_main, text) for in_main, form, text in self.blocks if form in story]
 
     def text(self) -> str:
-        every, main = [text for _, text in self.blocks], [text for in_main, text in self.blocks if in_main]
+        kept = self.kept()
+        every, main = [text for _, text in kept], [text for in_main, text in kept if in_main]
         return "\n\n".join(main if 2 * sum(map(len, main)) >= sum(map(len, every)) else every)
 
 
+def main_text(source: str, cut: frozenset[int] = frozenset(), prior: bool = True) -> str:
+    return Page(source, cut, prior).text() or (Page(source, prior=prior).text() if cut else "")
+
+
 def _hash(parts: list[str]) -> int:
     digest = blake2b("\x00".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest()
     return int.from_bytes(digest, "little", signed=True)
 
 
-def style_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (host, html): for each page and path of it the hashes of the presentation and of the content."""
+NODES = "host string, page long, path long, in_story boolean, is_text boolean, value long"
+
+
+def style_nodes(batches: Iterator[pa.RecordBatch], prior: bool = True) -> Iterator[pa.RecordBatch]:
+    """Of (host, html): for each page and node with text the hash of its presentation and those of its distinct texts."""
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64()]
     for batch in batches:
-        rows = []
+        rows: list[tuple] = []
         for host, source in zip(*(c.to_pylist() for c in batch.columns)):
-            page = Page(source)
-            whole = _hash([text for _, text in page.blocks])
-            for path, texts in page.texts.items():
-                content = _hash([" ".join(t.split()) for t in texts])
-                rows.append((host, whole, path, _hash(page.children.get(path, [])), content))
-        kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-        columns = zip(*rows) if rows else [()] * 5
+            page = Page(source, prior=prior)
+            if page.texts:
+                whole = _hash([text for *_, text in page.blocks])
+                hashes = {t: _hash([t]) for texts in page.texts.values() for t in texts}
+                for node, texts in page.texts.items():
+                    rows.append((host, whole, *node, False, _hash(page.looks.get(node, []))))
+                    rows.extend((host, whole, *node, True, hashes[t]) for t in texts)
+        columns = zip(*rows) if rows else [()] * 6
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "page", "path", "presentation", "content"]
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "page", "path", "in_story", "is_text", "value"]
         )
 
 
-def importance(pages: DataFrame) -> DataFrame:
-    """host, path, pages and importance (0 to 1) of every node of the site style trees of (host, html)."""
-    nodes = pages.mapInArrow(style_nodes, "host string, page long, path string, presentation long, content long").distinct()
-    features = nodes.select("host", "path", F.inline(F.array(
-        F.struct(F.lit("presentation").alias("feature"), F.col("presentation").alias("value")),
-        F.struct(F.lit("content").alias("feature"), F.col("content").alias("value")),
-    )))
-    counts = features.groupBy("host", "path", "feature", "value").agg(F.count("*").alias("n"))
-    sums = counts.groupBy("host", "path", "feature").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"))
-    entropy = F.when(F.col("pages") > 1, (F.log("pages") - F.col("s") / F.col("pages")) / F.log("pages")).otherwise(1.0)
-    return (
-        sums.select("host", "path", "pages", entropy.alias("entropy"))
-        .groupBy("host", "path")
-        .agg(F.max("pages").alias("pages"), F.max("entropy").alias("importance"))
+def importance(pages: DataFrame, prior: bool = True) -> DataFrame:
+    """host, path, in_story, pages and importance (0 to 1) of every node of the site style trees of (host, html)."""
+    nodes = pages.mapInArrow(lambda batches: style_nodes(batches, prior), NODES).distinct()
+    node = ["host", "path", "in_story"]
+    counts = nodes.groupBy(*node, "is_text", "value").agg(F.count("*").alias("n"))
+    sums = counts.groupBy(*node).agg(
+        F.sum(F.expr("if(is_text, 0, n)")).alias("pages"),
+        F.sum(F.expr("if(is_text, 0, n * ln(n))")).alias("s"),
+        F.avg(F.expr("if(is_text, 1 / n, null)")).alias("content"),
     )
+    look = F.when(F.col("pages") > 1, (F.log("pages") - F.col("s") / F.col("pages")) / F.log("pages")).otherwise(1.0)
+    found = F.col("content") * (F.lit(SAME_LOOK) + F.lit(1 - SAME_LOOK) * look)
+    return sums.select(*node, "pages", found.alias("importance"))
 
 
-def noise_paths(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEAST_IMPORTANCE) -> DataFrame:
-    """(host, cut): the paths to cut from the pages of each host that has any."""
-    tree = importance(pages)
-    low = tree.where((F.col("pages") >= min_pages) & (F.col("importance") < least))
+def noise_paths(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEAST_IMPORTANCE, prior: bool = True) -> DataFrame:
+    """(host, cut): the nodes to cut from the pages of each host that has any."""
+    bound = F.when(F.col("in_story"), F.least(F.lit(LEAST_IN_STORY), F.lit(least))).otherwise(least)
+    low = importance(pages, prior).where((F.col("pages") >= min_pages) & (F.col("importance") < bound))
     return low.groupBy("host").agg(F.collect_set("path").alias("cut"))
 
 
@@ -262,7 +346,7 @@ def with_cuts(rows: DataFrame, cut: DataFrame) -> DataFrame:
     """``rows`` with their host's ``cut``. It is broadcast if it is small, counted; else each host's rows are dealt
     over ``SALTS`` tasks, with a copy of the host's paths for each."""
     cut = written(cut, "cuts")
-    size = cut.agg(F.sum(F.length(F.concat_ws("", "cut"))).alias("n")).first()["n"] or 0
+    size = cut.agg(F.sum(8 * F.size("cut") + F.length("host")).alias("n")).first()["n"] or 0
     if size <= MOST_BROADCAST:
         return rows.join(F.broadcast(cut), "host", "left")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
@@ -270,16 +354,16 @@ def with_cuts(rows: DataFrame, cut: DataFrame) -> DataFrame:
     return salted.join(cut.select("*", salts), ["host", "salt"], "left").drop("salt")
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEAST_IMPORTANCE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEAST_IMPORTANCE, prior: bool = True) -> DataFrame:
     """page_id, url, text and n_chars of every row of (page_id, url, html)."""
     source = F.coalesce(F.col("html"), F.lit("")).alias("html")
     rows = pages.select("page_id", "url", host_and_path(F.col("url"))[0].alias("host"), source)
-    cut = noise_paths(rows.select("host", "html"), min_pages, least)
+    cut = noise_paths(rows.select("host", "html"), min_pages, least, prior)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cuts = batch.column("cut").to_pylist()
-            texts = [Page(s, frozenset(c or ())).text() for s, c in zip(batch.column("html").to_pylist(), cuts)]
+            texts = [main_text(s, frozenset(c or ()), prior) for s, c in zip(batch.column("html").to_pylist(), cuts)]
             sizes = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])
 
