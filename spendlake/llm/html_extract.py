@@ -35,8 +35,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
 
@@ -119,9 +119,6 @@ NAME_PART = re.compile(r"[^\W\d_]+")
 DIGITS = re.compile(r"\d+")
 
 
-P_STOPS = BLOCK_TAGS - {"p"}
-
-
 class Element:
     __slots__ = ("tag", "path", "noise", "in_main", "in_story", "form", "nodes")
 
@@ -176,7 +173,8 @@ class Page:
         self.texts: dict[tuple[int, bool], set[str]] = {}  # and the texts of its branch
         self._parts: list[str] = []
         self._in_main, self._form, self._forms = False, 0, 0
-        self._open: Counter[str] = Counter()
+        self._places: dict[str, list[int]] = defaultdict(list)  # of the open elements of each tag
+        self._blocks: list[int] = []  # of open block elements
         self._stack = [Element("", 0, False, False, False, 0, ())]
         at = 0
         for m in TOKEN.finditer(source):
@@ -212,44 +210,42 @@ class Page:
         gone = self._stack[at:]
         if any(e.tag in BLOCK_TAGS for e in gone):
             self._flush()
-        self._open.subtract(e.tag for e in gone)
+        for e in gone:
+            self._places[e.tag].pop()
+        while self._blocks and self._blocks[-1] >= at:
+            self._blocks.pop()
         del self._stack[at:]
 
-    def _close(self, tags: set[str], stops: set[str]) -> None:
-        if not any(self._open[t] for t in tags):
-            return
-        for at in range(len(self._stack) - 1, 0, -1):
-            if self._stack[at].tag in tags:
-                self._pop_to(at)
-            elif self._stack[at].tag in stops:
-                return
+    def _last(self, tags: Iterable[str]) -> int:
+        """Where the innermost open element of some tags stands; -1 if there is none."""
+        return max((self._places[t][-1] for t in tags if self._places[t]), default=-1)
+
+    def _close(self, tags: Iterable[str], stops: Iterable[str]) -> None:
+        while (at := self._last(tags)) > self._last(stops):
+            self._pop_to(at)
 
     def _tag(self, tag: str, attributes: str, is_end: bool) -> None:
         if is_end:
             if tag == "br":
                 self._parts.append(" ")
-            if not self._open[tag]:
-                return None
-            for at in range(len(self._stack) - 1, 0, -1):
-                if self._stack[at].tag == tag:
-                    return self._pop_to(at)
-                if tag not in BLOCK_TAGS and self._stack[at].tag in BLOCK_TAGS:
-                    return None
-            return None
+            at = self._last((tag,))
+            if at > 0 and (tag in BLOCK_TAGS or not self._blocks or self._blocks[-1] < at):
+                self._pop_to(at)
+            return
         if tag in BLOCK_TAGS:
-            self._close({"p"}, P_STOPS)
+            while self._blocks and self._stack[self._blocks[-1]].tag == "p":
+                self._pop_to(self._blocks[-1])
             self._flush()
         elif tag in ("br", "td", "th", "img"):
             self._parts.append(" ")
         if tag in CLOSES:
             self._close(*CLOSES[tag])
         if tag in VOID_TAGS:
-            return None
+            return
         if not attributes.endswith("/") or tag in BLOCK_TAGS:
             self._enter(tag, attributes)
         elif not self._stack[-1].noise and self._stack[-1].nodes:
             self.looks.setdefault(self._stack[-1].nodes[-1], []).append(tag)
-        return None
 
     def _enter(self, tag: str, attributes: str) -> None:
         above = self._stack[-1]
@@ -271,7 +267,9 @@ class Page:
                 form = self._forms
         in_main, in_story = above.in_main or tag == "main", above.in_story or tag == "article"
         self._stack.append(Element(tag, path, noise, in_main, in_story, form, nodes))
-        self._open[tag] += 1
+        self._places[tag].append(len(self._stack) - 1)
+        if tag in BLOCK_TAGS:
+            self._blocks.append(len(self._stack) - 1)
 
     def kept(self) -> list[tuple[bool, str]]:
         """The blocks without those of forms, unless these stand around the story: (whether in main, text)."""

@@ -209,7 +209,8 @@ def test_headline_and_form_of_the_story():
 
 
 def test_deep_pages_take_linear_time():
-    for source in ("<div>" * 100_000 + "deep", "<b>" * 30_000 + "<p>x</b></i>" * 30_000, "<div><li>" * 30_000 + "</p></span>" * 30_000):
+    for source in ("<div>" * 100_000 + "deep", "<b>" * 30_000 + "<p>x</b></i>" * 30_000, "<div><li>" * 30_000 + "</p></span>" * 30_000,
+                   "<b><div>" + "<i>" * 30_000 + "</b>x" * 30_000, "<p>" + "<b>" * 30_000 + "<li>x</p>" * 30_000):
         begin = time.perf_counter()
         Page(source).text()
         assert time.perf_counter() - begin < 10
