@@ -13,11 +13,12 @@ A node's importance, from 0 to 1, has two parts:
 * Presentation: the entropy of the sequences of child elements, as a share of its maximum. It scales the content from
   ``SAME_LOOK`` (the same on all pages) to 1 (another on each).
 
-Branches below ``LEAST_IMPORTANCE`` (in an ``article``: ``LEAST_IN_STORY``) are cut from each page. A node seen on fewer than
-``MIN_PAGES`` distinct pages is never cut: a few pages say nothing on what repeats. For these, and for noise that never repeats
-(readers' comments), markup is the prior: elements, roles, classes and ids that name a menu, an advert, … are cut on every
-page, before the tree is built. A class or id counts if it is a noise name as a whole, never on ``html``, ``body``,
-``main`` and ``article``. ``prior=False`` leaves everything but scripts, styles and the head to the tree.
+Markup is the prior: elements, classes and ids that name a menu, an advert, … make a node *named*. A class or id counts if it
+is a noise name as a whole, never on ``html``, ``body``, ``main`` and ``article``. Branches below ``LEAST_IMPORTANCE`` (in an
+``article``: ``LEAST_IN_STORY``; named: ``LEAST_NAMED``) are cut from each page. On fewer than ``MIN_PAGES`` distinct pages
+the prior decides alone: a few pages say nothing on what repeats. So it does on what never repeats, yet is no part of the
+story (readers' comments, dialogs, hidden elements, controls), and on words and paragraphs. ``prior=False`` leaves everything but scripts,
+styles and the head to the tree.
 
 A ``header`` within ``main`` or ``article`` is the story's. A ``form`` is cut unless it holds at least half of the page's text and
 ``STORY_WORDS`` words: then it stands around the story. Of what remains everything is text, unless ``main`` holds at least half of
@@ -50,6 +51,7 @@ from spendlake.sources.scratch import written
 MIN_PAGES = 8
 LEAST_IMPORTANCE = 0.35
 LEAST_IN_STORY = 0.1
+LEAST_NAMED = 0.98
 SAME_LOOK = 0.7
 STORY_WORDS = 50
 DEPTH = 64
@@ -82,6 +84,9 @@ NOISE_COMPOUNDS = frozenset(
 # Elements that hold the page or its story, whatever their class or id says on its layout.
 WHOLE_TAGS = frozenset("html body main article".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
+# What the prior alone decides on.
+SURE_TAGS = NOISE_TAGS - set("nav header footer aside menu".split())
+SURE_NAMES = frozenset("comment comments reply replies disqus cookie cookies consent gdpr login signup popup modal".split())
 # What is never text, with or without the prior.
 UNSEEN_TAGS = frozenset("head title script style noscript template iframe svg textarea object embed canvas audio video".split())
 # What the tree may cut.
@@ -119,13 +124,18 @@ NAME_PART = re.compile(r"[^\W\d_]+")
 DIGITS = re.compile(r"\d+")
 
 
+IN_STORY, IS_NAMED = 1, 2  # kinds of nodes; 0: any other
+
+
 class Element:
-    __slots__ = ("tag", "path", "noise", "in_main", "in_story", "form", "nodes")
+    __slots__ = ("tag", "path", "noise", "named", "in_main", "in_story", "form", "nodes")
 
-    def __init__(self, tag: str, path: int, noise: bool, in_main: bool, in_story: bool, form: int, nodes: tuple) -> None:
-        self.tag, self.path, self.noise, self.in_main, self.in_story = tag, path, noise, in_main, in_story
+    def __init__(
+        self, tag: str, path: int, noise: bool, named: bool, in_main: bool, in_story: bool, form: int, nodes: tuple
+    ) -> None:
+        self.tag, self.path, self.noise, self.named, self.in_main, self.in_story = tag, path, noise, named, in_main, in_story
         self.form = form  # the number of the outermost form around it, 0 without one
-        self.nodes = nodes  # it and the containers around it, as far as they are nodes: (path, whether in an article)
+        self.nodes = nodes  # it and the containers around it, as far as they are nodes: (path, kind)
 
 
 @lru_cache(1 << 16)
@@ -143,39 +153,43 @@ def is_noise_name(name: str) -> bool:
     return all(p in NOISE_NAMES or p in QUALIFIERS for p in parts)
 
 
+PLAIN, NAMED, SURE = 0, 1, 2
+
+
 @lru_cache(1 << 14)
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """What names the element in the tree, and whether it is noise by its markup."""
-    noise = tag in NOISE_TAGS
+def _label(tag: str, attributes: str) -> tuple[str, int]:
+    """What names the element in the tree, and what the prior says of it."""
+    says = SURE if tag in SURE_TAGS else NAMED if tag in NOISE_TAGS else PLAIN
     if not attributes:
-        return tag, noise
+        return tag, says
     label = tag
     for m in ATTRIBUTE.finditer(attributes):
         kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if kind == "role":
-            noise = noise or value in NOISE_ROLES
-        elif kind == "hidden":
-            noise = True
+        if kind == "hidden" or (kind == "role" and value in NOISE_ROLES):
+            says = SURE
         elif kind in ("class", "id"):
             names = value.split()
-            noise = noise or (tag not in WHOLE_TAGS and any(map(is_noise_name, names)))
             label += "|" + " ".join(sorted(DIGITS.sub("0", n) for n in names))
-    return label, noise
+            if tag not in WHOLE_TAGS:
+                for name in filter(is_noise_name, names):
+                    says = max(says, NAMED if SURE_NAMES.isdisjoint(NAME_PART.findall(name)) else SURE)
+    return label, says if says == SURE or tag in CONTAINERS else SURE if says else PLAIN
 
 
 class Page:
-    """The blocks of a page that are not noise by prior or ``cut``, and what its nodes show, in page order."""
+    """The blocks of a page that are not noise, and what its nodes show, in page order. Named nodes are noise and others are
+    not, but for those ``turned``. With ``whole`` named ones are looked at, but are no blocks."""
 
-    def __init__(self, source: str, cut: frozenset[int] = frozenset(), prior: bool = True) -> None:
-        self.cut, self.prior = cut, prior
+    def __init__(self, source: str, turned: frozenset[int] = frozenset(), prior: bool = True, whole: bool = False) -> None:
+        self.turned, self.prior, self.whole = turned, prior, whole
         self.blocks: list[tuple[bool, int, str]] = []  # (whether it stands in main, its form, text)
-        self.looks: dict[tuple[int, bool], list[str]] = {}  # of each node with text the labels of child elements
-        self.texts: dict[tuple[int, bool], set[str]] = {}  # and the texts of its branch
+        self.looks: dict[tuple[int, int], list[str]] = {}  # of each node with text the labels of child elements
+        self.texts: dict[tuple[int, int], set[str]] = {}  # and the texts of its branch
         self._parts: list[str] = []
         self._in_main, self._form, self._forms = False, 0, 0
         self._places: dict[str, list[int]] = defaultdict(list)  # of the open elements of each tag
         self._blocks: list[int] = []  # of open block elements
-        self._stack = [Element("", 0, False, False, False, 0, ())]
+        self._stack = [Element("", 0, False, False, False, False, 0, ())]
         at = 0
         for m in TOKEN.finditer(source):
             if m.start() > at:
@@ -192,9 +206,10 @@ class Page:
         if top.noise:
             return
         text = html.unescape(raw) if "&" in raw else raw
-        self._parts.append(text)
-        self._in_main = self._in_main or top.in_main
-        self._form = top.form
+        if not top.named:
+            self._parts.append(text)
+            self._in_main = self._in_main or top.in_main
+            self._form = top.form
         if top.nodes and not text.isspace():
             text = " ".join(text.split())
             for node in top.nodes:
@@ -249,24 +264,31 @@ class Page:
 
     def _enter(self, tag: str, attributes: str) -> None:
         above = self._stack[-1]
-        label, noise = _label(tag, attributes)
-        if tag == "header" and noise and (above.in_main or above.in_story):
-            noise = _label("div", attributes)[1]
-        noise = above.noise or (noise if self.prior else tag in UNSEEN_TAGS)
-        path, nodes, form = above.path, above.nodes, above.form
+        label, says = _label(tag, attributes)
+        if tag == "header" and says == NAMED and (above.in_main or above.in_story):
+            says = _label("div", attributes)[1]
+        if not self.prior:
+            says = SURE if tag in UNSEEN_TAGS else PLAIN
+        path, nodes, form, named = above.path, above.nodes, above.form, above.named
+        noise = above.noise or says == SURE
         if not noise:
             if nodes:
                 self.looks.setdefault(nodes[-1], []).append(label)
+            turned = False
             if len(nodes) < DEPTH:
                 path = _below(path, label)
                 if tag in CONTAINERS:
-                    nodes = (*nodes, (path, above.in_story))
-                    noise = path in self.cut
+                    nodes = (*nodes, (path, IS_NAMED if says == NAMED else IN_STORY if above.in_story else 0))
+                    turned = path in self.turned
+            if self.whole:
+                named = named or says == NAMED
+            else:
+                noise = (says == NAMED) != turned
             if tag == "form" and not form and self.prior:
                 self._forms += 1
                 form = self._forms
         in_main, in_story = above.in_main or tag == "main", above.in_story or tag == "article"
-        self._stack.append(Element(tag, path, noise, in_main, in_story, form, nodes))
+        self._stack.append(Element(tag, path, noise, named, in_main, in_story, form, nodes))
         self._places[tag].append(len(self._stack) - 1)
         if tag in BLOCK_TAGS:
             self._blocks.append(len(self._stack) - 1)
@@ -287,8 +309,8 @@ class Page:
         return "\n\n".join(main if 2 * sum(map(len, main)) >= sum(map(len, every)) else every)
 
 
-def main_text(source: str, cut: frozenset[int] = frozenset(), prior: bool = True) -> str:
-    return Page(source, cut, prior).text() or (Page(source, prior=prior).text() if cut else "")
+def main_text(source: str, turned: frozenset[int] = frozenset(), prior: bool = True) -> str:
+    return Page(source, turned, prior).text() or (Page(source, prior=prior).text() if turned else "")
 
 
 def _hash(parts: list[str]) -> int:
@@ -296,16 +318,16 @@ def _hash(parts: list[str]) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
-NODES = "host string, page long, path long, in_story boolean, is_text boolean, value long"
+NODES = "host string, page long, path long, kind byte, is_text boolean, value long"
 
 
 def style_nodes(batches: Iterator[pa.RecordBatch], prior: bool = True) -> Iterator[pa.RecordBatch]:
     """Of (host, html): for each page and node with text the hash of its presentation and those of its distinct texts."""
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64()]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int8(), pa.bool_(), pa.int64()]
     for batch in batches:
         rows: list[tuple] = []
         for host, source in zip(*(c.to_pylist() for c in batch.columns)):
-            page = Page(source, prior=prior)
+            page = Page(source, prior=prior, whole=True)
             if page.texts:
                 whole = _hash([text for *_, text in page.blocks])
                 hashes = {t: _hash([t]) for texts in page.texts.values() for t in texts}
@@ -314,14 +336,14 @@ def style_nodes(batches: Iterator[pa.RecordBatch], prior: bool = True) -> Iterat
                     rows.extend((host, whole, *node, True, hashes[t]) for t in texts)
         columns = zip(*rows) if rows else [()] * 6
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "page", "path", "in_story", "is_text", "value"]
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "page", "path", "kind", "is_text", "value"]
         )
 
 
 def importance(pages: DataFrame, prior: bool = True) -> DataFrame:
-    """host, path, in_story, pages and importance (0 to 1) of every node of the site style trees of (host, html)."""
+    """host, path, kind, pages and importance (0 to 1) of every node of the site style trees of (host, html)."""
     nodes = pages.mapInArrow(lambda batches: style_nodes(batches, prior), NODES).distinct()
-    node = ["host", "path", "in_story"]
+    node = ["host", "path", "kind"]
     counts = nodes.groupBy(*node, "is_text", "value").agg(F.count("*").alias("n"))
     sums = counts.groupBy(*node).agg(
         F.sum(F.expr("if(is_text, 0, n)")).alias("pages"),
@@ -333,38 +355,39 @@ def importance(pages: DataFrame, prior: bool = True) -> DataFrame:
     return sums.select(*node, "pages", found.alias("importance"))
 
 
-def noise_paths(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEAST_IMPORTANCE, prior: bool = True) -> DataFrame:
-    """(host, cut): the nodes to cut from the pages of each host that has any."""
-    bound = F.when(F.col("in_story"), F.least(F.lit(LEAST_IN_STORY), F.lit(least))).otherwise(least)
-    low = importance(pages, prior).where((F.col("pages") >= min_pages) & (F.col("importance") < bound))
-    return low.groupBy("host").agg(F.collect_set("path").alias("cut"))
+def turned_paths(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEAST_IMPORTANCE, prior: bool = True) -> DataFrame:
+    """(host, turned): the nodes of each host, if it has any, on which the tree does not decide as the prior."""
+    bound = F.when(F.col("kind") == IN_STORY, F.least(F.lit(LEAST_IN_STORY), F.lit(least))).otherwise(least)
+    other = F.when(F.col("kind") == IS_NAMED, F.col("importance") >= LEAST_NAMED).otherwise(F.col("importance") < bound)
+    found = importance(pages, prior).where((F.col("pages") >= min_pages) & other)
+    return found.groupBy("host").agg(F.collect_set("path").alias("turned"))
 
 
-def with_cuts(rows: DataFrame, cut: DataFrame) -> DataFrame:
-    """``rows`` with their host's ``cut``. It is broadcast if it is small, counted; else each host's rows are dealt
-    over ``SALTS`` tasks, with a copy of the host's paths for each."""
-    cut = written(cut, "cuts")
-    size = cut.agg(F.sum(8 * F.size("cut") + F.length("host")).alias("n")).first()["n"] or 0
+def with_turned(rows: DataFrame, turned: DataFrame) -> DataFrame:
+    """``rows`` with their host's ``turned`` nodes. It is broadcast if it is small, counted; else each host's rows are dealt
+    over ``SALTS`` tasks, with a copy of the host's nodes for each."""
+    turned = written(turned, "turned")
+    size = turned.agg(F.sum(8 * F.size("turned") + F.length("host")).alias("n")).first()["n"] or 0
     if size <= MOST_BROADCAST:
-        return rows.join(F.broadcast(cut), "host", "left")
+        return rows.join(F.broadcast(turned), "host", "left")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int"))
-    return salted.join(cut.select("*", salts), ["host", "salt"], "left").drop("salt")
+    return salted.join(turned.select("*", salts), ["host", "salt"], "left").drop("salt")
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEAST_IMPORTANCE, prior: bool = True) -> DataFrame:
     """page_id, url, text and n_chars of every row of (page_id, url, html)."""
     source = F.coalesce(F.col("html"), F.lit("")).alias("html")
     rows = pages.select("page_id", "url", host_and_path(F.col("url"))[0].alias("host"), source)
-    cut = noise_paths(rows.select("host", "html"), min_pages, least, prior)
+    turned = turned_paths(rows.select("host", "html"), min_pages, least, prior)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cuts = batch.column("cut").to_pylist()
-            texts = [main_text(s, frozenset(c or ()), prior) for s, c in zip(batch.column("html").to_pylist(), cuts)]
+            turns = batch.column("turned").to_pylist()
+            texts = [main_text(s, frozenset(c or ()), prior) for s, c in zip(batch.column("html").to_pylist(), turns)]
             sizes = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])
 
     schema = ", ".join(f"{c} {pages.schema[c].dataType.simpleString()}" for c in ("page_id", "url"))
-    joined = with_cuts(rows, cut).select("page_id", "url", "html", "cut")
+    joined = with_turned(rows, turned).select("page_id", "url", "html", "turned")
     return joined.mapInArrow(run, f"{schema}, text string, n_chars long")

@@ -139,14 +139,15 @@ def plain_importance(pages: list[tuple[str, str]], prior: bool) -> dict:
     """Every node's pages and importance by plain counting over distinct pages."""
     shown: dict = {}
     for host, source in pages:
-        page = Page(source, prior=prior)
+        page = Page(source, prior=prior, whole=True)
         whole = tuple(text for *_, text in page.blocks)
-        for (path, _), texts in page.texts.items():
-            look = tuple(page.looks.get((path, _), []))
-            shown.setdefault((host, path), set()).add((whole, look, frozenset(texts)))
+        for (path, kind), texts in page.texts.items():
+            looks, read = shown.setdefault((host, path), (set(), set()))
+            looks.add((whole, tuple(page.looks.get((path, kind), []))))
+            read.update((whole, text) for text in texts)
     out = {}
-    for node, seen in shown.items():
-        m, looks, on = len(seen), Counter(look for _, look, _ in seen), Counter(t for *_, texts in seen for t in texts)
+    for node, (seen, read) in shown.items():
+        m, looks, on = len(seen), Counter(look for _, look in seen), Counter(text for _, text in read)
         content = sum(math.exp(-math.log(k)) for k in on.values()) / len(on)
         entropy = -sum(n / m * math.log(n / m) for n in looks.values()) / math.log(m) if m > 1 else 1
         out[node] = m, content * (0.7 + 0.3 * entropy)
@@ -167,7 +168,7 @@ def test_importance_by_plain_counting(spark, prior):
     got = {(r["host"], r["path"]): (r["pages"], r["importance"]) for r in found}
     want = plain_importance(pages, prior)
     assert got.keys() == want.keys()
-    assert len(got) == 2 * (4 if prior else 5) + 1
+    assert len(got) == 2 * 5 + 1
     for node, (m, value) in want.items():
         assert got[node] == (m, pytest.approx(value))
         assert 0 <= value <= 1
@@ -184,6 +185,22 @@ def test_the_tree_alone_cuts_the_given_noise(spark):
         assert r["text"].split() == want
 
 
+def test_the_tree_overrules_names(spark):
+    """A named node that looks and reads otherwise on each page is the story, if there are pages enough; comments are not."""
+    rng = random.Random(6)
+
+    def story() -> str:
+        return "".join(rng.choice(["<p>{}</p>", "<h2>{}</h2>", "<pre>{}</pre>"]).format(sentence(rng, 9)) for _ in range(rng.randint(4, 9)))
+
+    shell = "<div class=menu>{}</div><div class=banner><p>{}</p></div><div class=comments>{}</div><p>{}</p>"
+    parts = [(story(), sentence(rng, 5), story(), i) for i in range(40)]
+    pages = [(i, f"http://{'a' if i < 35 else 'b'}.com/{i}", shell.format(*p)) for i, p in enumerate(parts)]
+    for r in rows(extract(spark.createDataFrame(pages, SCHEMA))):
+        i = r["page_id"]
+        menu = re.findall(">([^<]+)</", parts[i][0]) if i < 35 else []
+        assert r["text"].split("\n\n") == [*menu, str(i)]
+
+
 def test_copies_do_not_make_the_stories_noise(spark):
     """One story on most pages of a site, under another number on each, stays, and so do the other stories."""
     rng = random.Random(8)
@@ -219,7 +236,7 @@ def test_deep_pages_take_linear_time():
 def test_awkward_rows(spark):
     long = "<article>" + "<p>" + "w " * 500_000 + "</p>" * 3
     pages = [(None, None, None), (1, "", ""), (1, "", ""), (2, "http://a/", "\x00<p>\ud7ff</p>"), (3, "http://a/", long), (4, "x", "<div>" * 5000 + "deep")]
-    df = spark.createDataFrame(pages, SCHEMA).selectExpr("*", "'x' as host", "'x' as cut", "1 as salt")
+    df = spark.createDataFrame(pages, SCHEMA).selectExpr("*", "'x' as host", "'x' as turned", "1 as kind", "1 as salt")
     got = rows(extract(df))
     assert sorted(r["n_chars"] for r in got) == [0, 0, 0, 4, 4, 999_999]
     assert {r["page_id"]: r["n_chars"] for r in got}[3] == 999_999
