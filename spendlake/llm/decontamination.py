@@ -3,15 +3,16 @@
 Words are runs of a-z, 0-9 and non-ASCII characters of the lowered text. A document is contaminated if it holds a
 window of an item: ``window`` consecutive words of it, or all of a shorter item.
 
-* Fingerprints: of every ``window - K + 1`` consecutive K-word hashes the least is kept, on both sides. A shared
-  span of ``window`` words holds a full run of such hashes, so both sides keep its least one: no shared window is missed.
-* Items shorter than a window have one fingerprint, the hash of all their words, and it is looked for at every word.
-* A shared fingerprint is a hit; it is extended word by word in both directions, and counts if the span reaches
-  a window (or the whole short item). The words of each such span are compared as bytes.
+* Fingerprints: of every window the least of its K-word hashes is kept, on both sides; items shorter than a window have one,
+  the hash of all their words, and it is looked for at every word. Equal windows have equal fingerprints, so none is missed.
+* Fingerprints of documents and items are joined. Where one is shared, the document's windows that have it are hits; those
+  are joined with the items' windows, word by word as bytes, and neighbouring ones make up the spans.
 
-The benchmark is dealt into blocks of bounded size, each broadcast on its own; a task holds one block at a time and
-looks at all blocks for each part of its documents. So neither side is shuffled, a passage that a third of the
-documents share is no hot key, and a benchmark of any size fits.
+Nothing of a benchmark goes through the driver but its distinct fingerprints, and those only while there are at most
+``MOST_PRINTS``, counted before: then tasks look them up as they read the documents. Beyond that both sides are
+shuffled by fingerprint, and texts with hits are read again. Joins are of windows with distinct windows, never of places
+with places, so a word repeated without end takes time in proportion to its text, and a passage that many documents or many
+items share is one row of the smaller side. Copies of a text are judged once.
 
 Null or empty text: no words, not contaminated. Items without words match nothing. Null item ids are not
 counted or listed, but their windows hit. Rows that repeat an item_id count once. Extra columns are ignored.
@@ -19,19 +20,19 @@ counted or listed, but their windows hit. Rows that repeat an item_id count once
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendlake.llm.common import byte_arrays, bytes_of, sent, slices
+from spendlake.sources.scratch import written
 
 K = 5
+MOST_PRINTS = 1 << 20
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 # Multipliers of the rolling hashes and their inverses modulo 2**64.
@@ -113,6 +114,18 @@ class Words:
             out[at[at >= self.first[:-1]]] = NONE
         return out
 
+    def spelled(self, at: np.ndarray, n: int) -> list[bytes]:
+        """The ``n`` words from each place on, with one blank between them."""
+        if not hasattr(self, "_plain"):
+            inside = self.data > 0
+            used = inside.copy()
+            gaps = self.end[self.end < len(inside)]
+            used[gaps] = True
+            place = np.cumsum(used) - 1
+            self._plain = np.where(inside, self.data, 32)[used].tobytes(), place[self.start], place[self.end - 1] + 1
+        plain, start, end = self._plain
+        return [plain[a:b] for a, b in zip(start[at].tolist(), end[at + n - 1].tolist())]
+
     def _sums(self) -> tuple[np.ndarray, np.ndarray]:
         if not hasattr(self, "_prefix"):
             self._prefix = _rolled(self.hash, WORD_BASE)
@@ -137,166 +150,178 @@ def words_in(data: np.ndarray, starts: np.ndarray) -> Words:
 
 
 def winnowed(h: np.ndarray, run: int) -> np.ndarray:
-    """Positions that hold the least hash of some ``run`` consecutive ones."""
-    if not len(h):
-        return np.zeros(0, np.int64)
-    pad = np.concatenate([np.full(run - 1, NONE), h, np.full(run - 1, NONE)])
-    low = pad[: len(pad) - run + 1].copy()
-    for i in range(1, run):
-        np.minimum(low, pad[i : len(pad) - run + 1 + i], out=low)
-    high = low[: len(h)].copy()
-    for i in range(1, run):
-        np.maximum(high, low[i : len(h) + i], out=high)
-    return np.flatnonzero((high == h) & (h != NONE))
+    """The least of the ``run`` hashes from each one on; NONE counts beyond the last."""
+    low = h.copy()
+    for i in range(1, min(run, len(h))):
+        np.minimum(low[:-i], h[i:], out=low[:-i])
+    return low
 
 
-@dataclass
-class Block:
-    """Some items: their words, and their fingerprints by the number of words hashed (sorted by hash)."""
-
-    ids: list
-    words: Words
-    prints: dict[int, tuple[np.ndarray, np.ndarray]]
-
-
-def block_of(ids: list, texts: pa.Array, window: int) -> Block:
-    words = words_in(*byte_arrays(texts))
-    sizes = np.diff(words.first)
-    prints = {}
-    owner = np.repeat(np.arange(len(ids)), sizes)
-    for n in sorted({int(x) for x in sizes if 0 < x < window}):
-        prints[n] = words.first[:-1][sizes == n], words.grams(n)
-    long = winnowed(words.grams(K), window - K + 1)
-    long = long[sizes[owner[long]] >= window]
-    out = {n: (h[at], at) for n, (at, h) in prints.items()}
-    if len(long):
-        out[0] = words.grams(K)[long], long
-    for n, (h, at) in out.items():
-        order = np.argsort(h, kind="stable")
-        out[n] = h[order], at[order]
-    return Block(ids, words, out)
-
-
-def _matches(found: np.ndarray, at: np.ndarray, prints: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of (position in the documents, position in the items) with equal fingerprints."""
-    keys, places = prints
-    low, high = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
-    n = high - low
-    hit = n > 0
-    low, n, at = low[hit], n[hit], at[hit]
-    offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    return np.repeat(at, n), places[np.repeat(low, n) + offset]
-
-
-def _same(a: Words, i: int, b: Words, j: int, n: int) -> bool:
-    """Whether n words of both are equal, byte by byte."""
-    return all(
-        a.data[a.start[i + k] : a.end[i + k]].tobytes() == b.data[b.start[j + k] : b.end[j + k]].tobytes() for k in range(n)
-    )
+def prints(words: Words, n: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the ``n`` words from each place on: their hash, NONE where the text ends before, and their fingerprint."""
+    whole = words.grams(n)
+    return whole, winnowed(words.grams(K), window - K + 1) if n == window else whole
 
 
-def spans(docs: Words, block: Block, window: int) -> Iterator[tuple[int, int, int]]:
-    """(first word, end, item) of each stretch of the documents that is covered by occurring windows."""
-    items, run = block.words, window - K + 1
-    for n, prints in block.prints.items():
-        if n:
-            h = docs.grams(n)
-            for i, j in zip(*(x.tolist() for x in _matches(h, np.arange(len(h)), prints))):
-                if h[i] != NONE and _same(docs, i, items, j, n):
-                    yield i, i + n, int(np.searchsorted(items.first, j, "right")) - 1
-            continue
-        h = docs.grams(K)
-        at = winnowed(h, run)
-        done: dict[int, int] = {}  # by diagonal, the end of the last span; hits come in the documents' order
-        for i, j in zip(*(x.tolist() for x in _matches(h[at], at, prints))):
-            if done.get(j - i, 0) > i:
-                continue
-            doc, item = int(np.searchsorted(docs.first, i, "right")) - 1, int(np.searchsorted(items.first, j, "right")) - 1
-            back = min(i - docs.first[doc], j - items.first[item])
-            ahead = min(docs.first[doc + 1] - i, items.first[item + 1] - j)
-            left = docs.hash[i - back : i][::-1] != items.hash[j - back : j][::-1]
-            right = docs.hash[i : i + ahead] != items.hash[j : j + ahead]
-            a = i - (int(left.argmax()) if left.any() else back)
-            b = i + (int(right.argmax()) if right.any() else ahead)
-            done[j - i] = b
-            if b - a >= window and _same(docs, a, items, j - (i - a), b - a):
-                yield a, b, item
-
-
-COLUMNS = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-
-
-def judge(docs: Words, blocks: Iterator[Block], window: int) -> list[pa.Array]:
-    """The verdict on each text."""
-    n = len(docs.first) - 1
-    edge = np.zeros(len(docs.hash) + 1, np.int64)
-    items: dict[int, set[str]] = {}
-    for block in blocks:
-        for a, b, item in spans(docs, block, window):
-            edge[a] += 1
-            edge[b] -= 1
-            if block.ids[item] is not None:
-                items.setdefault(int(np.searchsorted(docs.first, a, "right")) - 1, set()).add(str(block.ids[item]))
-    hit = np.concatenate([[0], np.cumsum(np.cumsum(edge[:-1]) > 0)])
-    n_hit = hit[docs.first[1:]] - hit[docs.first[:-1]]
-    listed = [hashlib.sha256(",".join(sorted(items.get(i, ()))).encode()).hexdigest() for i in range(n)]
-    return [
-        pa.array(np.diff(docs.first)), pa.array(n_hit), pa.array([len(items.get(i, ())) for i in range(n)], pa.int64()),
-        pa.array(listed), pa.array(n_hit > 0),
-    ]
-
-
-def benchmark_blocks(benchmark: DataFrame, window: int, most_bytes: int) -> list:
-    """The benchmark as broadcast blocks of about ``most_bytes`` of text each; the driver holds one at a time."""
-    spark = benchmark.sparkSession
-    out, ids, texts, size = [], [], [], 0
-
-    def close() -> None:
-        if ids:
-            out.append(sent(spark, block_of(ids, pa.array(texts, pa.large_binary()), window)))
-
-    for row in benchmark.select("item_id", bytes_of().alias("text")).toLocalIterator():
-        ids.append(row[0])
-        texts.append(bytes(row[1]))
-        size += len(row[1])
-        if size >= most_bytes:
-            close()
-            ids, texts, size = [], [], 0
-    close()
-    return out
+def _signed(h: np.ndarray) -> pa.Array:
+    return pa.array(h.view(np.int64))
 
 
-def _judged(blocks: list, window: int, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
-    """Parts of the batch, whose last column is the text, with their verdicts."""
-    only = [blocks[0]()] if len(blocks) == 1 else None
-    for part in slices(batch, "__text", 1 << 20):
-        yield part, judge(words_in(*byte_arrays(part.column("__text"))), only or (b() for b in blocks), window)
+ITEM_WINDOWS = "n int, print long, hash long, words binary"
+DOC_WINDOWS = "n_words long, windows array<struct<at: int, n: int, hash: long, words: binary>>"
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 8 << 20) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every row of (doc_id, text)."""
-    if window < K:
-        raise ValueError(f"a window has {K} words or more")
-    blocks = benchmark_blocks(benchmark, window, block_bytes)
+def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
+    """(item_id, n, print, hash, words) of every window of every item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, found in _judged(blocks, window, batch):
-                names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-                yield pa.RecordBatch.from_arrays([part.column(0), *found], names)
+            for part in slices(batch, "text", 1 << 20):
+                words = words_in(*byte_arrays(part.column("text")))
+                sizes = np.diff(words.first)
+                for n in sorted({min(int(x), window) for x in sizes if x}):
+                    whole, least = prints(words, n, window)
+                    owner = np.repeat(np.arange(len(sizes)), sizes)
+                    at = np.flatnonzero((whole != NONE) & ((sizes[owner] == n) | (n == window)))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(pa.array(owner[at])), pa.array(np.full(len(at), n, np.int32)), _signed(least[at]),
+                         _signed(whole[at]), pa.array(words.spelled(at, n), pa.binary())],
+                        ["item_id", "n", "print", "hash", "words"],
+                    )
+
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), bytes_of().alias("text"))
+    return rows.mapInArrow(run, f"item_id string, {ITEM_WINDOWS}")
+
+
+def _hits(words: Words, wanted: dict[int, np.ndarray], window: int) -> pa.Array:
+    """For each text the windows whose fingerprint is wanted; these are sorted, by number of words."""
+    places, sizes, hashes, spelled = [], [], [], []
+    for n, keys in wanted.items():
+        whole, least = prints(words, n, window)
+        near = np.minimum(np.searchsorted(keys, least), len(keys) - 1)
+        at = np.flatnonzero((whole != NONE) & (keys[near] == least))
+        places.append(at)
+        sizes.append(np.full(len(at), n, np.int32))
+        hashes.append(whole[at])
+        spelled += words.spelled(at, n) if len(at) else []
+    at = np.concatenate([np.zeros(0, np.int64), *places])
+    order = np.argsort(at, kind="stable")
+    owner = np.searchsorted(words.first, at[order], "right") - 1
+    rows = pa.StructArray.from_arrays(
+        [pa.array((at[order] - words.first[owner]).astype(np.int32)),
+         pa.array(np.concatenate([np.zeros(0, np.int32), *sizes])[order]),
+         _signed(np.concatenate([np.zeros(0, np.uint64), *hashes])[order]),
+         pa.array(spelled, pa.binary()).take(pa.array(order))],
+        ["at", "n", "hash", "words"],
+    )
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(at[order], words.first).astype(np.int32)), rows)
+
+
+def _by_size(n: np.ndarray, keys: np.ndarray) -> dict[int, np.ndarray]:
+    keys = keys.astype(np.int64).view(np.uint64)
+    return {int(size): np.unique(keys[n == size]) for size in np.unique(n)}
+
+
+def _lookup(texts: DataFrame, wanted: Callable[[], dict[int, np.ndarray]], window: int) -> DataFrame:
+    """(doc_id, __k1, __k2) with what DOC_WINDOWS names, all texts against the same fingerprints."""
 
-    rows = docs.select("doc_id", bytes_of().alias("__text"))
-    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {COLUMNS}")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = wanted()
+        for batch in batches:
+            for part in slices(batch, "__text", 1 << 20):
+                words = words_in(*byte_arrays(part.column("__text")))
+                found = [pa.array(np.diff(words.first)), _hits(words, keys, window)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *found], [*part.schema.names[:3], "n_words", "windows"])
 
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(run, f"doc_id {kind}, __k1 long, __k2 long, {DOC_WINDOWS}")
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 8 << 20) -> DataFrame:
-    """The rows that hold no window of the benchmark, with all their columns."""
-    blocks = benchmark_blocks(benchmark, window, block_bytes)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _joined(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """As ``_lookup``, by a join of the distinct fingerprints of both sides; texts with hits are read again."""
+    sizes = [r["n"] for r in wanted.select("n").distinct().collect()]  # at most ``window`` numbers
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "__text", 1 << 20):
+                words = words_in(*byte_arrays(part.column("__text")))
+                owner = np.repeat(np.arange(part.num_rows), np.diff(words.first))
+                for n in sizes:
+                    whole, least = prints(words, n, window)
+                    at = np.flatnonzero(whole != NONE)
+                    at = at[np.unique(np.stack([owner[at], least[at].view(np.int64)]), axis=1, return_index=True)[1]]
+                    whose = pa.array(owner[at])
+                    columns = [part.column(1).take(whose), part.column(2).take(whose), pa.array(np.full(len(at), n, np.int32))]
+                    yield pa.RecordBatch.from_arrays([*columns, _signed(least[at])], ["__k1", "__k2", "n", "print"])
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, found in _judged(blocks, window, batch):
-                rows = pa.RecordBatch.from_arrays(part.columns[:-1], part.schema.names[:-1])
-                yield rows.filter(pc.invert(found[-1]))
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                words = words_in(*byte_arrays(row.column("__text")))
+                keys = row.column("keys")[0].as_py() or []
+                hits = _by_size(np.array([k["n"] for k in keys]), np.array([k["print"] for k in keys]))
+                found = [pa.array(np.diff(words.first)), _hits(words, hits, window)]
+                yield pa.RecordBatch.from_arrays([*row.columns[:3], *found], [*row.schema.names[:3], "n_words", "windows"])
 
-    return docs.withColumn("__text", bytes_of()).mapInArrow(run, docs.schema)
+    found = texts.mapInArrow(every, "__k1 long, __k2 long, n int, print long").distinct().join(wanted, ["n", "print"], "left_semi")
+    keys = written(found.groupBy("__k1", "__k2").agg(F.collect_list(F.struct("n", "print")).alias("keys")), "hits")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    rows = texts.join(keys, ["__k1", "__k2"], "left").select("doc_id", "__k1", "__k2", "__text", "keys")
+    return rows.mapInArrow(again, f"doc_id {kind}, __k1 long, __k2 long, {DOC_WINDOWS}")
+
+
+def text_keys() -> list[Column]:
+    """128 bits that tell texts apart."""
+    return [F.xxhash64(bytes_of()).alias("__k1"), F.xxhash64(F.lit(1), bytes_of()).alias("__k2")]
+
+
+def found_windows(docs: DataFrame, benchmark: DataFrame, window: int, most_prints: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All rows with their text's keys and number of words; the windows of distinct texts that items have; those of items."""
+    if window < K:
+        raise ValueError(f"a window has {K} words or more")
+    spark = docs.sparkSession
+    items = written(item_windows(benchmark, window), "items")
+    wanted = written(items.select("n", "print").distinct(), "prints")
+    texts = docs.select("doc_id", *text_keys(), bytes_of().alias("__text"))
+    if wanted.count() <= most_prints:
+        known = wanted.toPandas()
+        rows = _lookup(texts, sent(spark, _by_size(known["n"].to_numpy(), known["print"].to_numpy())), window)
+    else:
+        rows = _joined(texts, wanted, window)
+    rows = written(rows, "windows")
+    hits = rows.select("__k1", "__k2", F.inline("windows")).distinct()
+    same = items.select("n", "hash", "words").distinct()
+    return rows, written(hits.join(same, ["n", "hash", "words"], "left_semi"), "spans"), items
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, most_prints: int = MOST_PRINTS) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every row of (doc_id, text)."""
+    rows, hits, items = found_windows(docs, benchmark, window, most_prints)
+    key = ["__k1", "__k2"]
+    before = F.max(F.col("at") + F.col("n")).over(
+        Window.partitionBy(*key).orderBy("at", "n").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    end = F.col("at") + F.col("n")
+    new = F.greatest(F.lit(0), end - F.greatest(F.col("at"), F.coalesce(before, F.lit(0))))
+    covered = hits.select(*key, new.alias("new")).groupBy(*key).agg(F.sum("new").alias("n_hit"))
+    same = ["n", "hash", "words"]
+    owners = items.where("item_id is not null").select(*same, "item_id").distinct()
+    owned = hits.select(*key, *same).distinct().join(owners, same).select(*key, "item_id").distinct()
+    listed = owned.groupBy(*key).agg(
+        F.count("*").alias("n_items"), F.sha2(F.concat_ws(",", F.array_sort(F.collect_list("item_id"))), 256).alias("items_sha256")
+    )
+    # Written, so that the join can split a text that many rows have.
+    verdicts = written(covered.join(listed, key, "left"), "verdicts")
+    n_hit = F.coalesce("n_hit", F.lit(0))
+    return rows.join(verdicts, key, "left").select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, most_prints: int = MOST_PRINTS) -> DataFrame:
+    """The rows that hold no window of the benchmark, with all their columns."""
+    _, hits, _ = found_windows(docs, benchmark, window, most_prints)
+    dirty = written(hits.select("__k1", "__k2").distinct(), "dirty")
+    return docs.select("*", *text_keys()).join(dirty, ["__k1", "__k2"], "left_anti").select(*docs.columns)

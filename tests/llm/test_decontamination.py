@@ -48,12 +48,12 @@ def compared(spark, texts: list, items: list[tuple], **options) -> int:
     got = {r["doc_id"]: tuple(r.values())[1:] for r in rows(decontaminate(documents(spark, texts), benchmark, **options))}
     want = brute_force(texts, items)
     assert [got[i] for i in range(len(texts))] == want
-    assert {r["doc_id"] for r in rows(keep_clean(documents(spark, texts), benchmark))} == {i for i, w in enumerate(want) if not w[-1]}
+    assert {r["doc_id"] for r in rows(keep_clean(documents(spark, texts), benchmark, **options))} == {i for i, w in enumerate(want) if not w[-1]}
     return sum(w[-1] for w in want)
 
 
-@pytest.mark.parametrize("block_bytes", [8 << 20, 300])
-def test_planted_spans_of_all_lengths(spark, block_bytes):
+@pytest.mark.parametrize("most_prints", [1 << 20, 0])
+def test_planted_spans_of_all_lengths(spark, most_prints):
     rng = random.Random(3)
     items = [(i, sentence(rng, n)) for i, n in enumerate([0, 1, 2, 4, 5, 6, 9, 10, 11, 12, 30, 60, 15, 10, 10])]
     items += [(20, items[10][1]), (21, None), (None, sentence(rng, 14)), (23, "é ü " * 8), (24, "x " * 40), (25, items[11][1].upper().replace(" ", " - "))]
@@ -67,7 +67,7 @@ def test_planted_spans_of_all_lengths(spark, block_bytes):
             part[rng.randrange(len(part))] = word(rng)
         glue = rng.choice([" ", "\n", ", ", " -- "])
         texts.append(sentence(rng, rng.randint(0, 30)) + " " + glue.join(part) + rng.choice(["", " ", "q"]) + sentence(rng, rng.randint(0, 30)))
-    assert compared(spark, texts, items, block_bytes=block_bytes) > 20
+    assert compared(spark, texts, items, most_prints=most_prints) > 20
 
 
 def test_given_documents(spark):
@@ -86,15 +86,25 @@ def test_windows_longer_than_a_slice(spark):
 
 
 def test_winnowing_guarantee():
-    """Two sides that share a full run of hashes keep a common one."""
+    """Two sides that share a full run of hashes keep a common one: its least."""
     rng = np.random.default_rng(1)
     for _ in range(300):
         shared = rng.integers(0, 50, 6).astype(np.uint64)
         sides = [np.concatenate([rng.integers(0, 50, rng.integers(0, 9)).astype(np.uint64), shared, rng.integers(0, 50, 5).astype(np.uint64)]) for _ in "ab"]
-        kept = [set(side[winnowed(side, 6)].tolist()) for side in sides]
+        kept = [set(winnowed(side, 6)[: len(side) - 5].tolist()) for side in sides]
         assert int(shared.min()) in kept[0] & kept[1]
 
 
+@pytest.mark.parametrize("most_prints", [1 << 20, 0])
+def test_one_word_repeated(spark, most_prints):
+    """Long texts and items of one word: time in proportion to the sum of their lengths, not to the product."""
+    texts = ["x " * 200_000, "x " * 9, "y x " * 50_000, "x " * 12 + "z"]
+    items = [(1, "x " * 40_000), (2, "x " * 10), (3, "x y " * 6)]
+    got = {r["doc_id"]: r for r in rows(decontaminate(documents(spark, texts), spark.createDataFrame(items, "item_id long, text string"), most_prints=most_prints))}
+    assert [got[i]["n_hit"] for i in range(4)] == [200_000, 0, 100_000, 12]
+    assert [got[i]["n_items"] for i in range(4)] == [2, 0, 1, 2]
+
+
 def test_words_and_grams():
     texts = pa.array([b"Ab, c1-\xc3\xa9!", b"", b"x", b"a b c d e f"], pa.binary())
     found = words_in(*byte_arrays(texts))
