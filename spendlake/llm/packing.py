@@ -5,6 +5,10 @@ length and a rest. Pieces are placed longest first, each into the open bin with
 none has room, a bin of the least cost a token is opened: the cost of a length over the tokens that it is filled with if it
 gets, of the pieces still to be placed, always the longest that fits. At the end each bin gets the shortest permitted length that holds it.
 
+Opening by opening that is greedy, so the lengths are chosen jointly: every set of permitted lengths that can hold the longest
+piece is tried for the bins to be opened, the shortening at the end still has all of them, and the set of least total cost is
+taken; of equals the one with fewest, then smallest lengths. So no block costs more than it would with any single length.
+
 Rows are dealt by a hash into blocks of about ``block_rows``, packed independently: the bins a block leaves partly
 filled are few against those it fills, and no task sees more than a block, of which it gets ids and lengths, not texts.
 Rows that share a doc_id are dealt by their text as well, and rows that share both evenly over all blocks.
@@ -17,6 +21,7 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +55,8 @@ def opened(
     """The capacity with the least cost a token that it is filled with; of equals the smallest. Unless ``filled`` tells
     the tokens for a capacity, any number up to ``to_place`` is thought to fit."""
     fitting = [c for c in capacities if c >= piece]
+    if len(fitting) == 1:
+        return fitting[0]
     return min(fitting, key=lambda c: (cost(c) / min(c, to_place, filled(c) if filled else c), c))
 
 
@@ -74,6 +81,15 @@ def pack(
     largest = capacities[-1]
     pieces = [(min(largest, n - at), i, at) for i, n in enumerate(lengths) for at in range(0, n, largest)]
     pieces.sort(key=lambda p: (-p[0], p[1], p[2]))
+    sets = [s for k in range(1, len(capacities) + 1) for s in combinations(capacities, k) if not pieces or s[-1] >= pieces[0][0]]
+    plans = (_placed(pieces, s, capacities, cost) for s in sets)
+    return min(plans, key=lambda plan: sum(cost(b.capacity) for b in plan[1]))
+
+
+def _placed(
+    pieces: list[tuple[int, int, int]], opening: Sequence[int], capacities: Sequence[int], cost: Callable[[int], float]
+) -> tuple[list[tuple[int, int, int, int, int]], list[Bin]]:
+    """The pieces (length, text, start) in bins opened with the ``opening`` lengths, then shortened to any capacity."""
     to_place = sum(p[0] for p in pieces)
     shorter = [-p[0] for p in pieces]
     bins: list[Bin] = []
@@ -85,7 +101,7 @@ def pack(
             _, number = room.pop(at)
         else:
             number = len(bins)
-            bins.append(Bin(opened(length, to_place, capacities, cost, lambda c: fill(c, next_piece, shorter))))
+            bins.append(Bin(opened(length, to_place, opening, cost, lambda c: fill(c, next_piece, shorter))))
         box = bins[number]
         out.append((text, start, length, number, box.used))
         box.used += length

@@ -13,34 +13,67 @@ from spendlake.llm import packing
 from spendlake.llm.packing import CAPACITIES, compute_cost, fill, opened, pack, pack_texts
 
 
+def plain_fill(capacity: int, waiting: list[int]) -> int:
+    """Tokens of a bin that gets, of the waiting pieces, longest first, each that fits."""
+    used = 0
+    for n in waiting:
+        if used + n <= capacity:
+            used += n
+    return used
+
+
 def plain(lengths: list[int], capacities: list[int]) -> list:
-    """Every open bin is looked at for every piece."""
+    """Every open bin is looked at for every piece, and every set of lengths for all bins."""
     largest = max(capacities)
     pieces = sorted(((min(largest, n - at), i, at) for i, n in enumerate(lengths) for at in range(0, n, largest)), key=lambda p: (-p[0], p[1], p[2]))
-    left, bins, out = sum(p[0] for p in pieces), [], []
-    for n, i, at in pieces:
-        fits = [(c - used, b) for b, (c, used) in enumerate(bins) if c - used >= n]
-        if fits:
-            b = min(fits)[1]
-        else:
-            c = min((c for c in capacities if c >= n), key=lambda c: (compute_cost(c) / min(c, left), c))
-            bins.append((c, 0))
-            b = len(bins) - 1
-        out.append((i, at, n, b, bins[b][1]))
-        bins[b] = bins[b][0], bins[b][1] + n
-        left -= n
-    return out, [(min(c for c in capacities if c >= used), used) for _, used in bins]
+    plans = []
+    for chosen in range(1, 2 ** len(capacities)):
+        opening = [c for k, c in enumerate(sorted(capacities)) if chosen >> k & 1]
+        if pieces and max(opening) < pieces[0][0]:
+            continue
+        bins, out = [], []
+        for k, (n, i, at) in enumerate(pieces):
+            fits = [(c - used, b) for b, (c, used) in enumerate(bins) if c - used >= n]
+            if fits:
+                b = min(fits)[1]
+            else:
+                waiting = [p[0] for p in pieces[k:]]
+                c = min((c for c in opening if c >= n), key=lambda c: (compute_cost(c) / plain_fill(c, waiting), c))
+                bins.append((c, 0))
+                b = len(bins) - 1
+            out.append((i, at, n, b, bins[b][1]))
+            bins[b] = bins[b][0], bins[b][1] + n
+        ended = [(min(c for c in capacities if c >= used), used) for _, used in bins]
+        plans.append((sum(compute_cost(c) for c, _ in ended), len(opening), opening, out, ended))
+    return min(plans)[3:]
 
 
 @pytest.mark.parametrize("seed", range(8))
 def test_equals_the_plain_search(seed):
     rng = random.Random(seed)
-    lengths = [rng.choice([1, 5, rng.randint(1, 70), rng.randint(1, 300)]) for _ in range(rng.randint(0, 300))]
+    lengths = [rng.choice([1, 5, rng.randint(1, 70), rng.randint(1, 300)]) for _ in range(rng.randint(0, 200))]
     capacities = sorted(rng.sample(range(8, 200), rng.randint(1, 4)))
     got, bins = pack(lengths, capacities)
     assert (got, [(b.capacity, b.used) for b in bins]) == plain(lengths, capacities)
 
 
+@pytest.mark.parametrize("low, high", [(300, 400), (1, 4096), (1, 600), (900, 5000), (1, 12)])
+def test_equals_the_plain_search_with_the_lengths_in_use(low, high):
+    rng = random.Random(low)
+    lengths = [rng.randint(low, high) for _ in range(150)]
+    got, bins = pack(lengths)
+    assert (got, [(b.capacity, b.used) for b in bins]) == plain(lengths, list(CAPACITIES))
+
+
+def test_no_single_length_is_better():
+    rng = random.Random(9)
+    for lengths in ([rng.randint(1, 4096) for _ in range(4000)], [min(4096, int(rng.lognormvariate(5, 1))) + 1 for _ in range(4000)], [320] * 4000):
+        found = cost_of(pack(lengths)[1])
+        for c in CAPACITIES:
+            if c >= max(lengths):
+                assert found <= cost_of(pack(lengths, [c])[1])
+
+
 def test_least_cost_bin_is_opened():
     assert opened(100, 10**9, CAPACITIES, float) == 512
     assert opened(100, 10**9, CAPACITIES, lambda c: c + 500) == 4096
@@ -69,7 +102,7 @@ def test_bins_are_made_shorter_at_the_end(monkeypatch):
     chosen = []
     monkeypatch.setattr(packing, "opened", lambda *a: chosen.append(opened(*a)) or chosen[-1])
     _, bins = pack([200, 700, 700, 400, 260])
-    assert chosen == [1024, 1024, 1024]
+    assert [1024, 1024, 1024] in [chosen[i : i + 3] for i in range(len(chosen))]
     assert [(b.capacity, b.used) for b in bins] == [(1024, 960), (1024, 900), (512, 400)]
 
 
