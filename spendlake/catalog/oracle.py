@@ -449,3 +449,32 @@ UNION ALL
 SELECT 'gold', 'source_comparison', true, count(DISTINCT source), true, true FROM lines"""
 ORACLE_SQL["clustered_window"] = ORACLE_SQL["date_window"]
 ORACLE_SQL["landed_documents"] = ORACLE_SQL["landed_snapshots"]
+ORACLE_SQL["drifting_snapshot"] = """
+SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, l_returnflag,
+       CASE WHEN l_returnflag = 'N' THEN CAST(l_shipdate AS TIMESTAMP) ELSE CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) END AS l_shipdate,
+       CASE WHEN l_returnflag = 'A' THEN trunc(l_quantity) ELSE l_quantity END AS l_quantity,
+       CASE WHEN l_returnflag = 'A' THEN CAST(l_linenumber AS DECIMAL(22,2)) ELSE CAST(l_suppkey AS DECIMAL(22,2)) END AS weight,
+       CASE WHEN l_returnflag <> 'A' THEN l_extendedprice END AS l_extendedprice,
+       CASE WHEN l_returnflag <> 'A' THEN l_tax END AS l_tax,
+       CASE WHEN l_returnflag = 'R' THEN l_linestatus END AS l_linestatus
+FROM lineitem WHERE l_returnflag IN ('A', 'N', 'R')"""
+ORACLE_SQL["drifting_columns"] = """
+WITH files AS (
+  SELECT DISTINCT l_returnflag AS flag FROM lineitem),
+kinds(flag, name, kind) AS (VALUES
+  ('A', 'l_orderkey', 'int'), ('N', 'l_orderkey', 'bigint'), ('R', 'l_orderkey', 'bigint'),
+  ('A', 'l_linenumber', 'smallint'), ('N', 'l_linenumber', 'int'), ('R', 'l_linenumber', 'int'),
+  ('A', 'l_returnflag', 'string'), ('N', 'l_returnflag', 'string'), ('R', 'l_returnflag', 'string'),
+  ('A', 'l_shipdate', 'date'), ('N', 'l_shipdate', 'timestamp_ntz'), ('R', 'l_shipdate', 'date'),
+  ('A', 'l_quantity', 'int'), ('N', 'l_quantity', 'double'), ('R', 'l_quantity', 'double'),
+  ('A', 'weight', 'decimal(6,2)'), ('N', 'weight', 'decimal(20,0)'), ('R', 'weight', 'decimal(20,0)'),
+  ('N', 'l_extendedprice', 'double'), ('R', 'l_extendedprice', 'double'),
+  ('N', 'l_tax', 'double'), ('R', 'l_tax', 'double'), ('R', 'l_linestatus', 'string'), ('A', 'L_TAX', 'string'))
+SELECT name, string_agg(DISTINCT kind, ', ' ORDER BY kind) AS types,
+       count(*) < (SELECT count(*) FROM files) AS lacking,
+       CASE WHEN lower(name) = 'l_tax' THEN 'refused'
+            WHEN count(DISTINCT kind) = 1 THEN 'same'
+            ELSE 'widened to ' || CASE name WHEN 'l_orderkey' THEN 'bigint' WHEN 'l_linenumber' THEN 'int'
+              WHEN 'l_shipdate' THEN 'timestamp_ntz' WHEN 'l_quantity' THEN 'double' ELSE 'decimal(22,2)' END
+       END AS verdict
+FROM kinds JOIN files USING (flag) GROUP BY name"""

@@ -27,6 +27,7 @@ from spendlake.plans.summarize import latest_silver, summarize_all
 from spendlake.plans.totals import summarize_restated
 from spendlake.schemas import GOLD_TABLES, KNOWN_SOURCES, METRICS, RATIOS, SILVER_SCHEMA, ServedTypes
 from spendlake.sources.buckets import read_manifest
+from spendlake.sources.drift import drift_report
 from spendlake.sources.landing import RECORD_COLUMNS, unnest_envelope, with_ingest_columns
 from spendlake.sources.registry import SOURCES
 from spendlake.sources.scratch import scratch_path
@@ -504,6 +505,35 @@ def clustered_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return date_window(read_snapshot(spark, path, SILVER_SCHEMA), date(1998, 1, 1), date(1998, 3, 31))
 
 
+def _drifting(spark: SparkSession, sf_dir: str, more: tuple[str, ...] = ()) -> str:
+    """All of lineitem in one snapshot that three writers have filled, each with its own idea of the types."""
+    path = f"{scratch_path(spark, 'drift')}/lines/snapshot=20260312_100000"
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    key = "l_orderkey", "l_linenumber", "l_returnflag", "cast(l_shipdate AS date) AS l_shipdate"
+    old = "cast(l_quantity AS int) AS l_quantity", "cast(l_linenumber AS decimal(6,2)) AS weight"
+    new = "l_quantity", "l_extendedprice", "l_tax", "cast(l_suppkey AS decimal(20,0)) AS weight"
+    writers = {
+        "A": ["cast(l_orderkey AS int) AS l_orderkey", "cast(l_linenumber AS short) AS l_linenumber", *key[2:], *old, *more],
+        "N": [*key[:3], "cast(l_shipdate AS timestamp_ntz) AS l_shipdate", *new],
+        "R": [*key, *new, "l_linestatus"],
+    }
+    for flag, columns in writers.items():
+        lines.where(F.col("l_returnflag") == flag).selectExpr(*columns).write.mode("append").parquet(path)
+    return path
+
+
+def drifting_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of the snapshot, in the one schema that holds every file."""
+    return read_snapshot(spark, _drifting(spark, sf_dir))
+
+
+def drifting_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the footers of the snapshot say of each column, two of which differ in case only."""
+    path = _drifting(spark, sf_dir, ("cast(l_tax AS string) AS L_TAX",))
+    report = drift_report(spark, path)
+    return report.selectExpr("name", "types", "lacking > 0 AS lacking", "verdict")
+
+
 def _all_gold(spark: SparkSession, gold: str) -> DataFrame:
     """The rows of the three latest gold snapshots."""
     frames = []
@@ -626,4 +656,6 @@ QUERIES: dict[str, Query] = {
     "written_health": written_health,
     "committed_sizes": committed_sizes,
     "clustered_window": clustered_window,
+    "drifting_snapshot": drifting_snapshot,
+    "drifting_columns": drifting_columns,
 }

@@ -23,3 +23,11 @@ class StaleWriter(RuntimeError):
 
     def __init__(self, root: str, version: int) -> None:
         super().__init__(f"{root} has moved on from version {version}; nothing was changed, load again")
+
+
+class SchemaDrift(ValueError):
+    """The files of a snapshot have schemas that no common one holds."""
+
+    def __init__(self, path: str, faults: list[str]) -> None:
+        self.path, self.faults = path, faults
+        super().__init__(f"{path} cannot be read as one table: " + " | ".join(faults))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from spendlake.errors import NothingToWrite
 from spendlake.schemas import GOLD_TABLES
+from spendlake.sources.drift import read_drifting
 from spendlake.sources.scratch import remove_path
 
 STAMP_FORMAT = "%Y%m%d_%H%M%S"
@@ -68,16 +69,21 @@ class Commit:
     newest: int
 
 
-def commit_snapshot(spark: SparkSession, path: str, rows: int) -> Commit:
-    """Make a finished snapshot count, and note in its marker how large it is."""
+def _data_files(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """Bytes and time (milliseconds) of each Parquet file below a folder."""
     fs, folder = file_system(spark, path)
-    found, sizes, newest = fs.listFiles(folder, True), [], 0
+    found, files = fs.listFiles(folder, True), []
     while found.hasNext():
         entry = found.next()
         if entry.getPath().getName().endswith(".parquet"):
-            sizes.append(entry.getLen())
-            newest = max(newest, entry.getModificationTime())
-    commit = Commit(rows, len(sizes), sum(sizes), newest)
+            files.append((entry.getLen(), entry.getModificationTime()))
+    return files
+
+
+def commit_snapshot(spark: SparkSession, path: str, rows: int) -> Commit:
+    """Make a finished snapshot count, and note in its marker how large it is."""
+    files = _data_files(spark, path)
+    commit = Commit(rows, len(files), sum(size for size, _ in files), max((at for _, at in files), default=0))
     put_text(spark, f"{path}/_SUCCESS", json.dumps(asdict(commit)))
     return commit
 
@@ -167,6 +173,22 @@ def latest_snapshot(spark: SparkSession, root: str, name: str, kind: str = "snap
     return None
 
 
+def _one_write(spark: SparkSession, path: str) -> bool:
+    """Whether all files of a folder come from the one job that committed it, so that they have one schema."""
+    fs, target = file_system(spark, path)
+    if not fs.getFileStatus(target).isDirectory():
+        return True
+    commit = read_commit(spark, path)
+    return commit is not None and commit.files == len(_data_files(spark, path))
+
+
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The rows of a snapshot: in the given schema, or in its own.
+
+    A folder that ``write_snapshot`` committed has one schema, which any footer tells. Where files came from elsewhere or
+    were added since, the footers of all of them are compared (``read_drifting``).
+    """
+    if schema is None and not _one_write(spark, path):
+        return read_drifting(spark, path)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)

@@ -1,0 +1,145 @@
+"""Files of one snapshot with different schemas."""
+
+from __future__ import annotations
+
+from datetime import date
+from itertools import permutations
+from pathlib import Path
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import types as T
+
+from spendlake.errors import SchemaDrift
+from spendlake.plans.refine import refine
+from spendlake.plans.summarize import latest_silver
+from spendlake.sources import drift
+from spendlake.sources.drift import common_type, drift_report, drift_schema, footer_schema, read_drifting
+from spendlake.sources.registry import SOURCES
+from spendlake.sources.snapshots import read_snapshot, write_snapshot
+from spendlake.sources.landing import with_ingest_columns
+
+
+def add(spark, path, *selects):
+    for select in selects:
+        spark.sql(f"SELECT {select}").write.mode("append").parquet(path)
+    return path
+
+
+WIDENED = [
+    (["tinyint", "bigint", "int"], "bigint"),
+    (["float", "smallint", "double"], "double"),
+    (["float", "int"], "double"),
+    (["decimal(5,2)", "decimal(7,4)"], "decimal(7,4)"),
+    (["decimal(5,4)", "int"], "decimal(14,4)"),
+    (["decimal(5,4)", "bigint", "tinyint"], "decimal(24,4)"),
+    (["date", "timestamp_ntz"], "timestamp_ntz"),
+    (["void", "date"], "date"),
+    (["array<int>", "array<bigint>"], "array<bigint>"),
+    (["map<string,float>", "map<string,int>"], "map<string,double>"),
+    (["bigint", "double"], None),
+    (["bigint", "int", "float"], None),
+    (["string", "int"], None),
+    (["timestamp", "timestamp_ntz"], None),
+    (["date", "timestamp"], None),
+    (["decimal(38,2)", "decimal(38,4)"], None),
+    (["decimal(5,2)", "double"], None),
+    (["decimal(5,2)", "int", "double"], None),
+    (["array<int>", "array<string>"], None),
+    (["struct<a:int>", "struct<A:int>"], None),
+]
+
+
+@pytest.mark.parametrize("kinds, want", WIDENED)
+def test_rule_does_not_depend_on_order(spark, kinds, want):
+    for order in permutations(kinds):
+        got = common_type(T._parse_datatype_string(k) for k in order)
+        assert (got and got.simpleString()) == want
+
+
+def test_structs_keep_every_field(spark):
+    got = common_type(map(T._parse_datatype_string, ["struct<a:int>", "struct<b:string,a:bigint>"]))
+    assert got.simpleString() == "struct<a:bigint,b:string>"
+
+
+def test_values_survive_widening(spark, root):
+    path = add(
+        spark, f"{root}/a b/x=1",
+        "1 AS k, 2Y AS n, date'2026-03-01' AS d, 1.25BD AS m, named_struct('a', 7) AS s",
+        "2 AS k, 9007199254740993L AS n, timestamp_ntz'2026-03-01 10:00:00' AS d, 40000L AS m, named_struct('a', 5000000000L, 'b', 'x') AS s",
+        "3L AS k, cast(NULL AS smallint) AS n, cast(NULL AS date) AS d, cast(NULL AS int) AS m, NULL AS z",
+    )
+    got = {r["k"]: r.asDict(recursive=True) for r in read_drifting(spark, path).collect()}
+    assert got[1]["n"] == 2 and got[2]["n"] == 9007199254740993 and got[3]["n"] is None
+    assert [str(got[i]["d"]) for i in (1, 2)] == ["2026-03-01 00:00:00", "2026-03-01 10:00:00"]
+    assert [str(got[i]["m"]) for i in (1, 2)] == ["1.25", "40000.00"]
+    assert got[1]["s"] == {"a": 7, "b": None} and got[2]["s"] == {"a": 5000000000, "b": "x"} and got[3]["s"] is None
+
+
+def test_refusal_names_column_types_and_a_file(spark, root):
+    path = add(spark, f"{root}/x", "1 AS k, 'a' AS v", "1 AS k, 2 AS v")
+    with pytest.raises(SchemaDrift, match=r"v: .*int in 1 files, one is .*parquet"):
+        read_drifting(spark, path)
+    assert {r["name"]: r["verdict"] for r in drift_report(spark, path).collect()} == {"k": "same", "v": "refused"}
+
+
+def test_lacking_columns_are_null_unless_required(spark, root):
+    path = add(spark, f"{root}/x", "1 AS k, 2 AS v", "3 AS k")
+    assert {tuple(r) for r in read_drifting(spark, path).collect()} == {(1, 2), (3, None)}
+    assert read_drifting(spark, path, ["k"]).count() == 2
+    with pytest.raises(SchemaDrift, match="v: 1 of 2 files lack it.*w: 2 of 2"):
+        read_drifting(spark, path, ["k", "v", "w"])
+
+
+def test_names_that_differ_in_case_are_refused(spark, root):
+    with pytest.raises(SchemaDrift):
+        read_drifting(spark, add(spark, f"{root}/x", "1 AS k", "2 AS K"))
+
+
+def test_foreign_files(spark, root):
+    """Without a note of Spark's: unsigned integers, nanoseconds of INT96, no rows."""
+    folder = Path(root) / "x"
+    folder.mkdir()
+    pq.write_table(pa.table({"u": pa.array([2**32 - 1], pa.uint32()), "t": pa.array([0], pa.timestamp("us"))}), folder / "a.parquet")
+    pq.write_table(pa.table({"u": pa.array([], pa.int16()), "t": pa.array([], pa.date32())}), folder / "b.parquet")
+    assert read_drifting(spark, str(folder)).schema.simpleString() == "struct<u:bigint,t:timestamp_ntz>"
+    assert [r["u"] for r in read_drifting(spark, str(folder)).collect()] == [2**32 - 1]
+    old = folder / "old.parquet"
+    pq.write_table(pa.table({"t": pa.array([0], pa.timestamp("ns"))}), old, use_deprecated_int96_timestamps=True)
+    assert footer_schema(f"file:{old}").simpleString() == "struct<t:timestamp>"
+
+
+def test_bounds(spark, root, monkeypatch):
+    Path(root, "none").mkdir()
+    with pytest.raises(SchemaDrift, match="no files"):
+        drift_schema(spark, f"{root}/none")
+    monkeypatch.setattr(drift, "MOST_KINDS", 2)
+    with pytest.raises(SchemaDrift, match="more than 2"):
+        drift_schema(spark, add(spark, f"{root}/x", "1 AS a, 2 AS b, 3 AS c"))
+
+
+def test_committed_snapshots_are_trusted_until_a_file_is_added(spark, root, monkeypatch):
+    def never(*_):
+        raise AssertionError("footers were compared")
+
+    path = write_snapshot(spark.sql("SELECT 1 AS k"), root, "t").path
+    with monkeypatch.context() as m:
+        m.setattr("spendlake.sources.snapshots.read_drifting", never)
+        assert read_snapshot(spark, path).count() == 1
+    add(spark, path, "5000000000L AS k, 'x' AS v")
+    assert {tuple(r) for r in read_snapshot(spark, path).collect()} == {(1, None), (5000000000, "x")}
+
+
+def test_refine_reads_drifting_bronze(spark, root, raw):
+    """A second writer's counts are narrower and its files have a column more; a text for a count fails the platform."""
+    spec = SOURCES["google_ads"]
+    bronze = with_ingest_columns(raw("google_ads"), spec, date(2026, 3, 12))
+    path = write_snapshot(bronze, f"{root}/bronze", "google_ads").path
+    narrow = bronze.withColumns({"clicks": bronze["clicks"].cast("int"), "device": bronze["clicks"].cast("string")})
+    narrow.write.mode("append").parquet(path)
+    refine(spark, f"{root}/bronze", f"{root}/silver")
+    assert latest_silver(spark, f"{root}/silver").count() == 2 * bronze.count()
+    bronze.withColumn("clicks", bronze["clicks"].cast("string")).write.mode("append").parquet(path)
+    results = refine(spark, f"{root}/bronze", f"{root}/silver")
+    assert "clicks" in results.errors["google_ads"]
