@@ -39,6 +39,7 @@ AT = datetime(2026, 3, 12, 10, 0, 0)
 LATER = datetime(2026, 3, 13, 10, 0, 0)
 # Wide enough for the totals of any table size; the served default is decimal(14,6) and decimal(10,4).
 WIDE = ServedTypes(T.DecimalType(28, 6), T.DecimalType(20, 4))
+REPORTS_A_FILE = 200_000
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,7 +298,10 @@ def _with_file_names(silver: DataFrame) -> DataFrame:
 
 
 def _land(spark: SparkSession, lines: DataFrame, landing: str, run: str, records: tuple[str, ...] = ("struct(*)",)) -> None:
-    """A landing run of every platform: each line as a report of its own, one per line of JSON."""
+    """A landing run of every platform: each line as a report of its own, one per line of JSON, in compressed files.
+
+    No split of a compressed file can be read alone, so what one holds is bounded.
+    """
 
     def land(name: str) -> str:
         spec = SOURCES[name]
@@ -305,7 +309,8 @@ def _land(spark: SparkSession, lines: DataFrame, landing: str, run: str, records
         raw = derive.raw_report(mine, spec, extra=[c for c in mine.columns if c.startswith("extra_")])
         report = f"""named_struct('source', '{name}', 'total_rows', {len(records)}L,
                                   '{spec.envelope_key}', array({", ".join(records)})) AS report"""
-        raw.selectExpr(report).select("report.*").write.json(f"{landing}/{name}/landed={run}")
+        rows = raw.selectExpr(report).select("report.*").write.option("compression", "lz4")
+        rows.option("maxRecordsPerFile", REPORTS_A_FILE).json(f"{landing}/{name}/landed={run}")
         return name
 
     each(spark, "land", SOURCES, land).complete()
