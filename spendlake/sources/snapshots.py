@@ -134,7 +134,8 @@ def write_snapshot(
     seen = Observation()
     arranged = df if cluster_by is None else clustered(df, cluster_by)
     observed = arranged.observe(seen, F.count(F.lit(1)).alias("rows"))
-    observed.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").mode("error").parquet(path)
+    writer = observed.write.option("compression", "zstd").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    writer.mode("error").parquet(path)
     rows = seen.get["rows"]
     if not rows:
         remove_path(spark, path)

@@ -5,9 +5,12 @@ from __future__ import annotations
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow.parquet as pq
+
 from spendlake.catalog import queries
 from spendlake.plans.ingest import ingest
 from spendlake.sources.registry import SOURCES
+from spendlake.sources.snapshots import write_snapshot
 
 RUN = "20260312_090000"
 
@@ -33,3 +36,9 @@ def test_landed_reports_are_compressed_in_files_of_bounded_size(spark, root, mon
         assert found.groupBy("file").count().agg({"count": "max"}).first()[0] == 500
     rows = ingest(spark, f"{root}/landing", f"{root}/bronze", at=datetime(2026, 3, 12)).complete()
     assert {name: done.rows for name, done in rows.items()} == {name: 8_000 for name in SOURCES}
+
+
+def test_snapshots_are_written_in_zstd(spark, root):
+    path = write_snapshot(spark.range(10), root, "numbers").path
+    meta = pq.ParquetFile(next(Path(path).glob("part-*.parquet"))).metadata
+    assert meta.row_group(0).column(0).compression == "ZSTD"
