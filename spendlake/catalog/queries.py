@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date, datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -325,15 +326,42 @@ def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_file_names(latest_silver(spark, f"{root}/silver"))
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of text as compressed blocks, and their sizes before."""
+    for batch in batches:
+        text = "\n".join(batch.column(0).to_pylist()).encode()
+        block = pa.compress(text, codec="zstd", asbytes=True)
+        yield pa.RecordBatch.from_pydict({"block": [block], "size": [len(text)]})
+
+
+def _unpacked(begin: str, end: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The text of the blocks of one partition, between a beginning and an end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": [begin]})
+        for batch in batches:
+            for block, size in zip(*(c.to_pylist() for c in batch.columns)):
+                text = pa.decompress(block, size, codec="zstd", asbytes=True).decode()
+                yield pa.RecordBatch.from_pydict({"value": [text]})
+        yield pa.RecordBatch.from_pydict({"value": [end]})
+
+    return run
+
+
 def _land_document(spark: SparkSession, lines: DataFrame, landing: str, run: str) -> None:
-    """A landing run of every platform: all its lines as one JSON document in one file, over many lines of text."""
+    """A landing run of every platform: all its lines as one JSON document in one file, over many lines of text.
+
+    Records become text in many tasks; the one that writes the file only copies it.
+    """
 
     def land(name: str) -> str:
         spec = SOURCES[name]
         records = derive.raw_report(derive.own_lines(lines, name), spec).selectExpr("concat(', ', to_json(struct(*))) AS value")
         begin = f"""{{"source": "{name}", "total_rows": 1, "paging": {{"next": []}},\n "{spec.envelope_key}": [null"""
-        head, end = (spark.range(1).select(F.lit(t).alias("value")) for t in (begin, "]}"))
-        head.union(records).union(end).coalesce(1).write.text(f"{landing}/{name}/landed={run}")
+        # The empty line keeps the partition, which has to write a document, where there are no records.
+        rows = spark.range(1).select(F.lit("").alias("value")).union(records)
+        blocks = rows.mapInArrow(_packed, "block binary, size long").repartition(1)
+        blocks.mapInArrow(_unpacked(begin, "]}"), "value string").write.text(f"{landing}/{name}/landed={run}")
         return name
 
     each(spark, "land", SOURCES, land).complete()

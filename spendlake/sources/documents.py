@@ -20,7 +20,9 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,11 @@ _S = r"[ \t\r\n]*"
 FIRST_GAP, GAP = re.compile(rf"{_S}(null{_S},{_S})*"), re.compile(rf"{_S},{_S}(null{_S},{_S})*")
 EMPTY_END, END = re.compile(rf"{_S}(null{_S}(,{_S}null{_S})*)?"), re.compile(rf"{_S}(,{_S}null{_S})*")
 
+# The same for whole columns of pieces without their braces. A plain one has no containers inside and neither marks nor escapes
+# in its strings, so it changes nothing that is open, whether it begins outside a string or inside one.
+_PLAIN = r"""\{[^"{}\[\]\\]*("[^"{}\[\]\\]*"[^"{}\[\]\\]*)*$"""
+PLAIN, PLAIN_RECORD = rf"""^[^"{{}}\[\]\\]*{_PLAIN}""", rf"^{_S},{_S}(null{_S},{_S})*{_PLAIN}"
+
 PAIRS = {"}": "{", "]": "["}
 Open = tuple[str, str | None]  # the opening character, and the key whose value it begins
 
@@ -134,6 +141,10 @@ class Cutter:
     def between(self) -> bool:
         return len(self.opened) == 2 and in_records(self.opened, self.key)
 
+    def expects_record(self) -> bool:
+        """Whether a comma and a record may follow, or the end."""
+        return self.record is None and not self.in_string and self.some and self.between()
+
     def feed(self, piece: str) -> Iterator[tuple[str, int]]:
         """(record, split in which it began, or -1 if that is this one) of each record that ends here."""
         if self.record is None and not self.in_string and self.between():
@@ -188,6 +199,16 @@ class Cutter:
             raise BadReport(f"not expected between records: {gap.strip()[:80]}")
 
 
+def stretches(batch: pa.RecordBatch) -> Iterator[tuple[tuple, pa.Array]]:
+    """The parts of a batch that belong to one split: the split, and the text of its pieces."""
+    keys = [c.to_numpy() for c in batch.columns[1:]]
+    new = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(cuts, cuts[1:]):
+        if end > begin:
+            yield tuple(int(k[begin]) for k in keys), batch.column(0).slice(begin, end - begin)
+
+
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """The text of all files, ended at closing braces; in order within a split."""
     files = spark.read.option("lineSep", "}").option("recursiveFileLookup", True).text(path)
@@ -216,14 +237,15 @@ def _summaries(pieces: DataFrame) -> DataFrame:
         names = [c.split()[0] for c in SPLITS.split(", ")]
         schema = pa.schema([(n, pa.string() if n == "guesses" else pa.int64()) for n in names])
         for batch in batches:
-            for value, *of in zip(*(c.to_pylist() for c in batch.columns)):
+            for of, values in stretches(batch):
                 if split != of:
                     if split is not None:
                         yield row()
                     split, count, read, guesses = of, 0, 0, (Structure(False), Structure(True))
-                count, read = count + 1, read + len(value.encode())
-                for guess in guesses:
-                    guess.feed(value + "}")
+                count, read = count + len(values), read + pc.sum(pc.binary_length(values)).as_py()
+                for value in values.filter(pc.invert(pc.match_substring_regex(values, PLAIN))).to_pylist():
+                    for guess in guesses:
+                        guess.feed(value + "}")
         if split is not None:
             yield row()
 
@@ -293,8 +315,13 @@ def _cut(pieces: DataFrame, begins: dict[tuple[int, int], Begin], key: str) -> D
             if cutter.envelope:
                 out.append((*split[:2], "e", -1, "".join(cutter.envelope)))
 
+        def plain(values: pa.Array) -> pa.RecordBatch:
+            records = pc.binary_join_element_wise(pc.replace_substring_regex(values, r"^[^{]*", ""), "}", "")
+            of = [pa.repeat(pa.scalar(v, f.type), len(values)) for v, f in zip((*split[:2], "r", -1), schema)]
+            return pa.RecordBatch.from_arrays([*of, records], schema=schema)
+
         for batch in batches:
-            for value, *of in zip(*(c.to_pylist() for c in batch.columns)):
+            for of, values in stretches(batch):
                 if split != of:
                     if split is not None:
                         close()
@@ -302,10 +329,21 @@ def _cut(pieces: DataFrame, begins: dict[tuple[int, int], Begin], key: str) -> D
                     if begin is None or begin.length != of[2]:
                         raise RuntimeError("the splits of the reports have changed; read them again")
                     cutter = Cutter(begin, of[1], key)
-                text = value if number == begin.last_piece else value + "}"
-                number += 1
-                for record, began in cutter.feed(text):
-                    out.append((*of[:2], "r" if began < 0 else "p", began, record))
+                is_plain = pc.match_substring_regex(values, PLAIN_RECORD).to_numpy(zero_copy_only=False)
+                if 0 <= begin.last_piece - number < len(values):
+                    is_plain[begin.last_piece - number] = False
+                others, at = np.append(np.flatnonzero(~is_plain), len(values)), 0
+                while at < len(values):
+                    end = int(others[np.searchsorted(others, at)])
+                    if end > at and cutter.expects_record():
+                        yield plain(values.slice(at, end - at))
+                        number, at = number + end - at, end
+                        continue
+                    value = values[at].as_py()
+                    text = value if number == begin.last_piece else value + "}"
+                    number, at = number + 1, at + 1
+                    for record, began in cutter.feed(text):
+                        out.append((*of[:2], "r" if began < 0 else "p", began, record))
             yield flushed()
         if split is not None:
             close()
