@@ -31,12 +31,12 @@ are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,7 +46,7 @@ from spendlake.sources.scratch import written
 
 RARE = -1
 END = 0
-FLUSH = 1 << 20  # distinct pairs a task holds before it passes them on
+FLUSH = 1 << 20  # distinct pairs or words a task holds before it passes them on
 MOST_SENT = 1 << 20  # states of the second tier that tasks are sent, of eight bytes each
 
 
@@ -94,16 +94,42 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-def symbols(texts: list[bytes], words: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    """The symbols of all texts, each followed by an end; where each text begins; the words of each."""
-    split = [t.lower().split() for t in texts]
-    sizes = np.fromiter(map(len, split), np.int64, len(split)) + 1
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    out = np.zeros(starts[-1], np.int64)
-    get = words.get
-    for at, tokens in zip(starts.tolist(), split):
-        out[at : at + len(tokens)] = [get(w, RARE) for w in tokens]
-    return out, starts, split
+def find_symbol(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """As ``find``, for keys that are symbols: by a table instead of a search."""
+    place = np.full(keys[-1] + 2 if len(keys) else 1, -1, np.int64)  # the last is for all other symbols
+    place[keys] = np.arange(len(keys))
+    return np.where(wanted >= 0, place[np.clip(wanted, 0, len(place) - 1)], -1)
+
+
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of binary texts, lower-cased; of all words in order, which of these each is; how many each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    offsets = split.offsets.to_numpy()
+    coded = split.values.slice(offsets[0], offsets[-1] - offsets[0]).view(pa.binary()).dictionary_encode()
+    words, index, sizes = coded.dictionary, coded.indices.to_numpy(), np.diff(offsets)
+    empty = pc.index(words, pa.scalar(b"", pa.binary())).as_py()
+    if empty >= 0:  # what stands before a text's first white space and after its last
+        full = index != empty
+        sizes = np.diff(np.concatenate([[0], np.cumsum(full)])[offsets - offsets[0]])
+        index = index[full]
+    return words, index, sizes
+
+
+def symbols(texts: list[bytes] | pa.Array, words: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The symbols of all texts, each followed by an end; where each text begins; the ids of the rare words in order."""
+    found, index, sizes = tokens(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary()))
+    distinct = found.to_numpy(zero_copy_only=False).tolist()
+    known = np.array([words.get(w, RARE) for w in distinct], np.int64)
+    ids = np.zeros(len(distinct), "<i8")
+    rare = np.flatnonzero(known < 0)
+    ids[rare] = [rare_id(distinct[i]) for i in rare.tolist()]
+    starts = np.concatenate([[0], np.cumsum(sizes + 1)])
+    out = np.full(starts[-1], END)
+    is_word = np.ones(len(out), bool)
+    is_word[starts[1:] - 1] = False
+    of_word = known[index]
+    out[is_word] = of_word
+    return out, starts, ids[index[of_word < 0]]
 
 
 def contexts(sym: np.ndarray, starts: np.ndarray, levels: list[Level], n_symbols: int) -> list[np.ndarray]:
@@ -113,10 +139,10 @@ def contexts(sym: np.ndarray, starts: np.ndarray, levels: list[Level], n_symbols
     found: list[np.ndarray] = []
     for depth, level in enumerate(levels):
         if depth == 0:
-            older = np.zeros(len(sym), np.int64)
-        else:
-            older = np.concatenate([[-1], found[-1][:-1]])
-            older[starts[:-1]] = -1
+            found.append(find_symbol(level.keys, before))
+            continue
+        older = np.concatenate([[-1], found[-1][:-1]])
+        older[starts[:-1]] = -1
         ok = (older >= 0) & (before >= 0)
         now = np.full(len(sym), -1, np.int64)
         now[ok] = find(level.keys, older[ok] * n_symbols + before[ok])
@@ -162,20 +188,32 @@ def choose_states(tree: Tree, level: Level, pairs: np.ndarray, counts: np.ndarra
 
 def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and how often they occur, summed in the task before they leave it."""
-    held: Counter[bytes] = Counter()
+    held: list[tuple[pa.Array, np.ndarray]] = []
+    size = 0
+
+    def weight(words: pa.Array) -> int:
+        return len(words) + words.nbytes // 64  # a long word counts as several
+
+    def merged() -> tuple[pa.Array, np.ndarray]:
+        coded = pa.concat_arrays([w for w, _ in held]).dictionary_encode()
+        return coded.dictionary, np.bincount(coded.indices.to_numpy(), np.concatenate([n for _, n in held]), len(coded.dictionary)).astype(np.int64)
 
-    def batch_of() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"word": pa.array(held.keys(), pa.binary()), "n": pa.array(held.values(), pa.int64())})
+    def batch_of(words: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([words, pa.array(n, pa.int64())], ["word", "n"]).filter(pa.array(n > 0))
 
     for whole in batches:
         for batch in slices(whole, "text"):
-            for text in batch.column("text").to_pylist():
-                held.update(text.lower().split())
-            if len(held) > FLUSH // 2:
-                yield batch_of()
-                held.clear()
+            words, index, _ = tokens(batch.column("text"))
+            held.append((words, np.bincount(index, minlength=len(words))))
+            size += weight(words)
+            if size > FLUSH:
+                held = [merged()]
+                size = weight(held[0][0])
+                if size > FLUSH // 2:
+                    yield batch_of(*held[0])
+                    held, size = [], 0
     if held:
-        yield batch_of()
+        yield batch_of(*merged())
 
 
 # The id of a word that is no symbol, from Spark's hash of it; negative and never -1.
@@ -193,11 +231,8 @@ def symbol_rows(words: dict[bytes, int]) -> Callable[[Iterator[pa.RecordBatch]],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                sym, starts, split = symbols(batch.column("text").to_pylist(), words)
+                sym, starts, ids = symbols(batch.column("text"), words)
                 n_rare = np.concatenate([[0], np.cumsum(sym < 0)])[starts]
-                places = np.flatnonzero(sym < 0) - np.repeat(starts[:-1], np.diff(n_rare))
-                owner = np.repeat(np.arange(len(split)), np.diff(n_rare))
-                ids = np.fromiter((rare_id(split[r][i]) for r, i in zip(owner.tolist(), places.tolist())), "<i8", len(places))
                 columns = [*batch.columns[:-1], _packed(sym.astype("<i4"), starts * 4), _packed(ids, n_rare * 8)]
                 yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "symbols", "rare_ids"])
 
@@ -319,7 +354,7 @@ def cold_tokens(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[
         sym[sym < 0] = ids.view("<i8")
         before = np.concatenate([[END], sym[:-1]])
         before[starts[:-1]] = END
-        at = np.flatnonzero(find(hot, before) < 0)
+        at = np.flatnonzero(find_symbol(hot, before) < 0)
         yield batch, np.searchsorted(starts, at, side="right") - 1, before[at], sym[at]
 
 

@@ -26,7 +26,9 @@ from spendlake.llm.lm_scoring import (
     symbol_parts,
     symbol_rows,
     symbols,
+    tokens,
     with_symbols,
+    word_counts,
 )
 from spendlake.llm.queries import op1_lm_score
 
@@ -233,3 +235,27 @@ def test_states_grow_with_the_corpus(spark):
     for texts in (few, many):
         got = rows(score_texts(documents(spark, texts), F.lit(False), shares))
         assert all(r["score"] > r["base_score"] + 0.5 for r in got)
+
+
+ODD = [b" a  B\tc ", b"", b"   ", b"x\n", b"\x0b\x0cq\x1cr\xff \xc3\x89t\xc3\x89\xc2\xa0z", b"A" * 10, b"a b A"]
+
+
+@pytest.mark.parametrize("texts", [ODD, ODD[1:3], [b"one"], []])
+def test_words_equal_those_of_split(texts):
+    """Each distinct word of a part comes once, whatever stands around and before it."""
+    column = pa.array([b"cut off ", *texts], pa.binary())[1:]
+    words, index, sizes = tokens(column)
+    words, left = words.to_pylist(), iter(index.tolist())
+    assert [[words[next(left)] for _ in range(n)] for n in sizes.tolist()] == [t.lower().split() for t in texts]
+    assert len(set(words)) == len(words)
+
+
+def test_words_are_counted_past_a_flush(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "FLUSH", 8)
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"]) for texts in (ODD, ODD[::-1], [], [b"x" * 5000, b" "], ODD)]
+    got: Counter[bytes] = Counter()
+    for batch in word_counts(iter(batches)):
+        for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+            got[word] += n
+    assert got == Counter(w for b in batches for t in b.column("text").to_pylist() for w in t.lower().split())
+    assert min(got.values()) > 0
